@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acreage.llm.chat import format_chats
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.secrets import scan_secrets
+from acreage.llm.url_filter import filter_urls
+
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+REPLY_SCHEMA = {"reply": {"query": {"type": "string", "required": True, "min_length": 1}}}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,16 +23,43 @@ def op5_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_linked")
 
 
+def op6_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = format_chats(table(spark, sf_dir, "conversations"), REPLY_SCHEMA)
+    return found.select(F.col("conv").alias("conv_id"), F.col("id").alias("call_id"), "name", "turn", "depth", "status", F.array_join("faults", "; ").alias("faults"), "json")
+
+
 def op8_exact_tree_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES = {
     "op5_secret_links": op5_secret_links,
+    "op6_tool_call_links": op6_tool_call_links,
     "op8_exact_tree_merge": op8_exact_tree_merge,
+    "op10_host_trust": op10_host_trust,
 }
 
 ORACLES = {
+    "op6_tool_call_links": """
+        with q as (select conv_id, turn, text from conversations where role = 'user'),
+             a as (select conv_id, turn - 1 as turn, turn as at, coalesce(text, '') as text from conversations where role = 'assistant'),
+             j as (
+                 select coalesce(q.conv_id, a.conv_id) as conv_id, 't' || coalesce(q.turn, a.turn) as call_id,
+                        case when q.conv_id is not null then 'reply' end as name, coalesce(q.turn, a.at) as turn,
+                        case when q.conv_id is not null then 0 end as depth,
+                        case when q.conv_id is null then 'orphan' when coalesce(q.text, '') = '' then 'invalid' when a.conv_id is null then 'unanswered' else 'ok' end as status,
+                        case when q.conv_id is not null and coalesce(q.text, '') = '' then 'query is too short' else '' end as faults,
+                        case when q.conv_id is null then '""' else '{"query":' || to_json(coalesce(q.text, ''))::varchar || '}' end as arguments,
+                        case when a.conv_id is null then 'null' else to_json(a.text)::varchar end as result
+                 from q full join a on q.conv_id = a.conv_id and q.turn = a.turn)
+        select conv_id, call_id, name, turn, depth, status, faults,
+               '{"arguments":' || arguments || ',"call_id":"' || call_id || '","name":"' || coalesce(name, '') || '","result":' || result || ',"status":"' || status || '"}' as json
+        from j
+    """,
     "op8_exact_tree_merge": """
         with n as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
         select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
