@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acreage.llm.bpe import encode_decode
 from acreage.llm.chat import format_chats
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.secrets import scan_secrets
@@ -18,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_linked")
@@ -37,6 +43,7 @@ def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_lexicon_bpe": op3_lexicon_bpe,
     "op5_secret_links": op5_secret_links,
     "op6_tool_call_links": op6_tool_call_links,
     "op8_exact_tree_merge": op8_exact_tree_merge,
