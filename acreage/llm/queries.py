@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from acreage.llm.bpe import encode_decode
 from acreage.llm.chat import format_chats
 from acreage.llm.exact_dedup import exact_dedup
+from acreage.llm.quality import grade_of, score_quality
 from acreage.llm.secrets import scan_secrets
 from acreage.llm.url_filter import filter_urls
 
@@ -20,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), grade_of(table(spark, sf_dir, "labels")))
+
+
 def op3_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -43,6 +48,7 @@ def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ordinal_quality": op1_ordinal_quality,
     "op3_lexicon_bpe": op3_lexicon_bpe,
     "op5_secret_links": op5_secret_links,
     "op6_tool_call_links": op6_tool_call_links,
