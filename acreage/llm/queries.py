@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from acreage.llm.bpe import encode_decode
 from acreage.llm.chat import format_chats
 from acreage.llm.exact_dedup import exact_dedup
+from acreage.llm.langid import identify_languages
 from acreage.llm.quality import grade_of, score_quality
 from acreage.llm.secrets import scan_secrets
 from acreage.llm.url_filter import filter_urls
@@ -39,6 +40,10 @@ def op6_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("conv").alias("conv_id"), F.col("id").alias("call_id"), "name", "turn", "depth", "status", F.array_join("faults", "; ").alias("faults"), "json")
 
 
+def op7_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_tree_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op3_lexicon_bpe": op3_lexicon_bpe,
     "op5_secret_links": op5_secret_links,
     "op6_tool_call_links": op6_tool_call_links,
+    "op7_kneser_ney_langid": op7_kneser_ney_langid,
     "op8_exact_tree_merge": op8_exact_tree_merge,
     "op10_host_trust": op10_host_trust,
 }
