@@ -30,26 +30,26 @@ def letters() -> np.ndarray:
     return _letters
 
 
-def characters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of all texts, ends of each, letters of each. Lower case, one blank for each run of other characters.
+def characters(texts: list[str | None], ink_of: np.ndarray | None = None, pad: int = ORDER - 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all texts, begin and end of each, letters of each. Lower case, one blank for each run of other characters.
 
-    Every text has ORDER - 1 blanks before it, so that no window reaches into the one before.
+    Every text has pad blanks before it, so that no window of pad + 1 reaches into the one before.
     """
     parts = [np.frombuffer((t or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
     size = np.array([len(p) for p in parts], np.int64)
     flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
     text = np.repeat(np.arange(len(parts)), size)
-    ink = letters()[flat]
+    ink = (letters() if ink_of is None else ink_of)[flat]
     keep = ink.copy()
     keep[1:] |= ink[:-1] & (text[1:] == text[:-1])
+    n_ink = np.bincount(text[ink], minlength=len(parts))
     flat = np.where(ink, flat, 32)[keep]
-    text = text[keep]
-    n = np.bincount(text, minlength=len(parts))
-    begin = np.concatenate([[0], np.cumsum(n)])[:-1] + (ORDER - 1) * np.arange(1, len(parts) + 1)
-    out = np.full(int(n.sum()) + (ORDER - 1) * len(parts), 32, np.uint64)
-    out[np.repeat(begin - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(len(flat))] = flat
-    ends = begin + n
-    return out, np.stack([begin, ends], 1), np.bincount(np.repeat(np.arange(len(parts)), size)[ink], minlength=len(parts))
+    n = np.bincount(text[keep], minlength=len(parts))
+    before = np.cumsum(n) - n
+    begin = before + pad * np.arange(1, len(parts) + 1)
+    out = np.full(int(n.sum()) + pad * len(parts), 32, np.uint64)
+    out[np.repeat(begin - before, n) + np.arange(len(flat))] = flat
+    return out, np.stack([begin, begin + n], 1), n_ink
 
 
 def grams(codes: np.ndarray, n: int) -> np.ndarray:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from acreage.llm.bpe import encode_decode
 from acreage.llm.chat import format_chats
+from acreage.llm.decontam import decontaminate
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.langid import identify_languages
 from acreage.llm.quality import grade_of, score_quality
@@ -30,6 +31,10 @@ def op3_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_linked")
@@ -55,6 +60,7 @@ def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ordinal_quality": op1_ordinal_quality,
     "op3_lexicon_bpe": op3_lexicon_bpe,
+    "op4_qgram_decontamination": op4_qgram_decontamination,
     "op5_secret_links": op5_secret_links,
     "op6_tool_call_links": op6_tool_call_links,
     "op7_kneser_ney_langid": op7_kneser_ney_langid,
