@@ -11,6 +11,7 @@ from acreage.llm.chat import format_chats
 from acreage.llm.decontam import decontaminate
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.langid import identify_languages
+from acreage.llm.line_dedup import dedup_lines
 from acreage.llm.quality import grade_of, score_quality
 from acreage.llm.secrets import scan_secrets
 from acreage.llm.url_filter import filter_urls
@@ -27,6 +28,10 @@ def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), grade_of(table(spark, sf_dir, "labels")))
 
 
+def op2_line_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op3_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -59,6 +64,7 @@ def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ordinal_quality": op1_ordinal_quality,
+    "op2_line_set_join": op2_line_set_join,
     "op3_lexicon_bpe": op3_lexicon_bpe,
     "op4_qgram_decontamination": op4_qgram_decontamination,
     "op5_secret_links": op5_secret_links,
@@ -69,6 +75,26 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_line_set_join": r"""
+        with l as (
+                 select doc_id, cast(i - 1 as bigint) as n, string_split(text, chr(10))[i] as line
+                 from documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) as u(i)),
+             t as (
+                 select doc_id, n, doc_id * 2097152 + n as place,
+                        list_sort(list_distinct(list_filter(regexp_split_to_array(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0b\f\r]+'), lambda w: w <> ''))) as s
+                 from l),
+             d as (select s, min(place) as place, len(s) as size from t where len(s) > 0 group by s),
+             m as (
+                 select distinct b.place
+                 from d a join d b on a.place < b.place and a.size * 5 >= b.size * 4 and b.size * 5 >= a.size * 4
+                 where len(list_intersect(a.s, b.s)) * 9 >= 4 * (a.size + b.size)),
+             gone as (
+                 select t.doc_id, t.n from t join d on t.s = d.s left join m on d.place = m.place
+                 where len(t.s) > 0 and (t.place > d.place or m.place is not null))
+        select x.doc_id, len(string_split(x.text, chr(10))) as n_lines, count(g.n) as n_removed,
+               coalesce(string_agg(cast(g.n as varchar), ',' order by g.n), '') as removed
+        from documents x left join gone g on x.doc_id = g.doc_id group by x.doc_id, x.text
+    """,
     "op6_tool_call_links": """
         with q as (select conv_id, turn, text from conversations where role = 'user'),
              a as (select conv_id, turn - 1 as turn, turn as at, coalesce(text, '') as text from conversations where role = 'assistant'),
