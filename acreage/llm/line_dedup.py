@@ -193,7 +193,7 @@ def candidate_pairs(postings: DataFrame, all_pairs: bool) -> DataFrame:
 
 def bitmap(values: DataFrame) -> np.ndarray:
     """A bit for the hash of each value of column v: a filter of fixed size, made by merging bitmaps."""
-    h = F.pmod(F.xxhash64("v"), F.lit(1 << BLOOM_BITS))
+    h = F.pmod(F.xxhash64("v"), F.lit(1 << BLOOM_BITS)) + 1  # Spark's bitmaps count from one
     got = values.select(h.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits")).collect()
     out = np.zeros((1 << BLOOM_BITS) // 8, np.uint8)
     width = 4096

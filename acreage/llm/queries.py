@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from acreage.llm.bpe import encode_decode
 from acreage.llm.chat import format_chats
+from acreage.llm.chosen_path import jaccard_classes
 from acreage.llm.decontam import decontaminate
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.langid import identify_languages
@@ -58,6 +59,10 @@ def op8_exact_tree_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op6_tool_call_links": op6_tool_call_links,
     "op7_kneser_ney_langid": op7_kneser_ney_langid,
     "op8_exact_tree_merge": op8_exact_tree_merge,
+    "op9_chosen_path_join": op9_chosen_path_join,
     "op10_host_trust": op10_host_trust,
 }
 
