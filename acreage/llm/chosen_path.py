@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreage.llm.components import components
-from acreage.llm.line_dedup import BLOOM_BITS, bitmap
+from acreage.llm.line_dedup import bitmap, in_bitmap, slot
 from acreage.llm.scratch import stage
 from acreage.llm.ship import shipped
 from acreage.llm.words import FACTOR, mix, owner, utf8, word_hashes
@@ -185,8 +185,7 @@ def set_table(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = batch.column(1).to_numpy()
-            batch = batch.filter(pa.array((bits.value[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1))
+            batch = batch.filter(pa.array(in_bitmap(bits.value, batch.column(1).to_numpy())))
             for lo, own, words in text_groups(batch.column(2)):
                 text, held = shingles(own, words)
                 order = np.lexsort((held, text))
@@ -197,8 +196,7 @@ def set_table(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), pa.array(held.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), lists], ["id", "held"])
 
-    h = F.pmod(F.xxhash64("id"), F.lit(1 << BLOOM_BITS))
-    return rows.select("id", h.alias("h"), "text").mapInArrow(run, "id long, held array<long>")
+    return rows.select("id", slot("id").alias("h"), "text").mapInArrow(run, "id long, held array<long>")
 
 
 def linked(rows: DataFrame, parts: DataFrame) -> DataFrame:

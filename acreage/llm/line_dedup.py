@@ -19,7 +19,7 @@ NUM, DEN = 4, 5
 RARITY_BITS = 16
 #: A place is id * 2**LINE_BITS + line, so places sort as documents and lines do.
 LINE_BITS = 21
-#: Bits of the filter on places and documents whose tokens verification asks for. It only saves work: full, it lets all pass.
+#: Bits of the filter on documents whose tokens verification asks for. It only saves work: full, it lets all pass.
 BLOOM_BITS = 23
 #: In longer runs of lines with one prefix token, each line first meets only the LEADERS earliest lines of each size class.
 SHORT_RUN, LEADERS = 16, 8
@@ -191,9 +191,17 @@ def candidate_pairs(postings: DataFrame, all_pairs: bool) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def slot(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(1 << BLOOM_BITS))
+
+
+def in_bitmap(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
+
+
 def bitmap(values: DataFrame) -> np.ndarray:
     """A bit for the hash of each value of column v: a filter of fixed size, made by merging bitmaps."""
-    h = F.pmod(F.xxhash64("v"), F.lit(1 << BLOOM_BITS)) + 1  # Spark's bitmaps count from one
+    h = slot("v") + 1  # Spark's bitmaps count from one
     got = values.select(h.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits")).collect()
     out = np.zeros((1 << BLOOM_BITS) // 8, np.uint8)
     width = 4096
@@ -205,14 +213,17 @@ def bitmap(values: DataFrame) -> np.ndarray:
 
 def tokens_of(rows: DataFrame, refs: DataFrame, counts: np.ndarray) -> DataFrame:
     """(ref, tokens) of the lines at the given places, from another scan of the texts that skips documents without any."""
-    docs = rows.join(refs.select(F.shiftright("ref", LINE_BITS).alias("id")).distinct(), "id", "left_semi")
-    sent = rows.sparkSession.sparkContext.broadcast(counts)
+    spark = rows.sparkSession
+    wanted = refs.select(F.shiftright("ref", LINE_BITS).alias("v")).distinct()
+    sent = spark.sparkContext.broadcast((counts, bitmap(wanted)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, docs_in = sent.value
         for batch in batches:
+            batch = batch.filter(pa.array(in_bitmap(docs_in, batch.column(1).to_numpy())))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, text, number, line, words in line_tokens(batch.column(1)):
-                line, words = distinct_tokens(line, words, sent.value)
+            for lo, text, number, line, words in line_tokens(batch.column(2)):
+                line, words = distinct_tokens(line, words, counts)
                 if len(line):
                     head = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
                     at = line[head]
@@ -220,7 +231,7 @@ def tokens_of(rows: DataFrame, refs: DataFrame, counts: np.ndarray) -> DataFrame
                     place = (ids[lo + text[at]].astype(np.int64) << LINE_BITS) + number[at]
                     yield pa.RecordBatch.from_arrays([pa.array(place), lists], ["ref", "tokens"])
 
-    found = docs.select("id", "text").mapInArrow(run, "ref long, tokens array<long>")
+    found = rows.select("id", slot("id").alias("h"), "text").mapInArrow(run, "ref long, tokens array<long>")
     return found.join(refs, "ref", "left_semi").dropDuplicates(["ref"])
 
 
