@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -196,13 +197,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     id are one item; a null id of a benchmark item is ignored. An empty benchmark leaves all documents clean.
     """
     spark = shipped(docs.sparkSession)
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(passage_col).cast("string").alias("passage")).where("item is not null")
-    blocks = max(1, -(-items.count() // block))
+    blocks = item_blocks(benchmark, item_col, passage_col, block)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def search(k: int) -> DataFrame:
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
-        sent = spark.sparkContext.broadcast(patterns_of([(r.item, r.passage) for r in part.orderBy("item", "passage").collect()]))
+    def search(patterns: Patterns) -> DataFrame:
+        sent = spark.sparkContext.broadcast(patterns)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -211,12 +210,37 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         return rows.mapInArrow(run, "id long, found array<long>")
 
-    if blocks == 1:
-        out = search(0)
+    parts = [search(p) for p in blocks]
+    if len(parts) == 1:
+        out = parts[0]
     else:
-        hits = search(0)
-        for k in range(1, blocks):
-            hits = hits.union(search(k))
-        hits = hits.select("id", F.explode("found").alias("item")).distinct().groupBy(F.col("id").alias("hit")).agg(F.array_sort(F.collect_list("item")).alias("found"))
+        hits = reduce(DataFrame.union, parts).select("id", F.explode("found").alias("item")).distinct().groupBy(F.col("id").alias("hit")).agg(F.array_sort(F.collect_list("item")).alias("found"))
         out = rows.select("id").join(hits, F.col("id").eqNullSafe(F.col("hit")), "left").select("id", F.coalesce("found", F.array().cast("array<bigint>")).alias("found"))
     return out.select(F.col("id").alias(id_col), (F.size("found") > 0).alias("contaminated"), F.size("found").cast("long").alias("n_items"), F.array_join("found", ",").alias("items"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", passage_col: str = "text", *, block: int = BLOCK) -> DataFrame:
+    """The rows of docs, with all their columns, that decontaminate finds clean. Rows are filtered where they lie, block after block."""
+    spark = shipped(docs.sparkSession)
+    place = docs.columns.index(text_col)
+
+    def clean(docs: DataFrame, patterns: Patterns) -> DataFrame:
+        sent = spark.sparkContext.broadcast(patterns)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = contaminated(sent.value, batch.column(place).to_pylist()) if sent.value.index else [[]] * len(batch)
+                yield batch.filter(pa.array([not f for f in found], pa.bool_()))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    return reduce(clean, item_blocks(benchmark, item_col, passage_col, block), docs)
+
+
+def item_blocks(benchmark: DataFrame, item_col: str, passage_col: str, block: int) -> Iterator[Patterns]:
+    """The benchmark's patterns, in blocks of about block items; there is at least one block, even if it is empty."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(passage_col).cast("string").alias("passage")).where("item is not null")
+    blocks = max(1, -(-items.count() // block))
+    for k in range(blocks):
+        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
+        yield patterns_of([(r.item, r.passage) for r in part.orderBy("item", "passage").collect()])

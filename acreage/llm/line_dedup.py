@@ -294,3 +294,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     both = lines.join(kept, F.col(id_col) == F.col("_id"), "left")
     gone = F.filter(F.transform("_worded", lambda x, i: F.when(x & F.col("kept").isNotNull() & ~F.array_contains("kept", i), i)), lambda i: i.isNotNull())
     return both.select(id_col, F.size("_worded").cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed"))
+
+
+def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, without the lines that go by kept_lines.
+
+    A document that had lines with words and keeps none of them goes as a whole; all others stay, whatever their text.
+    """
+    kept = kept_lines(docs, id_col, text_col).select(F.col(id_col).alias("_line_id"), F.col("kept").alias("_line_kept"))
+    both = docs.join(kept, F.col(id_col).cast("long") == F.col("_line_id"), "left")
+    both = both.where(F.col("_line_kept").isNull() | F.col(text_col).isNull() | (F.size("_line_kept") > 0))
+    lines = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~x.rlike(r"[^ \t\n\x0b\f\r]") | F.array_contains("_line_kept", i))
+    text = F.when(F.col("_line_kept").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
+    return both.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])

@@ -178,6 +178,16 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, grade
     return fit(graded, grades)
 
 
+def tails_of(model: Ordinal, texts: pa.Array) -> np.ndarray:
+    """P(grade >= k) of each text for k from 1; 0 where there are no words."""
+    text, hashes, shape, words = features(texts)
+    at = model.find(hashes)
+    hit = at >= 0
+    text, at = distinct(text[hit], at[hit])
+    score = np.bincount(text, model.weights[at], len(texts)) + shape @ model.shape_weights
+    return np.where(words[:, None] > 0, model.tails(score), 0.0)
+
+
 def score_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, grades: int = 3, sample: int = 6000, least_tail: float = 0.7) -> DataFrame:
     """One row for each row of docs: (id, expected_grade, tail, kept).
 
@@ -185,6 +195,7 @@ def score_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", t
     most sample of them are fitted, which bounds what the driver holds. tail is the probability of the highest grade,
     kept is tail >= least_tail. Every whole text is scored where it lies, with no shuffle. A text without words (null,
     empty or blank) has grade 0 and tail 0 and isn't kept. Repeated rows give repeated results; other columns are ignored.
+    Ratings that cover fewer than two grades raise an error.
     """
     spark = shipped(docs.sparkSession)
     model = train(docs, ratings, id_col, text_col, grades, sample)
@@ -193,18 +204,28 @@ def score_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Ordinal(*sent.value)
         for batch in batches:
-            text, hashes, shape, words = features(batch.column(1))
-            at = model.find(hashes)
-            hit = at >= 0
-            text, at = distinct(text[hit], at[hit])
-            score = np.bincount(text, model.weights[at], len(batch)) + shape @ model.shape_weights
-            tails = np.where(words[:, None] > 0, model.tails(score), 0.0)
+            tails = tails_of(model, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tails.sum(1).round(9)), pa.array(tails[:, -1].round(9)), pa.array(tails[:, -1] >= least_tail)], ["id", "expected_grade", "tail", "kept"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, expected_grade double, tail double, kept boolean").withColumnRenamed("id", id_col)
 
 
+def keep_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, grades: int = 3, sample: int = 6000, least_tail: float = 0.7) -> DataFrame:
+    """The rows of docs, with all their columns, that score_quality keeps. Rows are filtered where they lie."""
+    spark = shipped(docs.sparkSession)
+    model = train(docs, ratings, id_col, text_col, grades, sample)
+    sent = spark.sparkContext.broadcast((model.keys, model.weights, model.shape_weights, model.thresholds))
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Ordinal(*sent.value)
+        for batch in batches:
+            yield batch.filter(pa.array(tails_of(model, batch.column(place))[:, -1] >= least_tail))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def grade_of(labels: DataFrame) -> DataFrame:
     """Grades from the labels table: 0 junk, 1 well-formed but toxic, 2 clean."""
     return labels.select(F.col("doc_id").cast("long").alias("id"), F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2).alias("grade"))
