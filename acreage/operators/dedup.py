@@ -24,11 +24,11 @@ def duplicate_kinds(df: DataFrame, key: Sequence[str], compare: Sequence[str]) -
 
 def duplicate_reason(df: DataFrame, key: Sequence[str], compare: Sequence[str], position: str) -> DataFrame:
     """df with duplicate_reason: null, duplicate_exact (all but the first of equal rows) or duplicate_conflict (all rows)."""
-    kinds = duplicate_kinds(df, key, compare)
+    kinds = duplicate_kinds(df, key, compare).withColumnRenamed("kind", "_kind")
     first = df.groupBy(*key).agg(F.min(position).alias("_first"))
     marked = df.join(kinds.drop("n").join(first, list(key)), list(key), "left")
-    reason = F.when(F.col("kind") == "conflict", "duplicate_conflict").when((F.col("kind") == "exact") & (F.col(position) > F.col("_first")), "duplicate_exact")
-    return marked.withColumn("duplicate_reason", reason).drop("kind", "_first")
+    reason = F.when(F.col("_kind") == "conflict", "duplicate_conflict").when((F.col("_kind") == "exact") & (F.col(position) > F.col("_first")), "duplicate_exact")
+    return marked.withColumn("duplicate_reason", reason).drop("_kind", "_first")
 
 
 def first_wins(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

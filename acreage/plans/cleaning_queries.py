@@ -37,7 +37,7 @@ def conditions() -> dict[str, Column]:
     return {
         "missing_source_transaction_id": F.col("txn_id").isNull() | (F.col("txn_id") % 97 == 0),
         "invalid_transaction_period": ~F.col("month").between(F.lit("1995-06-01").cast("date"), F.lit("2001-01-01").cast("date")),
-        "unmapped_location": F.col("town").startswith("U"),
+        "unmapped_location": F.col("town").endswith("8"),
         "excluded_transaction_type": F.col("kind") == "P",
     }
 
@@ -45,7 +45,7 @@ def conditions() -> dict[str, Column]:
 CONDITIONS_SQL = {
     "missing_source_transaction_id": "txn_id % 97 = 0",
     "invalid_transaction_period": "not month between date '1995-06-01' and date '2001-01-01'",
-    "unmapped_location": "starts_with(town, 'U')",
+    "unmapped_location": "ends_with(town, '8')",
     "excluded_transaction_type": "kind = 'P'",
 }
 REASON_SQL = "case " + " ".join(f"when {c} then '{n}'" for n, c in CONDITIONS_SQL.items()) + " end"

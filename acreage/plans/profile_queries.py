@@ -54,7 +54,7 @@ QUERIES = {
     "area_relations": lambda s, d: profile.relations(with_gaps(s, d), {"q_p": (F.col("q") * 1000, F.col("p")), "p_q": (F.col("p"), F.col("q") * 1000)}, 0.01),
     "detail_total": lambda s, d: profile.detail_total(lines(s, d), F.col("l_discount") > 0, F.col("l_quantity"), F.lit(25.0), 0.5),
     "transition_report": lambda s, d: profile.transition_report(ledger(s, d), ["county", "kind"], F.col("town").isNotNull(), F.lower("town").isNotNull()),
-    "unmatched_places": lambda s, d: profile.unmatched(ledger(s, d).select("county", F.when(~F.col("town").startswith("I"), F.col("town")).alias("town")), ["county", "town"], F.col("town").isNull() | F.col("town").startswith("J")),
+    "unmatched_places": lambda s, d: profile.unmatched(ledger(s, d).select("county", F.when(~F.col("town").endswith("3"), F.col("town")).alias("town")), ["county", "town"], F.col("town").isNull() | F.col("town").endswith("7")),
     "row_sums": row_sums,
     "digit_lengths": lambda s, d: ledger(s, d).groupBy(digit_length(F.col("total_price")).alias("digits")).agg(F.count("*").alias("rows")),
 }
@@ -82,7 +82,7 @@ ORACLES = {
     "area_relations": f"with {GAPS} select 'q_p' as pair, count(*) as comparable, count_if(q * 1000 <= p + 0.01) as satisfied from g where q is not null and p is not null union all select 'p_q', count(*), count_if(p <= q * 1000 + 0.01) from g where q is not null and p is not null",
     "detail_total": "select l_discount > 0 as present, count(*) as rows, count_if(abs(l_quantity - 25) <= 0.5) as equal, count_if(l_quantity - 25 > 0.5) as greater, count_if(l_quantity - 25 < -0.5) as less from lineitem group by 1",
     "transition_report": f"with {SQL} select county, kind, count(town) as before, count(lower(town)) as after, 'PASS' as status from ledger group by 1, 2",
-    "unmatched_places": f"with {SQL}, u as (select county, case when not starts_with(town, 'I') then town end as town from ledger) select county, coalesce(town, '<BLANK>') as town, count(*) as rows from u where town is null or starts_with(town, 'J') group by 1, 2",
+    "unmatched_places": f"with {SQL}, u as (select county, case when not ends_with(town, '3') then town end as town from ledger) select county, coalesce(town, '<BLANK>') as town, count(*) as rows from u where town is null or ends_with(town, '7') group by 1, 2",
     "row_sums": f"with {GAPS}, t as (select l_orderkey, case when coalesce(q, p) is not null then round(coalesce(q, 0) + coalesce(p, 0), 4) end as t from g) select l_orderkey, count(t) as n, round(sum(t), 2) as total from t group by 1",
     "digit_lengths": f"with {SQL} select length(total_price::varchar) as digits, count(*) as rows from ledger group by 1",
 }
