@@ -8,22 +8,23 @@ import mmap
 import os
 import struct
 import tempfile
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acreage.llm.scratch import stage
 from acreage.llm.ship import shipped
 
 #: Fixed by the public byte-level BPE format: how a text is cut into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 HEADER = struct.Struct("<4sIII")
-#: Words that a worker keeps at hand; beyond it the table is emptied, so memory is bounded.
-AT_HAND = 400_000
+#: Words that a worker keeps at hand; beyond it they become the old ones, so memory is bounded.
+AT_HAND = 500_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -49,32 +50,30 @@ class Vocabulary:
         for token, i in self.added.items():
             self.bytes_of[i] = token.encode()
         self.single = [model["vocab"][next(c for c, v in letters.items() if v == b)] for b in range(256)]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank_of: dict[tuple[int, int], int] = {}
+        self.made_by: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[model["vocab"][a], model["vocab"][b]] = (rank, model["vocab"][a + b])
+            self.rank_of[model["vocab"][a], model["vocab"][b]] = rank
+            self.made_by.append(model["vocab"][a + b])
         self.text_of = [str(i) for i in range(size)]
         self.cut = regex.compile(PATTERN)
         self.stops = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
 
-    def merge(self, word: bytes) -> tuple[int, ...]:
+    def merge(self, word: bytes) -> list[int]:
         """The merges in order of rank, the leftmost first, until none applies."""
         ids = [self.single[b] for b in word]
-        merges = self.merges
-        ranks = [merges.get(p) for p in zip(ids, ids[1:], strict=False)]
-        while True:
-            best, at = None, -1
-            for k, r in enumerate(ranks):
-                if r is not None and (best is None or r < best):
-                    best, at = r, k
-            if best is None:
-                return tuple(ids)
-            ids[at : at + 2] = [best[1]]
+        get, made_by, none = self.rank_of.get, self.made_by, len(self.made_by)
+        ranks = [get(p, none) for p in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) < none:
+            at = ranks.index(best)
+            ids[at : at + 2] = [made_by[best]]
             del ranks[at]
             if at < len(ranks):
-                ranks[at] = merges.get((ids[at], ids[at + 1]))
+                ranks[at] = get((ids[at], ids[at + 1]), none)
             if at:
-                ranks[at - 1] = merges.get((ids[at - 1], ids[at]))
+                ranks[at - 1] = get((ids[at - 1], ids[at]), none)
+        return ids
 
 
 class LexiconBuilder:
@@ -89,7 +88,7 @@ class LexiconBuilder:
         self.states: list[tuple[bool, list[tuple[int, int]], int]] = []
         self.open: list[list] = [[False, []]]
         self.last = b""
-        self.ids: list[tuple[int, ...]] = []
+        self.ids: list[list[int]] = []
 
     def _close(self, keep: int) -> None:
         while len(self.open) > keep + 1:
@@ -102,7 +101,7 @@ class LexiconBuilder:
             label = self.last[len(self.open) - 1]
             self.open[-1][1].append((label, state))
 
-    def add(self, word: bytes, ids: tuple[int, ...]) -> None:
+    def add(self, word: bytes, ids: list[int]) -> None:
         if self.ids and word <= self.last:
             raise ValueError("words must be sorted and distinct")
         common = 0
@@ -160,7 +159,8 @@ class Lexicon:
         finally:
             os.unlink(path)
 
-    def get(self, word: bytes) -> tuple[int, ...] | None:
+    def get(self, word: bytes) -> bytes | None:
+        """The word's ids as little-endian 32-bit numbers, None if it isn't held."""
         data, u = self.data, self._u.unpack_from
         state, number = self.n_states - 1, 0
         for label in word:
@@ -181,7 +181,7 @@ class Lexicon:
         if not u(data, self.first + 4 * state)[0] & 1:
             return None
         a, b = u(data, self.offsets + 4 * number)[0], u(data, self.offsets + 4 * number + 4)[0]
-        return struct.unpack_from(f"<{b - a}I", data, self.flat + 4 * a)
+        return data[self.flat + 4 * a : self.flat + 4 * b]
 
 
 def compile_lexicon(words: Iterable[bytes], vocabulary: Vocabulary) -> bytes:
@@ -193,18 +193,25 @@ def compile_lexicon(words: Iterable[bytes], vocabulary: Vocabulary) -> bytes:
 
 
 class Hand(dict):
-    """Words met lately and their ids: the lexicon's, else the merges'. Emptied when full, so memory is bounded."""
+    """Words met lately and their ids: the lexicon's, else the merges'.
+
+    When it is full it becomes the old hand, from which words are taken over as they are met again, so memory is bounded
+    and frequent words aren't lost.
+    """
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
-        self.v, self.lexicon = vocabulary, lexicon
+        self.v, self.lexicon, self.old = vocabulary, lexicon, {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        raw = word.encode("utf-8", "surrogatepass")
-        ids = self.lexicon.get(raw)
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
         if ids is None:
-            ids = self.v.merge(raw)
+            raw = word.encode("utf-8", "surrogatepass")
+            ids = self.lexicon.get(raw)
+            if ids is None:
+                ids = array("I", self.v.merge(raw)).tobytes()
         if len(word) <= 64:
             if len(self) >= AT_HAND:
+                self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -215,20 +222,20 @@ class Codec:
         self.v, self.hand = vocabulary, Hand(vocabulary, lexicon)
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+        out = array("I")
         for part in self.v.stops.split(text) if self.v.stops else (text,):
             if part in self.v.added:
                 out.append(self.v.added[part])
             else:
-                out.extend(chain.from_iterable(map(self.hand.__getitem__, self.v.cut.findall(part))))
-        return out
+                out.frombytes(b"".join(map(self.hand.__getitem__, self.v.cut.findall(part))))
+        return out.tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.v.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def frequent_words(docs: DataFrame, text_col: str, lexicon_size: int) -> list[str]:
-    """The most frequent words of all texts, ties in order of the word; at most lexicon_size.
+    """The most frequent words of all texts, at most lexicon_size; of words with the same count all or none.
 
     Words are cut as the tokenizer cuts them, counted in each task first and summed by word.
     """
@@ -250,8 +257,19 @@ def frequent_words(docs: DataFrame, text_col: str, lexicon_size: int) -> list[st
         yield out()
 
     words = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "word string, n long")
-    words = words.where(F.length("word") <= 64).groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-    return [r.word for r in words.orderBy(F.desc("n"), "word").limit(lexicon_size).select("word").collect()]
+    words = stage(words.where(F.length("word") <= 64).groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
+    # The count that as many words reach as fit, from a table of how many words have each power of two, then each count.
+    level = F.floor(F.log2("n")).cast("int")
+    many, least = 0, None
+    for r in words.groupBy(level.alias("level")).agg(F.count("*").alias("m")).orderBy(F.desc("level")).collect():
+        if many + r.m > lexicon_size:
+            for c in words.where(level == r.level).groupBy("n").agg(F.count("*").alias("m")).orderBy(F.desc("n")).limit(lexicon_size).collect():
+                if many + c.m > lexicon_size:
+                    break
+                many, least = many + c.m, c.n
+            break
+        many, least = many + r.m, 1 << r.level
+    return [] if least is None else [r.word for r in words.where(F.col("n") >= least).select("word").collect()]
 
 
 def encode_decode(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id", text_col: str = "text", *, lexicon_size: int = 50_000) -> DataFrame:
