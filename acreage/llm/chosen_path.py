@@ -21,7 +21,7 @@ NUM, DEN, SHINGLE = 4, 5, 5
 #: Sampled tokens of each set: the least shingles under so many orders. A path goes along BRANCH of them from each node.
 TOKENS, BRANCH = 32, 2
 #: Buckets of at most so many are compared; larger ones are split again, at most DEEPEST times.
-BUCKET, DEEPEST = 32, 6
+BUCKET, DEEPEST = 32, 3
 #: Documents that are compared in one task; candidates that hang together in greater number are dealt out by pairs of blocks.
 BLOCK = 2000
 SLOTS = 64
@@ -111,12 +111,16 @@ def first_paths(sketch: Column, runs: int) -> Column:
 
 
 def next_paths(path: Column, sketch: Column) -> Column:
-    """One level deeper: the path's own hash chooses the tokens, so all members of a bucket go along the same ones."""
+    """One level deeper: the path's own hash chooses the tokens, so all members of a bucket go along the same ones.
+
+    Every bucket goes along one token and each fourth along another, DEN / NUM on average: two sets right at the
+    threshold share one of them on average, and the rows of a group of near copies don't grow with depth.
+    """
     out = []
-    for b in range(BRANCH):
+    for b in range(2):
         i = F.pmod(F.xxhash64(path, F.lit(b)), F.lit(TOKENS)).cast("int")
         out.append(F.xxhash64(path, i, F.get(sketch, i)))
-    return F.array_distinct(F.array(*out))
+    return F.when(F.pmod(path, F.lit(NUM)) == 0, F.array_distinct(F.array(*out))).otherwise(F.array(out[0]))
 
 
 def candidate_edges(nodes: DataFrame, runs: int) -> DataFrame:
