@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,6 +106,15 @@ def clean_transactions(raw: DataFrame, lookup: DataFrame, aliases: DataFrame, ru
 
 
 def audit(staged: DataFrame) -> dict:
+    """All counters; the staged rows are kept on the executors meanwhile, as several aggregations read them."""
+    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return counters(staged)
+    finally:
+        staged.unpersist()
+
+
+def counters(staged: DataFrame) -> dict:
     n = staged.agg(F.count("*").alias("input_rows"), F.count_if(F.col("reason").isNull()).alias("clean_rows"), F.count_if(F.col("reason").isNotNull()).alias("excluded_rows")).first().asDict()
     n["reconciled"] = n["input_rows"] == n["clean_rows"] + n["excluded_rows"]
     primary = dict.fromkeys(C.REASONS, 0) | {r.reason: r["count"] for r in staged.where("reason is not null").groupBy("reason").count().collect()}
