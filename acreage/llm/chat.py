@@ -35,7 +35,7 @@ def canonical_arguments(arguments: Column) -> Column:
 
 def json_value(arguments: Column, key: Column, text: Column) -> Column:
     """The value of a key as JSON: numbers, booleans, null, objects and arrays stay, anything else is a string."""
-    bare = arguments.isNotNull() & F.regexp_like(arguments, F.concat(F.lit('"\\Q'), key, F.lit(r'\E"\s*:\s*(?!")')))
+    bare = arguments.isNotNull() & F.regexp_like(arguments, F.concat(F.lit('"\\Q'), key, F.lit(r'\E"\s*+:\s*+(?!")')))
     return F.when(text.isNull(), "null").when(bare, text).otherwise(quoted(text))
 
 
@@ -45,7 +45,7 @@ def faults_of(arguments: Column, schema: Mapping[str, Mapping]) -> Column:
     checks = [F.when(held.isNull() | ~arguments.rlike(r"^\s*\{"), F.lit("not an object"))]
     for name, want in sorted(schema.items()):
         value = held[name]
-        bare = F.regexp_like(arguments, F.lit(f'"{name}"\\s*:\\s*(?!")'))
+        bare = F.regexp_like(arguments, F.lit(f'"{name}"\\s*+:\\s*+(?!")'))
         kind = F.when(~bare, "string").when(value.isin("true", "false"), "boolean").when(value.rlike(r"^-?\d+$"), "integer").when(value.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), "number").when(value.startswith("{"), "object").when(value.startswith("["), "array")
         fits = kind.isin("integer", "number") if want["type"] == "number" else kind == want["type"]
         if want.get("required"):
@@ -138,6 +138,7 @@ def format_chats(
     """Rows of link_calls over the calls that messages hold as JSON and over the question and answer turns of all others."""
     messages = conversations.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     calls, results = parsed_calls(messages)
-    plain = messages.where(~F.coalesce(F.col("text").rlike(r"^\s*\{.*\"tool_call(s|_id)\""), F.lit(False)))
+    held = F.when(F.col("text").rlike(r"^\s*\{"), F.from_json("text", CALLS))
+    plain = messages.where(held["tool_calls"].isNull() & held["tool_call_id"].isNull())
     more, answers = turns_as_calls(plain)
     return link_calls(calls.unionByName(more), results.unionByName(answers), schemas)
