@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acreage.llm.bitmap import bitmap, holds
 from acreage.llm.components import components
-from acreage.llm.line_dedup import bitmap, in_bitmap, slot
 from acreage.llm.scratch import stage
 from acreage.llm.ship import shipped
 from acreage.llm.words import FACTOR, mix, owner, utf8, word_hashes
@@ -185,12 +185,12 @@ def compare(ids: np.ndarray, side: np.ndarray, flat: np.ndarray, ends: np.ndarra
 
 def set_table(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, held): the sorted distinct shingles of the wanted ids, from another scan that skips all other texts."""
-    bits = rows.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.col("id").alias("v"))))
+    bits = rows.sparkSession.sparkContext.broadcast(bitmap(wanted.select("id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(in_bitmap(bits.value, batch.column(1).to_numpy())))
-            for lo, own, words in text_groups(batch.column(2)):
+            batch = batch.filter(pa.array(holds(bits.value, batch.column(0).to_numpy(zero_copy_only=False))))
+            for lo, own, words in text_groups(batch.column(1)):
                 text, held = shingles(own, words)
                 order = np.lexsort((held, text))
                 text, held = text[order], held[order]
@@ -200,7 +200,7 @@ def set_table(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), pa.array(held.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), lists], ["id", "held"])
 
-    return rows.select("id", slot("id").alias("h"), "text").mapInArrow(run, "id long, held array<long>")
+    return rows.select("id", "text").mapInArrow(run, "id long, held array<long>")
 
 
 def linked(rows: DataFrame, parts: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acreage.llm.bitmap import bitmap, holds
 from acreage.llm.scratch import stage
 from acreage.llm.ship import shipped
 from acreage.llm.words import mix, owner, utf8, word_hashes
@@ -16,13 +17,13 @@ from acreage.llm.words import mix, owner, utf8, word_hashes
 #: Two lines match at a Jaccard similarity of NUM / DEN or more.
 NUM, DEN = 4, 5
 #: Token counts are kept by so many bits of the token's hash. The order of tokens follows them; any order is right, rarity makes it fast.
-RARITY_BITS = 16
+RARITY_BITS, CHUNK = 20, 1 << 12
 #: A place is id * 2**LINE_BITS + line, so places sort as documents and lines do.
 LINE_BITS = 21
-#: Bits of the filter on documents whose tokens verification asks for. It only saves work: full, it lets all pass.
-BLOOM_BITS = 23
-#: In longer runs of lines with one prefix token, each line first meets only the LEADERS earliest lines of each size class.
-SHORT_RUN, LEADERS = 16, 8
+#: A line first meets the FIRST earliest lines that pass the filters for a token; all others only if none of these matches it.
+FIRST = 4
+#: No place is so low.
+MORE = -(1 << 63)
 NEWLINE = 10
 #: Texts are taken in groups of about so many bytes.
 GROUP = 1 << 19
@@ -53,33 +54,54 @@ def line_tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray,
 
 def distinct_tokens(line: np.ndarray, words: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(line, token) without repeats, the tokens of each line from rare to frequent."""
-    order = np.lexsort((words, rank[words >> np.uint64(64 - RARITY_BITS)], line))
+    order = None
+    if len(line) and line[-1] < 1 << 20:
+        key = (line.astype(np.uint64) << np.uint64(44)) | (rank[words >> np.uint64(64 - RARITY_BITS)].astype(np.uint64) << np.uint64(32)) | ((words >> np.uint64(8)) & np.uint64(0xFFFFFFFF))
+        order = np.argsort(key)
+        key, by = key[order], words[order]
+        if ((key[1:] == key[:-1]) & (by[1:] != by[:-1])).any():
+            order = None  # two tokens of a line share a key: sort by the whole hash
+    if order is None:
+        order = np.lexsort((words, (words >> np.uint64(8)) & np.uint64(0xFFFFFFFF), rank[words >> np.uint64(64 - RARITY_BITS)], line))
     line, words = line[order], words[order]
     new = np.ones(len(line), bool)
     new[1:] = (line[1:] != line[:-1]) | (words[1:] != words[:-1])
     return line[new], words[new]
 
 
-def token_counts(rows: DataFrame) -> np.ndarray:
-    """How often the tokens of each hash bucket occur, over all texts: a table of fixed size."""
+def token_ranks(rows: DataFrame) -> np.ndarray:
+    """A rank from rare to frequent for each hash bucket, over all texts: 12 bits that grow with the count's logarithm.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Each task sends its counts as blocks of a table of fixed size, so what is gathered doesn't depend on the vocabulary.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
             for *_, words in line_tokens(batch.column(0)):
-                total += np.bincount(words >> np.uint64(64 - RARITY_BITS), minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["bucket", "n"])
+                np.add.at(total, words >> np.uint64(64 - RARITY_BITS), 1)
+        blocks = total.reshape(-1, CHUNK)
+        some = np.flatnonzero(blocks.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([blocks[k].tobytes() for k in some], pa.binary())], ["block", "counts"])
 
-    got = rows.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py(), np.int64) for x in table["counts"])
+        return pa.table({"block": table["block"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    got = rows.select("text").mapInArrow(count, "block int, counts binary").groupBy("block").applyInArrow(add, "block int, counts binary").collect()
     out = np.zeros(1 << RARITY_BITS, np.int64)
-    out[got["bucket"].to_numpy()] = got["n"].to_numpy()
-    return out
+    for r in got:
+        out[r.block * CHUNK : (r.block + 1) * CHUNK] = np.frombuffer(r.counts, np.int64)
+    power = np.floor(np.log2(out + 1)).astype(np.int64)
+    return np.minimum(power * 64 + ((out + 1) * 64 >> power) - 64, 4095).astype(np.uint16)
 
 
-def line_table(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(place, k1, k2, size, prefix) of every line with a token: two digests of its token set, the set's size, its rarest tokens."""
-    sent = rows.sparkSession.sparkContext.broadcast(counts)
+def line_table(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
+    """(place, k1, k2, size, bits, prefix) of every line with a token: two digests of its set, its size, a bitmap, its rarest tokens.
+
+    In the bitmap each token flips one of 64 bits, so two sets whose bitmaps differ in d bits differ in d tokens at least.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,87 +114,77 @@ def line_table(rows: DataFrame, counts: np.ndarray) -> DataFrame:
                 size = np.diff(np.append(head, len(line)))
                 at = line[head]
                 k1, k2 = np.add.reduceat(mix(words ^ np.uint64(1)), head), np.add.reduceat(mix(words ^ np.uint64(2)), head)
+                bits = np.bitwise_xor.reduceat(np.uint64(1) << (words & np.uint64(63)), head)
                 take = size - -(-size * NUM // DEN) + 1
                 end = np.cumsum(take)
                 src = np.repeat(head - (end - take), take) + np.arange(int(end[-1]))
                 prefix = pa.ListArray.from_arrays(pa.array(np.append(0, end), pa.int32()), pa.array(words[src].view(np.int64)))
                 place = (ids[lo + text[at]].astype(np.int64) << LINE_BITS) + number[at]
-                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(size.astype(np.int32)), prefix], ["place", "k1", "k2", "size", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(size.astype(np.int32)), pa.array(bits.view(np.int64)), prefix], ["place", "k1", "k2", "size", "bits", "prefix"])
 
-    return rows.mapInArrow(run, "place long, k1 long, k2 long, size int, prefix array<long>")
+    return rows.mapInArrow(run, "place long, k1 long, k2 long, size int, bits long, prefix array<long>")
 
 
-def enough(size_a: np.ndarray, at_a: np.ndarray, size_b: np.ndarray, at_b: np.ndarray) -> np.ndarray:
-    """Length and positional filter: whether two lines that share a token at these places of their order can still match."""
-    small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    most = np.minimum(size_a - at_a, size_b - at_b)
-    return (small * DEN >= large * NUM) & (most * (NUM + DEN) >= NUM * (size_a + size_b))
+def enough(size_a: np.ndarray, at_a: np.ndarray, bits_a: np.ndarray, size_b: np.ndarray, at_b: np.ndarray, bits_b: np.ndarray) -> np.ndarray:
+    """Length, positional and bitmap filter: whether two lines that share a token at these places of their order can still match."""
+    small, large, both = np.minimum(size_a, size_b), np.maximum(size_a, size_b), size_a + size_b
+    most = np.minimum(np.minimum(size_a - at_a, size_b - at_b), (both - np.bitwise_count((bits_a ^ bits_b).view(np.uint64))) // 2)
+    return (small * DEN >= large * NUM) & (most * (NUM + DEN) >= NUM * both)
 
 
-def run_pairs(token: np.ndarray, ref: np.ndarray, size: np.ndarray, at: np.ndarray, probe: np.ndarray, all_pairs: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (earlier, later) of lines in one run of a token that pass the filters; rows come sorted by token and place.
+def run_pairs(token: np.ndarray, ref: np.ndarray, size: np.ndarray, at: np.ndarray, bits: np.ndarray, probe: np.ndarray, first: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (earlier, later) of lines in the same run of a token that pass the filters; rows come sorted by token and ref.
 
-    In short runs all pairs; in long ones each line with the leaders of its own size class and those beside it, or, with
-    all_pairs, with every earlier line. Only lines with probe set are looked up; short runs are done the first time.
+    With first, each line gets that many partners for a token, the earliest, and a pair (MORE, line) where there are more.
+    Only lines with probe set get partners.
     """
-    if len(token) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     head = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
     many = np.diff(np.append(head, len(token)))
-    run = np.repeat(np.arange(len(head)), many)
-    short = (many <= SHORT_RUN)[run]
-    a, b = [], []
-
-    def keep(i: np.ndarray, j: np.ndarray) -> None:
-        ok = enough(size[i], at[i], size[j], at[j]) & (ref[i] != ref[j])
-        a.append(ref[i[ok]])
-        b.append(ref[j[ok]])
-
-    if not all_pairs:
-        live = np.flatnonzero(short)
-        for d in range(1, SHORT_RUN):
-            live = live[live + d < len(token)]
-            live = live[run[live] == run[live + d]]
-            if not len(live):
-                break
-            keep(live, live + d)
-    rest = np.flatnonzero(~short)
-    if len(rest):
-        kind = np.floor(np.log(size[rest]) / np.log(DEN / NUM)).astype(np.int64)
-        order = np.lexsort((ref[rest], kind, run[rest]))
-        rest, kind = rest[order], kind[order]
-        cls = run[rest] * 4096 + kind
-        first = np.flatnonzero(np.append(True, cls[1:] != cls[:-1]))
-        last = np.append(first[1:], len(cls))
-        probes = np.flatnonzero(probe[rest])
-        for step in (-1, 0, 1):
-            k = np.searchsorted(cls[first], cls[probes] + step)
-            hit = k < len(first)
-            hit[hit] &= cls[first[k[hit]]] == cls[probes[hit]] + step
-            who, k = probes[hit], k[hit]
-            n = (last[k] - first[k]) if all_pairs else np.minimum(last[k] - first[k], LEADERS)
-            for lo in range(0, len(who), 1024):
-                w, f, m = who[lo : lo + 1024], first[k[lo : lo + 1024]], n[lo : lo + 1024]
-                i, j = np.repeat(f - (np.cumsum(m) - m), m) + np.arange(int(m.sum())), np.repeat(w, m)
-                i, j = rest[i], rest[j]
-                early = ref[i] < ref[j]
-                keep(i[early], j[early])
-    if not a:
+    start = np.repeat(head, many)
+    got_a, got_b = [], []
+    later = np.flatnonzero(probe & (np.arange(len(token)) > start))
+    earlier = later - start[later]
+    lo = 0
+    while lo < len(later):  # in pieces of about a million pairs
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(earlier[lo:]), 1 << 20, "right")))
+        j, n = later[lo:hi], earlier[lo:hi]
+        i = np.repeat(start[j] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        j = np.repeat(j, n)
+        ok = enough(size[i], at[i], bits[i], size[j], at[j], bits[j]) & (ref[i] != ref[j])
+        i, j = i[ok], j[ok]
+        if first is not None and len(j):
+            new = np.flatnonzero(np.append(True, j[1:] != j[:-1]))
+            nth = np.arange(len(j)) - np.repeat(new, np.diff(np.append(new, len(j))))
+            got_a.append(np.full(int((nth == first).sum()), MORE))
+            got_b.append(ref[j[nth == first]])
+            i, j = i[nth < first], j[nth < first]
+        got_a.append(ref[i])
+        got_b.append(ref[j])
+        lo = hi
+    if not got_a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pairs = np.stack([np.concatenate(a), np.concatenate(b)], 1)
-    pairs.sort(1)
-    return tuple(np.unique(pairs, axis=0).T) if len(pairs) else (pairs[:, 0], pairs[:, 1])
+    a, b = np.concatenate(got_a), np.concatenate(got_b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if len(a) else np.zeros(0, bool)
+    return a[new], b[new]
+
 
+def candidate_pairs(postings: DataFrame, first: int | None) -> DataFrame:
+    """Distinct (a, b) with a < b from postings (token, ref, meta, bits, maybe probe): each token's run is sorted and streamed.
 
-def candidate_pairs(postings: DataFrame, all_pairs: bool) -> DataFrame:
-    """Distinct (a, b) with a < b from postings (token, ref, size, at, probe): each token's run is sorted and streamed."""
+    meta is the set's size, shifted by 32 bits, and the token's place in it.
+    """
+    columns = ["token", "ref", "meta", "bits", *[c for c in postings.columns if c == "probe"]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
 
         def out(cols: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = run_pairs(*cols, all_pairs)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            token, ref, meta, bits = cols[:4]
+            probe = cols[4] == 1 if len(cols) > 4 else np.ones(len(token), bool)
+            a, b = run_pairs(token, ref, meta >> 32, meta & 0xFFFFFFFF, bits, probe, first)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -187,43 +199,23 @@ def candidate_pairs(postings: DataFrame, all_pairs: bool) -> DataFrame:
         if held is not None:
             yield out(held)
 
-    dealt = postings.select("token", "ref", "size", "at", "probe").repartition("token").sortWithinPartitions("token", "ref")
+    dealt = postings.select(*columns).repartition("token").sortWithinPartitions("token", "ref")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def slot(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(1 << BLOOM_BITS))
-
-
-def in_bitmap(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
-
-
-def bitmap(values: DataFrame) -> np.ndarray:
-    """A bit for the hash of each value of column v: a filter of fixed size, made by merging bitmaps."""
-    h = slot("v") + 1  # Spark's bitmaps count from one
-    got = values.select(h.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits")).collect()
-    out = np.zeros((1 << BLOOM_BITS) // 8, np.uint8)
-    width = 4096
-    for r in got:
-        start = (r.bucket - 1) * width
-        out[start : start + width] = np.frombuffer(r.bits, np.uint8)[: len(out) - start]
-    return out
-
-
-def tokens_of(rows: DataFrame, refs: DataFrame, counts: np.ndarray) -> DataFrame:
+def tokens_of(rows: DataFrame, refs: DataFrame, ranks: np.ndarray) -> DataFrame:
     """(ref, tokens) of the lines at the given places, from another scan of the texts that skips documents without any."""
     spark = rows.sparkSession
-    wanted = refs.select(F.shiftright("ref", LINE_BITS).alias("v")).distinct()
-    sent = spark.sparkContext.broadcast((counts, bitmap(wanted)))
+    sent = spark.sparkContext.broadcast((ranks, bitmap(refs.select(F.shiftright("ref", LINE_BITS))), bitmap(refs.select("ref"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, docs_in = sent.value
+        ranks, documents, places = sent.value
         for batch in batches:
-            batch = batch.filter(pa.array(in_bitmap(docs_in, batch.column(1).to_numpy())))
+            batch = batch.filter(pa.array(holds(documents, batch.column(0).to_numpy(zero_copy_only=False))))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, text, number, line, words in line_tokens(batch.column(2)):
-                line, words = distinct_tokens(line, words, counts)
+            for lo, text, number, line, words in line_tokens(batch.column(1)):
+                asked = holds(places, (ids[lo + text].astype(np.int64) << LINE_BITS) + number)[line]
+                line, words = distinct_tokens(line[asked], words[asked], ranks)
                 if len(line):
                     head = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
                     at = line[head]
@@ -231,7 +223,7 @@ def tokens_of(rows: DataFrame, refs: DataFrame, counts: np.ndarray) -> DataFrame
                     place = (ids[lo + text[at]].astype(np.int64) << LINE_BITS) + number[at]
                     yield pa.RecordBatch.from_arrays([pa.array(place), lists], ["ref", "tokens"])
 
-    found = rows.select("id", slot("id").alias("h"), "text").mapInArrow(run, "ref long, tokens array<long>")
+    found = rows.select("id", "text").mapInArrow(run, "ref long, tokens array<long>")
     return found.join(refs, "ref", "left_semi").dropDuplicates(["ref"])
 
 
@@ -240,11 +232,20 @@ def similar(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) * (NUM + DEN) >= NUM * (F.size(a) + F.size(b))
 
 
-def verified(pairs: DataFrame, rows: DataFrame, counts: np.ndarray) -> DataFrame:
+def confirmed(pairs: DataFrame, rows: DataFrame, ranks: np.ndarray) -> DataFrame:
+    """(ref) of the later lines of those pairs (a, b) whose whole sets have the similarity."""
     refs = pairs.select(F.col("a").alias("ref")).union(pairs.select(F.col("b").alias("ref"))).distinct()
-    sets = stage(tokens_of(rows, stage(refs, "refs"), counts), "sets")
+    sets = stage(tokens_of(rows, stage(refs, "refs"), ranks), "sets")
     both = pairs.join(sets.select(F.col("ref").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("ref").alias("b"), F.col("tokens").alias("tb")), "b")
-    return both.where(similar(F.col("ta"), F.col("tb"))).select("a", "b")
+    return stage(both.where(similar(F.col("ta"), F.col("tb"))).select(F.col("b").alias("ref")).distinct(), "matched")
+
+
+def matched_lines(pairs: DataFrame, rows: DataFrame, ranks: np.ndarray) -> DataFrame:
+    """(ref) of the lines that some pair (a, b) confirms: each with its earliest partner first, with the others if that fails."""
+    first = stage(pairs.groupBy("b").agg(F.min("a").alias("a")), "first")
+    matched = confirmed(first, rows, ranks)
+    rest = stage(pairs.join(first, ["a", "b"], "left_anti").join(matched.select(F.col("ref").alias("b")), "b", "left_anti"), "rest")
+    return matched if rest.isEmpty() else matched.union(confirmed(rest, rows, ranks))
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,23 +262,23 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ends = rows.agg(F.max(F.abs("id"))).first()[0]
     if ends is not None and ends >= 1 << 42:
         raise ValueError("ids must lie within 2**42 of zero")
-    counts = token_counts(rows)
-    lines = stage(line_table(rows, counts), "lines")
-    first = lines.groupBy("k1", "k2", "size").agg(F.min(F.struct("place", "prefix")).alias("f")).select(F.col("f.place").alias("ref"), "size", F.col("f.prefix").alias("prefix"))
-    postings = first.select("ref", "size", F.posexplode("prefix").alias("at", "token"), F.lit(True).alias("probe"))
-    pairs = stage(candidate_pairs(postings, all_pairs=False), "pairs")
-    matched = stage(verified(pairs, rows, counts), "matched").select(F.col("b").alias("ref")).distinct()
-    # Lines of long runs that no leader matched meet all earlier lines of those runs.
-    places = lines.groupBy("k1", "k2").agg(F.min("place").alias("ref"))
-    left = first.join(matched, "ref", "left_anti")
-    long_runs = postings.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > SHORT_RUN).select("token")
-    long_runs = stage(long_runs, "runs")
-    probes = left.select("ref", F.lit(True).alias("probe"))
-    again = postings.drop("probe").join(long_runs, "token", "left_semi").join(probes, "ref", "left").withColumn("probe", F.coalesce("probe", F.lit(False)))
-    more = stage(candidate_pairs(again, all_pairs=True).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        matched = matched.union(verified(more, rows, counts).select(F.col("b").alias("ref"))).distinct()
-    kept = places.select("ref").join(matched, "ref", "left_anti")
+    ranks = token_ranks(rows)
+    lines = stage(line_table(rows, ranks), "lines")
+    first = lines.groupBy("k1", "k2", "size", "bits").agg(F.min(F.struct("place", "prefix")).alias("f")).select(F.col("f.place").alias("ref"), "size", "bits", F.col("f.prefix").alias("prefix"))
+    postings = first.select("ref", F.shiftleft(F.col("size").cast("long"), 32).alias("size"), "bits", F.posexplode("prefix").alias("at", "token"))
+    postings = postings.select("token", "ref", (F.col("size") + F.col("at")).alias("meta"), "bits")
+    found = stage(candidate_pairs(postings, FIRST), "pairs")
+    pairs = found.where(f"a <> {MORE}")
+    matched = matched_lines(pairs, rows, ranks)
+    # Lines with more partners than were met, none of which matched, meet all of them.
+    left = stage(found.where(f"a = {MORE}").select(F.col("b").alias("ref")).join(matched, "ref", "left_anti"), "left")
+    if not left.isEmpty():
+        probes = left.withColumn("probe", F.lit(1))
+        tokens = stage(postings.join(left, "ref", "left_semi").select("token").distinct(), "tokens")
+        again = postings.join(tokens, "token", "left_semi").join(probes, "ref", "left").withColumn("probe", F.coalesce("probe", F.lit(0)))
+        more = stage(candidate_pairs(again, None).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        matched = matched.union(matched_lines(more, rows, ranks))
+    kept = lines.groupBy("k1", "k2").agg(F.min("place").alias("ref")).select("ref").join(matched, "ref", "left_anti")
     mine = lines.select(F.shiftright("place", LINE_BITS).alias("id")).distinct()
     numbers = kept.groupBy(F.shiftright("ref", LINE_BITS).alias("id")).agg(F.array_sort(F.collect_list((F.col("ref") - F.shiftleft(F.shiftright("ref", LINE_BITS), LINE_BITS)).cast("int"))).alias("kept"))
     return mine.join(numbers, "id", "left").select(F.col("id").alias(id_col), F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))

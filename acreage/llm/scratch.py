@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; where it is unset, as in tests, a temporary one is made and set."""
@@ -18,7 +20,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet under the shared folder and read it again, so that a lost executor costs no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/acreage/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write df as Parquet under the shared folder and read it again, so that a lost executor costs no recomputation.
+
+    The shuffle files of this one write are removed as soon as it is done: nobody reads them again.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/acreage/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
