@@ -203,8 +203,11 @@ def set_table(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select("id", "text").mapInArrow(run, "id long, held array<long>")
 
 
-def linked(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """(id, lead, links) of the nodes (id, root): each set of nodes that hang together is compared whole, in blocks if it is large."""
+def linked(rows: DataFrame, parts: DataFrame) -> tuple[DataFrame, bool]:
+    """(id, lead, links) of the nodes (id, root): each set of nodes that hang together is compared whole, in blocks if it is large.
+
+    The second result says whether there were blocks; without them, lead is the least id of the class already.
+    """
     sizes = parts.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     sets = set_table(rows, parts).join(parts, "id").join(sizes, "root")
     own = F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int")
@@ -221,7 +224,7 @@ def linked(rows: DataFrame, parts: DataFrame) -> DataFrame:
         return pa.table({"id": ids, "lead": least, "links": links})
 
     got = dealt.groupBy("root", "i", "j").applyInArrow(run, "id long, lead long, links long")
-    return stage(got, "linked")
+    return stage(got, "linked"), not sizes.where("blocks > 1").isEmpty()
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, recall: float = 0.9999) -> DataFrame:
@@ -246,8 +249,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = base.select("id", *key, "sketch").dropDuplicates(["id", *key])
     nodes = stage(nodes.join(sketches, (nodes.rep == sketches.id) & (nodes.k1 == sketches.k1) & (nodes.k2 == sketches.k2) & (nodes.n_words == sketches.n_words)).select("id", nodes.k1, nodes.k2, nodes.n_words, "sketch"), "nodes")
     met = components(candidate_edges(nodes.select("id", "sketch"), runs_for(recall)))
-    found = linked(rows.where("id is not null"), met.select(F.col("node").alias("id"), "root"))
-    classes = components(found.where("id <> lead"), "id", "lead").withColumnsRenamed({"node": "id", "root": "class_id"})
+    parts = stage(met.select(F.col("node").alias("id"), "root"), "parts")
+    found, blocks = linked(rows.where("id is not null"), parts)
+    classes = components(found.where("id <> lead"), "id", "lead").withColumnsRenamed({"node": "id", "root": "class_id"}) if blocks else found.select("id", F.col("lead").alias("class_id"))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     named = nodes.select("id", *key).join(classes, "id", "left").join(links, "id", "left").select(*key, F.coalesce("class_id", "id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
     down = by_slot.drop("least").join(named, key)
