@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -15,6 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
         at = tempfile.mkdtemp(prefix="acreage-shared-")
+        atexit.register(shutil.rmtree, at, True)
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
