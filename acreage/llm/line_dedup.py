@@ -21,7 +21,7 @@ RARITY_BITS, CHUNK = 20, 1 << 12
 #: A place is id * 2**LINE_BITS + line, so places sort as documents and lines do.
 LINE_BITS = 21
 #: A line first meets the FIRST earliest lines that pass the filters for a token; all others only if none of these matches it.
-FIRST = 4
+FIRST = 8
 #: No place is so low.
 MORE = -(1 << 63)
 NEWLINE = 10
@@ -97,9 +97,9 @@ def token_ranks(rows: DataFrame) -> np.ndarray:
 
 
 def line_table(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """(place, k1, k2, size, bits, prefix) of every line with a token: two digests of its set, its size, a bitmap, its rarest tokens.
+    """(place, k1, k2, size, low, high, prefix) of every line with a token: two digests of its set, its size, a bitmap, its rarest tokens.
 
-    In the bitmap each token flips one of 64 bits, so two sets whose bitmaps differ in d bits differ in d tokens at least.
+    In the bitmap each token flips one of 128 bits, so two sets whose bitmaps differ in d bits differ in d tokens at least.
     """
     sent = rows.sparkSession.sparkContext.broadcast(ranks)
 
@@ -114,25 +114,30 @@ def line_table(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
                 size = np.diff(np.append(head, len(line)))
                 at = line[head]
                 k1, k2 = np.add.reduceat(mix(words ^ np.uint64(1)), head), np.add.reduceat(mix(words ^ np.uint64(2)), head)
-                bits = np.bitwise_xor.reduceat(np.uint64(1) << (words & np.uint64(63)), head)
+                flip, upper = np.uint64(1) << (words & np.uint64(63)), (words & np.uint64(64)) != 0
+                low, high = (np.bitwise_xor.reduceat(np.where(half, flip, np.uint64(0)), head) for half in (~upper, upper))
                 take = size - -(-size * NUM // DEN) + 1
                 end = np.cumsum(take)
                 src = np.repeat(head - (end - take), take) + np.arange(int(end[-1]))
                 prefix = pa.ListArray.from_arrays(pa.array(np.append(0, end), pa.int32()), pa.array(words[src].view(np.int64)))
                 place = (ids[lo + text[at]].astype(np.int64) << LINE_BITS) + number[at]
-                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(size.astype(np.int32)), pa.array(bits.view(np.int64)), prefix], ["place", "k1", "k2", "size", "bits", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(size.astype(np.int32)), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), prefix], ["place", "k1", "k2", "size", "low", "high", "prefix"])
 
-    return rows.mapInArrow(run, "place long, k1 long, k2 long, size int, bits long, prefix array<long>")
+    return rows.mapInArrow(run, "place long, k1 long, k2 long, size int, low long, high long, prefix array<long>")
 
 
-def enough(size_a: np.ndarray, at_a: np.ndarray, bits_a: np.ndarray, size_b: np.ndarray, at_b: np.ndarray, bits_b: np.ndarray) -> np.ndarray:
-    """Length, positional and bitmap filter: whether two lines that share a token at these places of their order can still match."""
-    small, large, both = np.minimum(size_a, size_b), np.maximum(size_a, size_b), size_a + size_b
-    most = np.minimum(np.minimum(size_a - at_a, size_b - at_b), (both - np.bitwise_count((bits_a ^ bits_b).view(np.uint64))) // 2)
-    return (small * DEN >= large * NUM) & (most * (NUM + DEN) >= NUM * both)
+def enough(size: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Length, positional and bitmap filter: whether lines i and j, which share a token at these places of their order, can still match."""
+    a, b = size[i], size[j]
+    both, most = a + b, np.minimum(a - at[i], b - at[j])
+    ok = np.flatnonzero((np.minimum(a, b) * DEN >= np.maximum(a, b) * NUM) & (most * (NUM + DEN) >= NUM * both))
+    flips = sum(np.bitwise_count((x[i[ok]] ^ x[j[ok]]).view(np.uint64)).astype(np.int64) for x in (low, high))
+    out = np.zeros(len(i), bool)
+    out[ok] = (both[ok] - flips) // 2 * (NUM + DEN) >= NUM * both[ok]
+    return out
 
 
-def run_pairs(token: np.ndarray, ref: np.ndarray, size: np.ndarray, at: np.ndarray, bits: np.ndarray, probe: np.ndarray, first: int | None) -> tuple[np.ndarray, np.ndarray]:
+def run_pairs(token: np.ndarray, ref: np.ndarray, size: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, probe: np.ndarray, first: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (earlier, later) of lines in the same run of a token that pass the filters; rows come sorted by token and ref.
 
     With first, each line gets that many partners for a token, the earliest, and a pair (MORE, line) where there are more.
@@ -150,7 +155,7 @@ def run_pairs(token: np.ndarray, ref: np.ndarray, size: np.ndarray, at: np.ndarr
         j, n = later[lo:hi], earlier[lo:hi]
         i = np.repeat(start[j] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         j = np.repeat(j, n)
-        ok = enough(size[i], at[i], bits[i], size[j], at[j], bits[j]) & (ref[i] != ref[j])
+        ok = enough(size, at, low, high, i, j) & (ref[i] != ref[j])
         i, j = i[ok], j[ok]
         if first is not None and len(j):
             new = np.flatnonzero(np.append(True, j[1:] != j[:-1]))
@@ -171,19 +176,19 @@ def run_pairs(token: np.ndarray, ref: np.ndarray, size: np.ndarray, at: np.ndarr
 
 
 def candidate_pairs(postings: DataFrame, first: int | None) -> DataFrame:
-    """Distinct (a, b) with a < b from postings (token, ref, meta, bits, maybe probe): each token's run is sorted and streamed.
+    """Distinct (a, b) with a < b from postings (token, ref, meta, low, high, maybe probe): each token's run is sorted and streamed.
 
     meta is the set's size, shifted by 32 bits, and the token's place in it.
     """
-    columns = ["token", "ref", "meta", "bits", *[c for c in postings.columns if c == "probe"]]
+    columns = ["token", "ref", "meta", "low", "high", *[c for c in postings.columns if c == "probe"]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
 
         def out(cols: list[np.ndarray]) -> pa.RecordBatch:
-            token, ref, meta, bits = cols[:4]
-            probe = cols[4] == 1 if len(cols) > 4 else np.ones(len(token), bool)
-            a, b = run_pairs(token, ref, meta >> 32, meta & 0xFFFFFFFF, bits, probe, first)
+            token, ref, meta, low, high = cols[:5]
+            probe = cols[5] == 1 if len(cols) > 5 else np.ones(len(token), bool)
+            a, b = run_pairs(token, ref, meta >> 32, meta & 0xFFFFFFFF, low, high, probe, first)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
@@ -264,9 +269,9 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         raise ValueError("ids must lie within 2**42 of zero")
     ranks = token_ranks(rows)
     lines = stage(line_table(rows, ranks), "lines")
-    first = lines.groupBy("k1", "k2", "size", "bits").agg(F.min(F.struct("place", "prefix")).alias("f")).select(F.col("f.place").alias("ref"), "size", "bits", F.col("f.prefix").alias("prefix"))
-    postings = first.select("ref", F.shiftleft(F.col("size").cast("long"), 32).alias("size"), "bits", F.posexplode("prefix").alias("at", "token"))
-    postings = postings.select("token", "ref", (F.col("size") + F.col("at")).alias("meta"), "bits")
+    first = lines.groupBy("k1", "k2", "size", "low", "high").agg(F.min(F.struct("place", "prefix")).alias("f")).select(F.col("f.place").alias("ref"), "size", "low", "high", F.col("f.prefix").alias("prefix"))
+    postings = first.select("ref", F.shiftleft(F.col("size").cast("long"), 32).alias("size"), "low", "high", F.posexplode("prefix").alias("at", "token"))
+    postings = postings.select("token", "ref", (F.col("size") + F.col("at")).alias("meta"), "low", "high")
     found = stage(candidate_pairs(postings, FIRST), "pairs")
     pairs = found.where(f"a <> {MORE}")
     matched = matched_lines(pairs, rows, ranks)
