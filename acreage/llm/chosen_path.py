@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +30,41 @@ SLOTS = 64
 GROUP = 1 << 19
 
 
-def runs_for(recall: float) -> int:
-    """Runs until a pair right at the threshold has met in some bucket with this probability, two levels deep.
+def choices(runs: int) -> list[tuple[int, int, int]]:
+    """(run, token of the root, token after it) of the first two levels: BRANCH tokens of the root, and BRANCH others after each."""
+    chosen = np.random.default_rng(20)
+    out = []
+    for r in range(runs):
+        for i in chosen.choice(TOKENS, BRANCH, replace=False):
+            for j in chosen.choice([k for k in range(TOKENS) if k != i], BRANCH, replace=False):
+                out.append((r, int(i), int(j)))
+    return out
+
 
-    A node goes along BRANCH tokens, and two sets share each with probability NUM / DEN at least.
+def missed(runs: int, samples: int = 4000) -> float:
+    """Chance that a pair right at the threshold meets in no bucket when all its buckets are split DEEPEST times.
+
+    Each token is shared with probability NUM / DEN, and all paths go along the same TOKENS: the chance is summed over how
+    many of them are shared, with samples of which. Given these, paths die out on their own below the first two levels.
     """
-    t = NUM / DEN
-    meet = 1 - (1 - t * (1 - (1 - t) ** BRANCH)) ** BRANCH
-    return math.ceil(math.log(1 - recall) / math.log(1 - meet))
+    paths = np.array(choices(runs))
+    rng = np.random.default_rng(21)
+    total = 0.0
+    for m in range(TOKENS + 1):
+        shared = np.argsort(rng.random((samples, TOKENS)), 1) < m
+        alive = (shared[:, paths[:, 1]] & shared[:, paths[:, 2]]).sum(1)
+        dead, second = 0.0, (1 - 1 / TOKENS) / NUM
+        for _ in range(DEEPEST):
+            ends = 1 - m / TOKENS * (1 - dead)
+            dead = (1 - second) * ends + second * ends**2
+        total += math.comb(TOKENS, m) * NUM**m * (DEN - NUM) ** (TOKENS - m) / DEN**TOKENS * float(np.mean(dead**alive))
+    return total
+
+
+@cache
+def runs_for(recall: float) -> int:
+    """Runs until a pair right at the threshold has met in some bucket with this probability, through all DEEPEST splits."""
+    return next(runs for runs in count(1) if missed(runs) <= 1 - recall)
 
 
 def text_groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -100,21 +129,16 @@ def sketch_table(rows: DataFrame) -> DataFrame:
 
 
 def first_paths(sketch: Column, runs: int) -> Column:
-    """The paths of the first two levels: for each run BRANCH tokens of the root, and BRANCH others after each."""
-    chosen = np.random.default_rng(20)
-    out = []
-    for r in range(runs):
-        for i in chosen.choice(TOKENS, BRANCH, replace=False):
-            for j in chosen.choice([k for k in range(TOKENS) if k != i], BRANCH, replace=False):
-                out.append(F.xxhash64(F.lit(r), F.lit(int(i)), sketch[int(i)], F.lit(int(j)), sketch[int(j)]))
-    return F.array(*out)
+    """The paths of the first two levels."""
+    return F.array(*[F.xxhash64(F.lit(r), F.lit(i), sketch[i], F.lit(j), sketch[j]) for r, i, j in choices(runs)])
 
 
 def next_paths(path: Column, sketch: Column) -> Column:
     """One level deeper: the path's own hash chooses the tokens, so all members of a bucket go along the same ones.
 
     Every bucket goes along one token and each fourth along another, DEN / NUM on average: two sets right at the
-    threshold share one of them on average, and the rows of a group of near copies don't grow with depth.
+    threshold share one of them on average, and the rows of a group of near copies don't grow with depth. Paths die out
+    on the way; runs_for makes up for that.
     """
     out = []
     for b in range(2):
@@ -234,7 +258,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked at a Jaccard similarity of NUM / DEN or more, verified on the whole sets; classes are what hangs together over
     links, named by their least id, which is kept. Texts with the same words are one node, so copies are never paired;
     n_links counts the other nodes linked to a document's own. Enough runs are made that a linked pair meets with
-    probability recall; what meets is then compared whole, so chains and neighbours are found as well.
+    probability recall even where all its buckets are split DEEPEST times; what meets is then compared whole, so chains and neighbours are found as well.
 
     Texts without words (null, empty, blank) and rows with a null id are classes of their own: n_links 0, kept. Ids name
     documents: rows that repeat an id with other words count as one document with both texts. Other columns are ignored.
