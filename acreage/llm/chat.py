@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:string,a
 #: JSON's own type names, by what schema_of_json calls them.
 TYPES = {"string": ("STRING",), "integer": ("BIGINT", "DECIMAL"), "number": ("BIGINT", "DOUBLE", "DECIMAL"), "boolean": ("BOOLEAN",), "object": ("STRUCT", "MAP"), "array": ("ARRAY",)}
 
+#: Settled calls of so many rounds are written as one table, so that plans stay short.
+MERGED = 16
+
 
 def quoted(text: Column) -> Column:
     """A JSON string. Control characters below U+0020 are escaped as JSON wants it; all else stays as it is."""
@@ -58,25 +62,34 @@ def faults_of(arguments: Column, schema: Mapping[str, Mapping]) -> Column:
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
-def depths(nodes: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
+def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(conv, node, depth): the longest way of edges (conv, src, dst) to a node; null where a cycle holds it back.
 
-    Each round settles the nodes whose predecessors are all settled; there are as many rounds as the longest chain of
-    calls has links, at most rounds.
+    Each round settles the nodes whose predecessors are all settled, so there are as many rounds as the longest chain of
+    calls has links. What a round can't shorten waits for a cycle.
     """
     left = stage(edges.join(nodes.select("conv", F.col("node").alias("src")), ["conv", "src"], "left_semi").join(nodes.select("conv", F.col("node").alias("dst")), ["conv", "dst"], "left_semi").distinct(), "order")
-    depth = nodes.select("conv", "node").distinct().withColumn("depth", F.lit(0))
-    for k in range(rounds):
-        if left.isEmpty():
-            return depth
+    size = left.count()
+    settled = None
+    for k in count(1):
+        if not size:
+            break
         waiting = left.select("conv", F.col("dst").alias("node")).distinct()
         later = stage(left.join(waiting, (left.conv == waiting.conv) & (left.src == waiting.node), "left_semi"), "order")
-        done = waiting.withColumn("next", F.lit(k + 1))
-        depth = stage(depth.join(done, ["conv", "node"], "left").select("conv", "node", F.coalesce("next", "depth").alias("depth")), "depth")
-        if later.count() == left.count():
+        after = later.count()
+        if after == size:
             break
-        left = later
-    stuck = left.select("conv", F.col("dst").alias("node")).distinct().withColumn("stuck", F.lit(True))
+        done = stage(waiting.join(later.select("conv", F.col("dst").alias("node")), ["conv", "node"], "left_anti").withColumn("next", F.lit(k)), "depth")
+        settled = done if settled is None else settled.union(done)
+        if k % MERGED == 0:
+            settled = stage(settled, "depth")
+        left, size = later, after
+    depth = nodes.select("conv", "node").distinct().withColumn("depth", F.lit(0))
+    if settled is not None:
+        depth = depth.join(settled, ["conv", "node"], "left").select("conv", "node", F.coalesce("next", "depth").alias("depth"))
+    if not size:
+        return depth
+    stuck = waiting.withColumn("stuck", F.lit(True))
     return depth.join(stuck, ["conv", "node"], "left").select("conv", "node", F.when(F.col("stuck").isNull(), F.col("depth")).alias("depth"))
 
 
@@ -87,7 +100,7 @@ def parsed_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, got.where("j.tool_call_id is not null").select("conv", "turn", F.col("j.tool_call_id").alias("id"), F.col("j.content").alias("content"))
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping], *, rounds: int = 64) -> DataFrame:
+def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
     """One row for each call, and for each result without one: (conv, id, name, turn, depth, status, faults, json).
 
     Calls (conv, turn, pos, id, name, arguments, after) are hash-joined to results (conv, turn, id, content) on
@@ -101,7 +114,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
     one = calls.groupBy("conv", "id").agg(F.min(F.struct("turn", "pos", "name", "arguments", "after")).alias("c"), F.count("*").alias("n_calls"))
     answers = results.where("id is not null and conv is not null").groupBy("conv", "id").agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
     edges = calls.select("conv", F.explode("after").alias("src"), F.col("id").alias("dst")).where("src is not null")
-    order = depths(one.select("conv", F.col("id").alias("node")), edges, rounds).withColumnRenamed("node", "id")
+    order = depths(one.select("conv", F.col("id").alias("node")), edges).withColumnRenamed("node", "id")
     both = one.join(answers, ["conv", "id"], "full").join(order, ["conv", "id"], "left")
     faults = F.array(F.lit("no schema"))
     for name, schema in schemas.items():

@@ -327,6 +327,19 @@ def test_tool_calls(spark):
     assert json.loads(json.loads(got[1, "a"].json)["arguments"] if isinstance(json.loads(got[1, "a"].json)["arguments"], str) else json.dumps(json.loads(got[1, "a"].json)["arguments"])) == {"a": 1, "b": 1.5}
 
 
+def test_long_chains_of_calls_are_no_cycles(spark):
+    import json
+
+    say = {"say": {"text": {"type": "string", "required": True}}}
+    call = lambda k, *after: {"id": f"c{k}", "name": "say", "arguments": '{"text":"x"}', "after": list(after)}
+    chain = json.dumps({"tool_calls": [call(k, *[f"c{k - 1}"] * (k > 0)) for k in range(70)]})
+    ring = json.dumps({"tool_calls": [call(0), call(1, "c0", "c2"), call(2, "c1"), call(3, "c2")]})
+    df = spark.createDataFrame([(1, 0, "assistant", chain), (2, 0, "assistant", ring)], "conv_id long, turn long, role string, text string")
+    got = {(r.conv, r.id): (r.depth, r.status) for r in chat.format_chats(df, say).collect()}
+    assert all(got[1, f"c{k}"] == (k, "unanswered") for k in range(70))
+    assert got[2, "c0"] == (0, "unanswered") and all(got[2, f"c{k}"] == (None, "cyclic") for k in (1, 2, 3))
+
+
 def test_chat_query_matches_sql(spark):
     db = duckdb.connect()
     db.execute(f"create view conversations as select * from '{DIR}/conversations.parquet'")
