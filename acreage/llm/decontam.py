@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from acreage.llm.langid import characters, grams, groups
 from acreage.llm.ship import shipped
 
-#: Passages are compared in windows of so many characters, each half a window after the one before.
+#: Passages are compared in windows of so many characters.
 WINDOW = 128
 Q = 9
 #: Edits allowed in a window, as a share of its length.
 RATE = 0.05
-FILTER_BITS = 22
+#: From one window of a passage to the next: any part of a window's length is then off from one by no more than its edits.
+STEP = 2 * int(WINDOW * RATE)
+FILTER_BITS, PAIR_BITS = 22, 20
 #: Benchmark items that are searched for at once; a larger benchmark is taken in blocks of so many.
 BLOCK = 20_000
 ALIGN_AT_ONCE = 4096
@@ -63,7 +65,7 @@ def windows(text: str | None) -> list[np.ndarray]:
         codes = codes[:-1]
     if len(codes) <= WINDOW:
         return [codes] if len(codes) else []
-    starts = [*range(0, len(codes) - WINDOW, WINDOW // 2), len(codes) - WINDOW]
+    starts = [*range(0, len(codes) - WINDOW, STEP), len(codes) - WINDOW]
     return [codes[s : s + WINDOW] for s in starts]
 
 
@@ -94,6 +96,7 @@ def candidates(p: Patterns, codes: np.ndarray, spans: np.ndarray) -> tuple[np.nd
     """(text, pattern, first diagonal, width) of the diagonal bands with enough shared q-grams.
 
     Bands are two steps of edits + 1 diagonals wide and overlap by one step, so any match within its edits lies in one.
+    Pairs of text and pattern with too few shared q-grams on all diagonals together are left out first.
     """
     found = []
     text_of = np.repeat(np.arange(len(spans)), spans[:, 1] - spans[:, 0])
@@ -108,8 +111,11 @@ def candidates(p: Patterns, codes: np.ndarray, spans: np.ndarray) -> tuple[np.nd
         at, k = at[hit], k[hit]
         n = first[k + 1] - first[k]
         src = np.repeat(first[k] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        who, where = pattern[src], place[src]
-        text, diagonal = np.repeat(text_of[at], n), np.repeat(live[at] - (q - 1), n) - where
+        who, text = pattern[src], np.repeat(text_of[at], n)
+        pair = (text * len(p.codes) + who) & ((1 << PAIR_BITS) - 1)
+        enough = np.flatnonzero(np.bincount(pair, minlength=1)[pair] >= p.least[who])
+        who, text, where = who[enough], text[enough], place[src[enough]]
+        diagonal = np.repeat(live[at] - (q - 1), n)[enough] - where
         step = p.edits[who] + 1
         band = diagonal // step
         who, text, band, step = (np.concatenate([x, x]) for x in (who, text, band, step))
@@ -190,7 +196,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row for each row of docs: (id, contaminated, n_items, items).
 
     items lists, by id and joined by commas, the benchmark items of which a whole window lies in the text with at most
-    RATE edits for each of its characters; an item no longer than a window is one window. Case, blanks and signs don't
+    RATE edits for each of its characters; an item no longer than a window is one window. The shortest excerpt of a longer
+    item that is sure to be found is WINDOW characters if it is verbatim, WINDOW + STEP - 1 with RATE edits in any part of
+    a window's length; a shorter one isn't searched for. Case, blanks and signs don't
     count. The benchmark is the query set: it goes to the workers in blocks of at most block items, whatever its size,
     and every whole text is searched where it lies. With one block nothing is shuffled; with more, only hits are. Null
     texts and null or empty passages match nothing. Repeated rows of docs give repeated results, and items with the same

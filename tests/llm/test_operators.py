@@ -214,6 +214,17 @@ def test_decontamination_matches_brute_force(spark, docs):
     assert set(r.doc_id for r in decontam.drop_contaminated(df, items, block=5).collect()) == {i for i, x in got.items() if not x}
 
 
+def test_every_excerpt_of_a_windows_length_is_found():
+    rng = np.random.default_rng(13)
+    item = "".join("abcdefghijklmnopqrstuvwxyz"[k] for k in rng.integers(26, size=400))
+    patterns = decontam.patterns_of([(5, item)])
+    starts = range(len(item) - decontam.WINDOW + 1)
+    cut = [item[s : s + decontam.WINDOW] for s in starts]
+    assert decontam.contaminated(patterns, cut + [f"zq {c} qz" for c in cut]) == [[5]] * (2 * len(cut))
+    long = [edited(item[s : s + decontam.WINDOW + decontam.STEP - 1], 0.04, rng) for s in starts[: -decontam.STEP]]
+    assert decontam.contaminated(patterns, long) == [[5]] * len(long)
+
+
 def test_language_models_predict_held_out_texts(spark, docs):
     got = {r.doc_id: r for r in queries.op7_kneser_ney_langid(spark, DIR).collect()}
     held = [(i, lang) for i, _, lang in docs if zlib.crc32(str(i).encode()) % 4 == 2]
