@@ -148,10 +148,16 @@ def turns_as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 def format_chats(
     conversations: DataFrame, schemas: Mapping[str, Mapping], conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
 ) -> DataFrame:
-    """Rows of link_calls over the calls that messages hold as JSON and over the question and answer turns of all others."""
+    """Rows of link_calls over the calls that messages hold as JSON and over the question and answer turns of all others.
+
+    A message without any identifier of a call, such as one with an empty tool_calls list, counts among all others. Left
+    out are turns of all others that aren't a user's or the assistant's (system turns), those without a turn number, calls
+    without an identifier beside others that have one, and rows without a conversation.
+    """
     messages = conversations.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     calls, results = parsed_calls(messages)
     held = F.when(F.col("text").rlike(r"^\s*\{"), F.from_json("text", CALLS))
-    plain = messages.where(held["tool_calls"].isNull() & held["tool_call_id"].isNull())
+    linked = F.exists(held["tool_calls"], lambda c: c["id"].isNotNull()) | held["tool_call_id"].isNotNull()
+    plain = messages.where(~F.coalesce(linked, F.lit(False)))
     more, answers = turns_as_calls(plain)
     return link_calls(calls.unionByName(more), results.unionByName(answers), schemas)

@@ -351,6 +351,12 @@ def test_long_chains_of_calls_are_no_cycles(spark):
     assert got[2, "c0"] == (0, "unanswered") and all(got[2, f"c{k}"] == (None, "cyclic") for k in (1, 2, 3))
 
 
+def test_messages_without_identified_calls_are_turns(spark):
+    rows = [(1, 0, "system", "be brief"), (1, 1, "user", "q"), (1, 2, "assistant", '{"tool_calls": []}'), (1, 3, "user", '{"tool_calls": [{"name": "say"}]}'), (1, 4, "assistant", '{"tool_calls": [{"id": "a", "name": "say"}, {"name": "lost"}]}')]
+    got = {r.id: r.status for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), queries.REPLY_SCHEMA).collect()}
+    assert got == {"t1": "ok", "t3": "unanswered", "a": "invalid"}
+
+
 def test_chat_query_matches_sql(spark):
     db = duckdb.connect()
     db.execute(f"create view conversations as select * from '{DIR}/conversations.parquet'")
