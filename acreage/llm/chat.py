@@ -31,16 +31,24 @@ def canonical(fields: Mapping[str, Column]) -> Column:
 
 
 def canonical_arguments(arguments: Column) -> Column:
-    """Arguments as JSON with sorted keys and no blanks at the top level; null where they are not a JSON object."""
+    """Arguments as JSON with sorted keys and no blanks at all levels; null where they are not a JSON object."""
     held = F.from_json(arguments, "map<string,string>")
     entries = F.transform(F.array_sort(F.map_keys(held)), lambda k: F.concat(quoted(k), F.lit(":"), json_value(arguments, k, held[k])))
     return F.when(arguments.isNotNull() & held.isNotNull() & arguments.rlike(r"^\s*\{"), F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}")))
 
 
+def nested(text: Column) -> Column:
+    """Objects and arrays with the keys of all objects in them sorted, by UTF-16 units, and numbers in one form.
+
+    Those that repeat a key or hold a run of 39 digits, more than numbers keep, stay as they are; so does any other value.
+    """
+    return F.when(text.rlike(r"^[\[{]") & ~text.rlike(r"\d{39}"), F.coalesce(F.to_json(F.try_parse_json(text)), text)).otherwise(text)
+
+
 def json_value(arguments: Column, key: Column, text: Column) -> Column:
     """The value of a key as JSON: numbers, booleans, null, objects and arrays stay, anything else is a string."""
     bare = arguments.isNotNull() & F.regexp_like(arguments, F.concat(F.lit('"\\Q'), key, F.lit(r'\E"\s*+:\s*+(?!")')))
-    return F.when(text.isNull(), "null").when(bare, text).otherwise(quoted(text))
+    return F.when(text.isNull(), "null").when(bare, nested(text)).otherwise(quoted(text))
 
 
 def faults_of(arguments: Column, schema: Mapping[str, Mapping]) -> Column:
@@ -107,7 +115,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
     conversation and identifier. after lists the calls that must come before; depth is the place in the topological
     order, null inside a cycle. Status is one of ok, invalid (the arguments break the schema of the name, or there is
     none), unanswered, orphan (a result without a call), ambiguous (more than one call or result has the identifier) and
-    cyclic. Arguments are judged for each; json is canonical: sorted keys, no blanks. Null identifiers and conversations
+    cyclic. Arguments are judged for each; json is canonical: sorted keys, no blanks, at all
+    levels of the arguments (see nested for what stays as it is); a schema speaks of the top level only. Null identifiers and conversations
     are left out. A hot conversation is only as many rows: joins are on conversation and identifier together.
     """
     calls = calls.where("id is not null and conv is not null")

@@ -357,6 +357,16 @@ def test_messages_without_identified_calls_are_turns(spark):
     assert got == {"t1": "ok", "t3": "unanswered", "a": "invalid"}
 
 
+def test_nested_arguments_are_canonical(spark):
+    import json
+
+    big = '{"a": {"z": 1%s, "b": 2}}' % ("0" * 40)
+    texts = ['{"a": {"z": [{"y": 1.50, "x": "é\\n"}], "b": {"d": 2, "c": null}}, "A": 3}', '{"A":3,"a":{"b":{"c":null,"d":2},"z":[{"x":"é\\n","y":1.5}]}}', big, '{"a": {"k": 1, "k": 2}}', '{"a": "{\\"z\\": 1, \\"b\\": 2}"}']
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(chat.canonical_arguments(F.col("t"))).collect()]
+    assert got[0] == got[1] == json.dumps(json.loads(texts[0]), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    assert got[2] == big.replace(" ", "") and got[3] == '{"a":{"k":1,"k":2}}' and json.loads(got[4]) == json.loads(texts[4])
+
+
 def test_chat_query_matches_sql(spark):
     db = duckdb.connect()
     db.execute(f"create view conversations as select * from '{DIR}/conversations.parquet'")
