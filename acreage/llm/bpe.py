@@ -285,7 +285,7 @@ def encode_decode(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id",
     with open(vocabulary_file, encoding="utf-8") as f:
         source = f.read()
     blob = compile_lexicon((w.encode() for w in frequent_words(docs, text_col, lexicon_size)), Vocabulary(source))
-    sent = spark.sparkContext.broadcast((source, blob))
+    sent = spark.sparkContext.broadcast((hashlib.sha256(hashlib.sha256(source.encode()).digest() + blob).digest(), source, blob))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_for(sent)
@@ -307,9 +307,8 @@ _codecs: dict[bytes, Codec] = {}
 
 
 def codec_for(sent) -> Codec:
-    """One codec for each worker process, kept for its next tasks."""
-    source, blob = sent.value
-    key = hashlib.sha256(blob + source[:4096].encode()).digest()
+    """One codec for each worker process, kept for its next tasks with the same digest of vocabulary and lexicon."""
+    key, source, blob = sent.value
     if key not in _codecs:
         _codecs.clear()
         _codecs[key] = Codec(Vocabulary(source), Lexicon.mapped(blob))

@@ -85,6 +85,28 @@ def test_bpe_equals_the_library(spark, docs):
             assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_vocabularies_with_the_same_beginning_have_their_own_codecs(spark, tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        source = f.read()
+    parts = json.loads(source)
+    parts["model"]["merges"] = parts["model"]["merges"][:200]
+    other = tmp_path / "fewer.json"
+    other.write_text(json.dumps(parts), encoding="utf-8")
+    alike = tmp_path / "all.json"
+    alike.write_text(json.dumps(json.loads(source)), encoding="utf-8")
+    assert other.read_text("utf-8")[:4096] == alike.read_text("utf-8")[:4096]
+    text = "international understanding of transformations"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
+    for file in (alike, other, alike):
+        want = len(Tokenizer.from_file(str(file)).encode(text, add_special_tokens=False).ids)
+        assert [r.n_tokens for r in bpe.encode_decode(df, str(file), lexicon_size=0).collect()] == [want]
+
+
 def test_transducer_is_minimal_and_exact():
     class Fake:
         def merge(self, word):
