@@ -113,6 +113,8 @@ def line_table(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
                 head = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
                 size = np.diff(np.append(head, len(line)))
                 at = line[head]
+                if number[at].max() >= 1 << LINE_BITS:
+                    raise ValueError("a document must have fewer than 2**21 lines")
                 k1, k2 = np.add.reduceat(mix(words ^ np.uint64(1)), head), np.add.reduceat(mix(words ^ np.uint64(2)), head)
                 flip, upper = np.uint64(1) << (words & np.uint64(63)), (words & np.uint64(64)) != 0
                 low, high = (np.bitwise_xor.reduceat(np.where(half, flip, np.uint64(0)), head) for half in (~upper, upper))
@@ -259,7 +261,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A line's set is its words, split at ASCII blanks, with A-Z as a-z. A line goes if an earlier line (by id, then
     number) of any document has a Jaccard similarity of NUM / DEN or more to it, whether or not that one stays itself.
     Equal sets are met once: their first line stands for all. Ids must be whole numbers below 2**42 either way, lines of
-    a document fewer than 2**21; other ids raise an error. Rows with a null id or text take no part. Rows that repeat
+    a document with words fewer than 2**21; others raise an error. Rows with a null id or text take no part. Rows that repeat
     an id share its line numbers. An empty table gives no rows.
     """
     shipped(docs.sparkSession)

@@ -73,6 +73,12 @@ def test_defined_results(spark):
         line_dedup.dedup_lines(docs(spark, [(1 << 50, "a", "en")]))
 
 
+def test_too_many_lines_raise(spark):
+    with pytest.raises(Exception, match="2\\*\\*21 lines"):
+        line_dedup.dedup_lines(docs(spark, [(1, "a\n" * (1 << 21) + "b", "en"), (2, "b", "en")])).collect()
+    assert line_dedup.dedup_lines(docs(spark, [(1, "a" + "\n" * (1 << 21), "en")])).first().n_removed == 0
+
+
 def test_filters_keep_all_columns(spark):
     d = docs(spark)
     for out in (quality.keep_quality(d, ratings(spark), least_tail=0.0), line_dedup.drop_lines(d), decontam.drop_contaminated(d, bench(spark))):
