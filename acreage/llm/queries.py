@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm.bpe import encode_decode
+from acreage.llm.bpe import encode_decode, token_digests
 from acreage.llm.chat import format_chats
 from acreage.llm.chosen_path import jaccard_classes
 from acreage.llm.decontam import decontaminate
@@ -34,7 +34,7 @@ def op2_line_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_digests(encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def op4_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,15 +74,52 @@ def test_bpe_equals_the_library(spark, docs):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     lib = Tokenizer.from_file(path)
-    odd = ["", "  ", "a<|endoftext|>b <|endoftext|>", " x  \n\n y's can't", "日本語 🙂🙂 x̀ \x00\x7f\x85", "a" * 3000, " " * 700 + "x", None]
+    odd = ["", "  ", "a<|endoftext|>b <|endoftext|>", " x  \n\n y's can't", "日本語 🙂🙂 x̀ \x00\x7f\x85", "a" * 3000, " " * 700 + "x", None, "½ x² \x1c\x1f \xa0é'll"]
     texts = dict(enumerate([t for _, t, _ in docs[:80]] + odd))
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     for size in (50_000, 0):
-        for r in bpe.encode_decode(df, path, lexicon_size=size).collect():
+        for r in bpe.token_digests(bpe.encode_decode(df, path, lexicon_size=size)).collect():
             ids = lib.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
             assert r.n_tokens == len(ids)
             assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
             assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    r = bpe.encode_decode(df.where("doc_id = 3"), path).first()
+    assert r.ids == lib.encode(texts[3], add_special_tokens=False).ids and r.decoded == texts[3]
+
+
+def test_bpe_of_long_texts_and_words(monkeypatch):
+    """Slices, groups, merges by rounds and by heap all give what the library gives, in seconds."""
+    import regex
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        vocabulary = bpe.Vocabulary(f.read())
+    rng = np.random.default_rng(4)
+    signs = np.array(list("abcdefgh the ing  \n\n\t'sllß½²é\x1c\x85\xa0日_-1234"))
+    texts = ["".join(rng.choice(signs, n)) for n in (50, 400, 5000, 90_000)] + ["x" * 200_000, "".join(rng.choice(list("etaoinshr"), 200_000)), "", "a" * 300]
+    codec = bpe.Codec(vocabulary, bpe.Lexicon.mapped(bpe.compile_lexicon([b" the", b"ing", b"abc"], vocabulary)))
+    for size in (1 << 20, 700):
+        monkeypatch.setattr(bpe, "GROUP", size)
+        monkeypatch.setattr(bpe.slices, "__defaults__", (size,))
+        ids, ends = codec.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+        assert codec.v.spelled(ids, ends).to_pylist() == texts
+    assert codec.v.spelled(ids[:0], np.array([0])).to_pylist() == []
+    assert vocabulary.spelled(vocabulary.single[[0xE6, 97]], np.array([0, 1, 2])).to_pylist() == ["\ufffd", "a"]
+    for text in texts:
+        assert "".join(bpe.slices(text, 100)) == text and [w for s in bpe.slices(text, 100) for w in regex.findall(bpe.PATTERN, s)] == regex.findall(bpe.PATTERN, text)
+
+
+def test_latin_words_are_cut_alike():
+    import regex
+
+    rng = np.random.default_rng(6)
+    latin = [chr(c) for c in range(0x250) if bpe.LATIN.match(chr(c))]
+    for _ in range(3000):
+        text = "".join(rng.choice(latin + list(" '  'slltd\n") * 20, 30))
+        assert bpe.LATIN.match(text) and bpe.cut(text) == regex.findall(bpe.PATTERN, text)
 
 
 def test_vocabularies_with_the_same_beginning_have_their_own_codecs(spark, tmp_path):
@@ -109,15 +146,15 @@ def test_vocabularies_with_the_same_beginning_have_their_own_codecs(spark, tmp_p
 
 def test_transducer_is_minimal_and_exact():
     class Fake:
-        def merge(self, word):
-            return list(word) * 2
+        def merge(self, words):
+            return [np.array(list(w) * 2, np.uint32) for w in words]
 
     found = [b"tap", b"taps", b"top", b"tops", b"stop", b"stops"]
     blob = bpe.compile_lexicon(found, Fake())
     lexicon = bpe.Lexicon.mapped(blob)
     assert lexicon.n_words == 6 and lexicon.n_states == 7
-    assert all(list(np.frombuffer(lexicon.get(w), np.uint32)) == list(w) * 2 for w in found)
-    assert not any(lexicon.get(w) for w in (b"", b"t", b"tapss", b"x", b"sto"))
+    assert all(lexicon.get(n).tolist() == list(w) * 2 for w, n in zip(found, lexicon.numbers(found), strict=True))
+    assert lexicon.numbers([b"", b"t", b"tapss", b"x", b"sto"]).tolist() == [-1] * 5
 
 
 def test_line_dedup_matches_sql(spark):
