@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm.bpe import encode_decode
+from acreage.llm.bpe import encode_decode, token_digests
 from acreage.llm.chosen_path import jaccard_classes
 from acreage.llm.decontam import drop_contaminated
 from acreage.llm.line_dedup import drop_lines
@@ -37,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of what is left."""
-    return encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_digests(encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
 STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("tokens", tokens)]
