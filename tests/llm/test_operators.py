@@ -183,6 +183,17 @@ def test_many_similar_lines_are_all_found(spark):
     assert got == {i: want[i] for i, _ in rows}
 
 
+def test_a_token_with_many_lines_is_dealt_out(spark, docs, monkeypatch):
+    """Runs of at most five postings, three lines to a batch of pairs: the same lines go."""
+    rows = [(i, t[:3000]) for i, t, _ in docs[:60]] + [(1000 + k, f"one common head w{k % 13} tail of line {k % 7}\nmore x{k} y z") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, line_dedup.dedup_lines(df).collect()))
+    assert sum(r[2] for r in want) > 20
+    monkeypatch.setattr(line_dedup, "RUN", 5)
+    monkeypatch.setattr(line_dedup, "FLUSH", 1 << 12)
+    assert sorted(map(tuple, line_dedup.dedup_lines(df).collect())) == want
+
+
 def brute_classes(texts):
     sets = {i: frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := words(t or "")) else frozenset() for i, t in texts.items()}
     root = {i: i for i in sets}
@@ -402,11 +413,11 @@ def test_long_chains_of_calls_are_no_cycles(spark):
 
     say = {"say": {"text": {"type": "string", "required": True}}}
     call = lambda k, *after: {"id": f"c{k}", "name": "say", "arguments": '{"text":"x"}', "after": list(after)}
-    chain = json.dumps({"tool_calls": [call(k, *[f"c{k - 1}"] * (k > 0)) for k in range(70)]})
+    chain = json.dumps({"tool_calls": [call(k, *[f"c{k - 1}"] * (k > 0)) for k in range(500)]})
     ring = json.dumps({"tool_calls": [call(0), call(1, "c0", "c2"), call(2, "c1"), call(3, "c2")]})
     df = spark.createDataFrame([(1, 0, "assistant", chain), (2, 0, "assistant", ring)], "conv_id long, turn long, role string, text string")
     got = {(r.conv, r.id): (r.depth, r.status) for r in chat.format_chats(df, say).collect()}
-    assert all(got[1, f"c{k}"] == (k, "unanswered") for k in range(70))
+    assert all(got[1, f"c{k}"] == (k, "unanswered") for k in range(500))
     assert got[2, "c0"] == (0, "unanswered") and all(got[2, f"c{k}"] == (None, "cyclic") for k in (1, 2, 3))
 
 
@@ -416,14 +427,81 @@ def test_messages_without_identified_calls_are_turns(spark):
     assert got == {"t1": "ok", "t3": "unanswered", "a": "invalid"}
 
 
-def test_nested_arguments_are_canonical(spark):
+def canonical_json(value):
     import json
 
-    big = '{"a": {"z": 1%s, "b": 2}}' % ("0" * 40)
-    texts = ['{"a": {"z": [{"y": 1.50, "x": "é\\n"}], "b": {"d": 2, "c": null}}, "A": 3}', '{"A":3,"a":{"b":{"c":null,"d":2},"z":[{"x":"é\\n","y":1.5}]}}', big, '{"a": {"k": 1, "k": 2}}', '{"a": "{\\"z\\": 1, \\"b\\": 2}"}']
-    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(chat.canonical_arguments(F.col("t"))).collect()]
-    assert got[0] == got[1] == json.dumps(json.loads(texts[0]), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
-    assert got[2] == big.replace(" ", "") and got[3] == '{"a":{"k":1,"k":2}}' and json.loads(got[4]) == json.loads(texts[4])
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def test_arguments_are_canonical_at_all_levels(spark):
+    """Random nested objects, written in different ways, against the json module."""
+    import json
+
+    rng = np.random.default_rng(8)
+    pick = lambda *xs: xs[rng.integers(len(xs))]
+    strings = ["", "x", "é日🙂", 'q"uo\\te', "\n\t\x01\x7f/", "1.0,", ':2.0}"', "\\", "a.b", "$['x']", '\\"1.0]']
+
+    def value(depth):
+        kind = rng.integers(8 if depth else 6)
+        if kind == 6:
+            return [value(depth - 1) for _ in range(rng.integers(4))]
+        if kind == 7:
+            return {pick(*strings, "k", "B", "_"): value(depth - 1) for _ in range(rng.integers(5))}
+        return pick(None, True, False, int(rng.integers(-9, 1 << 40)), round(float(rng.random() * 1000), 3), pick(*strings), 12345678901234567890, -0.25)
+
+    held = [{pick(*strings, "k", "B"): value(4) for _ in range(rng.integers(5))} for _ in range(300)]
+    loose = [json.dumps(v, indent=int(k % 3) or None, ensure_ascii=bool(k % 2)) for k, v in enumerate(held)]
+    odd = {
+        '{"a": 1.50, "b": 1e2, "c": 100.0, "d": -0.0, "e": "1e2"}': '{"a":1.5,"b":100,"c":100,"d":0,"e":"1e2"}', ' {"b":{"z":1,"a":2},"a":[{"y":1,"x":2}]} ': '{"a":[{"x":2,"y":1}],"b":{"a":2,"z":1}}', "{}": "{}",
+        '{"a":"x","b":{"a":1}}': '{"a":"x","b":{"a":1}}', '{"a":1E40}': '{"a":1E40}', '{"a":"Infinity"}': '{"a":"Infinity"}',
+    }
+    refused = ['{"a":1} junk', '{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1}],[{"b":1}', '{"a":1}},{"b":{}', '{"a":1,"a":1}', '{"x":{"a":1,"a":2}}', "[1]", '"x"', "", "null", "{a:1}", '{"a":1E400}', '{"a":01}', None]
+    texts = loose + list(odd) + refused
+    got = {r.k: r.c for r in spark.createDataFrame(list(enumerate(texts)), "k int, t string").repartition(4).select("k", chat.canonical_arguments(F.col("t")).alias("c")).collect()}
+    assert [got[k] for k in range(len(held))] == [canonical_json(v) for v in held]
+    assert [got[len(held) + k] for k in range(len(odd))] == list(odd.values())
+    assert [got[len(held) + len(odd) + k] for k in range(len(refused))] == [None] * len(refused)
+
+
+def test_schemas_judge_nested_values(spark):
+    schema = {
+        "n": {"type": "number"}, "k": {"type": "integer"}, "s": {"type": "string", "min_length": 2}, "b": {"type": "boolean"},
+        "o": {"type": "object", "properties": {"x": {"type": "integer", "required": True}}}, "l": {"type": "array", "items": {"type": "object", "properties": {"y": {"type": "string"}}}},
+    }
+    want = {
+        '{"n":1,"k":1.0,"s":"ab","b":false,"o":{"x":3},"l":[{"y":"z"},{}]}': [], '{"n":1e3,"k":null,"l":[]}': [], '{"a":"x","k":2}': ["unknown argument"],
+        '{"n":"1","k":1.5,"s":"a","b":0,"o":[],"l":{}}': ["b is no boolean", "k is no integer", "l is no array", "n is no number", "o is no object", "s is too short"],
+        '{"o":{"x":"1","z":2}}': ["o.x is no integer", "unknown argument of o"], '{"o":{"x":null}}': ["o.x is missing"], '{"l":[{"y":"z"},{"y":1}]}': ["l has an unfit item"], '{"l":[1]}': ["l has an unfit item"], '{"k":1} x': ["not an object"], "[]": ["not an object"],
+    }
+    got = {r.t: r.f for r in spark.createDataFrame([(t,) for t in want], "t string").select("t", chat.faults_of(chat.parsed(F.col("t")), schema).alias("f")).collect()}
+    assert got == want
+    with pytest.raises(ValueError, match="no such schema"):
+        chat.faults_in(F.col("t"), {"a": {"type": "any"}})
+
+
+def longest_ways(edges, nodes):
+    depth, left = {}, {n: {s for s, d in edges if d == n} for n in nodes}
+    while ready := [n for n, before in left.items() if before <= depth.keys()]:
+        for n in ready:
+            depth[n] = max((depth[s] + 1 for s in left.pop(n)), default=0)
+    return {n: depth.get(n) for n in nodes}
+
+
+@pytest.mark.parametrize("together", [1000, 6])
+def test_depths_match_brute_force(spark, monkeypatch, together):
+    monkeypatch.setattr(chat, "TOGETHER", together)
+    rng = np.random.default_rng(10)
+    nodes, edges = [], []
+    for conv in range(40):
+        own = [f"n{k}" for k in range(rng.integers(1, 14))]
+        nodes += [(conv, n) for n in own]
+        edges += [(conv, own[a], own[b]) for a, b in rng.integers(len(own), size=(len(own), 2)) if a < b or rng.random() < 0.06]
+    chain = 300 if together == 1000 else 20
+    nodes += [(99, f"c{k}") for k in range(chain)]
+    edges += [(99, f"c{k}", f"c{k + 1}") for k in range(chain - 1)] + [(99, "none", "c5"), (99, "c3", "none")]
+    got = {(r.conv, r.node): r.depth for r in chat.depths(spark.createDataFrame(nodes, "conv long, node string"), spark.createDataFrame(edges, "conv long, src string, dst string")).collect()}
+    inside = [((c, s), (c, d)) for c, s, d in edges if "none" not in (s, d)]
+    assert got == longest_ways(inside, nodes) and None in got.values() and got[99, f"c{chain - 1}"] == chain - 1
 
 
 def test_chat_query_matches_sql(spark):
