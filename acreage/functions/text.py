@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 MISSING, BLANK = "<PANDAS_NA>", "<BLANK_STRING>"
-#: Patterns of the note field, several of which can fit one note.
+#: The patterns of the note field, for profiling only; several can fit one note.
 NOTE_PATTERNS = {
-    "related_party": "親友|員工|特殊關係|共有人",
-    "presale": "預售",
-    "extension": "增建|未登記建物|頂樓加蓋",
-    "debt": "債權|債務",
-    "government": "政府|標售|公有",
-    "parking": "車位|停車",
+    "related_party": "親友|員工|共有人|特殊關係",
+    "renovation_or_furniture": "裝潢|裝修|家具|家電",
+    "addition_or_unregistered": "增建|未登記|頂樓加蓋|陽台外推|夾層",
+    "tenancy": "租約|租賃",
+    "distressed_or_defect": "急買|急賣|瑕疵",
+    "redevelopment": "都更|重建",
 }
 
 

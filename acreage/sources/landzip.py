@@ -7,8 +7,10 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from itertools import batched
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
@@ -32,6 +34,8 @@ HEADERS = {
     "housing_totprice": "總價元", "h_price_m2": "單價元平方公尺", "parking_size": PARKING_HEADERS[0], "parking_price": "車位總價元", "note": "備註", "no": "編號",
 }
 URBAN = ("住", "商", "工", "農")
+#: Rows that a reader hands over at once.
+BATCH = 10_000
 
 
 def members(path: str) -> list[tuple[str, str]]:
@@ -51,18 +55,21 @@ def members(path: str) -> list[tuple[str, str]]:
     return found
 
 
+#: What each needed column can be called; all else in a file is left out.
+SPELLINGS = {k: (PARKING_HEADERS if k == "parking_size" else (h,)) for k, h in HEADERS.items()}
+
+
 def columns_of(header: list[str], member: str) -> dict[str, int]:
-    """Where each needed column is: headers without byte order mark and blanks, one of two spellings for the parking area."""
-    names = [h.removeprefix("﻿").strip() for h in header]
-    if len(set(names)) < len(names):
-        raise ValueError(f"repeated headers in {member}")
-    parking = [h for h in PARKING_HEADERS if h in names]
-    if len(parking) != 1:
-        raise ValueError(f"{member} must have one parking area column")
-    names[names.index(parking[0])] = PARKING_HEADERS[0]
-    if missing := sorted(set(HEADERS.values()) - set(names)):
-        raise ValueError(f"{member} lacks {missing}")
-    return {k: names.index(h) for k, h in HEADERS.items()}
+    """Where each needed column is: exactly one of its spellings must occur, exactly once. All faults are told at once."""
+    places: dict[str, list[int]] = {}
+    for k, name in enumerate(header):
+        places.setdefault(name.removeprefix("\ufeff").strip(), []).append(k)
+    found = {column: [k for spelling in spellings for k in places.get(spelling, [])] for column, spellings in SPELLINGS.items()}
+    faults = [f"lacks {SPELLINGS[c][0]}" for c, at in found.items() if not at] + [f"has {SPELLINGS[c][0]} {len(at)} times" for c, at in found.items() if len(at) > 1]
+    faults += [f"repeats {name}" for name, at in places.items() if len(at) > 1 and not any(name in x for x in SPELLINGS.values())]
+    if faults:
+        raise ValueError(f"{member} {', '.join(sorted(faults))}")
+    return {c: at[0] for c, at in found.items()}
 
 
 def rows_of(path: str, member: str) -> Iterator[list[str]]:
@@ -106,11 +113,14 @@ class LandZipReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [Member(k, c, n) for k, (c, n) in enumerate(members(self.path))]
 
-    def read(self, partition: Member) -> Iterator[tuple]:
+    def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
         rows = rows_of(self.path, partition.name)
         at = columns_of(next(rows), partition.name)
-        for k, row in enumerate(rows):
-            yield (partition.letter, partition.order, k, *[row[i] for i in at.values()])
+        names = ["letter", "member_order", "line", *at]
+        for first, held in ((k * BATCH, chunk) for k, chunk in enumerate(batched(rows, BATCH))):
+            n = len(held)
+            columns = [pa.array([partition.letter] * n), pa.array([partition.order] * n, pa.int32()), pa.array(range(first, first + n), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array([row[i] for row in held], pa.string()) for i in at.values()]], names)
 
 
 def adapt(rows: DataFrame) -> DataFrame:
@@ -124,8 +134,10 @@ def adapt(rows: DataFrame) -> DataFrame:
         town = F.when(c("letter") == letter, name).otherwise(town)
     county = F.create_map(*[F.lit(x) for pair in COUNTIES.items() for x in pair])[c("letter")]
     own = {"trans_y": year, "trans_m": month, "trans_d": day, "county": county, "countycd": c("letter"), "town": town, "usage_type": keyword_category(normalize_text("usage_type"), URBAN, "其他")}
-    before = rows.groupBy("member_order").agg(F.count("*").alias("n"))
-    starts = before.alias("a").join(F.broadcast(before.alias("b")), F.col("b.member_order") < F.col("a.member_order"), "left").groupBy(F.col("a.member_order").alias("member_order")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("start"))
+    # One row for each county's file, so neither the window nor the broadcast grows with the rows.
+    earlier = Window.orderBy("member_order").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("member_order").agg(F.count("*").alias("n"))
+    starts = sizes.select("member_order", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
     placed = rows.join(F.broadcast(starts), "member_order")
     return placed.select(*[own.get(k, c(k)).alias(k) for k in RAW_COLUMNS], (c("start") + c("line") + 1).alias("_row_pos"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
@@ -12,6 +13,8 @@ from pyspark.sql.types import StructType
 PLAIN = {"convert_categoricals": False, "convert_dates": False, "preserve_dtypes": True}
 KINDS = {"int8": "int", "int16": "int", "int32": "int", "float32": "double", "float64": "double"}
 
+ARROW = {"int": pa.int32(), "double": pa.float64(), "string": pa.string()}
+
 
 def stata_columns(path: str) -> dict[str, str]:
     """Column types by name; reads no more than one row."""
@@ -56,16 +59,16 @@ class StataReader(DataSourceReader):
             n = reader._nobs
         return [Rows(k, min(k + self.rows, n)) for k in range(0, n, self.rows)] or [Rows(0, 0)]
 
-    def read(self, partition: Rows) -> Iterator[tuple]:
+    def read(self, partition: Rows) -> Iterator[pa.RecordBatch]:
         if partition.start >= partition.stop:
             return
         with pd.read_stata(self.path, iterator=True, columns=self.columns, **PLAIN) as reader:
             reader._ensure_open()
             reader._lines_read = partition.start
-            chunk = reader.read(partition.stop - partition.start)[self.columns].astype(object)
-        chunk = chunk.where(chunk.notna(), None)
-        for k, row in enumerate(chunk.itertuples(index=False, name=None)):
-            yield (partition.start + k + 1, *row)
+            chunk = reader.read(partition.stop - partition.start)[self.columns]
+        places = pa.array(range(partition.start + 1, partition.start + 1 + len(chunk)), pa.int64())
+        columns = [pa.Array.from_pandas(chunk[c], type=ARROW[KINDS.get(str(chunk[c].dtype), "string")]) for c in self.columns]
+        yield pa.RecordBatch.from_arrays([places, *columns], ["_row_pos", *self.columns])
 
 
 def read_stata(spark: SparkSession, path: str, columns: Sequence[str] = (), rows: int = 100_000) -> DataFrame:
