@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from acreage.llm.words import mix
+from acreage.llm.words import mix, pair_hash
 
 #: Full, it lets all pass; so its size needn't follow the data.
 BITS, BLOCK = 24, 1 << 16
@@ -24,12 +24,13 @@ def holds(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def bitmap(values: DataFrame) -> np.ndarray:
-    """The filter over the only column of values. Each task sends blocks of its own filter, which are merged block by block."""
+    """The filter over the only column of values, or over pair_hash of its two. Each task sends blocks of its own filter, which are merged block by block."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(1 << (BITS - 3), np.uint8)
         for batch in batches:
-            at = slots(batch.column(0).to_numpy())
+            columns = [c.to_numpy() for c in batch.columns]
+            at = slots(columns[0] if len(columns) == 1 else pair_hash(*columns))
             np.bitwise_or.at(out, at >> 3, (1 << (at & 7)).astype(np.uint8))
         blocks = out.reshape(-1, BLOCK)
         some = np.flatnonzero(blocks.any(1))
@@ -41,7 +42,7 @@ def bitmap(values: DataFrame) -> np.ndarray:
             out |= np.frombuffer(x.as_py(), np.uint8)
         return pa.table({"block": table["block"].slice(0, 1), "bits": pa.array([out.tobytes()], pa.binary())})
 
-    got = values.toDF("v").where("v is not null").mapInArrow(make, "block int, bits binary").groupBy("block").applyInArrow(merge, "block int, bits binary").collect()
+    got = values.dropna().mapInArrow(make, "block int, bits binary").groupBy("block").applyInArrow(merge, "block int, bits binary").collect()
     out = np.zeros(1 << (BITS - 3), np.uint8)
     for r in got:
         out[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(r.bits, np.uint8)
