@@ -26,9 +26,19 @@ class Cleaned:
         return audit(self.staged)
 
 
-def checked_lookup(lookup: DataFrame, aliases: DataFrame) -> None:
-    """A place has one row by county code and district, an alias one target that the lookup knows."""
-    for df, key in ((lookup, ["legacy_county_code", "district"]), (lookup, ["town_id"]), (aliases, ["legacy_county_code", "raw_town"])):
+def checked_lookup(lookup: DataFrame, aliases: DataFrame, places: int | None = None, renamed: int | None = None) -> None:
+    """The places of a country: one row by county code and district and by id, ids of 5 and 8 digits, nothing null.
+
+    An alias leads to one place that the lookup knows. places and renamed are how many rows there must be. All is checked
+    before any record is joined; the first fault is raised.
+    """
+    for df, name, rows in ((lookup, "lookup", places), (aliases, "aliases", renamed)):
+        if rows is not None and (n := df.count()) != rows:
+            raise ValueError(f"{name}: {n} rows, {rows} expected")
+    formats = {"county_id": r"^[0-9]{5}$", "town_id": r"^[0-9]{8}$", "legacy_town_code": r"^[0-9]{2}$"}
+    rules = {f"{c} is set": F.col(c).isNotNull() for c in lookup.columns} | {f"{c} has its digits": F.coalesce(F.col(c).rlike(p), F.lit(False)) for c, p in formats.items() if c in lookup.columns}
+    exclude.require(lookup, rules, "lookup")
+    for df, key in ((lookup, ["legacy_county_code", "district"]), (lookup, ["county_id", "town_id"]), (aliases, ["legacy_county_code", "raw_town"])):
         if not df.groupBy(*key).count().where("count > 1").isEmpty():
             raise ValueError(f"not unique on {key}")
     known = lookup.select("legacy_county_code", F.col("district").alias("normalized_town"))
@@ -41,9 +51,9 @@ def staged_rows(raw: DataFrame, lookup: DataFrame, aliases: DataFrame, position:
     named = raw.withColumns({"source_id": normalize_text("no"), "county_code": normalize_text("countycd"), "raw_county": normalize_text("county"), "raw_town": normalize_text("town"), "kind": normalize_text("type")})
     compare = [c for c in C.RAW_COLUMNS if c != "no"]
     marked = duplicate_reason(named, ["source_id"], compare, position)
-    alias = F.broadcast(aliases.select(F.col("legacy_county_code").alias("county_code"), "raw_town", "normalized_town"))
+    alias = aliases.select(F.col("legacy_county_code").alias("county_code"), "raw_town", "normalized_town")
     renamed = marked.join(alias, ["county_code", "raw_town"], "left").withColumn("district", F.coalesce("normalized_town", "raw_town"))
-    places = F.broadcast(lookup.select(F.col("legacy_county_code").alias("county_code"), "district", "county_id", "town_id", "city"))
+    places = lookup.select(F.col("legacy_county_code").alias("county_code"), "district", "county_id", "town_id", "city")
     placed = renamed.join(places, ["county_code", "district"], "left")
     return placed.withColumn("reason", exclude.primary_reason(conditions(start, end)))
 
@@ -86,16 +96,16 @@ def clean_columns(run_id: str) -> dict[str, Column]:
     }
 
 
-def clean_transactions(raw: DataFrame, lookup: DataFrame, aliases: DataFrame, run_id: str, *, position: str = "_row_pos", start: int = C.PERIOD_START, end: int = C.PERIOD_END) -> Cleaned:
+def clean_transactions(raw: DataFrame, lookup: DataFrame, aliases: DataFrame, run_id: str, *, position: str = "_row_pos", start: int = C.PERIOD_START, end: int = C.PERIOD_END, places: int | None = None, renamed: int | None = None) -> Cleaned:
     """Split raw records into clean ones (contract.CLEAN) and excluded ones (contract.EXCLUDED) with exactly one reason each.
 
-    The lookup and alias tables hold one row for each place of a country and are checked to, so they are broadcast.
+    The lookup and alias tables hold one row for each place of a country and are checked to (see checked_lookup).
     position is the input order, by which the first of equal records is the one that stays.
     """
     missing = [c for c in C.RAW_COLUMNS if c not in raw.columns]
     if missing:
         raise ValueError(f"raw columns are missing: {missing}")
-    checked_lookup(lookup, aliases)
+    checked_lookup(lookup, aliases, places, renamed)
     staged = staged_rows(raw.select(*C.RAW_COLUMNS, position), lookup, aliases, position, start, end)
     kept = staged.where("reason is null")
     clean = kept.select(*[x.cast(C.CLEAN[n].dataType).alias(n) for n, x in clean_columns(run_id).items()])

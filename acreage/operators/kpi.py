@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,15 +41,31 @@ def with_yoy(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return both.select(*keys, "month", *PRICES, "n", *[ratio(c, f"_{c}").alias(f"{c}_yoy") for c in PRICES], count.alias("n_yoy"))
 
 
-def monthly(facts: DataFrame, keys: Sequence[str] = (), members: DataFrame | None = None, first: Column | None = None, last: Column | None = None) -> DataFrame:
-    """Indicators of each month (and member) over the dense spine, empty ones with count 0 and null prices."""
-    bounds = facts.agg((first if first is not None else F.min("month")).alias("first"), (last if last is not None else F.max("month")).alias("last"))
-    spine = month_spine(bounds)
+def windowed(facts: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """Prices and counts of each month and member over the width months that end with it, without empty ones.
+
+    Each fact goes to all the months that it counts for, so the band join is an equality and the months spread the load.
+    """
+    later = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.add_months("month", k))
+    at = facts if width == 1 else facts.withColumn("month", F.explode(later))
+    return at.groupBy(*keys, "month").agg(*measures())
+
+
+def dense(measured: DataFrame, spine: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """A row for each row of the spine, empty ones with count 0 and null prices."""
+    return spine.join(measured, [*keys, "month"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def monthly(facts: DataFrame, keys: Sequence[str] = (), members: DataFrame | None = None, first: Column | None = None, last: Column | None = None, width: int = 1) -> DataFrame:
+    """Indicators of each month (and member) over the dense spine, each over the width months that end with it.
+
+    Without first and last, the spine goes from the first month that has all its width months to the last one of the facts.
+    """
+    start, end = first if first is not None else F.add_months(F.min("month"), width - 1), last if last is not None else F.max("month")
+    spine = month_spine(facts.agg(start.alias("first"), end.alias("last")))
     if members is not None:
-        spine = spine.join(F.broadcast(members))
-    got = facts.groupBy(*keys, "month").agg(*measures())
-    dense = spine.join(got, [*keys, "month"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    return with_yoy(dense, keys)
+        spine = spine.crossJoin(members)
+    return with_yoy(dense(windowed(facts, keys, width), spine, keys), keys)
 
 
 def monthly_counts(facts: DataFrame, in_scope: Column) -> DataFrame:
@@ -65,7 +82,7 @@ def rolling_baseline(counts: DataFrame) -> DataFrame:
 
 
 def cutoff(facts: DataFrame, in_scope: Column) -> DataFrame:
-    """(source_max, candidate): the latest month at least LAG_MONTHS before the last one of all kinds whose count reaches the threshold.
+    """(source_max, candidate): the latest month at least LAG_MONTHS before the last one of all facts whose count in scope reaches the threshold.
 
     candidate is null, in its row, where no month qualifies.
     """
@@ -81,15 +98,34 @@ def effective_end(current: Column, candidate: Column) -> Column:
 
 
 def rolling3(facts: DataFrame, keys: Sequence[str], members: DataFrame) -> DataFrame:
-    """Indicators over a month and the two before it, from the transactions themselves, for every anchor and member.
+    """Indicators over a month and the two before it, from the transactions themselves, for every anchor and member."""
+    return monthly(facts, keys, members, width=3)
 
-    Each fact goes to its three anchors, so the band join is an equality and the anchors spread the load.
+
+def increment(stored: DataFrame, facts: DataFrame, months: Sequence[date], keys: Sequence[str] = (), members: DataFrame | None = None, width: int = 1) -> DataFrame:
+    """The indicators after the facts of some months have changed: only the given months are measured anew.
+
+    Facts are filtered by their month before anything is summed, to the months that the given ones look back on, with
+    literals, so that a table partitioned by month reads no other. Yearly change is taken anew from the stored prices.
     """
-    bounds = facts.agg(F.add_months(F.min("month"), 2).alias("first"), F.max("month").alias("last"))
-    spine = month_spine(bounds).join(F.broadcast(members))
-    at = facts.withColumn("month", F.explode(F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda k: F.add_months("month", k))))
-    got = at.groupBy(*keys, "month").agg(*measures())
-    return with_yoy(spine.join(got, [*keys, "month"], "left").withColumn("n", F.coalesce("n", F.lit(0))), keys)
+    days = lambda ms: [F.lit(m).cast("date") for m in ms]
+    looked = sorted({back(m, k) for m in months for k in range(width)})
+    spine = stored.sparkSession.createDataFrame([(m,) for m in months], "month date")
+    if members is not None:
+        spine = spine.crossJoin(members)
+    fresh = dense(windowed(facts.where(F.col("month").isin(days(looked))), keys, width), spine, keys)
+    kept = stored.where(~F.col("month").isin(days(months)))
+    return with_yoy(kept.select(*keys, "month", *PRICES, "n").unionByName(fresh.select(*keys, "month", *PRICES, "n")), keys)
+
+
+def back(month: date, months: int) -> date:
+    """The first of the month so many months earlier."""
+    at = month.year * 12 + month.month - 1 - months
+    return date(at // 12, at % 12 + 1, 1)
+
+
+def months_from(first: date, last: date) -> list[date]:
+    return [back(first, -k) for k in range((last.year - first.year) * 12 + last.month - first.month + 1)]
 
 
 def trailing(df: DataFrame, months: int, keys: Sequence[str] = ()) -> DataFrame:

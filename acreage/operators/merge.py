@@ -47,6 +47,15 @@ def upsert(batch: DataFrame, target: DataFrame, key: str, compare: Sequence[str]
     return both.select(keep.alias("r")).select("r.*")
 
 
+def change_detail(batch: DataFrame, target: DataFrame, key: str, compare: Sequence[str], limit: int = 50) -> DataFrame:
+    """(key, detail) of the first updated rows by key: a JSON object of what differs, each with its new and old value as text."""
+    new, old = (df.select(key, F.struct(*[F.col(c).cast("string").alias(c) for c in compare]).alias(side)) for df, side in ((batch, "n"), (target, "o")))
+    value = lambda c: F.struct(F.lit(c).alias("key"), F.struct(F.col(f"n.{c}").alias("new"), F.col(f"o.{c}").alias("old")).alias("value"))
+    changed = F.array(*[F.when(~F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")), value(c)) for c in sorted(compare)])
+    detail = F.to_json(F.map_from_entries(F.filter(changed, lambda x: x.isNotNull())), {"ignoreNullFields": "false"})
+    return new.join(old, key).where(differs(compare)).select(key, detail.alias("detail")).orderBy(key).limit(limit)
+
+
 def change_totals(changes: DataFrame) -> DataFrame:
     """One row of counts, with the arithmetic that must hold between them."""
     n = lambda p: F.count_if(p)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acreage import contract as C
@@ -36,7 +36,7 @@ def facts(clean: DataFrame, places: DataFrame, buildings: DataFrame) -> DataFram
     """One fact for each clean record. The choice of building member is a computed key, so both joins are equalities."""
     member = F.when(F.col("transaction_type") == C.LAND, F.lit("不適用")).otherwise(F.coalesce("building_type", F.lit("未提供")))
     rows = clean.withColumn("building_type_name", member)
-    rows = rows.join(F.broadcast(places.select("location_id", "county_id", "town_id")), ["county_id", "town_id"], "left").join(F.broadcast(buildings.select("building_type_id", "building_type_name")), "building_type_name", "left")
+    rows = rows.join(places.select("location_id", "county_id", "town_id"), ["county_id", "town_id"], "left").join(buildings.select("building_type_id", "building_type_name"), "building_type_name", "left")
     return rows.select(
         "source_transaction_id", month_start(F.make_date("transaction_year", "transaction_month", F.lit(1))).alias("month"), "location_id", "building_type_id", "transaction_type",
         F.col("total_price_ntd").alias("total_price"), F.col("unit_price_ntd_m2").alias("unit_price"),
@@ -51,5 +51,10 @@ def fact_rules() -> dict:
     }
 
 
+def in_population() -> Column:
+    """Which facts the indicators count: houses with both prices."""
+    return F.col("transaction_type").isin(C.HOUSE, C.HOUSE_PARKING) & F.col("total_price").isNotNull() & F.col("unit_price").isNotNull()
+
+
 def kpi_population(facts: DataFrame) -> DataFrame:
-    return facts.where(F.col("transaction_type").isin(C.HOUSE, C.HOUSE_PARKING) & F.col("total_price").isNotNull() & F.col("unit_price").isNotNull())
+    return facts.where(in_population())

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -71,33 +72,47 @@ class Store:
         self.spark, self.files = spark, Files(spark, root)
         self.root = self.files.root
 
-    def versions(self) -> dict[str, str]:
+    def versions(self) -> dict:
         return json.loads(self.files.read("current.json") or "{}")
 
     def exists(self, name: str) -> bool:
         return name in self.versions()
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}/{self.versions()[name]}")
+        return self.staged(name, self.versions()[name])
 
-    def stage(self, name: str, df: DataFrame, partition_by: str | None = None) -> str:
+    def stage(self, name: str, df: DataFrame) -> str:
         """Write a version that nobody sees yet."""
         version = uuid.uuid4().hex
-        writer = df.write.option("compression", "zstd")
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{self.root}/{name}/{version}")
+        df.write.option("compression", "zstd").parquet(f"{self.root}/{name}/{version}")
         return version
 
-    def staged(self, name: str, version: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}/{version}")
+    def stage_parts(self, name: str, df: DataFrame, by: str) -> dict[str, str]:
+        """Write rows into a folder for each value of a date column; the version of each such part, which nobody sees yet.
 
-    def publish(self, versions: dict[str, str]) -> None:
+        Values are few (the months of a calendar). Merged into the parts of the table that is current, the result names
+        a whole table of which only these parts are new.
+        """
+        version = uuid.uuid4().hex
+        at = f"{self.root}/{name}/version={version}"
+        df.hint("rebalance", by).write.partitionBy(by).option("compression", "zstd").parquet(at)
+        return {str(r[0]): version for r in df.sparkSession.read.schema(df.schema).parquet(at).select(by).distinct().collect()}
+
+    def staged(self, name: str, version: str | dict[str, str], by: str = "month") -> DataFrame:
+        """A version's rows; a filter on the column of a table in parts reads only the parts it names."""
+        if isinstance(version, str):
+            return self.spark.read.parquet(f"{self.root}/{name}/{version}")
+        base = f"{self.root}/{name}"
+        paths = [f"{base}/version={v}/{by}={part}" for part, v in sorted(version.items())]
+        return self.spark.read.option("basePath", base).parquet(*paths).drop("version")
+
+    def publish(self, versions: dict) -> None:
+        """All tables change at once. Writers must hold the lock, as this reads what is current first."""
         self.files.write("current.json", json.dumps(self.versions() | versions, sort_keys=True))
 
 
 def checked_write(store: Store, name: str, df: DataFrame, schema: T.StructType) -> str:
     """Write with the declared columns and types, read back, and compare rows and nulls before anyone may publish it."""
-    from pyspark.sql import functions as F
-
     version = store.stage(name, df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
     back = store.staged(name, version)
     kinds = [(f.name, f.dataType) for f in back.schema.fields]

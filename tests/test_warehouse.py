@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from acreage import contract as C
-from acreage.operators import kpi, merge
+from acreage.operators import kpi, merge, recheck
 from acreage.operators.runs import Blocked, Ledger
 from acreage.operators.store import Files, Locked, Store, checked_write, exclusive
 from acreage.operators.warehouse import Warehouse
@@ -63,7 +63,7 @@ def test_second_batch_changes_what_it_touches(loaded, spark):
     out = w.run(clean(spark, rows), "b2")
     assert {k: out["staging"][k] for k in ("inserted", "updated", "unchanged", "moved")} == {"inserted": 1, "updated": 2, "unchanged": 1, "moved": 0}
     assert out["core"] == {"source": 3, "inserted": 1, "updated": 1, "unchanged": 1, "applied": 2}
-    impact = {str(r.month): (r.entered, r.changed, r.exited, r.has_core_impact) for r in w.store.read("impact_b2").collect()}
+    impact = {str(r.month): (r.entered, r.changed, r.exited, r.has_core_impact) for r in w._of_batch("impact", "b2").collect()}
     assert impact == {"2012-08-01": (0, 1, 0, True), "2012-09-01": (1, 1, 0, True)}
     after = {str(r.month): r for r in w.store.read("kpi_national").collect()}
     assert after["2012-08-01"].mean_total != before["2012-08-01"].mean_total and after["2013-08-01"].mean_total_yoy != before["2013-08-01"].mean_total_yoy
@@ -90,7 +90,66 @@ def test_publication_never_shrinks(loaded, spark):
     out = w.run(clean(spark, moved), "b5")
     assert out["analytics"]["last_month"] == "2013-08-01" and out["analytics"]["status"] == "REVIEW_CURRENT_AHEAD_OF_CANDIDATE"
     last = w.store.read("kpi_national").orderBy(F.desc("month")).first()
-    assert last.n == 0 and last.median_total is None and w.validate()["national"] == 0
+    assert last.n == 0 and last.median_total is None and w.validate() == {"national": 0, "city": 0, "district": 0}
+    for grain, rows in (("national", 13), ("city", 52), ("district", 44)):
+        table = w.store.read(f"kpi_{grain}")
+        assert table.count() == rows and str(table.agg(F.max("month")).first()[0]) == "2013-08-01", grain
+
+
+def test_untouched_parts_stay_and_only_touched_months_are_read(loaded, spark):
+    w, _ = loaded
+    before = w.store.versions()["facts"]
+    w.run(clean(spark, [record("ONE", (2012, 12), 7_000_000, 90_000.0)]), "b6")
+    after = w.store.versions()["facts"]
+    assert {m for m in after if before.get(m) != after[m]} == {"2012-12-01"}
+    built = kpi.increment(w.store.read("kpi_district"), w.population(), [dt.date(2013, 2, 1)], ["county_id", "town_id", "city", "district"], w.members("district"), 3)
+    plan = built._jdf.queryExecution().explainString(w.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    filters = [x for x in plan.split("\n") if x.startswith("PartitionFilters")]
+    assert filters and all(m in filters[0] for m in ("month#", "2012-12-01", "2013-01-01", "2013-02-01")) and "2013-03-01" not in filters[0]
+    assert w.validate() == {"national": 0, "city": 0, "district": 0}
+
+
+def test_cutoff_counts_all_facts_for_the_last_month(spark, tmp_path):
+    """Sales without a price reach further than those with one: the lag is counted from them."""
+    w = Warehouse(spark, f"file://{tmp_path}/w", f"{tmp_path}/lock")
+    w.initialize(lookup(spark))
+    rows = [record(f"P{k}-{j}", m, 8_000_000, 100_000.0) for k, m in enumerate(months((2012, 8), 12)) for j in range(3)]
+    rows += [record(f"N{k}", m, None, None)[:26] + (False, False) + record("", m, 1, 1.0)[28:] for k, m in enumerate(months((2013, 8), 3))]
+    out = w.run(clean(spark, rows), "b1")
+    assert out["analytics"]["last_month"] == "2013-07-01"
+    assert str(w.store.read("kpi_district").agg(F.min("month")).first()[0]) == "2012-10-01"
+
+
+def test_gates(spark, tmp_path):
+    w = Warehouse(spark, f"file://{tmp_path}/w", f"{tmp_path}/lock")
+    w.initialize(lookup(spark))
+    with pytest.raises(ValueError, match="one cleaning run"):
+        recheck.snapshot(clean(spark, [record("A", (2013, 1)), record("B", (2013, 1), run="other")]), "source_transaction_id")
+    with pytest.raises(ValueError, match="2 expected"):
+        recheck.snapshot(clean(spark, [record("A", (2013, 1))]), "source_transaction_id", 2)
+    with pytest.raises(ValueError, match="repeat"):
+        w.run(clean(spark, [record("A", (2013, 1)), record("A", (2013, 2))]), "twice")
+    w.ledger.put("staging", "twice", status="success", result={})
+    facts = spark.createDataFrame([("A", 1), ("B", None)], "k string, v int")
+    recheck.final_values(facts, facts, "k", ["v"])
+    with pytest.raises(ValueError, match="after the write"):
+        recheck.final_values(facts, facts.withColumn("v", F.coalesce("v", F.lit(0))), "k", ["v"])
+    d = dt.date
+    stored = spark.createDataFrame([(d(2013, 1, 1), "x"), (d(2013, 2, 1), "x"), (d(2013, 1, 1), "y")], "month date, c string")
+    members = stored.select("c").distinct()
+    recheck.spine(stored, members, d(2013, 1, 1), d(2013, 1, 1), "city")
+    with pytest.raises(ValueError, match="rebuilt in full"):
+        recheck.spine(stored, members, d(2013, 1, 1), d(2013, 2, 1), "city")
+    assert recheck.first_gap(stored, members, d(2012, 12, 1), d(2013, 2, 1)).first() == (d(2012, 12, 1), "x")
+    table = lambda *rows: spark.createDataFrame([(d(2013, 1, 1), *r) for r in rows], "month date, county_id string, n long")
+    grains = {"national": table(("", 3)).drop("county_id"), "city": table(("a", 2), ("b", 1)), "district": table(("a", 2), ("b", 1))}
+    recheck.grains(grains)
+    with pytest.raises(ValueError, match="nation"):
+        recheck.grains(grains | {"city": table(("a", 2), ("b", 2))})
+    with pytest.raises(ValueError, match="districts"):
+        recheck.grains(grains | {"district": table(("a", 2), ("b", 2))})
+    with pytest.raises(ValueError, match="districts"):
+        recheck.grains(grains | {"district": table(("a", 3))})
 
 
 def test_full_rebuild_equals_increments(loaded):
@@ -106,6 +165,12 @@ def test_validator_finds_one_corrupted_cell(loaded):
     bad = df.withColumn("n", F.when((F.col("month") == F.lit("2012-09-01").cast("date")) & (F.col("city") == "臺北市"), F.col("n") + 1).otherwise(F.col("n")))
     w.store.publish({"kpi_city": w.store.stage("kpi_city", bad)})
     assert w.validate()["city"] == 1
+    last = w.store.read("kpi_national").agg(F.max("month")).first()[0]
+    want = recheck.expected(w.store.read("facts"), w.store.read("dim_location"), ["county_id", "city"], 1, dt.date(2012, 8, 1), last)
+    report = recheck.first_differences(want, w.store.read("kpi_city"), ["month", "city"]).collect()
+    assert [(str(r.month), r.city, r.missing, r.unexpected, r.differing) for r in report] == [("2012-09-01", "臺北市", False, False, "n")]
+    with pytest.raises(ValueError, match="nation"):
+        recheck.grains({g: w.store.read(f"kpi_{g}") for g in ("national", "city", "district")})
 
 
 def test_stream_delivers_the_same_merge(spark, tmp_path):
