@@ -181,25 +181,38 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, per_language: int = 500) -> DataFrame:
+def sample_of(known: DataFrame, per_language: int) -> DataFrame:
+    """At most per_language rows (id, lang, text) of each language, those with the least hashes of their ids.
+
+    Of rows that repeat an id in a language the least text counts. A bound on the hash, from about how many ids the
+    language has, leaves so few of them that one task can rank them, whatever share of all rows a language has.
+    """
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("id", 0.02).alias("n"))
+    most = per_language + 8 * int(per_language**0.5) + 16
+    place = F.shiftrightunsigned(F.xxhash64("id"), 1) / F.lit(float(1 << 63))
+    some = known.withColumn("place", place).join(sizes, "lang").where(F.col("place") * F.col("n") <= most)
+    one = some.groupBy("lang", "id", "place").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "id"))
+    return one.withColumn("k", rank).where(F.col("k") <= per_language).select("id", "lang", "text")
+
+
+def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, per_language: int = 500, longest: int = 200_000) -> DataFrame:
     """One row for each row of docs: (id, held_out, lang_pred, score, rejected).
 
     Models are fitted on at most per_language texts of each language, those with the least hashes of their ids among
-    the rows that are not held out; this bounds what the driver holds. The prediction is the language with the lowest
-    cross-entropy for each character, ties in order of the name; score is its calibrated share; rejected says that even
-    the best model finds the text stranger than all but a few of its own. A text that is null or has no letter is und
-    with score 0. A null id is not held out, and not learned from. Whole texts are scored where they lie, with no
-    shuffle. Repeated rows give repeated results; other columns are ignored. Without any language to learn, all is und.
+    the rows that are not held out and have at most longest bytes; both together bound what the driver holds. The
+    prediction is the language with the lowest cross-entropy for each character, ties in order of the name; score is its
+    calibrated share; rejected says that even the best model finds the text stranger than all but a few of its own. A
+    text that is null or has no letter is und with score 0. A null id is not held out, and not learned from. Whole texts
+    are scored where they lie, with no shuffle. Repeated rows give repeated results; other columns are ignored. Without
+    any language to learn, all is und.
     """
     spark = shipped(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    known = rows.where(~held_out(F.col("id")) & F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = known.select("id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("id").distinct()
+    known = rows.where(~held_out(F.col("id")) & F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") <= longest))
     sample: dict[str, list[str]] = {}
-    for r in known.join(F.broadcast(chosen), "id").select("id", "lang", "text").toArrow().sort_by([("lang", "ascending"), ("id", "ascending"), ("text", "ascending")]).to_pylist():
-        if len(got := sample.setdefault(r["lang"], [])) < 2 * per_language:
-            got.append(r["text"])
+    for r in sample_of(known, per_language).toArrow().sort_by([("lang", "ascending"), ("id", "ascending")]).to_pylist():
+        sample.setdefault(r["lang"], []).append(r["text"])
     models = train_models(sample) if sample else None
     sent = spark.sparkContext.broadcast(models)
 
