@@ -156,8 +156,11 @@ def fit(
     return Ordinal(keys[live], w[live], v, theta)
 
 
-def train(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, grades: int, sample: int) -> Ordinal:
-    """Fit on at most sample rated documents, those with the least hashes of their ids."""
+def train(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, grades: int, sample: int, terms: int) -> Ordinal | None:
+    """Fit on at most sample rated documents, those with the least hashes of their ids, and terms features of each.
+
+    None where fewer than two grades are rated: then nothing can be learned.
+    """
     rated = ratings.where("grade is not null and id is not null").groupBy("id").agg(F.min("grade").cast("int").alias("grade"))
     chosen = rated.orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -166,6 +169,8 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, grade
         for batch in batches:
             text, hashes, shape, _ = features(batch.column("text"))
             text, hashes = distinct(text, hashes)
+            few = np.arange(len(text)) - np.searchsorted(text, text) < terms  # those with the least hashes
+            text, hashes = text[few], hashes[few]
             lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(batch) + 1)), pa.int32()), pa.array(hashes.view(np.int64)))
             shapes = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1) * shape.shape[1], pa.int32()), pa.array(shape.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("grade"), lists, shapes], ["grade", "hashes", "shape"])
@@ -173,9 +178,7 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, grade
     joined = texts.join(F.broadcast(chosen), "id").select("id", "grade", "text")
     rows = joined.mapInArrow(run, "grade int, hashes array<long>, shape array<double>").toArrow()
     graded = sorted(zip(rows["grade"].to_pylist(), [x.values.to_numpy() for x in rows["hashes"]], rows["shape"].to_pylist(), strict=True), key=lambda r: (r[0], len(r[1]), r[2]))
-    if len({g for g, _, _ in graded}) < 2:
-        raise ValueError("ratings of at least two grades are needed")
-    return fit(graded, grades)
+    return fit(graded, grades) if len({g for g, _, _ in graded}) > 1 else None
 
 
 def tails_of(model: Ordinal, texts: pa.Array) -> np.ndarray:
@@ -188,40 +191,49 @@ def tails_of(model: Ordinal, texts: pa.Array) -> np.ndarray:
     return np.where(words[:, None] > 0, model.tails(score), 0.0)
 
 
-def score_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, grades: int = 3, sample: int = 6000, least_tail: float = 0.7) -> DataFrame:
+def sent_model(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, grades: int, sample: int, terms: int):
+    spark = shipped(docs.sparkSession)
+    model = train(docs, ratings, id_col, text_col, grades, sample, terms)
+    return spark.sparkContext.broadcast((model.keys, model.weights, model.shape_weights, model.thresholds) if model else None)
+
+
+def score_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, grades: int = 3, sample: int = 6000, terms: int = 10_000, least_tail: float = 0.7) -> DataFrame:
     """One row for each row of docs: (id, expected_grade, tail, kept).
 
     ratings has (id, grade) with grades from 0 to grades - 1, of which the least counts where an id has several; at
-    most sample of them are fitted, which bounds what the driver holds. tail is the probability of the highest grade,
-    kept is tail >= least_tail. Every whole text is scored where it lies, with no shuffle. A text without words (null,
-    empty or blank) has grade 0 and tail 0 and isn't kept. Repeated rows give repeated results; other columns are ignored.
-    Ratings that cover fewer than two grades raise an error.
+    most sample of them are fitted, and of each text at most terms features, those with the least hashes, which bounds
+    what the driver holds. tail is the probability of the highest grade, kept is tail >= least_tail. Every whole text is
+    scored where it lies, with no shuffle. A text without words (null, empty or blank) has grade 0 and tail 0 and isn't
+    kept. Repeated rows give repeated results; other columns are ignored. Where ratings cover fewer than two grades
+    (none, or no documents of theirs), nothing can be learned: grade and tail are null and nothing is kept.
     """
-    spark = shipped(docs.sparkSession)
-    model = train(docs, ratings, id_col, text_col, grades, sample)
-    sent = spark.sparkContext.broadcast((model.keys, model.weights, model.shape_weights, model.thresholds))
+    sent = sent_model(docs, ratings, id_col, text_col, grades, sample, terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Ordinal(*sent.value)
+        model = Ordinal(*sent.value) if sent.value else None
         for batch in batches:
-            tails = tails_of(model, batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tails.sum(1).round(9)), pa.array(tails[:, -1].round(9)), pa.array(tails[:, -1] >= least_tail)], ["id", "expected_grade", "tail", "kept"])
+            n = len(batch)
+            if model is None:
+                scores = [pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), pa.array([False] * n)]
+            else:
+                tails = tails_of(model, batch.column(1))
+                scores = [pa.array(tails.sum(1).round(9)), pa.array(tails[:, -1].round(9)), pa.array(tails[:, -1] >= least_tail)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *scores], ["id", "expected_grade", "tail", "kept"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, expected_grade double, tail double, kept boolean").withColumnRenamed("id", id_col)
 
 
-def keep_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, grades: int = 3, sample: int = 6000, least_tail: float = 0.7) -> DataFrame:
+def keep_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, grades: int = 3, sample: int = 6000, terms: int = 10_000, least_tail: float = 0.7) -> DataFrame:
     """The rows of docs, with all their columns, that score_quality keeps. Rows are filtered where they lie."""
-    spark = shipped(docs.sparkSession)
-    model = train(docs, ratings, id_col, text_col, grades, sample)
-    sent = spark.sparkContext.broadcast((model.keys, model.weights, model.shape_weights, model.thresholds))
+    sent = sent_model(docs, ratings, id_col, text_col, grades, sample, terms)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Ordinal(*sent.value)
+        model = Ordinal(*sent.value) if sent.value else None
         for batch in batches:
-            yield batch.filter(pa.array(tails_of(model, batch.column(place))[:, -1] >= least_tail))
+            if model is not None:
+                yield batch.filter(pa.array(tails_of(model, batch.column(place))[:, -1] >= least_tail))
 
     return docs.mapInArrow(run, docs.schema)
 
