@@ -47,14 +47,16 @@ def test_every_row_gets_a_result(name, spark):
     assert len(same) == 2 and same[0] == same[1]
 
 
-@pytest.mark.parametrize("name", [n for n in RUNS if n != "quality"])
+@pytest.mark.parametrize("name", RUNS)
 def test_empty_table(name, spark):
     assert RUNS[name](spark, docs(spark, [])).collect() == []
 
 
-def test_quality_wants_two_grades(spark):
-    with pytest.raises(ValueError, match="two grades"):
-        quality.score_quality(docs(spark), ratings(spark).where("id = 1"))
+def test_quality_without_two_grades_keeps_nothing(spark):
+    few = ratings(spark).where("id = 1")
+    assert [(r.expected_grade, r.tail, r.kept) for r in quality.score_quality(docs(spark), few).collect()] == [(None, None, False)] * len(ROWS)
+    assert quality.keep_quality(docs(spark), few.limit(0)).collect() == [] and quality.keep_quality(docs(spark, []), few).collect() == []
+    assert line_dedup.drop_lines(docs(spark, [])).collect() == [] and decontam.drop_contaminated(docs(spark, []), bench(spark)).collect() == []
 
 
 def test_defined_results(spark):
@@ -98,6 +100,43 @@ def test_pages_and_chats(spark):
     assert chat.format_chats(chats.limit(0), queries.REPLY_SCHEMA).count() == 0
 
 
+def test_columns_of_any_name_stay(spark):
+    names = ["_line_id", "_line_kept", "row", "gone", "worded", "id", "kept"]
+    d = spark.createDataFrame([(1, "a b c\nd", *names), (2, "a b c", *names)], ", ".join(["doc_id long", "text string", *[f"{n} string" for n in names]]))
+    got = line_dedup.drop_lines(d).collect()
+    assert [tuple(r) for r in got] == [(1, "a b c\nd", *names)]
+
+
+def test_languages_of_hot_and_repeated_ids(spark):
+    rows = [(5, "das ist ein satz", "de")] * 3000 + [(k, f"this is sentence {k}", "en") for k in range(2000)] + [(9000, "x" * 300_000, "en"), (None, "niemand", "de")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = d.selectExpr("doc_id as id", "lang", "text").where("id is not null")
+    got = langid.sample_of(known, 50).groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in got} == {"de": 1, "en": 50}
+    out = langid.identify_languages(d, per_language=50)
+    assert out.count() == len(rows) and out.where("doc_id = 5").select("lang_pred", "score").distinct().count() == 1
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from acreage.llm import scratch
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(applicationId="a-cluster", master="yarn", getConf=lambda: conf))
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        scratch.shared_dir(cluster)
+
+
+def test_empty_pipeline(spark, tmp_path):
+    import corpus_pipeline as p
+
+    sf = "/root/testdata/sf0.001"
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert p.run(spark, str(tmp_path)).collect() == []
+
+
 def test_pipeline_stages(spark):
     """Every stage's result is what its operator decides on what the stage before it kept."""
     import corpus_pipeline as p
