@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 from itertools import count
 
 import numpy as np
@@ -24,6 +24,10 @@ NUM, DEN, SHINGLE = 4, 5, 5
 TOKENS, BRANCH = 32, 2
 #: Buckets of at most so many are compared; larger ones are split again, at most DEEPEST times.
 BUCKET, DEEPEST = 32, 3
+#: Of TOKENS places, in how many two sketches must agree to count as near copies when a large bucket is looked at.
+ALIKE = 20
+#: Runs before what they have brought together counts as one.
+EARLY = 1
 #: Documents that are compared in one task; candidates that hang together in greater number are dealt out by pairs of blocks.
 BLOCK = 2000
 SLOTS = 64
@@ -128,9 +132,9 @@ def sketch_table(rows: DataFrame) -> DataFrame:
     return rows.select("id", "text").mapInArrow(run, "id long, k1 long, k2 long, n_words long, sketch array<int>")
 
 
-def first_paths(sketch: Column, runs: int) -> Column:
+def first_paths(sketch: Column, chosen: list[tuple[int, int, int]]) -> Column:
     """The paths of the first two levels."""
-    return F.array(*[F.xxhash64(F.lit(r), F.lit(i), sketch[i], F.lit(j), sketch[j]) for r, i, j in choices(runs)])
+    return F.array(*[F.xxhash64(F.lit(r), F.lit(i), sketch[i], F.lit(j), sketch[j]) for r, i, j in chosen])
 
 
 def next_paths(path: Column, sketch: Column) -> Column:
@@ -147,21 +151,56 @@ def next_paths(path: Column, sketch: Column) -> Column:
     return F.when(F.pmod(path, F.lit(NUM)) == 0, F.array_distinct(F.array(*out))).otherwise(F.array(out[0]))
 
 
-def candidate_edges(nodes: DataFrame, runs: int) -> DataFrame:
-    """(a, b): links each node (id, sketch) to the least node of every bucket in which it ends."""
-    level = nodes.select("id", F.explode(first_paths(F.col("sketch"), runs)).alias("path"))
-    edges = None
+def candidate_parts(nodes: DataFrame, runs: int) -> DataFrame:
+    """(id, root) of the nodes (id, sketch) that end in a bucket with another: root is the least of all that hang together.
+
+    The first EARLY runs come first. In the others, what hangs together already counts as one in every bucket, so a large
+    group of near copies is split and linked a few times only, whatever the number of runs.
+    """
+    chosen = choices(runs)
+    held, parts = nodes.withColumn("root", F.col("id")), None
+    for some in ([c for c in chosen if c[0] < EARLY], [c for c in chosen if c[0] >= EARLY]):
+        if not some:
+            continue
+        edges = bucket_edges(held, some)
+        if parts is not None:
+            edges = edges.union(parts.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b")))
+        parts = stage(components(edges).withColumnRenamed("node", "id"), "parts")
+        held = nodes.join(parts, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    return parts
+
+
+def bucket_edges(nodes: DataFrame, chosen: list[tuple[int, int, int]]) -> DataFrame:
+    """(a, b): links the root of each node (id, root, sketch) to one root of every bucket in which it ends.
+
+    A bucket with more than BUCKET roots is split again, at most DEEPEST times, unless half of its nodes have the same
+    root, or sketches that agree with its lead's in ALIKE places: then it is a group of near copies, which no split makes
+    small, and its roots are linked as they are. Nodes with the same root are counted in the tasks that read them.
+    """
+    nodes = stage(nodes, "nodes")
+    sketches = nodes.select("id", "sketch")
+    level = nodes.select("id", "root", F.explode(first_paths(F.col("sketch"), chosen)).alias("path"))
+    found = []
     for depth in range(DEEPEST + 1):
-        buckets = level.groupBy("path").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1")
-        members = stage(level.join(buckets, "path"), "buckets")
-        done = members if depth == DEEPEST else members.where(F.col("n") <= BUCKET)
-        done = done.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-        edges = done if edges is None else edges.union(done)
-        large = members.where(F.col("n") > BUCKET)
-        if depth == DEEPEST or large.isEmpty():
+        shares = level.groupBy("path", "root").agg(F.count("*").alias("m"))
+        buckets = shares.groupBy("path").agg(F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("roots"), F.sum("m").alias("n")).where("roots > 1")
+        ends = F.lit(depth == DEEPEST) | (F.col("roots") <= BUCKET) | (F.col("top.m") * 2 >= F.col("n"))
+        buckets = stage(buckets.select("path", F.col("top.root").alias("lead"), ends.alias("ends")), "buckets")
+        found.append(stage(shares.join(buckets.where("ends"), "path").where("root <> lead").select(F.col("lead").alias("a"), F.col("root").alias("b")).distinct(), "met"))
+        large = buckets.where("not ends").select("path", "lead")
+        if large.isEmpty():
+            break
+        leads = large.join(sketches.withColumnsRenamed({"id": "lead", "sketch": "first"}), "lead")
+        same = F.size(F.filter(F.zip_with("sketch", "first", lambda x, y: x == y), lambda x: x))
+        held = level.join(leads, "path").join(sketches, "id").select("path", "lead", "id", "root", "sketch", (same >= ALIKE).alias("alike"))
+        held = stage(held, "large")
+        kinds = stage(held.groupBy("path").agg((F.count_if("alike") * 2 >= F.count("*")).alias("ends")), "kinds")
+        found.append(stage(held.join(kinds.where("ends"), "path").where("root <> lead").select(F.col("lead").alias("a"), F.col("root").alias("b")).distinct(), "met"))
+        split = held.join(kinds.where("not ends").select("path"), "path", "left_semi")
+        if split.isEmpty():
             break
-        level = large.select("path", "id").join(nodes, "id").select("id", F.explode(next_paths(F.col("path"), F.col("sketch"))).alias("path")).distinct()
-    return edges.distinct()
+        level = split.select("id", "root", F.explode(next_paths(F.col("path"), F.col("sketch"))).alias("path")).distinct()
+    return reduce(DataFrame.union, found)
 
 
 def compare(ids: np.ndarray, side: np.ndarray, flat: np.ndarray, ends: np.ndarray, across: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -272,8 +311,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = by_slot.groupBy(*key).agg(F.min("least").alias("rep"))
     sketches = base.select("id", *key, "sketch").dropDuplicates(["id", *key])
     nodes = stage(nodes.join(sketches, (nodes.rep == sketches.id) & (nodes.k1 == sketches.k1) & (nodes.k2 == sketches.k2) & (nodes.n_words == sketches.n_words)).select("id", nodes.k1, nodes.k2, nodes.n_words, "sketch"), "nodes")
-    met = components(candidate_edges(nodes.select("id", "sketch"), runs_for(recall)))
-    parts = stage(met.select(F.col("node").alias("id"), "root"), "parts")
+    parts = candidate_parts(nodes.select("id", "sketch"), runs_for(recall))
     found, blocks = linked(rows.where("id is not null"), parts)
     classes = components(found.where("id <> lead"), "id", "lead").withColumnsRenamed({"node": "id", "root": "class_id"}) if blocks else found.select("id", F.col("lead").alias("class_id"))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
