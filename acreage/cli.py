@@ -11,7 +11,8 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from acreage import contract as C
-from acreage.operators.cleaning import clean_transactions
+from acreage.operators.cleaning import clean_transactions, staged_rows
+from acreage.operators.profile_run import summaries, write_csv
 from acreage.operators.report import render
 from acreage.operators.store import Store, checked_write
 from acreage.operators.warehouse import Warehouse
@@ -37,6 +38,9 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument(name, required=True)
     c.add_argument("--period-end", type=int, required=True)
     c.add_argument("--source-url")
+    c = sub.add_parser("profile", help="every summary of a raw file as CSV")
+    for name in ("--raw", "--lookup", "--aliases", "--output-dir"):
+        c.add_argument(name, required=True)
     c = sub.add_parser("release", help="register a delivery, clean it and write that to the registry")
     for name in ("--source", "--release-date", "--release-root", "--lookup", "--aliases", "--output-dir"):
         c.add_argument(name, required=True)
@@ -128,6 +132,11 @@ def main(argv: list[str] | None = None) -> int:
         Registry(a.release_root).published(a.release_id, a.target, batch=a.batch, recorded=datetime.now(UTC).isoformat(timespec="seconds"))
         return 0
     spark = SparkSession.builder.config(map=CONF).getOrCreate()
+    if a.command == "profile":
+        raw = (read_land_zip(spark, a.raw) if a.raw.lower().endswith(".zip") else read_stata(spark, a.raw, C.RAW_COLUMNS)).persist()
+        staged = staged_rows(raw, read_reference(spark, a.lookup, LOOKUP), read_reference(spark, a.aliases, ALIASES), "_row_pos", C.PERIOD_START, C.PERIOD_END)
+        print(json.dumps(write_csv(summaries(raw, staged), a.output_dir)))
+        return 0
     if a.command == "release":
         print(json.dumps(release(spark, a), ensure_ascii=False, default=str))
         return 0

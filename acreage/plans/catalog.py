@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from acreage.plans import cleaning_queries, kpi_queries, merge_queries, profile_queries, system_queries, warehouse_queries
+from acreage.plans import cleaning_queries, kpi_queries, merge_queries, profile_queries, raw_queries, system_queries, warehouse_queries
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for part in (kpi_queries, merge_queries, cleaning_queries, profile_queries, warehouse_queries, system_queries):
+for part in (kpi_queries, merge_queries, cleaning_queries, profile_queries, warehouse_queries, system_queries, raw_queries):
     QUERIES |= part.QUERIES
     ORACLES |= part.ORACLES

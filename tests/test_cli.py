@@ -30,6 +30,11 @@ def test_clean_register_report(spark, tmp_path, capsys):
     assert main(["published", "--release-root", str(tmp_path / "r"), "--release-id", "2026-09-21", "--target", "test", "--batch", "b1"]) == 0
     with pytest.raises(ValueError, match="4 rows, 368 expected"):
         main([*args[:-4], "--period-end", "11412"])
+    capsys.readouterr()
+    assert main(["profile", *args[1:7], "--output-dir", str(tmp_path / "csv")]) == 0
+    names = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert len(names) == 34 and (tmp_path / "csv" / "parking_groups.csv").read_text("utf-8-sig").startswith("group,rows,share")
+    assert (tmp_path / "csv" / "note_summary.csv").read_text("utf-8-sig").splitlines() == ["flag,rows", "blank,2", "nonblank,0"]
     twice = archive(tmp_path / "y.zip", {"z_lvr_land_a.csv": [{"no": "Z1"}, {"no": "Z1", "room": "9"}]})
     with pytest.raises(ValueError, match="conflicting"):
         main(["clean", "--raw", twice, *args[3:], "--period-end", "11412"])
