@@ -22,8 +22,10 @@ RATE = 0.05
 #: From one window of a passage to the next: any part of a window's length is then off from one by no more than its edits.
 STEP = 2 * int(WINDOW * RATE)
 FILTER_BITS, PAIR_BITS = 22, 20
-#: Benchmark items that are searched for at once; a larger benchmark is taken in blocks of so many.
-BLOCK = 20_000
+#: Benchmark items and bytes of them that are searched for at once; a larger benchmark is taken in blocks of about so many.
+BLOCK, BLOCK_BYTES = 20_000, 16 << 20
+#: Letters and digits that a passage must have to be searched for.
+LEAST = 12
 ALIGN_AT_ONCE = 4096
 
 _ink: np.ndarray | None = None
@@ -58,21 +60,24 @@ class Patterns:
     least: np.ndarray
 
 
-def windows(text: str | None) -> list[np.ndarray]:
+def windows(text: str | None, least: int = LEAST) -> list[np.ndarray]:
+    """The windows of a passage; none where it has fewer than least letters and digits."""
     codes, span, _ = characters([text], ink(), 0)
     codes = codes[span[0, 0] : span[0, 1]]
     while len(codes) and codes[-1] == 32:
         codes = codes[:-1]
+    if (codes != 32).sum() < max(least, 1):
+        return []
     if len(codes) <= WINDOW:
-        return [codes] if len(codes) else []
+        return [codes]
     starts = [*range(0, len(codes) - WINDOW, STEP), len(codes) - WINDOW]
     return [codes[s : s + WINDOW] for s in starts]
 
 
-def patterns_of(benchmark: list[tuple[int, str | None]]) -> Patterns:
+def patterns_of(benchmark: list[tuple[int, str | None]], least: int = LEAST) -> Patterns:
     codes, items = [], []
     for item, text in benchmark:
-        for w in windows(text):
+        for w in windows(text, least):
             codes.append(w)
             items.append(item)
     length = np.array([len(c) for c in codes], np.int64)
@@ -163,6 +168,15 @@ def aligned(p: Patterns, codes: np.ndarray, spans: np.ndarray, text: np.ndarray,
     return best
 
 
+def within(pattern: np.ndarray, codes: np.ndarray) -> bool:
+    """Whether the code points of pattern stand next to each other in codes."""
+    part, whole, at = pattern.tobytes(), codes.tobytes(), -1
+    while (at := whole.find(part, at + 1)) >= 0:
+        if at % codes.itemsize == 0:
+            return True
+    return False
+
+
 def contaminated(p: Patterns, texts: list[str | None]) -> list[list[int]]:
     """The sorted items of which a window lies in each text."""
     out: list[list[int]] = [[] for _ in texts]
@@ -177,7 +191,7 @@ def contaminated(p: Patterns, texts: list[str | None]) -> list[list[int]]:
                 continue
             n = p.length[who[k]]
             a, b = max(int(first[k]), int(spans[text[k], 0])), min(int(first[k] + width[k] + n), int(spans[text[k], 1]))
-            if p.codes[who[k]].tobytes() in codes[a:b].tobytes():
+            if within(p.codes[who[k]], codes[a:b]):
                 got.add(pair)
             else:
                 rest.append(k)
@@ -192,20 +206,21 @@ def contaminated(p: Patterns, texts: list[str | None]) -> list[list[int]]:
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "text", *, block: int = BLOCK) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "text", *, block: int = BLOCK, least: int = LEAST) -> DataFrame:
     """One row for each row of docs: (id, contaminated, n_items, items).
 
     items lists, by id and joined by commas, the benchmark items of which a whole window lies in the text with at most
     RATE edits for each of its characters; an item no longer than a window is one window. The shortest excerpt of a longer
     item that is sure to be found is WINDOW characters if it is verbatim, WINDOW + STEP - 1 with RATE edits in any part of
     a window's length; a shorter one isn't searched for. Case, blanks and signs don't
-    count. The benchmark is the query set: it goes to the workers in blocks of at most block items, whatever its size,
-    and every whole text is searched where it lies. With one block nothing is shuffled; with more, only hits are. Null
-    texts and null or empty passages match nothing. Repeated rows of docs give repeated results, and items with the same
+    count. A passage with fewer than least letters and digits would be found in nearly every text, so it isn't searched
+    for; short_items lists these. The benchmark is the query set: it goes to the workers in blocks of about block items and
+    BLOCK_BYTES, whatever its size, and every whole text is searched where it lies. With one block nothing is shuffled;
+    with more, only hits are. Null texts and null or empty passages match nothing. Repeated rows of docs give repeated results, and items with the same
     id are one item; a null id of a benchmark item is ignored. An empty benchmark leaves all documents clean.
     """
     spark = shipped(docs.sparkSession)
-    blocks = item_blocks(benchmark, item_col, passage_col, block)
+    blocks = item_blocks(benchmark, item_col, passage_col, block, least)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def search(patterns: Patterns) -> DataFrame:
@@ -227,7 +242,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out.select(F.col("id").alias(id_col), (F.size("found") > 0).alias("contaminated"), F.size("found").cast("long").alias("n_items"), F.array_join("found", ",").alias("items"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", passage_col: str = "text", *, block: int = BLOCK) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", passage_col: str = "text", *, block: int = BLOCK, least: int = LEAST) -> DataFrame:
     """The rows of docs, with all their columns, that decontaminate finds clean. Rows are filtered where they lie, block after block."""
     spark = shipped(docs.sparkSession)
     place = docs.columns.index(text_col)
@@ -242,13 +257,20 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
         return docs.mapInArrow(run, docs.schema)
 
-    return reduce(clean, item_blocks(benchmark, item_col, passage_col, block), docs)
+    return reduce(clean, item_blocks(benchmark, item_col, passage_col, block, least), docs)
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, passage_col: str, block: int) -> Iterator[Patterns]:
-    """The benchmark's patterns, in blocks of about block items; there is at least one block, even if it is empty."""
+def item_blocks(benchmark: DataFrame, item_col: str, passage_col: str, block: int, least: int) -> Iterator[Patterns]:
+    """The benchmark's patterns, in blocks of about block items and BLOCK_BYTES; there is at least one block, even if it is empty."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(passage_col).cast("string").alias("passage")).where("item is not null")
-    blocks = max(1, -(-items.count() // block))
+    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("passage")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size.n // block), -(-size.bytes // BLOCK_BYTES))
     for k in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
-        yield patterns_of([(r.item, r.passage) for r in part.orderBy("item", "passage").collect()])
+        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "passage"), F.lit(blocks)) == k)
+        yield patterns_of([(r.item, r.passage) for r in part.orderBy("item", "passage").collect()], least)
+
+
+def short_items(benchmark: DataFrame, item_col: str = "item_id", passage_col: str = "text", *, least: int = LEAST) -> DataFrame:
+    """The rows (item, passage) of the benchmark that are too short to be searched for."""
+    signs = F.length(F.regexp_replace(F.coalesce(F.col(passage_col), F.lit("")), r"[^\p{L}\p{N}]", ""))
+    return benchmark.select(item_col, passage_col).where(signs < least)
