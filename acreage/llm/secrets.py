@@ -12,12 +12,17 @@ HEX = r"[0-9a-f]{32,}"
 IDENT = r"""(?i:client_?id|access_?key_?id|account_?id|user_?name)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]+)"""
 LOOSE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{32,}"
 ENDPOINT = r"(?i:https?|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[^\s\"'<>]+"
+#: Matches whose places are summed up at once.
+CHUNK = 128
 #: Kinds in the order in which spans with the same start are listed.
 KINDS = ["assign", "access", "hex", "ident", "loose", "endpoint"]
 
 
 def matches(text: Column, pattern: str, kind: str, least: int = 0, group: int = 0) -> Column:
-    """The leftmost non-overlapping matches as structs (start, rank, end, kind), in code points, whose group has least characters."""
+    """The leftmost non-overlapping matches as structs (start, rank, end, kind), in code points, whose group has least characters.
+
+    Places are summed up in chunks of CHUNK matches, so that a text with very many isn't copied for each of them.
+    """
     rank = KINDS.index(kind)
     whole, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
@@ -29,7 +34,12 @@ def matches(text: Column, pattern: str, kind: str, least: int = 0, group: int =
         end = start + x["width"]
         return F.struct(end.alias("at"), F.concat(acc["got"], F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["held"].alias("held")))).alias("got"))
 
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("got")), add)["got"]
+    def place(acc: Column, x: Column) -> Column:
+        return F.struct((acc["at"] + F.aggregate(x, F.lit(0), lambda n, y: n + y["skip"] + y["width"])).alias("at"), F.concat(acc["got"], F.array(acc["at"])).alias("got"))
+
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / CHUNK).cast("int")), lambda k: F.slice(steps, k * CHUNK + 1, CHUNK))
+    begins = F.aggregate(chunks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("got")), place)["got"]
+    found = F.flatten(F.zip_with(chunks, begins, lambda x, at: F.aggregate(x, F.struct(at.alias("at"), empty.alias("got")), add)["got"]))
     found = F.filter(found, lambda s: s["held"] >= least) if least else found
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
