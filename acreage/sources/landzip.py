@@ -5,11 +5,13 @@ from __future__ import annotations
 import csv
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from itertools import batched
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -143,5 +145,7 @@ def adapt(rows: DataFrame) -> DataFrame:
 
 
 def read_land_zip(spark: SparkSession, path: str) -> DataFrame:
+    # The reader travels with its code, so workers needn't have this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(LandZip)
     return adapt(spark.read.format("land_zip").load(path))

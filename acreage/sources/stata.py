@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
@@ -72,5 +74,7 @@ class StataReader(DataSourceReader):
 
 
 def read_stata(spark: SparkSession, path: str, columns: Sequence[str] = (), rows: int = 100_000) -> DataFrame:
+    # The reader travels with its code, so workers needn't have this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(Stata)
     return spark.read.format("stata").option("columns", ",".join(columns)).option("rows", rows).load(path)
