@@ -77,7 +77,10 @@ def clean(spark: SparkSession, a: argparse.Namespace) -> dict:
     out = Path(a.output_dir) / f"audit-{run_id}.json"
     try:
         raw = read_land_zip(spark, a.raw) if archive else read_stata(spark, a.raw, C.RAW_COLUMNS)
-        done = clean_transactions(raw, read_reference(spark, a.lookup, LOOKUP), read_reference(spark, a.aliases, ALIASES), run_id, start=a.period_start, end=a.period_end or C.PERIOD_END, places=a.places, renamed=a.place_aliases)
+        done = clean_transactions(
+            raw, read_reference(spark, a.lookup, LOOKUP), read_reference(spark, a.aliases, ALIASES), run_id,
+            start=a.period_start, end=a.period_end or C.PERIOD_END, places=a.places, renamed=a.place_aliases
+        )
         audit = done.audit()
         if archive and audit["primary_exclusion_reasons"]["duplicate_conflict"]:
             raise ValueError("the archive has conflicting duplicates")
@@ -88,14 +91,23 @@ def clean(spark: SparkSession, a: argparse.Namespace) -> dict:
         if known["status"] == "differs":
             raise ValueError(f"the counts of a known source differ: {known['differences']}")
         store = Store(spark, f"file://{Path(a.output_dir).resolve()}")
-        versions = {"clean": checked_write(store, "clean", done.clean, C.CLEAN), "excluded": checked_write(store, "excluded", done.excluded, C.EXCLUDED)}
+        versions = {
+            "clean": checked_write(store, "clean", done.clean, C.CLEAN),
+            "excluded": checked_write(store, "excluded", done.excluded, C.EXCLUDED)
+        }
         counts = {name: store.staged(name, v).count() for name, v in versions.items()}
-        gates = {"rows add up": counts["clean"] + counts["excluded"] == audit["row_counts"]["input_rows"], "written as counted": counts["clean"] == audit["row_counts"]["clean_rows"]}
+        gates = {
+            "rows add up": counts["clean"] + counts["excluded"] == audit["row_counts"]["input_rows"],
+            "written as counted": counts["clean"] == audit["row_counts"]["clean_rows"]
+        }
         if not all(gates.values()):
             raise ValueError(f"what was written does not add up: {gates}")
         store.publish(versions)
         times = {"started": started, "completed": datetime.now(UTC).isoformat(timespec="seconds")}
-        audit = {"status": "success", "run_id": run_id, **times, "source_sha256": digest, "baseline": known, "gates": gates, "results": audit}
+        audit = {
+            "status": "success", "run_id": run_id, **times, "source_sha256": digest, "baseline": known, "gates": gates,
+            "results": audit
+        }
     except Exception as error:
         replace_text(out, json.dumps({"status": "failed", "run_id": run_id, "error": str(error)}, ensure_ascii=False, indent=1))
         raise
@@ -122,19 +134,31 @@ def release(spark: SparkSession, a: argparse.Namespace) -> dict:
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     if a.command == "register":
-        print(json.dumps(Registry(a.release_root).register(a.source, released=a.release_date, period_end=a.period_end, url=a.source_url), ensure_ascii=False))
+        print(
+            json.dumps(
+                Registry(a.release_root).register(a.source, released=a.release_date, period_end=a.period_end, url=a.source_url),
+                ensure_ascii=False
+            )
+        )
         return 0
     if a.command == "report":
         text = render(json.loads(Path(a.audit).read_text(encoding="utf-8")))
         replace_text(Path(a.output), text) if a.output else print(text)
         return 0
     if a.command == "published":
-        Registry(a.release_root).published(a.release_id, a.target, batch=a.batch, recorded=datetime.now(UTC).isoformat(timespec="seconds"))
+        Registry(a.release_root).published(
+            a.release_id, a.target, batch=a.batch, recorded=datetime.now(UTC).isoformat(timespec="seconds")
+        )
         return 0
     spark = SparkSession.builder.config(map=CONF).getOrCreate()
     if a.command == "profile":
-        raw = (read_land_zip(spark, a.raw) if a.raw.lower().endswith(".zip") else read_stata(spark, a.raw, C.RAW_COLUMNS)).persist()
-        staged = staged_rows(raw, read_reference(spark, a.lookup, LOOKUP), read_reference(spark, a.aliases, ALIASES), "_row_pos", C.PERIOD_START, C.PERIOD_END)
+        raw = (
+            read_land_zip(spark, a.raw) if a.raw.lower().endswith(".zip") else read_stata(spark, a.raw, C.RAW_COLUMNS)
+        ).persist()
+        staged = staged_rows(
+            raw, read_reference(spark, a.lookup, LOOKUP), read_reference(spark, a.aliases, ALIASES), "_row_pos", C.PERIOD_START,
+            C.PERIOD_END
+        )
         print(json.dumps(write_csv(summaries(raw, staged), a.output_dir)))
         return 0
     if a.command == "release":

@@ -25,7 +25,9 @@ def roc_period(year: Column, month: Column) -> Column:
 
 
 def valid_period(year: Column, month: Column, start: int, end: int) -> Column:
-    return F.coalesce(number(year).isNotNull() & number(month).between(1, 12) & roc_period(year, month).between(start, end), F.lit(False))
+    return F.coalesce(
+        number(year).isNotNull() & number(month).between(1, 12) & roc_period(year, month).between(start, end), F.lit(False)
+    )
 
 
 def split_compact(c: Column) -> tuple[Column, Column, Column]:
@@ -43,7 +45,9 @@ def completion(c: Column, not_applicable: Column) -> tuple[Column, Column]:
     year, month, day = split_compact(digits)
     date = F.when(raw > 0, F.try_to_date(F.format_string("%04d-%02d-%02d", year + ROC, month, day), "yyyy-MM-dd"))
     blank = c.isNull() | (F.trim(c.cast("string")) == "")
-    status = F.when(not_applicable, "not_applicable").when(blank, "missing").when(F.length(digits) == 5, "ambiguous_5_digit").when(date.isNotNull(), "valid").otherwise("invalid")
+    status = F.when(not_applicable, "not_applicable").when(blank, "missing").when(
+        F.length(digits) == 5, "ambiguous_5_digit"
+    ).when(date.isNotNull(), "valid").otherwise("invalid")
     return F.when(~F.coalesce(not_applicable, F.lit(False)), date), status
 
 

@@ -17,7 +17,9 @@ def duplicate_kinds(df: DataFrame, key: Sequence[str], compare: Sequence[str], p
     row = F.struct(*[F.col(c) for c in compare])
     digest = F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
     first = [F.min(position).alias("first")] if position else []
-    got = df.dropna(subset=list(key)).groupBy(*key).agg(F.count("*").alias("n"), F.min(digest).alias("_lo"), F.max(digest).alias("_hi"), *first)
+    got = df.dropna(subset=list(key)).groupBy(*key).agg(
+        F.count("*").alias("n"), F.min(digest).alias("_lo"), F.max(digest).alias("_hi"), *first
+    )
     kind = F.when(F.col("_lo") == F.col("_hi"), "exact").otherwise("conflict")
     return got.where("n > 1").select(*key, "n", kind.alias("kind"), *(["first"] if position else []))
 
@@ -27,10 +29,16 @@ def duplicate_reason(df: DataFrame, key: Sequence[str], compare: Sequence[str],
 
     Rows without a key match nothing; they are dealt out by their position, so that they don't meet in one task.
     """
-    kinds = duplicate_kinds(df, key, compare, position).select(*key, F.lit(0).cast("long").alias("_deal"), F.col("kind").alias("_kind"), F.col("first").alias("_first"))
+    kinds = duplicate_kinds(df, key, compare, position).select(
+        *key, F.lit(0).cast("long").alias("_deal"), F.col("kind").alias("_kind"), F.col("first").alias("_first")
+    )
     some_null = F.greatest(*[F.col(k).isNull() for k in key], F.lit(False))
-    marked = df.withColumn("_deal", F.when(some_null, F.xxhash64(position)).otherwise(F.lit(0).cast("long"))).join(kinds, [*key, "_deal"], "left")
-    reason = F.when(F.col("_kind") == "conflict", "duplicate_conflict").when((F.col("_kind") == "exact") & (F.col(position) > F.col("_first")), "duplicate_exact")
+    marked = df.withColumn(
+        "_deal", F.when(some_null, F.xxhash64(position)).otherwise(F.lit(0).cast("long"))
+    ).join(kinds, [*key, "_deal"], "left")
+    reason = F.when(F.col("_kind") == "conflict", "duplicate_conflict").when(
+        (F.col("_kind") == "exact") & (F.col(position) > F.col("_first")), "duplicate_exact"
+    )
     return marked.withColumn("duplicate_reason", reason).drop("_kind", "_first", "_deal")
 
 

@@ -22,7 +22,9 @@ def measures(total: str = "total_price", unit: str = "unit_price") -> list[Colum
     mean_total = F.sum(F.col(total).cast("decimal(20,0)")) / F.count(total) / F.lit(10000)
     return [
         price(F.expr(f"percentile({total}, 0.5)") / 10000.0).alias("median_total"), price(mean_total).alias("mean_total"),
-        price(F.expr(f"percentile({unit}, 0.5)") * PING / 10000.0).alias("median_unit"), price(F.avg(unit) * PING / 10000.0).alias("mean_unit"),
+        price(
+            F.expr(f"percentile({unit}, 0.5)") * PING / 10000.0
+        ).alias("median_unit"), price(F.avg(unit) * PING / 10000.0).alias("mean_unit"),
         F.count("*").alias("n"),
     ]
 
@@ -37,8 +39,12 @@ def with_yoy(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     before = df.select(*keys, F.add_months("month", 12).alias("month"), *[F.col(c).alias(f"_{c}") for c in [*PRICES, "n"]])
     both = df.join(before, [*keys, "month"], "left")
     ratio = lambda a, b: (F.try_divide(F.col(a), F.col(b)) - 1).cast("decimal(14,8)")
-    count = F.when(F.col("_n") != 0, (F.col("n").cast("decimal(18,0)") / F.col("_n").cast("decimal(18,0)") - 1).cast("decimal(14,8)"))
-    return both.select(*keys, "month", *PRICES, "n", *[ratio(c, f"_{c}").alias(f"{c}_yoy") for c in PRICES], count.alias("n_yoy"))
+    count = F.when(
+        F.col("_n") != 0, (F.col("n").cast("decimal(18,0)") / F.col("_n").cast("decimal(18,0)") - 1).cast("decimal(14,8)")
+    )
+    return both.select(
+        *keys, "month", *PRICES, "n", *[ratio(c, f"_{c}").alias(f"{c}_yoy") for c in PRICES], count.alias("n_yoy")
+    )
 
 
 def windowed(facts: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
@@ -56,12 +62,17 @@ def dense(measured: DataFrame, spine: DataFrame, keys: Sequence[str] = ()) -> Da
     return spine.join(measured, [*keys, "month"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-def monthly(facts: DataFrame, keys: Sequence[str] = (), members: DataFrame | None = None, first: Column | None = None, last: Column | None = None, width: int = 1) -> DataFrame:
+def monthly(
+    facts: DataFrame, keys: Sequence[str] = (), members: DataFrame | None = None, first: Column | None = None,
+    last: Column | None = None, width: int = 1
+) -> DataFrame:
     """Indicators of each month (and member) over the dense spine, each over the width months that end with it.
 
     Without first and last, the spine goes from the first month that has all its width months to the last one of the facts.
     """
-    start, end = first if first is not None else F.add_months(F.min("month"), width - 1), last if last is not None else F.max("month")
+    start, end = first if first is not None else F.add_months(
+        F.min("month"), width - 1
+    ), last if last is not None else F.max("month")
     spine = month_spine(facts.agg(start.alias("first"), end.alias("last")))
     if members is not None:
         spine = spine.crossJoin(members)
@@ -78,7 +89,9 @@ def rolling_baseline(counts: DataFrame) -> DataFrame:
     Counts are one row for each month, so the single window partition is as long as the calendar, not as the facts.
     """
     before = "over (order by month range between interval 12 month preceding and interval 1 month preceding)"
-    return counts.select("month", "n", F.expr(f"percentile(n, 0.5) {before}").alias("baseline"), F.expr(f"count(n) {before}").alias("observed"))
+    return counts.select(
+        "month", "n", F.expr(f"percentile(n, 0.5) {before}").alias("baseline"), F.expr(f"count(n) {before}").alias("observed")
+    )
 
 
 def cutoff(facts: DataFrame, in_scope: Column) -> DataFrame:
@@ -88,7 +101,10 @@ def cutoff(facts: DataFrame, in_scope: Column) -> DataFrame:
     """
     scored = rolling_baseline(monthly_counts(facts, in_scope)).where("observed > 0")
     source = facts.agg(F.max("month").alias("source_max"))
-    fit = scored.join(F.broadcast(source), (F.col("month") <= F.add_months("source_max", -LAG_MONTHS)) & (F.col("n") >= F.col("baseline") * THRESHOLD))
+    fit = scored.join(
+        F.broadcast(source),
+        (F.col("month") <= F.add_months("source_max", -LAG_MONTHS)) & (F.col("n") >= F.col("baseline") * THRESHOLD)
+    )
     return source.join(fit.agg(F.max("month").alias("candidate")))
 
 
@@ -102,7 +118,10 @@ def rolling3(facts: DataFrame, keys: Sequence[str], members: DataFrame) -> DataF
     return monthly(facts, keys, members, width=3)
 
 
-def increment(stored: DataFrame, facts: DataFrame, months: Sequence[date], keys: Sequence[str] = (), members: DataFrame | None = None, width: int = 1) -> DataFrame:
+def increment(
+    stored: DataFrame, facts: DataFrame, months: Sequence[date], keys: Sequence[str] = (), members: DataFrame | None = None,
+    width: int = 1
+) -> DataFrame:
     """The indicators after the facts of some months have changed: only the given months are measured anew.
 
     Facts are filtered by their month before anything is summed, to the months that the given ones look back on, with
@@ -138,14 +157,18 @@ def share_of_total(parts: DataFrame, total: DataFrame) -> DataFrame:
     """Each member's share of the whole's count and the ratio of its median price to the whole's."""
     whole = total.select("month", F.col("n").alias("_n"), F.col("median_total").alias("_m"))
     share = F.try_divide(F.col("n").cast("double"), F.col("_n")).cast("decimal(14,8)")
-    return parts.join(whole, "month").withColumns({"share": share, "price_ratio": F.try_divide("median_total", "_m").cast("decimal(14,8)")}).drop("_n", "_m")
+    return parts.join(whole, "month").withColumns(
+        {"share": share, "price_ratio": F.try_divide("median_total", "_m").cast("decimal(14,8)")}
+    ).drop("_n", "_m")
 
 
 def cross_grain(fine: DataFrame, coarse: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Months (and keys) in which the counts of the fine grain do not add up to the coarse grain's."""
     added = fine.groupBy(*keys, "month").agg(F.sum("n").alias("fine"))
     both = coarse.select(*keys, "month", F.col("n").alias("coarse")).join(added, [*keys, "month"], "full")
-    return both.select(*keys, "month", F.coalesce("fine", F.lit(0)).alias("fine"), F.coalesce("coarse", F.lit(0)).alias("coarse")).where("fine <> coarse")
+    return both.select(
+        *keys, "month", F.coalesce("fine", F.lit(0)).alias("fine"), F.coalesce("coarse", F.lit(0)).alias("coarse")
+    ).where("fine <> coarse")
 
 
 def ordered_first(df: DataFrame, partition: Sequence[str], order: Sequence[Column]) -> DataFrame:

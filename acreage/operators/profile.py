@@ -17,7 +17,9 @@ def numeric_quality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         x = F.col(c).cast("double")
         return F.struct(
             F.lit(c).alias("column"), F.count("*").alias("rows"), F.count_if(x.isNull()).alias("missing"), F.count_if(x == 0).alias("zero"), F.count_if(x < 0).alias("negative"),
-            F.count_if(x > 0).alias("valid"), F.count_if((x > 0) & (F.abs(x - F.rint(x)) > WHOLE)).alias("non_integer"), F.min(F.when(x > 0, x)).alias("lowest"), F.max(F.when(x > 0, x)).alias("highest"),
+            F.count_if(x > 0).alias("valid"), F.count_if(
+                (x > 0) & (F.abs(x - F.rint(x)) > WHOLE)
+            ).alias("non_integer"), F.min(F.when(x > 0, x)).alias("lowest"), F.max(F.when(x > 0, x)).alias("highest"),
         )
 
     got = df.agg(F.array(*[block(c) for c in columns]).alias("b")).select(F.inline("b"))
@@ -26,7 +28,17 @@ def numeric_quality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def top_values(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     """(column, value, rows, k): the n most frequent values of each column, ties in order of the value; null is <NULL>."""
-    flat = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("<NULL>")).alias("value")) for c in columns])))
+    flat = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("<NULL>")).alias("value")
+                    ) for c in columns
+                ]
+            )
+        )
+    )
     counts = flat.groupBy("column", "value").agg(F.count("*").alias("rows"))
     rank = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("rows"), "value"))
     return counts.withColumn("k", rank).where(F.col("k") <= n)
@@ -37,23 +49,48 @@ def nearest_rank(df: DataFrame, column: str, shares: Sequence[float], keys: Sequ
     counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("v")).agg(F.count("*").alias("n"))
     one = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     run = counts.withColumns({"upto": F.sum("n").over(one.orderBy("v")), "total": F.sum("n").over(one)})
-    aggs = [F.min(F.when(F.col("upto") >= F.greatest(F.lit(1), F.ceil(F.col("total") * F.lit(s))), F.col("v"))).alias(f"p{round(s * 100):02d}") for s in shares]
-    return run.groupBy(*keys).agg(F.sum("n").alias("valid_rows"), F.min("v").alias("lowest"), *aggs, F.max("v").alias("highest"))
+    aggs = [
+        F.min(
+            F.when(F.col("upto") >= F.greatest(F.lit(1), F.ceil(F.col("total") * F.lit(s))), F.col("v"))
+        ).alias(f"p{round(s * 100):02d}") for s in shares
+    ]
+    return run.groupBy(*keys).agg(
+        F.sum("n").alias("valid_rows"), F.min("v").alias("lowest"), *aggs, F.max("v").alias("highest")
+    )
 
 
 def percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
     """(column, share, value): exact interpolated percentiles of the positive values, over all rows."""
-    flat = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]))).where("v > 0")
+    flat = df.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]))
+    ).where("v > 0")
     listed = F.array(*[F.lit(float(s)) for s in shares])
     got = flat.groupBy("column").agg(F.percentile("v", list(shares)).alias("p"))
     return got.select("column", F.inline(F.arrays_zip(listed.alias("share"), F.col("p").alias("value"))))
 
 
-def formula_match(df: DataFrame, formulas: Mapping[str, tuple[Column, Column, Column]], tolerance: float, keys: Sequence[str] = ()) -> DataFrame:
+def formula_match(
+    df: DataFrame, formulas: Mapping[str, tuple[Column, Column, Column]], tolerance: float, keys: Sequence[str] = ()
+) -> DataFrame:
     """(keys..., formula, comparable, matched, rate) of formulas {name: (applies, actual, expected)}."""
-    rows = df.select(*keys, F.inline(F.array(*[F.struct(F.lit(n).alias("formula"), a.alias("applies"), x.cast("double").alias("actual"), y.cast("double").alias("expected")) for n, (a, x, y) in formulas.items()])))
+    rows = df.select(
+        *keys,
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(n).alias("formula"), a.alias("applies"), x.cast("double").alias("actual"),
+                        y.cast("double").alias("expected")
+                    ) for n,
+                    (a, x, y) in formulas.items()
+                ]
+            )
+        )
+    )
     rows = rows.where(F.col("applies") & F.col("actual").isNotNull() & F.col("expected").isNotNull())
-    got = rows.groupBy(*keys, "formula").agg(F.count("*").alias("comparable"), F.count_if(close(F.col("actual"), F.col("expected"), tolerance)).alias("matched"))
+    got = rows.groupBy(*keys, "formula").agg(
+        F.count("*").alias("comparable"), F.count_if(close(F.col("actual"), F.col("expected"), tolerance)).alias("matched")
+    )
     return got.withColumn("rate", F.try_divide(F.col("matched").cast("double"), F.col("comparable")))
 
 
@@ -73,7 +110,9 @@ def examples(df: DataFrame, keys: Sequence[str], column: str, n: int = 15) -> Da
     distinct = df.where(F.col(column).isNotNull()).select(*keys, column).distinct()
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(column))
     few = distinct.withColumn("_k", rank).where(F.col("_k") <= n)
-    return few.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(F.col(column).cast("string"))), ",").alias("examples"))
+    return few.groupBy(*keys).agg(
+        F.array_join(F.array_sort(F.collect_list(F.col(column).cast("string"))), ",").alias("examples")
+    )
 
 
 def cross_tab(df: DataFrame, a: Column, b: Column) -> DataFrame:
@@ -82,16 +121,29 @@ def cross_tab(df: DataFrame, a: Column, b: Column) -> DataFrame:
 
 def relations(df: DataFrame, pairs: Mapping[str, tuple[Column, Column]], slack: float) -> DataFrame:
     """(pair, comparable, satisfied): how often the part is at most the whole, with some slack."""
-    rows = df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("pair"), p.cast("double").alias("part"), w.cast("double").alias("whole")) for n, (p, w) in pairs.items()])))
+    rows = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(n).alias("pair"), p.cast("double").alias("part"), w.cast("double").alias("whole")) for n,
+                    (p, w) in pairs.items()
+                ]
+            )
+        )
+    )
     rows = rows.where("part is not null and whole is not null")
-    return rows.groupBy("pair").agg(F.count("*").alias("comparable"), F.count_if(F.col("part") <= F.col("whole") + slack).alias("satisfied"))
+    return rows.groupBy("pair").agg(
+        F.count("*").alias("comparable"), F.count_if(F.col("part") <= F.col("whole") + slack).alias("satisfied")
+    )
 
 
 def detail_total(df: DataFrame, present: Column, detail: Column, total: Column, tolerance: float) -> DataFrame:
     """(present, rows, equal, greater, less) of a detail against its total."""
     gap = detail - total
     return df.groupBy(present.alias("present")).agg(
-        F.count("*").alias("rows"), F.count_if(F.abs(gap) <= tolerance).alias("equal"), F.count_if(gap > tolerance).alias("greater"), F.count_if(gap < -tolerance).alias("less"),
+        F.count("*").alias("rows"), F.count_if(
+            F.abs(gap) <= tolerance
+        ).alias("equal"), F.count_if(gap > tolerance).alias("greater"), F.count_if(gap < -tolerance).alias("less"),
     )
 
 
@@ -110,4 +162,6 @@ def transition_report(df: DataFrame, keys: Sequence[str], before: Column, after:
 
 def unmatched(df: DataFrame, columns: Sequence[str], missed: Column) -> DataFrame:
     """Combinations that found no match, blanks named."""
-    return df.where(missed).select(*[F.coalesce(F.col(c).cast("string"), F.lit("<BLANK>")).alias(c) for c in columns]).groupBy(*columns).agg(F.count("*").alias("rows"))
+    return df.where(missed).select(
+        *[F.coalesce(F.col(c).cast("string"), F.lit("<BLANK>")).alias(c) for c in columns]
+    ).groupBy(*columns).agg(F.count("*").alias("rows"))

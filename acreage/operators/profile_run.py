@@ -28,20 +28,33 @@ def parking_group(price: Column, size: Column) -> Column:
     )
 
 
-def parking_formulas(total: Column, area: Column, unit: Column, price: Column, size: Column) -> dict[tuple[str, str], tuple[Column, Column, Column]]:
+def parking_formulas(
+    total: Column, area: Column, unit: Column, price: Column, size: Column
+) -> dict[tuple[str, str], tuple[Column, Column, Column]]:
     """(applies, actual, expected) of each (group, formula): with the parking space, and without what is told of it."""
     group, told = parking_group(price, size), (total > 0) & (area > 0) & (unit > 0)
-    takes = {"unadjusted": (F.lit(0.0), F.lit(0.0)), "adjust_price_and_area": (price, size), "adjust_area_only": (F.lit(0.0), size), "adjust_price_only": (price, F.lit(0.0))}
-    asked = {"A_both_positive": ("adjust_price_and_area", "unadjusted"), "B_both_zero": ("unadjusted",), "C_size_only": ("unadjusted", "adjust_area_only"), "D_price_only": ("unadjusted", "adjust_price_only")}
+    takes = {
+        "unadjusted": (F.lit(0.0), F.lit(0.0)), "adjust_price_and_area": (price, size), "adjust_area_only": (F.lit(0.0), size),
+        "adjust_price_only": (price, F.lit(0.0))
+    }
+    asked = {
+        "A_both_positive": ("adjust_price_and_area", "unadjusted"), "B_both_zero": ("unadjusted",),
+        "C_size_only": ("unadjusted", "adjust_area_only"), "D_price_only": ("unadjusted", "adjust_price_only")
+    }
     out = {}
     for name, formulas in asked.items():
         for formula in formulas:
             off_price, off_size = takes[formula]
-            out[name, formula] = ((group == name) & told & (total > off_price) & (area > off_size), unit, F.try_divide(total - off_price, area - off_size))
+            out[name, formula] = (
+                (group == name) & told & (total > off_price) & (area > off_size), unit,
+                F.try_divide(total - off_price, area - off_size)
+            )
     return out
 
 
-def formula_groups(df: DataFrame, formulas: Mapping[tuple[str, str], tuple[Column, Column, Column]], tolerance: float = TOLERANCE) -> DataFrame:
+def formula_groups(
+    df: DataFrame, formulas: Mapping[tuple[str, str], tuple[Column, Column, Column]], tolerance: float = TOLERANCE
+) -> DataFrame:
     """(group, formula, comparable, matched, rate) of all groups and formulas in one pass."""
     got = profile.formula_match(df, {f"{g}|{f}": x for (g, f), x in formulas.items()}, tolerance)
     parts = F.split("formula", r"\|")
@@ -51,7 +64,9 @@ def formula_groups(df: DataFrame, formulas: Mapping[tuple[str, str], tuple[Colum
 def transitions(df: DataFrame) -> DataFrame:
     """Renamed counties: rows before and after the places were mapped, in the order of the report; PASS if none is lost."""
     six = df.where(F.col("city").isin(*MUNICIPALITIES))
-    got = profile.transition_report(six, ["city", "county_code", "raw_county"], F.col("raw_town").isNotNull(), F.col("town_id").isNotNull())
+    got = profile.transition_report(
+        six, ["city", "county_code", "raw_county"], F.col("raw_town").isNotNull(), F.col("town_id").isNotNull()
+    )
     place = F.array_position(F.array(*[F.lit(m) for m in MUNICIPALITIES]), F.col("city"))
     return got.orderBy(place, "county_code", "raw_county")
 
@@ -83,15 +98,26 @@ def summaries(raw: DataFrame, staged: DataFrame | None = None) -> dict[str, Data
         "price_area_summary": profile.numeric_quality(amounts, numbers),
         "price_area_percentiles": profile.percentiles(amounts, numbers, SHARES),
         "price_formula_validation": profile.formula_match(raw, {
-            "house_unit_price": ((normalize_text("type") == C.HOUSE) & (total > 0) & (area > 0) & (unit > 0), unit, F.try_divide(total, area)),
-            "parking_adjusted": ((normalize_text("type") == C.HOUSE_PARKING) & (total > price) & (area > size) & (unit > 0), unit, F.try_divide(total - price, area - size)),
+            "house_unit_price": (
+                (normalize_text("type") == C.HOUSE) & (total > 0) & (area > 0) & (unit > 0), unit, F.try_divide(total, area)
+            ),
+            "parking_adjusted": (
+                (normalize_text("type") == C.HOUSE_PARKING) & (total > price) & (area > size) & (unit > 0), unit,
+                F.try_divide(total - price, area - size)
+            ),
         }, TOLERANCE),
-        "parking_completeness": profile.cross_tab(parking, F.coalesce(price > 0, F.lit(False)), F.coalesce(size > 0, F.lit(False))),
+        "parking_completeness": profile.cross_tab(
+            parking, F.coalesce(price > 0, F.lit(False)), F.coalesce(size > 0, F.lit(False))
+        ),
         "parking_groups": count(parking, parking_group(price, size), "group"),
         "parking_formula_validation_detailed": formula_groups(parking, parking_formulas(total, area, unit, price, size)),
         "remaining_house_numeric_summary": profile.numeric_quality(layout, layout.columns),
-        "remaining_house_category_summary": profile.flag_counts(house, {x: normalize_text(x).isNotNull() for x in ("building_type", "usage", "manage")}),
-        "remaining_house_top_values": profile.top_values(house.select("building_type", "usage", "manage"), ["building_type", "usage", "manage"], 30),
+        "remaining_house_category_summary": profile.flag_counts(
+            house, {x: normalize_text(x).isNotNull() for x in ("building_type", "usage", "manage")}
+        ),
+        "remaining_house_top_values": profile.top_values(
+            house.select("building_type", "usage", "manage"), ["building_type", "usage", "manage"], 30
+        ),
         "date_complete_summary": count(built, c("status"), "status"),
         "date_complete_digit_lengths": count(house, digit_length(n("date_complete")), "digits"),
         "date_complete_validation": profile.cross_tab(built, c("status") == "valid", c("done").isNotNull()),
@@ -99,14 +125,23 @@ def summaries(raw: DataFrame, staged: DataFrame | None = None) -> dict[str, Data
         "note_summary": profile.flag_counts(raw, {"blank": note.isNull(), "nonblank": note.isNotNull()}),
         "note_pattern_summary": profile.flag_counts(raw, pattern_flags(note)),
         "note_flag_consistency": profile.cross_tab(raw, c("note").isNotNull(), note.isNotNull()),
-        "land_area_by_transaction_type": raw.groupBy(normalize_text("type").alias("type")).agg(F.count("*").alias("rows"), F.count_if(n("trans_landsize") > 0).alias("positive"), F.median(F.when(n("trans_landsize") > 0, n("trans_landsize"))).alias("median")),
-        "land_mismatch_by_land": profile.detail_total(raw, normalize_text("type") == C.LAND, F.coalesce(area, F.lit(0.0)), F.lit(0.0), 1e-9),
-        "building_area_relationships": profile.relations(parking, {"parking_within_building": (size, area), "parking_price_within_total": (price, total)}, TOLERANCE),
+        "land_area_by_transaction_type": raw.groupBy(normalize_text("type").alias("type")).agg(
+            F.count("*").alias("rows"), F.count_if(n("trans_landsize") > 0).alias("positive"),
+            F.median(F.when(n("trans_landsize") > 0, n("trans_landsize"))).alias("median")
+        ),
+        "land_mismatch_by_land": profile.detail_total(
+            raw, normalize_text("type") == C.LAND, F.coalesce(area, F.lit(0.0)), F.lit(0.0), 1e-9
+        ),
+        "building_area_relationships": profile.relations(
+            parking, {"parking_within_building": (size, area), "parking_price_within_total": (price, total)}, TOLERANCE
+        ),
         "completion_5digit_year_distribution": count(digits, F.floor(n("date_complete") / 100).cast("int"), "roc_year"),
         "completion_5digit_building_type": count(digits, normalize_text("building_type"), "building_type"),
         "completion_5digit_transaction_year": count(digits, n("trans_y").cast("int"), "year"),
         "completion_5digit_examples": profile.examples(digits, ["status"], "date_complete"),
-        "completion_after_transaction_gap": early.groupBy(numeric.bucket(c("gap"), [3, 6, 12, 24, 60]).alias("months")).agg(F.count("*").alias("rows")),
+        "completion_after_transaction_gap": early.groupBy(
+            numeric.bucket(c("gap"), [3, 6, 12, 24, 60]).alias("months")
+        ).agg(F.count("*").alias("rows")),
         "completion_after_transaction_building_type": count(early, normalize_text("building_type"), "building_type"),
         "completion_after_transaction_year": count(early, n("trans_y").cast("int"), "year"),
         "completion_after_transaction_type": count(early, normalize_text("type"), "type"),

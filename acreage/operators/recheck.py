@@ -17,7 +17,10 @@ VALUES = [*PRICES, "n", *[f"{p}_yoy" for p in PRICES], "n_yoy"]
 
 def snapshot(clean: DataFrame, key: str, rows: int | None = None) -> dict:
     """A batch is one cleaning run's, has each key once and, if rows is given, that many rows; raises where it doesn't."""
-    got = clean.agg(F.count("*").alias("rows"), F.countDistinct("cleaning_run_id").alias("runs"), F.count_if(F.col("cleaning_run_id").isNull()).alias("unnamed")).first()
+    got = clean.agg(
+        F.count("*").alias("rows"), F.countDistinct("cleaning_run_id").alias("runs"),
+        F.count_if(F.col("cleaning_run_id").isNull()).alias("unnamed")
+    ).first()
     if rows is not None and got.rows != rows:
         raise ValueError(f"{got.rows} rows, {rows} expected")
     if got.runs > 1 or got.unnamed:
@@ -37,7 +40,9 @@ def final_values(source: DataFrame, written: DataFrame, key: str, values: Sequen
 
 def first_gap(months: DataFrame, members: DataFrame | None, first: date, last: date) -> DataFrame:
     """The earliest (month, member keys) from first to last that is not among months, or no row."""
-    spine = months.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr("interval 1 month"))).alias("month"))
+    spine = months.sparkSession.range(1).select(
+        F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr("interval 1 month"))).alias("month")
+    )
     keys = members.columns if members is not None else []
     if members is not None:
         spine = spine.crossJoin(members)
@@ -58,7 +63,9 @@ def grains(tables: Mapping[str, DataFrame]) -> None:
     if not unequal(added, national, ["month"]).isEmpty():
         raise ValueError("the cities do not add up to the nation")
     anchors = district.select("month").distinct()
-    shifted = city.select("county_id", "n", F.explode(F.array("month", F.add_months("month", 1), F.add_months("month", 2))).alias("month"))
+    shifted = city.select(
+        "county_id", "n", F.explode(F.array("month", F.add_months("month", 1), F.add_months("month", 2))).alias("month")
+    )
     rolled = shifted.groupBy("county_id", "month").agg(F.sum("n").alias("n")).join(anchors, "month", "left_semi")
     if not unequal(district.groupBy("county_id", "month").agg(F.sum("n").alias("n")), rolled, ["county_id", "month"]).isEmpty():
         raise ValueError("the districts do not add up to their cities")
@@ -77,7 +84,9 @@ def expected(facts: DataFrame, places: DataFrame, keys: Sequence[str], width: in
     k = "".join(f"{c}, " for c in keys)
     on = lambda a, b: "".join(f" and {a}.{c} = {b}.{c}" for c in keys)
     middle = lambda c: f"avg(case when r_{c} in (floor((m + 1) / 2), ceil((m + 1) / 2)) then {c} end)"
-    copies = " union all ".join(f"select {k}cast(add_months(month, {b}) as date) as month, total_price, unit_price from placed" for b in range(width))
+    copies = " union all ".join(
+        f"select {k}cast(add_months(month, {b}) as date) as month, total_price, unit_price from placed" for b in range(width)
+    )
     change = lambda c: f"cast(try_divide(d.{c}, b.{c}) - 1 as decimal(14,8)) as {c}_yoy"
     members = f"cross join (select distinct {k.rstrip(', ')} from {{places}})" if keys else ""
     return facts.sparkSession.sql(
@@ -109,6 +118,12 @@ def first_differences(want: DataFrame, stored: DataFrame, keys: Sequence[str], l
     a = want.select(*keys, F.struct(*VALUES).alias("e"))
     both = a.join(stored.select(*keys, F.struct(*VALUES).alias("a")), list(keys), "full")
     names = F.array(*[F.when(~F.col(f"e.{v}").eqNullSafe(F.col(f"a.{v}")), F.lit(v)) for v in VALUES])
-    found = both.select(*keys, F.col("a").isNull().alias("missing"), F.col("e").isNull().alias("unexpected"), F.array_join(F.filter(names, lambda x: x.isNotNull()), ",").alias("differing"))
+    found = both.select(
+        *keys, F.col("a").isNull().alias("missing"), F.col("e").isNull().alias("unexpected"),
+        F.array_join(F.filter(names, lambda x: x.isNotNull()), ",").alias("differing")
+    )
     found = found.where("missing or unexpected or differing <> ''")
-    return found.select(*keys, "missing", "unexpected", F.when(~F.col("missing") & ~F.col("unexpected"), F.col("differing")).otherwise("").alias("differing")).orderBy("month", *[c for c in keys if c != "month"]).limit(limit)
+    return found.select(
+        *keys, "missing", "unexpected",
+        F.when(~F.col("missing") & ~F.col("unexpected"), F.col("differing")).otherwise("").alias("differing")
+    ).orderBy("month", *[c for c in keys if c != "month"]).limit(limit)

@@ -11,7 +11,10 @@ def share(part: int, whole: int) -> str:
 
 
 def table(heads: list[str], rows: list[list]) -> list[str]:
-    return ["| " + " | ".join(heads) + " |", "|" + " --- |" * len(heads), *["| " + " | ".join(str(c) for c in r) + " |" for r in rows], ""]
+    return [
+        "| " + " | ".join(heads) + " |", "|" + " --- |" * len(heads),
+        *["| " + " | ".join(str(c) for c in r) + " |" for r in rows], ""
+    ]
 
 
 def local(time: str) -> str:
@@ -28,8 +31,13 @@ def render(audit: dict) -> str:
     lines = [f"# Cleaning run {audit['run_id']}", "", f"Source: `{audit['source_sha256']}`", ""]
     if "started" in audit:
         seconds = int((datetime.fromisoformat(audit["completed"]) - datetime.fromisoformat(audit["started"])).total_seconds())
-        lines += [f"From {local(audit['started'])} to {local(audit['completed'])} (Taipei), {seconds // 60} min {seconds % 60} s", ""]
-    lines += table(["Rows", "Count", "Share"], [[k, n[f"{k}_rows"], share(n[f"{k}_rows"], n["input_rows"])] for k in ("input", "clean", "excluded")])
+        lines += [
+            f"From {local(audit['started'])} to {local(audit['completed'])} (Taipei), {seconds // 60} min {seconds % 60} s", ""
+        ]
+    lines += table(
+        ["Rows", "Count", "Share"],
+        [[k, n[f"{k}_rows"], share(n[f"{k}_rows"], n["input_rows"])] for k in ("input", "clean", "excluded")]
+    )
     if "gates" in audit:
         known = audit["baseline"]
         lines += ["## Gates", ""] + table(["Gate", "Result"], [[k, "PASS" if v else "FAIL"] for k, v in audit["gates"].items()] + [["known source", f"{known['status']}, {len(known['differences'])} differences"]])

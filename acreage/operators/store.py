@@ -60,7 +60,9 @@ class Files:
         finally:
             stream.close()
         context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf)
-        options = self.jvm.java.lang.reflect.Array.newInstance(self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
+        options = self.jvm.java.lang.reflect.Array.newInstance(
+            self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1
+        )
         options[0] = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
         context.rename(held, self._path(f"{self.root}/{name}"), options)
 
@@ -118,7 +120,9 @@ def checked_write(store: Store, name: str, df: DataFrame, schema: T.StructType)
     kinds = [(f.name, f.dataType) for f in back.schema.fields]
     if kinds != [(f.name, f.dataType) for f in schema.fields]:
         raise ValueError(f"{name}: columns differ from the contract: {kinds}")
-    nulls = back.agg(*[F.count_if(F.col(f.name).isNull()).alias(f.name) for f in schema.fields if not f.nullable] or [F.lit(0).alias("none")]).first().asDict()
+    nulls = back.agg(
+        *[F.count_if(F.col(f.name).isNull()).alias(f.name) for f in schema.fields if not f.nullable] or [F.lit(0).alias("none")]
+    ).first().asDict()
     if any(nulls.values()):
         raise ValueError(f"{name}: nulls in {[k for k, v in nulls.items() if v]}")
     return version

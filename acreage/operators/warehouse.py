@@ -20,7 +20,9 @@ STAGED = [f.name for f in C.CLEAN.fields]
 COMPARED = [c for c in STAGED if c not in (STAGING_KEY, "cleaning_run_id")]
 #: What a change of a record must touch to reach the fact table.
 FACT = ["month", "location_id", "building_type_id", "transaction_type", "total_price", "unit_price"]
-GRAINS = {"national": ([], 1), "city": (["county_id", "city"], 1), "district": (["county_id", "town_id", "city", "district"], 3)}
+GRAINS = {
+    "national": ([], 1), "city": (["county_id", "city"], 1), "district": (["county_id", "town_id", "city", "district"], 3)
+}
 START = date.fromisoformat(C.ANALYSIS_START)
 
 
@@ -43,7 +45,12 @@ class Warehouse:
                 raise ValueError(f"{dim.count()} places, {places} expected")
             if buildings.count() != C.BUILDING_MEMBERS:
                 raise ValueError(f"there must be {C.BUILDING_MEMBERS} building members")
-            self.store.publish({"dim_location": self.store.stage("dim_location", dim.coalesce(1)), "dim_building_type": self.store.stage("dim_building_type", buildings.coalesce(1))})
+            self.store.publish(
+                {
+                    "dim_location": self.store.stage("dim_location", dim.coalesce(1)),
+                    "dim_building_type": self.store.stage("dim_building_type", buildings.coalesce(1))
+                }
+            )
 
     def run(self, clean: DataFrame, batch: str) -> dict:
         """Recover what one earlier run left failed, then load the batch through all layers under one lock."""
@@ -66,7 +73,9 @@ class Warehouse:
         """Rebuild facts and all indicators from staging."""
         with exclusive(self.lock_file):
             def work() -> dict:
-                self.store.publish({"facts": self.store.stage_parts("facts", self._checked_facts(self.store.read("staging")), "month")})
+                self.store.publish(
+                    {"facts": self.store.stage_parts("facts", self._checked_facts(self.store.read("staging")), "month")}
+                )
                 return self._publish_kpi(None)
 
             return self.ledger.run("analytics", "full", work)
@@ -81,7 +90,9 @@ class Warehouse:
         """The parts of a table after a merge: rows of the touched months are written anew, all other parts stay as they are."""
         current = self.store.versions().get(name, {})
         days = {str(m) for m in touched}
-        old = self.store.staged(name, {m: v for m, v in current.items() if m in days}) if days & current.keys() else fresh.limit(0)
+        old = self.store.staged(
+            name, {m: v for m, v in current.items() if m in days}
+        ) if days & current.keys() else fresh.limit(0)
         parts = self.store.stage_parts(name, merge.upsert(fresh, old.select(*fresh.columns), key, compare), "month")
         return {m: v for m, v in current.items() if m not in days} | parts
 
@@ -92,8 +103,12 @@ class Warehouse:
         fresh = clean.withColumn("month", month_start(F.make_date("transaction_year", "transaction_month", F.lit(1))))
         old = self.store.read("staging").select(*fresh.columns) if self.store.exists("staging") else fresh.limit(0)
         new_facts, old_facts = self._facts(clean), self._facts(old.join(clean.select(STAGING_KEY), STAGING_KEY, "left_semi"))
-        rows = merge.classify(fresh, old, STAGING_KEY, COMPARED, COMPARED).select(STAGING_KEY, "change", F.col("old_month").alias("staged_month"))
-        core = merge.classify(new_facts, old_facts, STAGING_KEY, FACT, FACT).select(STAGING_KEY, "old_month", "new_month", "has_core_impact")
+        rows = merge.classify(fresh, old, STAGING_KEY, COMPARED, COMPARED).select(
+            STAGING_KEY, "change", F.col("old_month").alias("staged_month")
+        )
+        core = merge.classify(new_facts, old_facts, STAGING_KEY, FACT, FACT).select(
+            STAGING_KEY, "old_month", "new_month", "has_core_impact"
+        )
         version = self.store.stage("changes", rows.join(core, STAGING_KEY))
         changes = self.store.staged("changes", version)
         totals = merge.change_totals(changes).first().asDict()
@@ -102,7 +117,9 @@ class Warehouse:
         # A changed record may have stood in another month; that part is written anew without it.
         applied = changes.where("change <> 'unchanged'")
         touched = months_of(applied, "staged_month", "new_month")
-        written = self._merged("staging", fresh.join(applied.select(STAGING_KEY), STAGING_KEY, "left_semi"), touched, STAGING_KEY, COMPARED) if touched else None
+        written = self._merged(
+            "staging", fresh.join(applied.select(STAGING_KEY), STAGING_KEY, "left_semi"), touched, STAGING_KEY, COMPARED
+        ) if touched else None
         impact = self.store.stage("impact", merge.month_impact(changes).coalesce(1))
         self.store.publish({"staging": written} if written is not None else {})
         self.ledger.put("changes", batch, status="success", result={"changes": version, "impact": impact})
@@ -120,13 +137,17 @@ class Warehouse:
         fresh = self._checked_facts(self.store.read("staging").join(touched, STAGING_KEY, "left_semi"))
         if fresh.count() != n:
             raise ValueError("changed records are missing from staging")
-        old = self.store.read("facts").join(touched, STAGING_KEY, "left_semi").select(*fresh.columns) if self.store.exists("facts") else fresh.limit(0)
+        old = self.store.read("facts").join(
+            touched, STAGING_KEY, "left_semi"
+        ).select(*fresh.columns) if self.store.exists("facts") else fresh.limit(0)
         changes = self.store.staged("synced", self.store.stage("synced", merge.classify(fresh, old, STAGING_KEY, FACT, FACT)))
         totals = merge.change_totals(changes).first().asDict()
         months = months_of(changes.where("change <> 'unchanged'"), "old_month", "new_month")
         if months:
             parts = self._merged("facts", fresh, months_of(changes, "old_month", "new_month"), STAGING_KEY, FACT)
-            recheck.final_values(fresh, self.store.staged("facts", parts).join(touched, STAGING_KEY, "left_semi"), STAGING_KEY, FACT)
+            recheck.final_values(
+                fresh, self.store.staged("facts", parts).join(touched, STAGING_KEY, "left_semi"), STAGING_KEY, FACT
+            )
             self.store.publish({"facts": parts})
         return {"source": n} | {k: int(totals[k]) for k in ("inserted", "updated", "unchanged", "applied")}
 

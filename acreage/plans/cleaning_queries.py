@@ -36,7 +36,9 @@ def duplicate_reasons(spark: SparkSession, d: str) -> DataFrame:
 def conditions() -> dict[str, Column]:
     return {
         "missing_source_transaction_id": F.col("txn_id").isNull() | (F.col("txn_id") % 97 == 0),
-        "invalid_transaction_period": ~F.col("month").between(F.lit("1995-06-01").cast("date"), F.lit("2001-01-01").cast("date")),
+        "invalid_transaction_period": ~F.col("month").between(
+            F.lit("1995-06-01").cast("date"), F.lit("2001-01-01").cast("date")
+        ),
         "unmapped_location": F.col("town").endswith("8"),
         "excluded_transaction_type": F.col("kind") == "P",
     }
@@ -58,26 +60,40 @@ def reasons(spark: SparkSession, d: str) -> DataFrame:
 def clean_split(spark: SparkSession, d: str) -> DataFrame:
     """Rows kept and excluded by month; together they are the input."""
     clean, excluded = split(reasons(spark, d))
-    both = clean.groupBy("month").agg(F.count("*").alias("clean")).join(excluded.groupBy("month").agg(F.count("*").alias("excluded")), "month", "full")
-    return both.select("month", F.coalesce("clean", F.lit(0)).alias("clean"), F.coalesce("excluded", F.lit(0)).alias("excluded"))
+    both = clean.groupBy("month").agg(F.count("*").alias("clean")).join(
+        excluded.groupBy("month").agg(F.count("*").alias("excluded")), "month", "full"
+    )
+    return both.select(
+        "month", F.coalesce("clean", F.lit(0)).alias("clean"), F.coalesce("excluded", F.lit(0)).alias("excluded")
+    )
 
 
 def contract_violations(spark: SparkSession, d: str) -> DataFrame:
     lines = read(spark, d, "lineitem")
-    found = violations(lines, {"quantity_positive": F.col("l_quantity") > 10, "discount_small": F.col("l_discount") <= 0.05, "linenumber_set": F.col("l_linenumber").isNotNull()})
+    found = violations(
+        lines,
+        {
+            "quantity_positive": F.col("l_quantity") > 10, "discount_small": F.col("l_discount") <= 0.05,
+            "linenumber_set": F.col("l_linenumber").isNotNull()
+        }
+    )
     return spark.createDataFrame(sorted(found.items()), "predicate string, rows long")
 
 
 def exclusion_ids(spark: SparkSession, d: str) -> DataFrame:
     out = reasons(spark, d).where("reason is not null")
-    return out.select("txn_id", F.format_string("%s-E%09d", F.lit("run1"), F.col("txn_id")).alias("exclusion_record_id"), "reason")
+    return out.select(
+        "txn_id", F.format_string("%s-E%09d", F.lit("run1"), F.col("txn_id")).alias("exclusion_record_id"), "reason"
+    )
 
 
 def roc_dates(spark: SparkSession, d: str) -> DataFrame:
     """ROC dates written compactly and read back; some are spoilt on purpose."""
     k = F.col("txn_id")
     y, m, dd = F.year("day") - 1911, F.month("day"), F.dayofmonth("day")
-    raw = F.when(k % 10 == 1, "").when(k % 10 == 2, "85061").when(k % 10 == 3, F.concat((y * 100 + 13).cast("string"), F.lit("01"))).when(k % 10 == 4, "860231").otherwise((y * 10000 + m * 100 + dd).cast("string"))
+    raw = F.when(k % 10 == 1, "").when(k % 10 == 2, "85061").when(
+        k % 10 == 3, F.concat((y * 100 + 13).cast("string"), F.lit("01"))
+    ).when(k % 10 == 4, "860231").otherwise((y * 10000 + m * 100 + dd).cast("string"))
     rows = ledger(spark, d).select("txn_id", raw.alias("raw"), (F.col("kind") == "P").alias("land"))
     date, status = dates.completion(F.col("raw"), F.col("land"))
     return rows.select("txn_id", date.alias("completion_date"), status.alias("status"))
@@ -85,37 +101,56 @@ def roc_dates(spark: SparkSession, d: str) -> DataFrame:
 
 def safe_dates(spark: SparkSession, d: str) -> DataFrame:
     """Dates built from parts; days that don't exist become null."""
-    rows = ledger(spark, d).select("txn_id", F.year("day").alias("y"), F.month("day").alias("m"), (F.col("txn_id") % 33).alias("d"))
+    rows = ledger(spark, d).select(
+        "txn_id", F.year("day").alias("y"), F.month("day").alias("m"), (F.col("txn_id") % 33).alias("d")
+    )
     return rows.select("txn_id", dates.build_date(F.col("y"), F.col("m"), F.col("d")).alias("date"))
 
 
 def positive_values(spark: SparkSession, d: str) -> DataFrame:
     """Amounts as text, some blank, negative, spelt NaN or broken: value, validity, wholeness."""
     k = F.col("txn_id")
-    raw = F.when(k % 8 == 0, "").when(k % 8 == 1, "NaN").when(k % 8 == 2, "abc").when(k % 8 == 3, F.concat(F.lit("-"), F.col("total_price").cast("string"))).when(k % 8 == 4, F.concat(F.col("total_price").cast("string"), F.lit(".5"))).otherwise(F.col("total_price").cast("string"))
+    raw = F.when(k % 8 == 0, "").when(k % 8 == 1, "NaN").when(k % 8 == 2, "abc").when(k % 8 == 3, F.concat(F.lit("-"), F.col("total_price").cast("string"))).when(
+        k % 8 == 4, F.concat(F.col("total_price").cast("string"), F.lit(".5"))
+    ).otherwise(F.col("total_price").cast("string"))
     rows = ledger(spark, d).select("txn_id", raw.alias("raw"))
     value, valid, _, part = numeric.positive_integer(F.col("raw"))
     real, real_valid, _ = numeric.positive_float(F.col("raw"))
     layout, _, failed = numeric.nonnegative_integer(F.col("raw"))
-    return rows.select("txn_id", value.alias("value"), valid.alias("valid"), part.alias("part"), real.alias("real"), real_valid.alias("real_valid"), layout.cast("long").alias("layout"), failed.alias("failed"))
+    return rows.select(
+        "txn_id", value.alias("value"), valid.alias("valid"), part.alias("part"), real.alias("real"),
+        real_valid.alias("real_valid"), layout.cast("long").alias("layout"), failed.alias("failed")
+    )
 
 
 def normal_text(spark: SparkSession, d: str) -> DataFrame:
     docs = read(spark, d, "documents")
-    return docs.select("doc_id", text.normalize_text(F.concat(F.lit(" \t"), F.coalesce("text", F.lit("")), F.lit(" \n"))).alias("normal"))
+    return docs.select(
+        "doc_id", text.normalize_text(F.concat(F.lit(" \t"), F.coalesce("text", F.lit("")), F.lit(" \n"))).alias("normal")
+    )
 
 
 def categories(spark: SparkSession, d: str) -> DataFrame:
     parts = read(spark, d, "part")
-    return parts.select("p_partkey", text.keyword_category(F.col("p_type"), ["STEEL", "COPPER", "BRASS", "PROMO"], "other").alias("category"), text.tri_state(F.substring("p_brand", -1, 1), "1", "2").alias("flag"), text.label_missing(F.nullif(F.col("p_type"), F.lit("PROMO"))).alias("label"))
+    return parts.select(
+        "p_partkey", text.keyword_category(F.col("p_type"), ["STEEL", "COPPER", "BRASS", "PROMO"], "other").alias("category"),
+        text.tri_state(F.substring("p_brand", -1, 1), "1", "2").alias("flag"),
+        text.label_missing(F.nullif(F.col("p_type"), F.lit("PROMO"))).alias("label")
+    )
 
 
 def alias_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Places renamed by an alias table, then looked up; both tables are small and checked to have one row for each key."""
-    places = read(spark, d, "nation").join(F.broadcast(read(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("county"), F.col("n_name").alias("town"), F.col("n_nationkey").alias("town_id"))
+    places = read(spark, d, "nation").join(F.broadcast(read(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("r_name").alias("county"), F.col("n_name").alias("town"), F.col("n_nationkey").alias("town_id")
+    )
     aliases = places.where("town_id % 5 = 2").select("county", F.lower("town").alias("town"), F.col("town").alias("target"))
-    raw = ledger(spark, d).select("txn_id", "county", F.when(F.col("txn_id") % 2 == 0, F.lower("town")).otherwise(F.col("town")).alias("town"))
-    renamed = raw.join(F.broadcast(aliases), ["county", "town"], "left").select("txn_id", "county", F.coalesce("target", "town").alias("town"))
+    raw = ledger(spark, d).select(
+        "txn_id", "county", F.when(F.col("txn_id") % 2 == 0, F.lower("town")).otherwise(F.col("town")).alias("town")
+    )
+    renamed = raw.join(F.broadcast(aliases), ["county", "town"], "left").select(
+        "txn_id", "county", F.coalesce("target", "town").alias("town")
+    )
     return renamed.join(F.broadcast(places), ["county", "town"], "left").select("txn_id", "town", "town_id")
 
 
@@ -146,7 +181,9 @@ ORACLES = {
     "duplicate_reasons": f"""with {DOUBLED}, k as (select l_orderkey, count(*) as n, count(distinct (l_linenumber, l_quantity, l_extendedprice)) as v, min(pos) as f from d group by 1)
         select pos, d.l_orderkey, case when v > 1 then 'duplicate_conflict' when n > 1 and pos > f then 'duplicate_exact' end as duplicate_reason from d join k on d.l_orderkey = k.l_orderkey""",
     "exclusion_reasons": f"with {SQL} select txn_id, month, {REASON_SQL} as reason from ledger",
-    "independent_checks": f"with {SQL} " + " union all ".join(f"select '{n}' as \"check\", count_if({c}) as rows from ledger" for n, c in CONDITIONS_SQL.items()),
+    "independent_checks": f"with {SQL} " + " union all ".join(
+        f"select '{n}' as \"check\", count_if({c}) as rows from ledger" for n, c in CONDITIONS_SQL.items()
+    ),
     "clean_split": f"with {SQL} select month, count_if({REASON_SQL} is null) as clean, count_if({REASON_SQL} is not null) as excluded from ledger group by month",
     "contract_violations": """select 'quantity_positive' as predicate, count_if(not l_quantity > 10) as rows from lineitem union all select 'discount_small', count_if(not l_discount <= 0.05) from lineitem
         union all select 'linenumber_set', count_if(l_linenumber is null) from lineitem""",

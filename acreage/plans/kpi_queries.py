@@ -47,7 +47,9 @@ def published(spark: SparkSession, d: str) -> DataFrame:
 
 def month_spine(spark: SparkSession, d: str) -> DataFrame:
     counts = kpi_facts(spark, d).groupBy("town", "month").agg(F.count("*").alias("n"))
-    spine = kpi.month_spine(counts.agg(F.min("month").alias("first"), F.max("month").alias("last"))).join(F.broadcast(towns(spark, d)))
+    spine = kpi.month_spine(
+        counts.agg(F.min("month").alias("first"), F.max("month").alias("last"))
+    ).join(F.broadcast(towns(spark, d)))
     return spine.join(counts, ["town", "month"], "left").select("town", "month", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -77,13 +79,19 @@ def cross_grain_check(spark: SparkSession, d: str) -> DataFrame:
 
 def cross_grain_rolling(spark: SparkSession, d: str) -> DataFrame:
     """Sums of the towns' rolling counts against three months of the regions'."""
-    shifted = by_region(spark, d).groupBy("month").agg(F.sum("n").alias("n")).withColumn("month", F.explode(F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda k: F.add_months("month", k))))
+    shifted = by_region(spark, d).groupBy("month").agg(F.sum("n").alias("n")).withColumn(
+        "month", F.explode(F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda k: F.add_months("month", k)))
+    )
     coarse = shifted.groupBy("month").agg(F.sum("n").alias("n"))
-    return kpi.cross_grain(rolling3_nation(spark, d), coarse.join(rolling3_nation(spark, d).select("month").distinct(), "month", "left_semi"))
+    return kpi.cross_grain(
+        rolling3_nation(spark, d), coarse.join(rolling3_nation(spark, d).select("month").distinct(), "month", "left_semi")
+    )
 
 
 def observed_months(spark: SparkSession, d: str) -> DataFrame:
-    return kpi_facts(spark, d).groupBy("county").agg(F.array_sort(F.collect_set("month")).alias("m")).select("county", F.array_join(F.transform("m", lambda x: x.cast("string")), ",").alias("months"))
+    return kpi_facts(spark, d).groupBy("county").agg(F.array_sort(F.collect_set("month")).alias("m")).select(
+        "county", F.array_join(F.transform("m", lambda x: x.cast("string")), ",").alias("months")
+    )
 
 
 def incremental_equals_full(spark: SparkSession, d: str) -> DataFrame:
@@ -94,7 +102,9 @@ def incremental_equals_full(spark: SparkSession, d: str) -> DataFrame:
     core = ["month", "kind", "total_price"]
     impact = month_impact(classify(new, old, "txn_id", [*core, "town"], core))
     merged = upsert(new, old, "txn_id", [*core, "town"])
-    count = lambda facts: facts.where(in_scope()).groupBy("month").agg(F.count("*").alias("n"), F.sum("total_price").alias("total"))
+    count = lambda facts: facts.where(in_scope()).groupBy("month").agg(
+        F.count("*").alias("n"), F.sum("total_price").alias("total")
+    )
     months, _ = affected_months(impact)
     kept = count(old).join(months, "month", "left_anti")
     fresh = count(merged.join(F.broadcast(months), "month", "left_semi"))
@@ -108,7 +118,9 @@ def affected(rolling: int):
         core = ["month", "kind", "total_price"]
         impact = month_impact(classify(batch(spark, d), target(spark, d), "txn_id", [*core, "town"], core))
         own, yearly = affected_months(impact.where("month >= date'2000-06-01'"), rolling)
-        return yearly.join(own.withColumn("recompute", F.lit(True)), "month", "left").select("month", F.coalesce("recompute", F.lit(False)).alias("recompute"))
+        return yearly.join(own.withColumn("recompute", F.lit(True)), "month", "left").select(
+            "month", F.coalesce("recompute", F.lit(False)).alias("recompute")
+        )
 
     return run
 
@@ -184,17 +196,28 @@ ORACLES = {
     "rolling3_nation": ROLLING_SQL,
     "rolling_baseline": f"with {SQL}, {BASELINE} select * from scored",
     "cutoff_month": f"with {SQL}, {BASELINE} select * from cut",
-    "monthly_kpi_published": kpi_sql(where="and month <= (select candidate from cut)", last="any_value((select candidate from cut))").replace("facts as (select", f"{BASELINE},\n             facts as (select", 1),
+    "monthly_kpi_published": kpi_sql(
+        where="and month <= (select candidate from cut)", last="any_value((select candidate from cut))"
+    ).replace("facts as (select", f"{BASELINE},\n             facts as (select", 1),
     "month_spine": kpi_sql("town", "cross join (select n_name as town from nation)", out="select town, month, n from dense"),
     "empty_spine": "select cast(null as date) as month where false",
-    "missing_months": kpi_sql("town", "cross join (select n_name as town from nation)", out="select town, month from dense where n = 0"),
+    "missing_months": kpi_sql(
+        "town", "cross join (select n_name as town from nation)", out="select town, month from dense where n = 0"
+    ),
     "region_share": REGION_SQL.replace("select * from kpi", "")
     + """, whole as (select month, count(*) as n, cast(quantile_cont(total_price, 0.5) / 10000.0 as decimal(18,6)) as m from facts group by month)
         select county, kpi.month, kpi.n, cast(cast(kpi.n as double) / whole.n as decimal(14,8)) as share, cast(cast(median_total as double) / m as decimal(14,8)) as price_ratio
         from kpi left join whole on kpi.month = whole.month""",
-    "yoy_region": REGION_SQL.replace("select * from kpi", "select county, month, median_total_yoy, mean_total_yoy, median_unit_yoy, mean_unit_yoy, n_yoy from kpi"),
-    "trailing_12": kpi_sql(out="select month, n, median_total from kpi where month > (select max(month) from kpi) - interval 12 month"),
-    "trailing_24": kpi_sql(out="select month, n, median_total from kpi where month > (select max(month) from kpi) - interval 24 month"),
+    "yoy_region": REGION_SQL.replace(
+        "select * from kpi",
+        "select county, month, median_total_yoy, mean_total_yoy, median_unit_yoy, mean_unit_yoy, n_yoy from kpi"
+    ),
+    "trailing_12": kpi_sql(
+        out="select month, n, median_total from kpi where month > (select max(month) from kpi) - interval 12 month"
+    ),
+    "trailing_24": kpi_sql(
+        out="select month, n, median_total from kpi where month > (select max(month) from kpi) - interval 24 month"
+    ),
     "cross_grain_check": "select cast(null as date) as month, 0 as fine, 0 as coarse where false",
     "cross_grain_rolling": "select cast(null as date) as month, 0 as fine, 0 as coarse where false",
     "observed_months": f"with {SQL} select county, string_agg(distinct cast(month as varchar), ',' order by cast(month as varchar)) as months from ledger where kind in ('F', 'O') group by county",

@@ -22,13 +22,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations and regions have a fixed number of rows, so they are broadcast; customers are left to the planner."""
-    places = read(spark, sf_dir, "nation").join(F.broadcast(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    places = read(spark, sf_dir, "nation").join(
+        F.broadcast(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
+    )
     customers = read(spark, sf_dir, "customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
     orders = read(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return orders.select(
         F.col("o_orderkey").alias("txn_id"), month_start(F.col("o_orderdate")).alias("month"), F.col("o_orderdate").cast("date").alias("day"),
         F.col("n_name").alias("town"), F.col("r_name").alias("county"), F.col("o_orderstatus").alias("kind"), F.col("o_orderpriority").alias("building"),
-        F.round("o_totalprice").cast("bigint").alias("total_price"), (F.col("o_totalprice") / (20 + F.col("o_orderkey") % 80)).alias("unit_price"), F.col("o_totalprice").alias("price"),
+        F.round("o_totalprice").cast("bigint").alias("total_price"), (
+            F.col("o_totalprice") / (20 + F.col("o_orderkey") % 80)
+        ).alias("unit_price"), F.col("o_totalprice").alias("price"),
     )
 
 
@@ -45,8 +49,14 @@ def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("txn_id")
     sent = ledger(spark, sf_dir).where("txn_id % 3 <> 1")
     edited = sent.select(
-        F.when(k % 11 == 0, -k).otherwise(k).alias("txn_id"), F.when(k % 7 == 0, F.add_months("month", 1)).otherwise(F.col("month")).alias("month"),
-        "kind", F.when(k % 5 == 0, F.col("total_price") + 1).otherwise(F.col("total_price")).alias("total_price"), F.when(k % 4 == 0, F.lower("town")).otherwise(F.col("town")).alias("town"),
+        F.when(k % 11 == 0, -k).otherwise(k).alias("txn_id"), F.when(
+            k % 7 == 0, F.add_months("month", 1)
+        ).otherwise(F.col("month")).alias("month"),
+        "kind", F.when(
+            k % 5 == 0, F.col("total_price") + 1
+        ).otherwise(F.col("total_price")).alias("total_price"), F.when(
+            k % 4 == 0, F.lower("town")
+        ).otherwise(F.col("town")).alias("town"),
     )
     return edited
 

@@ -31,7 +31,9 @@ QUERIES = {
     "month_impact": month_impact,
     "change_totals": lambda spark, d: merge.change_totals(changes(spark, d)),
     "upsert_result": lambda spark, d: merge.upsert(batch(spark, d), target(spark, d), "txn_id", ALL),
-    "batch_semi_join": lambda spark, d: batch(spark, d).join(changes(spark, d).where("change = 'updated'"), "txn_id", "left_semi"),
+    "batch_semi_join": lambda spark, d: batch(spark, d).join(
+        changes(spark, d).where("change = 'updated'"), "txn_id", "left_semi"
+    ),
     "null_safe_diff": null_safe_diff,
 }
 

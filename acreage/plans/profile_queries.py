@@ -21,30 +21,43 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
 
 def with_gaps(spark: SparkSession, d: str) -> DataFrame:
     q = F.col("l_quantity")
-    return lines(spark, d).select("l_orderkey", F.when(q == 7, None).when(q == 8, 0.0).when(q == 9, -q).when(q == 10, q + 0.5).otherwise(q).alias("q"), F.when(q % 5 != 0, F.col("l_extendedprice")).alias("p"), "l_returnflag", "l_linestatus")
+    return lines(spark, d).select(
+        "l_orderkey", F.when(q == 7, None).when(q == 8, 0.0).when(q == 9, -q).when(q == 10, q + 0.5).otherwise(q).alias("q"),
+        F.when(q % 5 != 0, F.col("l_extendedprice")).alias("p"), "l_returnflag", "l_linestatus"
+    )
 
 
 def formulas() -> dict:
     q, p = F.col("l_quantity"), F.col("l_extendedprice")
-    return {"unit": (q > 0, p / q, F.round(p / q, 0)), "net": (F.col("l_discount") > 0, p * (1 - F.col("l_discount")), p * 0.95)}
+    return {
+        "unit": (q > 0, p / q, F.round(p / q, 0)), "net": (F.col("l_discount") > 0, p * (1 - F.col("l_discount")), p * 0.95)
+    }
 
 
 def gap_buckets(spark: SparkSession, d: str) -> DataFrame:
     ship = lines(spark, d).join(read(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     gap = month_gap(F.col("l_shipdate"), F.lit("1996-01-01").cast("date"))
-    return ship.select(bucket(gap, [3, 6, 12, 24, 60]).alias("bucket")).where("bucket is not null").groupBy("bucket").agg(F.count("*").alias("rows"))
+    return ship.select(
+        bucket(gap, [3, 6, 12, 24, 60]).alias("bucket")
+    ).where("bucket is not null").groupBy("bucket").agg(F.count("*").alias("rows"))
 
 
 def row_sums(spark: SparkSession, d: str) -> DataFrame:
-    return with_gaps(spark, d).select("l_orderkey", F.round(sum_present([F.col("q"), F.col("p")]), 4).alias("total")).groupBy("l_orderkey").agg(F.count("total").alias("n"), F.round(F.sum("total"), 2).alias("total"))
+    return with_gaps(spark, d).select(
+        "l_orderkey", F.round(sum_present([F.col("q"), F.col("p")]), 4).alias("total")
+    ).groupBy("l_orderkey").agg(F.count("total").alias("n"), F.round(F.sum("total"), 2).alias("total"))
 
 
 def parked(spark: SparkSession, d: str) -> DataFrame:
     """Lines as sales with a parking space, of which price, size, both or neither are told, or null."""
     k, size = F.col("l_orderkey") % 6, F.col("l_quantity") / 10
     return lines(spark, d).select(
-        F.col("l_extendedprice").alias("total"), F.col("l_quantity").alias("area"), (F.col("l_extendedprice") / F.col("l_quantity") * (1 + F.col("l_discount") / 10)).alias("unit"),
-        F.when(k == 5, None).when(k.isin(0, 3), F.col("l_extendedprice") * F.col("l_tax")).otherwise(0.0).alias("pp"), F.when(k.isin(0, 2), size).when(k == 4, -size).otherwise(0.0).alias("ps"),
+        F.col("l_extendedprice").alias("total"), F.col("l_quantity").alias("area"), (
+            F.col("l_extendedprice") / F.col("l_quantity") * (1 + F.col("l_discount") / 10)
+        ).alias("unit"),
+        F.when(k == 5, None).when(
+            k.isin(0, 3), F.col("l_extendedprice") * F.col("l_tax")
+        ).otherwise(0.0).alias("pp"), F.when(k.isin(0, 2), size).when(k == 4, -size).otherwise(0.0).alias("ps"),
     )
 
 
@@ -55,20 +68,35 @@ QUERIES = {
     "percentiles": lambda s, d: profile.percentiles(with_gaps(s, d), ["q", "p"], [0.01, 0.5, 0.99]),
     "formula_match": lambda s, d: profile.formula_match(lines(s, d), formulas(), 0.5),
     "formula_matrix": lambda s, d: profile.formula_match(lines(s, d), formulas(), 0.5, ["l_returnflag", "l_linestatus"]),
-    "regex_categories": lambda s, d: profile.flag_counts(read(s, d, "documents"), {n: F.col("text").rlike(p) for n, p in PATTERNS.items()}),
+    "regex_categories": lambda s, d: profile.flag_counts(
+        read(s, d, "documents"), {n: F.col("text").rlike(p) for n, p in PATTERNS.items()}
+    ),
     "month_gap_buckets": gap_buckets,
     "share_of_total": lambda s, d: profile.distribution(ledger(s, d), F.year("month"), "year"),
     "tuple_uniqueness": lambda s, d: profile.uniqueness(with_gaps(s, d), ["l_orderkey", "q"]),
     "group_examples": lambda s, d: profile.examples(read(s, d, "part"), ["p_brand"], "p_type", 3),
     "flag_cross_tab": lambda s, d: profile.cross_tab(lines(s, d), F.col("l_returnflag") == "R", F.col("l_quantity") > 25),
-    "area_relations": lambda s, d: profile.relations(with_gaps(s, d), {"q_p": (F.col("q") * 1000, F.col("p")), "p_q": (F.col("p"), F.col("q") * 1000)}, 0.01),
-    "detail_total": lambda s, d: profile.detail_total(lines(s, d), F.col("l_discount") > 0, F.col("l_quantity"), F.lit(25.0), 0.5),
-    "transition_report": lambda s, d: profile.transition_report(ledger(s, d), ["county", "kind"], F.col("town").isNotNull(), ~F.col("town").endswith("2") | (F.col("kind") == "P")),
+    "area_relations": lambda s, d: profile.relations(
+        with_gaps(s, d), {"q_p": (F.col("q") * 1000, F.col("p")), "p_q": (F.col("p"), F.col("q") * 1000)}, 0.01
+    ),
+    "detail_total": lambda s, d: profile.detail_total(
+        lines(s, d), F.col("l_discount") > 0, F.col("l_quantity"), F.lit(25.0), 0.5
+    ),
+    "transition_report": lambda s, d: profile.transition_report(
+        ledger(s, d), ["county", "kind"], F.col("town").isNotNull(), ~F.col("town").endswith("2") | (F.col("kind") == "P")
+    ),
     "parking_groups": lambda s, d: profile.distribution(parked(s, d), parking_group(F.col("pp"), F.col("ps")), "group"),
-    "parking_formulas": lambda s, d: formula_groups(parked(s, d), parking_formulas(*[F.col(c) for c in ("total", "area", "unit", "pp", "ps")]), 50.0),
-    "unmatched_places": lambda s, d: profile.unmatched(ledger(s, d).select("county", F.when(~F.col("town").endswith("3"), F.col("town")).alias("town")), ["county", "town"], F.col("town").isNull() | F.col("town").endswith("7")),
+    "parking_formulas": lambda s, d: formula_groups(
+        parked(s, d), parking_formulas(*[F.col(c) for c in ("total", "area", "unit", "pp", "ps")]), 50.0
+    ),
+    "unmatched_places": lambda s, d: profile.unmatched(
+        ledger(s, d).select("county", F.when(~F.col("town").endswith("3"), F.col("town")).alias("town")), ["county", "town"],
+        F.col("town").isNull() | F.col("town").endswith("7")
+    ),
     "row_sums": row_sums,
-    "digit_lengths": lambda s, d: ledger(s, d).groupBy(digit_length(F.col("total_price")).alias("digits")).agg(F.count("*").alias("rows")),
+    "digit_lengths": lambda s, d: ledger(s, d).groupBy(
+        digit_length(F.col("total_price")).alias("digits")
+    ).agg(F.count("*").alias("rows")),
 }
 
 GAPS = "g as (select l_orderkey, case l_quantity when 7 then null when 8 then 0.0 when 9 then -l_quantity when 10 then l_quantity + 0.5 else l_quantity end::double as q, case when l_quantity % 5 <> 0 then l_extendedprice end as p, l_returnflag, l_linestatus from lineitem)"
@@ -84,10 +112,14 @@ ORACLES = {
     "numeric_quality": f"with {GAPS} " + " union all ".join(QUALITY.format(c=c) for c in ("q", "p")),
     "top_values": " union all ".join(f"({TOP.format(c=c)})" for c in ("l_returnflag", "l_linestatus", "l_linenumber")),
     "nearest_rank": "select l_returnflag, count(*) as valid_rows, min(l_linenumber) as lowest, quantile_disc(l_linenumber, 0.5) as p50, quantile_disc(l_linenumber, 0.95) as p95, quantile_disc(l_linenumber, 0.99) as p99, max(l_linenumber) as highest from lineitem group by 1",
-    "percentiles": f"with {GAPS} " + " union all ".join(f"select '{c}' as \"column\", {s}::double as share, quantile_cont({c}, {s}) as value from g where {c} > 0" for c in ("q", "p") for s in (0.01, 0.5, 0.99)),
+    "percentiles": f"with {GAPS} " + " union all ".join(
+        f"select '{c}' as \"column\", {s}::double as share, quantile_cont({c}, {s}) as value from g where {c} > 0" for c in ("q", "p") for s in (0.01, 0.5, 0.99)
+    ),
     "formula_match": MATCH.format(k="", g=""),
     "formula_matrix": MATCH.format(k="l_returnflag, l_linestatus,", g="group by l_returnflag, l_linestatus"),
-    "regex_categories": " union all ".join(f"select '{n}' as flag, count_if(regexp_matches(text, '{p}')) as rows from documents" for n, p in PATTERNS.items()),
+    "regex_categories": " union all ".join(
+        f"select '{n}' as flag, count_if(regexp_matches(text, '{p}')) as rows from documents" for n, p in PATTERNS.items()
+    ),
     "month_gap_buckets": """with m as (select (year(l_shipdate) - 1996) * 12 + month(l_shipdate) - 1 as g from lineitem)
         select case when g <= 3 then '1-3' when g <= 6 then '4-6' when g <= 12 then '7-12' when g <= 24 then '13-24' when g <= 60 then '25-60' else '>60' end as bucket, count(*) as rows from m where g >= 1 group by 1""",
     "share_of_total": f"with {SQL} select year(month) as year, count(*) as rows, count(*)::double / sum(count(*)) over () as share from ledger group by 1",

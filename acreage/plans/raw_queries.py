@@ -24,21 +24,41 @@ def raw(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("txn_id")
     sometimes = lambda n, a, b: F.when(k % n == 0, a).otherwise(b)
     columns = {
-        "no": sometimes(41, F.lit("  "), F.concat(F.lit(" T"), k.cast("string"))), "trans_y": (k % 15 + 100).cast("int"), "trans_m": (k % 14).cast("int"), "trans_d": (k % 33).cast("int"),
-        "county": F.col("county"), "countycd": F.substring("county", 1, 2), "town": F.when(k % 29 == 0, " ").when(k % 31 == 0, F.concat(F.lit("OLD "), F.col("town"))).otherwise(F.concat(F.lit("　"), F.col("town"))),
-        "type": pick(KINDS, k), "trans_landsize": F.when(k % 7 == 0, 0.0).when(k % 11 == 0, -1.0).otherwise(k % 50 + 0.5), "usage_type": sometimes(6, F.lit(None), pick(USES, k)), "nonurban_type": F.lit(""),
-        "building_type": pick(C.BUILDING_TYPES, k), "usage": sometimes(5, F.lit("見其它登記事項"), F.lit("住家用")), "date_complete": sometimes(6, F.lit(None), pick(COMPLETED, k)), "trans_size": (k % 50).cast("double"),
-        "room": (k % 6 - 1).cast("int"), "hall": F.lit(2), "bath": sometimes(3, F.lit(None), F.lit(1)), "manage": pick(("有", "無", ""), k), "housing_totprice": sometimes(13, F.lit(0.0), F.col("total_price").cast("double")),
-        "h_price_m2": sometimes(17, F.lit(None), F.col("unit_price")), "parking_size": k % 2 * 10.0, "parking_price": k % 3 * 1000.0, "note": sometimes(4, F.lit("  "), F.lit("含車位")),
+        "no": sometimes(
+            41, F.lit("  "), F.concat(F.lit(" T"), k.cast("string"))
+        ), "trans_y": (k % 15 + 100).cast("int"), "trans_m": (k % 14).cast("int"), "trans_d": (k % 33).cast("int"),
+        "county": F.col("county"), "countycd": F.substring("county", 1, 2), "town": F.when(k % 29 == 0, " ").when(
+            k % 31 == 0, F.concat(F.lit("OLD "), F.col("town"))
+        ).otherwise(F.concat(F.lit("　"), F.col("town"))),
+        "type": pick(KINDS, k), "trans_landsize": F.when(k % 7 == 0, 0.0).when(k % 11 == 0, -1.0).otherwise(k % 50 + 0.5), "usage_type": sometimes(
+            6, F.lit(None), pick(USES, k)
+        ), "nonurban_type": F.lit(""),
+        "building_type": pick(C.BUILDING_TYPES, k), "usage": sometimes(5, F.lit("見其它登記事項"), F.lit("住家用")), "date_complete": sometimes(
+            6, F.lit(None), pick(COMPLETED, k)
+        ), "trans_size": (k % 50).cast("double"),
+        "room": (k % 6 - 1).cast("int"), "hall": F.lit(2), "bath": sometimes(3, F.lit(None), F.lit(1)), "manage": pick(("有", "無", ""), k), "housing_totprice": sometimes(
+            13, F.lit(0.0), F.col("total_price").cast("double")
+        ),
+        "h_price_m2": sometimes(
+            17, F.lit(None), F.col("unit_price")
+        ), "parking_size": k % 2 * 10.0, "parking_price": k % 3 * 1000.0, "note": sometimes(4, F.lit("  "), F.lit("含車位")),
     }
     return ledger(spark, d).select(*[v.alias(c) for c, v in columns.items()], k.alias("_row_pos"))
 
 
 def places(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     named = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    county, town = F.format_string("%05d", F.col("n_regionkey") + 63000), F.format_string("%05d%03d", F.col("n_regionkey") + 63000, F.col("n_nationkey"))
-    lookup = named.select(F.substring("r_name", 1, 2).alias("legacy_county_code"), F.format_string("%02d", F.col("n_nationkey")).alias("legacy_town_code"), county.alias("county_id"), town.alias("town_id"), F.col("r_name").alias("city"), F.col("n_name").alias("district"))
-    return lookup, lookup.select("legacy_county_code", F.concat(F.lit("OLD "), "district").alias("raw_town"), F.col("district").alias("normalized_town"))
+    county, town = F.format_string("%05d", F.col("n_regionkey") + 63000), F.format_string(
+        "%05d%03d", F.col("n_regionkey") + 63000, F.col("n_nationkey")
+    )
+    lookup = named.select(
+        F.substring("r_name", 1, 2).alias("legacy_county_code"),
+        F.format_string("%02d", F.col("n_nationkey")).alias("legacy_town_code"), county.alias("county_id"),
+        town.alias("town_id"), F.col("r_name").alias("city"), F.col("n_name").alias("district")
+    )
+    return lookup, lookup.select(
+        "legacy_county_code", F.concat(F.lit("OLD "), "district").alias("raw_town"), F.col("district").alias("normalized_town")
+    )
 
 
 def cleaned(spark: SparkSession, d: str) -> Cleaned:

@@ -41,55 +41,103 @@ def folder(spark: SparkSession) -> str:
 
 def archive(path: str, nations: list[tuple[int, str]]) -> None:
     """A ZIP of two counties' files with a row for each nation, the way the publisher writes them, and a file to be left out."""
-    row = {"type": C.HOUSE, "trans_landsize": "50", "usage_type": "住宅區", "nonurban_type": "", "building_type": C.BUILDING_TYPES[3], "usage": "住家用", "date_complete": "1000101", "trans_size": "100", "hall": "2", "bath": "1", "manage": "有", "h_price_m2": "100000", "parking_size": "0", "parking_price": "0", "note": ""}
+    row = {
+        "type": C.HOUSE, "trans_landsize": "50", "usage_type": "住宅區", "nonurban_type": "", "building_type": C.BUILDING_TYPES[3],
+        "usage": "住家用", "date_complete": "1000101", "trans_size": "100", "hall": "2", "bath": "1", "manage": "有",
+        "h_price_m2": "100000", "parking_size": "0", "parking_price": "0", "note": ""
+    }
     with zipfile.ZipFile(path, "w") as z:
         for letter, parking in (("z", PARKING_HEADERS[0]), ("A", PARKING_HEADERS[1])):
             out = io.StringIO()
-            out.write("﻿" + ",".join(parking if k == "parking_size" else h for k, h in HEADERS.items()) + "\n" + ",".join("english" for _ in HEADERS) + "\n")
+            out.write(
+                "﻿" + ",".join(
+                    parking if k == "parking_size" else h for k, h in HEADERS.items()
+                ) + "\n" + ",".join("english" for _ in HEADERS) + "\n"
+            )
             for k, name in nations:
-                own = row | {"town": name, "date": f"112{k % 12 + 1:02d}05", "room": str(k % 5), "housing_totprice": str(1_000_000 + k), "no": f"{letter}{k}"}
+                own = row | {
+                    "town": name, "date": f"112{k % 12 + 1:02d}05", "room": str(k % 5), "housing_totprice": str(1_000_000 + k),
+                    "no": f"{letter}{k}"
+                }
                 out.write(",".join(own[c] for c in HEADERS) + "\n")
             z.writestr(f"{letter}_lvr_land_a.csv", out.getvalue())
         z.writestr("a_lvr_land_b.csv", "not a file of sales")
 
 
 def nations(spark: SparkSession, d: str) -> list[tuple[int, str]]:
-    return [tuple(r) for r in read(spark, d, "nation").select(F.col("n_nationkey").cast("int"), "n_name").orderBy("n_nationkey").collect()]
+    return [
+        tuple(r) for r in read(spark, d, "nation").select(
+            F.col("n_nationkey").cast("int"), "n_name"
+        ).orderBy("n_nationkey").collect()
+    ]
 
 
 def land_zip(spark: SparkSession, d: str) -> DataFrame:
     path = f"{folder(spark)}/land.zip"
     archive(path, nations(spark, d))
-    return read_land_zip(spark, path).select("no", "countycd", "county", "town", "usage_type", "trans_y", "trans_m", "trans_d", "room", "housing_totprice", F.col("_row_pos").alias("position"))
+    return read_land_zip(spark, path).select(
+        "no", "countycd", "county", "town", "usage_type", "trans_y", "trans_m", "trans_d", "room", "housing_totprice",
+        F.col("_row_pos").alias("position")
+    )
 
 
 def stata(spark: SparkSession, d: str) -> DataFrame:
     path = f"{folder(spark)}/nation.dta"
-    pd.DataFrame(nations(spark, d), columns=["k", "name"]).assign(half=lambda t: t.k / 2, unused=1).to_stata(path, write_index=False)
-    return read_stata(spark, path, ["name", "k", "half"], rows=7).select(F.col("_row_pos").alias("position"), "name", "k", "half")
+    pd.DataFrame(
+        nations(spark, d), columns=["k", "name"]
+    ).assign(half=lambda t: t.k / 2, unused=1).to_stata(path, write_index=False)
+    return read_stata(spark, path, ["name", "k", "half"], rows=7).select(
+        F.col("_row_pos").alias("position"), "name", "k", "half"
+    )
 
 
 def lookup_of(spark: SparkSession, d: str) -> DataFrame:
     """Places built from two sources, a table of towns and a workbook of official ids, through CSV and XLSX files."""
     at = folder(spark)
     rows = read(spark, d, "nation").select("n_regionkey", "n_nationkey", "n_name").orderBy("n_nationkey").collect()
-    pd.DataFrame([(chr(65 + r.n_regionkey), f"{r.n_nationkey:02d}", f"R{r.n_regionkey}", f" {r.n_name} ") for r in rows], columns=["hsn_cd", "town_cd", "hsn_nm", "town_nm"]).to_csv(f"{at}/towns.csv", index=False)
-    workbook(f"{at}/ids.xlsx", [("hsn_nm", "town_nm", "county_id", "town_id"), *[(f"R{r.n_regionkey}", r.n_name, f"{10000 + r.n_regionkey}", f"{10000 + r.n_regionkey}{r.n_nationkey:03d}") for r in rows]])
+    pd.DataFrame(
+        [(chr(65 + r.n_regionkey), f"{r.n_nationkey:02d}", f"R{r.n_regionkey}", f" {r.n_name} ") for r in rows],
+        columns=["hsn_cd", "town_cd", "hsn_nm", "town_nm"]
+    ).to_csv(f"{at}/towns.csv", index=False)
+    workbook(
+        f"{at}/ids.xlsx",
+        [
+            ("hsn_nm", "town_nm", "county_id", "town_id"),
+            *[
+                (
+                    f"R{r.n_regionkey}", r.n_name, f"{10000 + r.n_regionkey}", f"{10000 + r.n_regionkey}{r.n_nationkey:03d}"
+                ) for r in rows
+            ]
+        ]
+    )
     towns = read_reference(spark, f"file://{at}/towns.csv", ["hsn_cd", "town_cd", "hsn_nm", "town_nm"], len(rows))
     return build_lookup(towns, delivery.read_workbook(spark, f"{at}/ids.xlsx", ["hsn_nm", "town_nm", "county_id", "town_id"]))
 
 
 def workbook(path: str, rows: list[tuple[str, ...]]) -> None:
-    cells = "".join(f'<row r="{i}">' + "".join(f'<c r="{chr(65 + j)}{i}" t="inlineStr"><is><t>{v}</t></is></c>' for j, v in enumerate(row)) + "</row>" for i, row in enumerate(rows, 1))
+    cells = "".join(
+        f'<row r="{i}">' + "".join(
+            f'<c r="{chr(65 + j)}{i}" t="inlineStr"><is><t>{v}</t></is></c>' for j, v in enumerate(row)
+        ) + "</row>" for i,
+        row in enumerate(rows, 1)
+    )
     with zipfile.ZipFile(path, "w") as z:
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{cells}</sheetData></worksheet>')
+        z.writestr(
+            "xl/worksheets/sheet1.xml",
+            f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{cells}</sheetData></worksheet>'
+        )
 
 
 def store_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """A checked table, written, published by the pointer and read; a second version that nobody published stays unseen."""
     store = Store(spark, f"file://{folder(spark)}/s")
     customers = read(spark, d, "customer")
-    schema = T.StructType([T.StructField("c_custkey", T.LongType(), False), T.StructField("c_name", T.StringType()), T.StructField("c_acctbal", T.DoubleType())])
+    schema = T.StructType(
+        [
+            T.StructField("c_custkey", T.LongType(), False), T.StructField("c_name", T.StringType()),
+            T.StructField("c_acctbal", T.DoubleType())
+        ]
+    )
     store.publish({"customers": checked_write(store, "customers", customers, schema)})
     checked_write(store, "customers", customers.limit(3), schema)
     return store.read("customers")
@@ -101,7 +149,9 @@ def store_parts(spark: SparkSession, d: str) -> DataFrame:
     facts = ledger(spark, d).select("txn_id", "total_price", "month").where("month < date'1996-01-01'")
     parts = store.stage_parts("facts", facts, "month")
     store.publish({"facts": parts})
-    june = store.stage_parts("facts", facts.where("month = date'1995-06-01'").withColumn("total_price", F.col("total_price") + 1), "month")
+    june = store.stage_parts(
+        "facts", facts.where("month = date'1995-06-01'").withColumn("total_price", F.col("total_price") + 1), "month"
+    )
     store.publish({"facts": {m: v for m, v in parts.items() if m != "1995-03-01"} | june})
     return store.read("facts").select("txn_id", "total_price", "month")
 
@@ -177,30 +227,62 @@ def run_ledger(spark: SparkSession, d: str) -> DataFrame:
 def gates(spark: SparkSession, d: str) -> DataFrame:
     """Every gate with an input that keeps it and inputs that break it."""
     places = lookup_of(spark, d)
-    aliases = spark.createDataFrame([("A", "OLD", places.where("legacy_county_code = 'A'").orderBy("town_id").first().district)], ", ".join(f"{c} string" for c in ALIASES))
+    aliases = spark.createDataFrame(
+        [("A", "OLD", places.where("legacy_county_code = 'A'").orderBy("town_id").first().district)],
+        ", ".join(f"{c} string" for c in ALIASES)
+    )
     day = date(2013, 1, 1)
     counts = lambda *rows: spark.createDataFrame([(day, *r) for r in rows], "month date, county_id string, n long")
-    grains = {"national": counts(("", 3)).drop("county_id"), "city": counts(("a", 2), ("b", 1)), "district": counts(("a", 2), ("b", 1))}
+    grains = {
+        "national": counts(("", 3)).drop("county_id"), "city": counts(("a", 2), ("b", 1)),
+        "district": counts(("a", 2), ("b", 1))
+    }
     batch = spark.createDataFrame([("x", "r1"), ("y", "r1")], "id string, cleaning_run_id string")
     months = spark.createDataFrame([(date(2013, 1, 1),), (date(2013, 3, 1),)], "month date")
     fact = spark.createDataFrame([("x", 5, None), ("y", None, "t")], "id string, v int, w string")
-    bad_id = places.withColumn("town_id", F.when(F.col("district") == F.lit(aliases.first().normalized_town), "1").otherwise(F.col("town_id")))
+    bad_id = places.withColumn(
+        "town_id", F.when(F.col("district") == F.lit(aliases.first().normalized_town), "1").otherwise(F.col("town_id"))
+    )
     kpi_row = "select date'2013-01-01' as month, {n} as n, {p} as median_total, 1.0 as mean_total, 1.0 as median_unit, 1.0 as mean_unit, {y} as median_total_yoy, 0.0 as mean_total_yoy, 0.0 as median_unit_yoy, 0.0 as mean_unit_yoy, 0.0 as n_yoy"
     kpi_case = lambda n, p, y: require(spark.sql(kpi_row.format(n=n, p=p, y=y)), C.kpi_rules(), "kpi")
-    facts = spark.sql(f"select 'a' as source_transaction_id, date'2013-01-01' as month, 1 as location_id, {star.FIRST_OFFICIAL} as building_type_id, '{C.HOUSE}' as transaction_type, 5L as total_price, 1.0D as unit_price")
+    facts = spark.sql(
+        f"select 'a' as source_transaction_id, date'2013-01-01' as month, 1 as location_id, {star.FIRST_OFFICIAL} as building_type_id, '{C.HOUSE}' as transaction_type, 5L as total_price, 1.0D as unit_price"
+    )
     cases = {
-        ("places", "right"): lambda: checked_lookup(places, aliases, 25, 1), ("places", "too few"): lambda: checked_lookup(places, aliases, 26, 1), ("places", "too many aliases"): lambda: checked_lookup(places, aliases, 25, 0),
-        ("places", "repeated"): lambda: checked_lookup(places.union(places), aliases), ("places", "bad id"): lambda: checked_lookup(bad_id, aliases), ("places", "null"): lambda: checked_lookup(places.withColumn("city", F.lit(None).cast("string")), aliases),
+        ("places", "right"): lambda: checked_lookup(places, aliases, 25, 1), ("places", "too few"): lambda: checked_lookup(places, aliases, 26, 1), (
+            "places", "too many aliases"
+        ): lambda: checked_lookup(places, aliases, 25, 0),
+        ("places", "repeated"): lambda: checked_lookup(places.union(places), aliases), ("places", "bad id"): lambda: checked_lookup(bad_id, aliases), ("places", "null"): lambda: checked_lookup(
+            places.withColumn("city", F.lit(None).cast("string")), aliases
+        ),
         ("places", "alias to nowhere"): lambda: checked_lookup(places, aliases.withColumn("normalized_town", F.lit("NOWHERE"))),
-        ("snapshot", "right"): lambda: recheck.snapshot(batch, "id", 2), ("snapshot", "rows"): lambda: recheck.snapshot(batch, "id", 3), ("snapshot", "two runs"): lambda: recheck.snapshot(batch.withColumn("cleaning_run_id", F.col("id")), "id"), ("snapshot", "repeated"): lambda: recheck.snapshot(batch.withColumn("id", F.lit("x")), "id"),
-        ("final values", "right"): lambda: recheck.final_values(fact, fact, "id", ["v", "w"]), ("final values", "lost"): lambda: recheck.final_values(fact, fact.limit(1), "id", ["v", "w"]), ("final values", "null"): lambda: recheck.final_values(fact, fact.withColumn("v", F.coalesce("v", F.lit(0))), "id", ["v"]),
-        ("spine", "right"): lambda: recheck.spine(months, None, day, day, "national"), ("spine", "gap"): lambda: recheck.spine(months, None, day, date(2013, 3, 1), "national"),
-        ("grains", "right"): lambda: recheck.grains(grains), ("grains", "cities"): lambda: recheck.grains(grains | {"city": counts(("a", 2), ("b", 2))}), ("grains", "districts"): lambda: recheck.grains(grains | {"district": counts(("a", 1), ("b", 2))}), ("grains", "county lost"): lambda: recheck.grains(grains | {"district": counts(("a", 2))}),
-        ("facts", "right"): lambda: require(facts, star.fact_rules(), "facts"), ("facts", "no place"): lambda: require(facts.withColumn("location_id", F.lit(None).cast("int")), star.fact_rules(), "facts"), ("facts", "land in a house"): lambda: require(facts.withColumn("transaction_type", F.lit(C.LAND)), star.fact_rules(), "facts"),
-        ("indicators", "right"): lambda: kpi_case(2, "1.0", "0.5"), ("indicators", "empty with price"): lambda: kpi_case(0, "1.0", "0.5"), ("indicators", "full without"): lambda: kpi_case(2, "cast(null as double)", "0.5"), ("indicators", "change"): lambda: kpi_case(2, "1.0", "-1.5"),
+        ("snapshot", "right"): lambda: recheck.snapshot(batch, "id", 2), ("snapshot", "rows"): lambda: recheck.snapshot(batch, "id", 3), ("snapshot", "two runs"): lambda: recheck.snapshot(
+            batch.withColumn("cleaning_run_id", F.col("id")), "id"
+        ), ("snapshot", "repeated"): lambda: recheck.snapshot(batch.withColumn("id", F.lit("x")), "id"),
+        ("final values", "right"): lambda: recheck.final_values(fact, fact, "id", ["v", "w"]), ("final values", "lost"): lambda: recheck.final_values(fact, fact.limit(1), "id", ["v", "w"]), ("final values", "null"): lambda: recheck.final_values(
+            fact, fact.withColumn("v", F.coalesce("v", F.lit(0))), "id", ["v"]
+        ),
+        ("spine", "right"): lambda: recheck.spine(months, None, day, day, "national"), ("spine", "gap"): lambda: recheck.spine(
+            months, None, day, date(2013, 3, 1), "national"
+        ),
+        ("grains", "right"): lambda: recheck.grains(grains), ("grains", "cities"): lambda: recheck.grains(grains | {"city": counts(("a", 2), ("b", 2))}), ("grains", "districts"): lambda: recheck.grains(
+            grains | {"district": counts(("a", 1), ("b", 2))}
+        ), ("grains", "county lost"): lambda: recheck.grains(grains | {"district": counts(("a", 2))}),
+        ("facts", "right"): lambda: require(facts, star.fact_rules(), "facts"), ("facts", "no place"): lambda: require(
+            facts.withColumn("location_id", F.lit(None).cast("int")), star.fact_rules(), "facts"
+        ), ("facts", "land in a house"): lambda: require(
+            facts.withColumn("transaction_type", F.lit(C.LAND)), star.fact_rules(), "facts"
+        ),
+        ("indicators", "right"): lambda: kpi_case(2, "1.0", "0.5"), (
+            "indicators", "empty with price"
+        ): lambda: kpi_case(0, "1.0", "0.5"), ("indicators", "full without"): lambda: kpi_case(
+            2, "cast(null as double)", "0.5"
+        ), ("indicators", "change"): lambda: kpi_case(2, "1.0", "-1.5"),
         ("baseline", "other source"): lambda: C.baseline("x", {})["status"] == "not_applicable" or 1 / 0,
     }
-    return spark.createDataFrame([(gate, case, outcome(work)) for (gate, case), work in cases.items()], "gate string, case string, outcome string")
+    return spark.createDataFrame(
+        [(gate, case, outcome(work)) for (gate, case), work in cases.items()], "gate string, case string, outcome string"
+    )
 
 
 def inspected(spark: SparkSession, d: str) -> DataFrame:
@@ -212,13 +294,18 @@ def inspected(spark: SparkSession, d: str) -> DataFrame:
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("cleaning_run_id", T.StringType())])
     got = delivery.inspect(spark, f"file://{at}/one", schema)
     rows = [("right", str(got["rows"]), got["cleaning_run_id"])]
-    for name, path, columns, n in (("two runs", "two", schema, None), ("columns", "one", T.StructType(schema.fields[:1]), None), ("rows", "one", schema, 1)):
+    for name, path, columns, n in (
+        ("two runs", "two", schema, None), ("columns", "one", T.StructType(schema.fields[:1]), None), ("rows", "one", schema, 1)
+    ):
         rows.append((name, outcome(lambda p=path, c=columns, n=n: delivery.inspect(spark, f"file://{at}/{p}", c, n)), ""))
     return spark.createDataFrame(rows, "case string, rows string, run string")
 
 
 #: Full-width forms, ligatures, half-width kana, compatibility signs, blanks of all kinds, and what they are after NFKC.
-COMPATIBLE = {"Ａ１（ｘ）": "A1(x)", "ﬁn": "fin", "ｶﾞ": "ガ", "①②": "12", "㎡": "m2", "　 台北  ": "台北", "é": "é", "   ": None, "Ⅳ": "IV", "plain": "plain"}
+COMPATIBLE = {
+    "Ａ１（ｘ）": "A1(x)", "ﬁn": "fin", "ｶﾞ": "ガ", "①②": "12", "㎡": "m2", "　 台北  ": "台北", "é": "é", "   ": None, "Ⅳ": "IV",
+    "plain": "plain"
+}
 NOTES = ["親友間交易", "含裝潢及家具", "頂樓加蓋,未登記", "租約未滿,急買", "都更案", "共有人買賣;陽台外推;夾層", "", "其他"]
 
 
@@ -229,7 +316,9 @@ def compatible(spark: SparkSession, d: str) -> DataFrame:
 
 def notes(spark: SparkSession, d: str) -> DataFrame:
     """Orders with a note each by their key; how many notes fit each pattern."""
-    held = read(spark, d, "orders").select(F.element_at(F.array(*[F.lit(n) for n in NOTES]), (F.col("o_orderkey") % len(NOTES) + 1).cast("int")).alias("note"))
+    held = read(spark, d, "orders").select(
+        F.element_at(F.array(*[F.lit(n) for n in NOTES]), (F.col("o_orderkey") % len(NOTES) + 1).cast("int")).alias("note")
+    )
     return profile.flag_counts(held, pattern_flags(F.col("note")))
 
 
@@ -251,15 +340,25 @@ QUERIES = {
     "gates": gates,
     "compatible_text": compatible,
     "note_patterns": notes,
-    "month_moves": lambda spark, d: merge.month_impact(merge.classify(moved(spark, d), ledger(spark, d), "txn_id", ["month", "kind"], ["month"])),
-    "built_dates": lambda spark, d: read(spark, d, "orders").select("o_orderkey", build_date(F.col("o_orderkey") % 3 + 1999, F.col("o_orderkey") % 14, F.col("o_orderkey") % 33).alias("day")),
+    "month_moves": lambda spark, d: merge.month_impact(
+        merge.classify(moved(spark, d), ledger(spark, d), "txn_id", ["month", "kind"], ["month"])
+    ),
+    "built_dates": lambda spark, d: read(spark, d, "orders").select(
+        "o_orderkey",
+        build_date(F.col("o_orderkey") % 3 + 1999, F.col("o_orderkey") % 14, F.col("o_orderkey") % 33).alias("day")
+    ),
 }
 
 
 def moved(spark: SparkSession, d: str) -> DataFrame:
     """A delivery in which every fourth sale moves back two months and every ninth becomes of another kind."""
     k = F.col("txn_id")
-    return ledger(spark, d).withColumns({"month": F.when(k % 4 == 0, F.add_months("month", -2)).otherwise(F.col("month")), "kind": F.when(k % 9 == 0, "X").otherwise(F.col("kind"))})
+    return ledger(spark, d).withColumns(
+        {
+            "month": F.when(k % 4 == 0, F.add_months("month", -2)).otherwise(F.col("month")),
+            "kind": F.when(k % 9 == 0, "X").otherwise(F.col("kind"))
+        }
+    )
 
 
 LETTERED = "select *, row_number() over (order by n_nationkey) as r from nation"
@@ -274,18 +373,38 @@ ORACLES = {
     "store_round_trip": "select c_custkey, c_name, c_acctbal from customer",
     "store_parts": f"with {SQL} select txn_id, total_price + case when month = date '1995-06-01' then 1 else 0 end as total_price, month from ledger where month < date '1996-01-01' and month <> date '1995-03-01'",
     "release_registry": values("step, release, revision, created", [
-        ("1 new", "2026-09-21", 1, True), ("2 same again", "2026-09-21", 1, False), ("3 other file", "2026-09-21-r2", 2, True), ("4 other again", "2026-09-21-r2", 2, False), ("5 next date", "2026-10-01", 1, True),
-        ("6 wrong period", "refused", None, None), ("7 wrong date", "refused", None, None), ("8 publish uncleaned", "raised", None, None), ("9 publish cleaned", "ok", None, None), ("a changed copy", "refused", None, None),
+        ("1 new", "2026-09-21", 1, True), ("2 same again", "2026-09-21", 1, False), ("3 other file", "2026-09-21-r2", 2, True), (
+            "4 other again", "2026-09-21-r2", 2, False
+        ), ("5 next date", "2026-10-01", 1, True),
+        ("6 wrong period", "refused", None, None), ("7 wrong date", "refused", None, None), (
+            "8 publish uncleaned", "raised", None, None
+        ), ("9 publish cleaned", "ok", None, None), ("a changed copy", "refused", None, None),
     ]),
     "run_ledger": values("step, outcome, status, attempt, calls", [
-        ("1 first", "ok", "success", 1, 1), ("2 replay", "ok", "success", 1, 1), ("3 failure", "raised", "failed", 1, 2), ("4 to recover", "b", "", 0, 2), ("5 again", "ok", "success", 2, 3),
-        ("6 running", "blocked", "running", 0, 3), ("7 running blocks", "blocked", "", 0, 3), ("8 two failures block", "blocked", "", 0, 3), ("9 failed rebuild blocks", "blocked", "", 0, 3),
+        ("1 first", "ok", "success", 1, 1), ("2 replay", "ok", "success", 1, 1), (
+            "3 failure", "raised", "failed", 1, 2
+        ), ("4 to recover", "b", "", 0, 2), ("5 again", "ok", "success", 2, 3),
+        ("6 running", "blocked", "running", 0, 3), ("7 running blocks", "blocked", "", 0, 3), ("8 two failures block", "blocked", "", 0, 3), (
+            "9 failed rebuild blocks", "blocked", "", 0, 3
+        ),
     ]),
     "gates": values('gate, "case", outcome', [
-        ("places", "right", "ok"), ("places", "too few", "raised"), ("places", "too many aliases", "raised"), ("places", "repeated", "raised"), ("places", "bad id", "raised"), ("places", "null", "raised"), ("places", "alias to nowhere", "raised"),
-        ("snapshot", "right", "ok"), ("snapshot", "rows", "raised"), ("snapshot", "two runs", "raised"), ("snapshot", "repeated", "raised"), ("final values", "right", "ok"), ("final values", "lost", "raised"), ("final values", "null", "raised"),
-        ("spine", "right", "ok"), ("spine", "gap", "raised"), ("grains", "right", "ok"), ("grains", "cities", "raised"), ("grains", "districts", "raised"), ("grains", "county lost", "raised"),
-        ("facts", "right", "ok"), ("facts", "no place", "raised"), ("facts", "land in a house", "raised"), ("indicators", "right", "ok"), ("indicators", "empty with price", "raised"), ("indicators", "full without", "raised"), ("indicators", "change", "raised"),
+        ("places", "right", "ok"), ("places", "too few", "raised"), (
+            "places", "too many aliases", "raised"
+        ), ("places", "repeated", "raised"), ("places", "bad id", "raised"), ("places", "null", "raised"), (
+            "places", "alias to nowhere", "raised"
+        ),
+        ("snapshot", "right", "ok"), ("snapshot", "rows", "raised"), (
+            "snapshot", "two runs", "raised"
+        ), (
+            "snapshot", "repeated", "raised"
+        ), ("final values", "right", "ok"), ("final values", "lost", "raised"), ("final values", "null", "raised"),
+        ("spine", "right", "ok"), ("spine", "gap", "raised"), ("grains", "right", "ok"), ("grains", "cities", "raised"), ("grains", "districts", "raised"), (
+            "grains", "county lost", "raised"
+        ),
+        ("facts", "right", "ok"), ("facts", "no place", "raised"), ("facts", "land in a house", "raised"), ("indicators", "right", "ok"), (
+            "indicators", "empty with price", "raised"
+        ), ("indicators", "full without", "raised"), ("indicators", "change", "raised"),
         ("baseline", "other source", "ok"),
     ]),
     "compatible_text": values("k, text", list(enumerate(COMPATIBLE.values()))),

@@ -25,7 +25,12 @@ def after(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]
     """The ledger, the late delivery (dearer sales of three months, some of them a month later) and the ledger after it."""
     old = ledger(spark, d)
     late = old.where("txn_id % 5 = 0 and month between date'1997-02-01' and date'1997-04-01'")
-    edited = late.withColumns({"month": F.when(F.col("txn_id") % 3 == 0, F.add_months("month", 1)).otherwise(F.col("month")), "total_price": F.col("total_price") + 1000})
+    edited = late.withColumns(
+        {
+            "month": F.when(F.col("txn_id") % 3 == 0, F.add_months("month", 1)).otherwise(F.col("month")),
+            "total_price": F.col("total_price") + 1000
+        }
+    )
     return old, edited, merge.upsert(edited, old, "txn_id", VALUES)
 
 
@@ -51,7 +56,9 @@ def cutoff_warehouse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def unpriced(facts: DataFrame) -> DataFrame:
-    return facts.withColumn("total_price", F.when((F.col("month") < "2000-09-01") & (F.col("txn_id") % 9 != 0), F.col("total_price")))
+    return facts.withColumn(
+        "total_price", F.when((F.col("month") < "2000-09-01") & (F.col("txn_id") % 9 != 0), F.col("total_price"))
+    )
 
 
 def stale_months(spark: SparkSession, d: str) -> DataFrame:
@@ -66,9 +73,13 @@ def stale_months(spark: SparkSession, d: str) -> DataFrame:
 def facts_and_places(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The ledger in the warehouse's own tables."""
     nations = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    places = nations.select(F.col("n_nationkey").alias("location_id"), F.col("r_name").alias("county"), F.col("n_name").alias("town"))
+    places = nations.select(
+        F.col("n_nationkey").alias("location_id"), F.col("r_name").alias("county"), F.col("n_name").alias("town")
+    )
     kind = F.when(in_scope(), C.HOUSE).otherwise(C.LAND)
-    facts = ledger(spark, d).join(places.select("location_id", "town"), "town").select("txn_id", "month", "location_id", kind.alias("transaction_type"), "total_price", "unit_price")
+    facts = ledger(spark, d).join(places.select("location_id", "town"), "town").select(
+        "txn_id", "month", "location_id", kind.alias("transaction_type"), "total_price", "unit_price"
+    )
     return facts, places
 
 
@@ -89,7 +100,9 @@ def grain_breach(spark: SparkSession, d: str) -> DataFrame:
     """Counts of regions that don't add up to the nation's in the months in which one was tampered with."""
     from acreage.plans.kpi_queries import by_region, national
 
-    return kpi.cross_grain(planted(by_region(spark, d), (F.col("county") == "ASIA") & (F.month("month") == 5)), national(spark, d))
+    return kpi.cross_grain(
+        planted(by_region(spark, d), (F.col("county") == "ASIA") & (F.month("month") == 5)), national(spark, d)
+    )
 
 
 def rolling_breach(spark: SparkSession, d: str) -> DataFrame:
@@ -104,9 +117,15 @@ def rolling_breach(spark: SparkSession, d: str) -> DataFrame:
 def first_gaps(spark: SparkSession, d: str) -> DataFrame:
     """The first month and town without a row in a table from which some were taken away."""
     facts, places = facts_and_places(spark, d)
-    held = facts.join(places, "location_id").where("not (month >= date'1997-03-01' and location_id % 7 = 3)").groupBy("month", "town").agg(F.count("*").alias("n"))
+    held = facts.join(places, "location_id").where(
+        "not (month >= date'1997-03-01' and location_id % 7 = 3)"
+    ).groupBy("month", "town").agg(F.count("*").alias("n"))
     ends = [date(1996, 1, 1), date(1998, 6, 1)]
-    spine = places.select("town").crossJoin(kpi.month_spine(spark.range(1).select(*[F.lit(x).cast("date").alias(c) for c, x in zip(("first", "last"), ends, strict=True)])))
+    spine = places.select("town").crossJoin(
+        kpi.month_spine(
+            spark.range(1).select(*[F.lit(x).cast("date").alias(c) for c, x in zip(("first", "last"), ends, strict=True)])
+        )
+    )
     full = spine.join(held, ["town", "month"], "left").where("n is not null or month < date'1997-03-01'")
     return recheck.first_gap(full, places.select("town"), *ends)
 
@@ -116,7 +135,9 @@ def diff_detail(spark: SparkSession, d: str) -> DataFrame:
     from acreage.plans.kpi_queries import rolling3_nation
 
     want = rolling3_nation(spark, d)
-    stored = want.where("month <> date'1996-02-01' or town <> 'NATION_12'").withColumn("n", F.col("n") + F.when(F.month("month") == 2, 1).otherwise(0))
+    stored = want.where("month <> date'1996-02-01' or town <> 'NATION_12'").withColumn(
+        "n", F.col("n") + F.when(F.month("month") == 2, 1).otherwise(0)
+    )
     return recheck.first_differences(want, stored, ["month", "town"])
 
 
@@ -135,15 +156,22 @@ QUERIES = {
     "rolling_breach": rolling_breach,
     "first_gap": first_gaps,
     "diff_detail": diff_detail,
-    "change_detail": lambda spark, d: merge.change_detail(*reversed(after(spark, d)[:2]), "txn_id", ["month", "total_price"], 50),
+    "change_detail": lambda spark, d: merge.change_detail(
+        *reversed(after(spark, d)[:2]), "txn_id", ["month", "total_price"], 50
+    ),
 }
 
 ORACLES = {
     "increment_national": kpi_sql().replace(SQL, MERGED_SQL),
     "increment_city": REGION_SQL.replace(SQL, MERGED_SQL),
     "increment_district": ROLLING_SQL.replace(SQL, MERGED_SQL),
-    "cutoff_warehouse": f"with {SQL}, {BASELINE} select * from cut".replace("where kind in ('F', 'O') group by month", "where kind in ('F', 'O') and month < date '2000-09-01' and txn_id % 9 <> 0 group by month"),
-    "stale_months": kpi_sql().replace(SQL, MERGED_SQL).replace("select * from kpi", "select month, 'different' as kind from kpi where month(month) = 7"),
+    "cutoff_warehouse": f"with {SQL}, {BASELINE} select * from cut".replace(
+        "where kind in ('F', 'O') group by month",
+        "where kind in ('F', 'O') and month < date '2000-09-01' and txn_id % 9 <> 0 group by month"
+    ),
+    "stale_months": kpi_sql().replace(SQL, MERGED_SQL).replace(
+        "select * from kpi", "select month, 'different' as kind from kpi where month(month) = 7"
+    ),
     "second_computation_national": kpi_sql(),
     "second_computation_city": REGION_SQL,
     "second_computation_district": ROLLING_SQL,

@@ -20,7 +20,10 @@ CONF = {
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A session for tests and benchmarks on one machine; clusters bring their own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("acreage")
-    conf = CONF | {"spark.sql.shuffle.partitions": str(shuffle_partitions), "spark.driver.memory": os.environ.get("ACREAGE_DRIVER_MEMORY", "8g")} | extra
+    conf = CONF | {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.driver.memory": os.environ.get("ACREAGE_DRIVER_MEMORY", "8g")
+    } | extra
     spark = builder.config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -22,15 +22,24 @@ def inspect(spark: SparkSession, path: str, schema: T.StructType, rows: int | No
     df = spark.read.parquet(path)
     kinds = [(f.name, f.dataType) for f in df.schema.fields]
     if kinds != [(f.name, f.dataType) for f in schema.fields]:
-        raise ValueError(f"columns differ from the contract: {sorted(set(kinds) ^ {(f.name, f.dataType) for f in schema.fields}, key=str)}")
-    got = df.agg(F.count("*").alias("rows"), F.min("cleaning_run_id").alias("run"), F.max("cleaning_run_id").alias("last")).first()
+        raise ValueError(
+            f"columns differ from the contract: {sorted(set(kinds) ^ {(f.name, f.dataType) for f in schema.fields}, key=str)}"
+        )
+    got = df.agg(
+        F.count("*").alias("rows"), F.min("cleaning_run_id").alias("run"), F.max("cleaning_run_id").alias("last")
+    ).first()
     if got.run is None or got.run != got.last:
         raise ValueError(f"not of a single run: {got.run}, {got.last}")
     if rows is not None and got.rows != rows:
         raise ValueError(f"{got.rows} rows, {rows} expected")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    digests = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("d")).orderBy("name").collect()
-    return {"rows": got.rows, "cleaning_run_id": got.run, "sha256": hashlib.sha256("".join(r.d for r in digests).encode()).hexdigest()}
+    digests = files.select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("d")
+    ).orderBy("name").collect()
+    return {
+        "rows": got.rows, "cleaning_run_id": got.run,
+        "sha256": hashlib.sha256("".join(r.d for r in digests).encode()).hexdigest()
+    }
 
 
 def read_workbook(spark: SparkSession, path: str, columns: Sequence[str], sheet: int = 1) -> DataFrame:
@@ -38,13 +47,19 @@ def read_workbook(spark: SparkSession, path: str, columns: Sequence[str], sheet:
     with zipfile.ZipFile(path) as z:
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
-            shared = ["".join(t.text or "" for t in s.iter(f"{SHEET}t")) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{SHEET}si")]
+            shared = [
+                "".join(
+                    t.text or "" for t in s.iter(f"{SHEET}t")
+                ) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{SHEET}si")
+            ]
         grid = ElementTree.fromstring(z.read(f"xl/worksheets/sheet{sheet}.xml"))
     rows = [{place(c.get("r")): text_of(c, shared) for c in row.iter(f"{SHEET}c")} for row in grid.iter(f"{SHEET}row")]
     names = {name: k for k, name in (rows[0] if rows else {}).items()}
     if missing := [c for c in columns if c not in names]:
         raise ValueError(f"{path} lacks {missing}")
-    return spark.createDataFrame([tuple(r.get(names[c]) for c in columns) for r in rows[1:]], ", ".join(f"{c} string" for c in columns))
+    return spark.createDataFrame(
+        [tuple(r.get(names[c]) for c in columns) for r in rows[1:]], ", ".join(f"{c} string" for c in columns)
+    )
 
 
 def place(reference: str) -> int:

@@ -67,8 +67,12 @@ def columns_of(header: list[str], member: str) -> dict[str, int]:
     for k, name in enumerate(header):
         places.setdefault(name.removeprefix("\ufeff").strip(), []).append(k)
     found = {column: [k for spelling in spellings for k in places.get(spelling, [])] for column, spellings in SPELLINGS.items()}
-    faults = [f"lacks {SPELLINGS[c][0]}" for c, at in found.items() if not at] + [f"has {SPELLINGS[c][0]} {len(at)} times" for c, at in found.items() if len(at) > 1]
-    faults += [f"repeats {name}" for name, at in places.items() if len(at) > 1 and not any(name in x for x in SPELLINGS.values())]
+    faults = [f"lacks {SPELLINGS[c][0]}" for c, at in found.items() if not at] + [
+        f"has {SPELLINGS[c][0]} {len(at)} times" for c, at in found.items() if len(at) > 1
+    ]
+    faults += [
+        f"repeats {name}" for name, at in places.items() if len(at) > 1 and not any(name in x for x in SPELLINGS.values())
+    ]
     if faults:
         raise ValueError(f"{member} {', '.join(sorted(faults))}")
     return {c: at[0] for c, at in found.items()}
@@ -121,8 +125,13 @@ class LandZipReader(DataSourceReader):
         names = ["letter", "member_order", "line", *at]
         for first, held in ((k * BATCH, chunk) for k, chunk in enumerate(batched(rows, BATCH))):
             n = len(held)
-            columns = [pa.array([partition.letter] * n), pa.array([partition.order] * n, pa.int32()), pa.array(range(first, first + n), pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, *[pa.array([row[i] for row in held], pa.string()) for i in at.values()]], names)
+            columns = [
+                pa.array([partition.letter] * n), pa.array([partition.order] * n, pa.int32()),
+                pa.array(range(first, first + n), pa.int64())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, *[pa.array([row[i] for row in held], pa.string()) for i in at.values()]], names
+            )
 
 
 def adapt(rows: DataFrame) -> DataFrame:
@@ -135,7 +144,10 @@ def adapt(rows: DataFrame) -> DataFrame:
     for letter, name in WHOLE_COUNTY_TOWNS.items():
         town = F.when(c("letter") == letter, name).otherwise(town)
     county = F.create_map(*[F.lit(x) for pair in COUNTIES.items() for x in pair])[c("letter")]
-    own = {"trans_y": year, "trans_m": month, "trans_d": day, "county": county, "countycd": c("letter"), "town": town, "usage_type": keyword_category(normalize_text("usage_type"), URBAN, "其他")}
+    own = {
+        "trans_y": year, "trans_m": month, "trans_d": day, "county": county, "countycd": c("letter"), "town": town,
+        "usage_type": keyword_category(normalize_text("usage_type"), URBAN, "其他")
+    }
     # One row for each county's file, so neither the window nor the broadcast grows with the rows.
     earlier = Window.orderBy("member_order").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("member_order").agg(F.count("*").alias("n"))

@@ -16,7 +16,9 @@ ALIASES = ("legacy_county_code", "raw_town", "normalized_town")
 
 def read_reference(spark: SparkSession, path: str, columns: Sequence[str], rows: int | None = None) -> DataFrame:
     """A small CSV table of normalised strings; rows is how many there must be."""
-    df = spark.read.option("header", True).option("mode", "FAILFAST").schema(", ".join(f"{c} string" for c in columns)).csv(path)
+    df = spark.read.option("header", True).option("mode", "FAILFAST").schema(
+        ", ".join(f"{c} string" for c in columns)
+    ).csv(path)
     df = df.select(*[normalize_text(c).alias(c) for c in columns])
     if rows is not None and (n := df.count()) != rows:
         raise ValueError(f"{path}: {n} rows, {rows} expected")
@@ -27,7 +29,9 @@ def build_lookup(towns: DataFrame, official: DataFrame) -> DataFrame:
     """Join towns (hsn_cd, town_cd, hsn_nm, town_nm) with official ids (hsn_nm, town_nm, county_id, town_id), one to one."""
     a = towns.select(*[normalize_text(c).alias(c) for c in ("hsn_cd", "town_cd", "hsn_nm", "town_nm")])
     b = official.select(*[normalize_text(c).alias(c) for c in ("hsn_nm", "town_nm", "county_id", "town_id")]).distinct()
-    for df, key in ((a, ["hsn_cd", "town_cd"]), (a, ["hsn_cd", "town_nm"]), (b, ["county_id", "town_id"]), (b, ["hsn_nm", "town_nm"])):
+    for df, key in (
+        (a, ["hsn_cd", "town_cd"]), (a, ["hsn_cd", "town_nm"]), (b, ["county_id", "town_id"]), (b, ["hsn_nm", "town_nm"])
+    ):
         if not df.groupBy(*key).count().where("count > 1").isEmpty():
             raise ValueError(f"not unique on {key}")
     if not b.where(~F.col("county_id").rlike("^[0-9]{5}$") | ~F.col("town_id").rlike("^[0-9]{8}$")).isEmpty():
@@ -36,7 +40,10 @@ def build_lookup(towns: DataFrame, official: DataFrame) -> DataFrame:
     if not lost.isEmpty():
         raise ValueError(f"towns without an official id: {[tuple(r) for r in lost.limit(5).collect()]}")
     both = a.join(b, ["hsn_nm", "town_nm"])
-    return both.select(F.col("hsn_cd").alias("legacy_county_code"), F.col("town_cd").alias("legacy_town_code"), "county_id", "town_id", F.col("hsn_nm").alias("city"), F.col("town_nm").alias("district")).orderBy("county_id", "town_id")
+    return both.select(
+        F.col("hsn_cd").alias("legacy_county_code"), F.col("town_cd").alias("legacy_town_code"), "county_id", "town_id",
+        F.col("hsn_nm").alias("city"), F.col("town_nm").alias("district")
+    ).orderBy("county_id", "town_id")
 
 
 def file_sha256(path: str) -> str:

@@ -40,7 +40,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_digests(encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("tokens", tokens)]
+STAGES = [
+    ("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+    ("tokens", tokens)
+]
 
 #: The stages fit a model, join sets by similarity and merge tokens: no SQL gives their rows.
 ORACLE_SQL = None

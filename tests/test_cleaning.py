@@ -18,9 +18,16 @@ def cleaned(spark):
 
 def test_thirteen_rows_split(cleaned):
     clean, excluded = cleaned.clean.collect(), cleaned.excluded.collect()
-    assert {r.source_transaction_id for r in clean} == {"VALID", "BAD_DAY", "LAND", "ALIAS", "PARKING", "EXACT"} and len(clean) == 6
+    assert {r.source_transaction_id for r in clean} == {
+        "VALID", "BAD_DAY", "LAND", "ALIAS", "PARKING", "EXACT"
+    } and len(clean) == 6
     reasons = sorted(r.primary_exclusion_reason for r in excluded)
-    assert reasons == sorted(["duplicate_conflict"] * 2 + ["missing_source_transaction_id", "duplicate_exact", "invalid_transaction_period", "unmapped_location", "excluded_transaction_type"])
+    assert reasons == sorted(
+        ["duplicate_conflict"] * 2 + [
+            "missing_source_transaction_id", "duplicate_exact", "invalid_transaction_period", "unmapped_location",
+            "excluded_transaction_type"
+        ]
+    )
     assert {r.exclusion_record_id for r in excluded if r.primary_exclusion_reason == "duplicate_exact"} == {"run1-E000000007"}
 
 
@@ -30,7 +37,9 @@ def test_values(cleaned):
     assert by["ALIAS"].district == "頭份市" and by["ALIAS"].city == "苗栗縣"
     assert by["LAND"].building_type is None and by["LAND"].building_transfer_area_valid is None and by["LAND"].completion_date_status == "not_applicable" and by["LAND"].has_note
     assert by["PARKING"].parking_data_complete is True and by["VALID"].parking_data_complete is None
-    assert by["VALID"].unit_price_ntd_m2 == 100_000.25 and by["VALID"].transaction_year == 2023 and str(by["VALID"].completion_date) == "2011-01-01"
+    assert by["VALID"].unit_price_ntd_m2 == 100_000.25 and by["VALID"].transaction_year == 2023 and str(
+        by["VALID"].completion_date
+    ) == "2011-01-01"
 
 
 def test_contract(cleaned):
@@ -42,7 +51,9 @@ def test_audit(cleaned):
     audit = cleaned.audit()
     assert audit["row_counts"] == {"input_rows": 13, "clean_rows": 6, "excluded_rows": 7, "reconciled": True}
     assert audit["primary_exclusion_reasons"]["duplicate_conflict"] == 2
-    assert audit["independent_checks"]["invalid_transaction_period"] == 2 and audit["independent_checks"]["building_value_on_land:usage"] == 2
+    assert audit["independent_checks"]["invalid_transaction_period"] == 2 and audit["independent_checks"][
+        "building_value_on_land:usage"
+    ] == 2
     assert audit["completion_date_status"] == {"valid": 4, "not_applicable": 2}
     assert {r["formula"]: (r["comparable"], r["matched"]) for r in audit["formula_validation"]}["house_unit_price"] == (2, 2)
 
@@ -66,8 +77,14 @@ def test_text(spark):
 def test_numbers(spark):
     df = spark.createDataFrame([("1.5",), ("-2",), ("NaN",), ("Infinity",), ("3",), ("",), (None,), ("0",)], "s string")
     c = F.col("s")
-    got = df.select(numeric.positive_float(c)[0], numeric.positive_integer(c)[0], numeric.nonnegative_integer(c)[0], numeric.nonnegative_integer(c)[2]).collect()
-    assert [tuple(r) for r in got] == [(1.5, None, None, True), (None, None, None, True), (None, None, None, True), (None, None, None, True), (3.0, 3, 3, False), (None, None, None, False), (None, None, None, False), (None, None, 0, False)]
+    got = df.select(
+        numeric.positive_float(c)[0], numeric.positive_integer(c)[0], numeric.nonnegative_integer(c)[0],
+        numeric.nonnegative_integer(c)[2]
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        (1.5, None, None, True), (None, None, None, True), (None, None, None, True), (None, None, None, True),
+        (3.0, 3, 3, False), (None, None, None, False), (None, None, None, False), (None, None, 0, False)
+    ]
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b int")
     assert [r[0] for r in df.select(numeric.sum_present([F.col("a"), F.col("b")])).collect()] == [1, None]
     df = spark.createDataFrame([(0,), (3,), (4,), (61,)], "g int")
@@ -75,15 +92,24 @@ def test_numbers(spark):
 
 
 def test_dates(spark):
-    df = spark.createDataFrame([("1000101",), ("850229",), ("86022",), ("",), (None,), ("1120113.0",), ("abc",), ("-1000101",)], "s string")
+    df = spark.createDataFrame(
+        [("1000101",), ("850229",), ("86022",), ("",), (None,), ("1120113.0",), ("abc",), ("-1000101",)], "s string"
+    )
     got = df.select(*dates.completion(F.col("s"), F.lit(False))).collect()
-    assert [(str(r[0]) if r[0] else None, r[1]) for r in got] == [("2011-01-01", "valid"), ("1996-02-29", "valid"), (None, "ambiguous_5_digit"), (None, "missing"), (None, "missing"), ("2023-01-13", "valid"), (None, "invalid"), (None, "invalid")]
+    assert [(str(r[0]) if r[0] else None, r[1]) for r in got] == [
+        ("2011-01-01", "valid"), ("1996-02-29", "valid"), (None, "ambiguous_5_digit"), (None, "missing"), (None, "missing"),
+        ("2023-01-13", "valid"), (None, "invalid"), (None, "invalid")
+    ]
     df = spark.createDataFrame([(2020, 2, 30), (2020, 2, 29), (None, 1, 1)], "y int, m int, d int")
-    assert [str(r[0]) for r in df.select(dates.build_date(F.col("y"), F.col("m"), F.col("d"))).collect()] == ["None", "2020-02-29", "None"]
+    assert [
+        str(r[0]) for r in df.select(dates.build_date(F.col("y"), F.col("m"), F.col("d"))).collect()
+    ] == ["None", "2020-02-29", "None"]
     empty = spark.sql("select date'2020-03-01' as a, date'2020-01-01' as b").select(dates.month_range(F.col("a"), F.col("b")))
     assert empty.first()[0] == []
 
 
 def test_duplicates_compare_nulls(spark):
-    df = spark.createDataFrame([("a", None), ("a", None), ("b", None), ("b", 1), ("c", 1), (None, 1), (None, 1)], "k string, v int")
+    df = spark.createDataFrame(
+        [("a", None), ("a", None), ("b", None), ("b", 1), ("c", 1), (None, 1), (None, 1)], "k string, v int"
+    )
     assert {r.k: r.kind for r in duplicate_kinds(df, ["k"], ["v"]).collect()} == {"a": "exact", "b": "conflict"}
