@@ -34,7 +34,9 @@ def bitmap(values: DataFrame) -> np.ndarray:
             np.bitwise_or.at(out, at >> 3, (1 << (at & 7)).astype(np.uint8))
         blocks = out.reshape(-1, BLOCK)
         some = np.flatnonzero(blocks.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([blocks[k].tobytes() for k in some], pa.binary())], ["block", "bits"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array([blocks[k].tobytes() for k in some], pa.binary())], ["block", "bits"]
+        )
 
     def merge(table: pa.Table) -> pa.Table:
         out = np.zeros(BLOCK, np.uint8)
@@ -42,7 +44,9 @@ def bitmap(values: DataFrame) -> np.ndarray:
             out |= np.frombuffer(x.as_py(), np.uint8)
         return pa.table({"block": table["block"].slice(0, 1), "bits": pa.array([out.tobytes()], pa.binary())})
 
-    got = values.dropna().mapInArrow(make, "block int, bits binary").groupBy("block").applyInArrow(merge, "block int, bits binary").collect()
+    got = values.dropna().mapInArrow(make, "block int, bits binary").groupBy("block").applyInArrow(
+        merge, "block int, bits binary"
+    ).collect()
     out = np.zeros(1 << (BITS - 3), np.uint8)
     for r in got:
         out[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(r.bits, np.uint8)

@@ -165,7 +165,9 @@ class Vocabulary:
         try:
             out.validate(full=True)
         except pa.ArrowInvalid:
-            out = pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(bounds, bounds[1:], strict=False)], pa.large_string())
+            out = pa.array(
+                [data[a:b].decode("utf-8", "replace") for a, b in zip(bounds, bounds[1:], strict=False)], pa.large_string()
+            )
         return out
 
     def tokens(self) -> list[bytes]:
@@ -227,7 +229,9 @@ class LexiconBuilder:
                 words += self.states[to][2]
         ends = np.cumsum([0, *map(len, self.ids)], dtype=np.uint64)
         parts = [
-            np.array(key, np.uint64), np.array(before, np.uint32), np.array(target, np.uint32), np.array([s[0] for s in states], np.uint8),
+            np.array(key, np.uint64), np.array(before, np.uint32), np.array(target, np.uint32), np.array(
+                [s[0] for s in states], np.uint8
+            ),
             ends, np.concatenate([*self.ids, np.zeros(0, np.uint32)]).astype(np.uint32),
         ]
         out = HEADER.pack(b"lexicon2", len(states), len(key), len(self.ids), int(ends[-1]))
@@ -242,7 +246,10 @@ class Lexicon:
     def __init__(self, data):
         _, self.n_states, self.n_edges, self.n_words, n_ids = HEADER.unpack_from(data, 0)
         at, parts = HEADER.size, []
-        for kind, n in ((np.uint64, self.n_edges), (np.uint32, self.n_edges), (np.uint32, self.n_edges), (np.uint8, self.n_states), (np.uint64, self.n_words + 1), (np.uint32, n_ids)):
+        for kind, n in (
+            (np.uint64, self.n_edges), (np.uint32, self.n_edges), (np.uint32, self.n_edges), (np.uint8, self.n_states),
+            (np.uint64, self.n_words + 1), (np.uint32, n_ids)
+        ):
             parts.append(np.frombuffer(data, kind, n, at))
             at += -(-parts[-1].nbytes // 8) * 8
         self.key, self.before, self.target, self.final, self.ends, self.ids = parts
@@ -339,7 +346,9 @@ class Hand:
 class Codec:
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.v, self.hand = vocabulary, Hand(vocabulary, lexicon)
-        self.stops = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(vocabulary.added, key=len, reverse=True)) + ")") if vocabulary.added else None
+        self.stops = regex.compile(
+            "(" + "|".join(regex.escape(x) for x in sorted(vocabulary.added, key=len, reverse=True)) + ")"
+        ) if vocabulary.added else None
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where those of each begin and end)."""
@@ -394,7 +403,9 @@ def frequent_words(docs: DataFrame, text_col: str, lexicon_size: int) -> list[st
         def out() -> pa.RecordBatch:
             held = {w: n for w, n in total.items() if len(w) <= LONGEST}
             total.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"]
+            )
 
         for batch in batches:
             for text in batch.column(0):
@@ -411,7 +422,9 @@ def frequent_words(docs: DataFrame, text_col: str, lexicon_size: int) -> list[st
     many, least = 0, None
     for r in words.groupBy(level.alias("level")).agg(F.count("*").alias("m")).orderBy(F.desc("level")).collect():
         if many + r.m > lexicon_size:
-            for c in words.where(level == r.level).groupBy("n").agg(F.count("*").alias("m")).orderBy(F.desc("n")).limit(lexicon_size).collect():
+            for c in words.where(level == r.level).groupBy("n").agg(
+                F.count("*").alias("m")
+            ).orderBy(F.desc("n")).limit(lexicon_size).collect():
                 if many + c.m > lexicon_size:
                     break
                 many, least = many + c.m, c.n
@@ -420,7 +433,9 @@ def frequent_words(docs: DataFrame, text_col: str, lexicon_size: int) -> list[st
     return [] if least is None else [r.word for r in words.where(F.col("n") >= least).select("word").collect()]
 
 
-def encode_decode(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id", text_col: str = "text", *, lexicon_size: int = 50_000) -> DataFrame:
+def encode_decode(
+    docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id", text_col: str = "text", *, lexicon_size: int = 50_000
+) -> DataFrame:
     """One row for each row of docs: (id, n_tokens, ids array<int>, decoded): the tokens of the whole text, and what they spell.
 
     Whole texts are encoded and decoded as the tokenizers library does it with the same file, special tokens not added.
@@ -434,14 +449,19 @@ def encode_decode(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id",
         source = f.read()
     vocabulary = Vocabulary(source)
     blob = compile_lexicon((w.encode() for w in frequent_words(docs, text_col, lexicon_size)), vocabulary)
-    sent = spark.sparkContext.broadcast((hashlib.sha256(hashlib.sha256(source.encode()).digest() + blob).digest(), vocabulary, blob))
+    sent = spark.sparkContext.broadcast(
+        (hashlib.sha256(hashlib.sha256(source.encode()).digest() + blob).digest(), vocabulary, blob)
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_for(sent)
         for batch in batches:
             ids, ends = codec.encode([t or "" for t in batch.column(1).to_pylist()])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends)), lists, codec.v.spelled(ids, ends).cast(pa.string())], ["id", "n_tokens", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.diff(ends)), lists, codec.v.spelled(ids, ends).cast(pa.string())],
+                ["id", "n_tokens", "ids", "decoded"]
+            )
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, n_tokens long, ids array<int>, decoded string").withColumnRenamed("id", id_col)

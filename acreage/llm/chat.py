@@ -14,7 +14,10 @@ from acreage.llm.scratch import stage
 #: What a message with calls looks like: {"tool_calls": [{"id", "name", "arguments", "after"}]}; a result has {"tool_call_id", "content"}.
 CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:string,after:array<string>>>,tool_call_id:string,content:string>"
 #: The types of a schema, by what schema_of_variant calls values of theirs.
-KINDS = {"string": r"STRING", "integer": r"BIGINT|DECIMAL\(\d+,0\)", "number": r"BIGINT|DECIMAL\(.*|DOUBLE|FLOAT", "boolean": r"BOOLEAN", "object": r"OBJECT<.*", "array": r"ARRAY<.*"}
+KINDS = {
+    "string": r"STRING", "integer": r"BIGINT|DECIMAL\(\d+,0\)", "number": r"BIGINT|DECIMAL\(.*|DOUBLE|FLOAT",
+    "boolean": r"BOOLEAN", "object": r"OBJECT<.*", "array": r"ARRAY<.*"
+}
 #: Calls that hang together in groups of at most so many are put in order row by row, larger groups in rounds over tables.
 TOGETHER = 1000
 #: Settled calls of so many rounds are written as one table, so that plans stay short.
@@ -23,7 +26,9 @@ MERGED = 16
 
 def quoted(text: Column) -> Column:
     """A JSON string. Control characters below U+0020 are escaped as JSON wants it; all else stays as it is."""
-    return F.regexp_extract(F.to_json(F.struct(F.coalesce(text, F.lit("")).alias("a")), {"ignoreNullFields": "false"}), r"(?s)^\{\"a\":(.*)\}$", 1)
+    return F.regexp_extract(
+        F.to_json(F.struct(F.coalesce(text, F.lit("")).alias("a")), {"ignoreNullFields": "false"}), r"(?s)^\{\"a\":(.*)\}$", 1
+    )
 
 
 def canonical(fields: Mapping[str, Column]) -> Column:
@@ -40,7 +45,9 @@ def parsed(text: Column) -> Column:
     listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
     endless = F.regexp_count(F.to_json(named), F.lit('Infinity"')) > F.regexp_count(text, F.lit('Infinity"'))
-    alone = F.try_variant_get(listed, "$[0]", "variant").isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull() & ~endless
+    alone = F.try_variant_get(
+        listed, "$[0]", "variant"
+    ).isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull() & ~endless
     return F.when(alone, F.try_variant_get(named, "$.v", "variant"))
 
 
@@ -84,7 +91,9 @@ def faults_in(value: Column, fields: Mapping[str, Mapping], at: str = "") -> Col
         checks.append(F.when(there, faults_of_value(own, want, f"{at}{name}")))
     known = F.array(*[F.lit(k) for k in sorted(fields)]).cast("array<string>")
     keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
-    checks.append(F.array(F.when(F.size(F.array_except(keys, known)) > 0, F.lit(f"unknown argument{' of ' + at[:-1] if at else ''}"))))
+    checks.append(
+        F.array(F.when(F.size(F.array_except(keys, known)) > 0, F.lit(f"unknown argument{' of ' + at[:-1] if at else ''}")))
+    )
     none = F.array().cast("array<string>")
     return F.filter(F.flatten(F.array(*[F.coalesce(c, none) for c in checks])), lambda x: x.isNotNull())
 
@@ -93,12 +102,28 @@ def faults_of_value(value: Column, want: Mapping, name: str) -> Column:
     fits = kind_of(value).rlike(f"^(?:{KINDS[want['type']]})$")
     out = [F.array(F.when(~fits, F.lit(f"{name} is no {want['type']}")))]
     if "min_length" in want:
-        out.append(F.array(F.when(fits & (F.length(F.try_variant_get(value, "$", "string")) < want["min_length"]), F.lit(f"{name} is too short"))))
+        out.append(
+            F.array(
+                F.when(
+                    fits & (F.length(F.try_variant_get(value, "$", "string")) < want["min_length"]),
+                    F.lit(f"{name} is too short")
+                )
+            )
+        )
     if "properties" in want:
         out.append(F.when(fits, faults_in(value, want["properties"], f"{name}.")))
     if "items" in want:
         items = F.try_variant_get(value, "$", "array<variant>")
-        out.append(F.array(F.when(F.exists(items, lambda x: F.size(F.filter(faults_of_value(x, want["items"], ""), lambda f: f.isNotNull())) > 0), F.lit(f"{name} has an unfit item"))))
+        out.append(
+            F.array(
+                F.when(
+                    F.exists(
+                        items, lambda x: F.size(F.filter(faults_of_value(x, want["items"], ""), lambda f: f.isNotNull())) > 0
+                    ),
+                    F.lit(f"{name} has an unfit item")
+                )
+            )
+        )
     none = F.array().cast("array<string>")
     return F.flatten(F.array(*[F.coalesce(x, none) for x in out]))
 
@@ -117,7 +142,9 @@ def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     holds back. Larger groups, of any size, are settled in rounds over tables.
     """
     key = lambda c: F.xxhash64("conv", c)  # noqa: E731  two groups with the same hash are one row, with the same result
-    held = edges.join(nodes.select("conv", F.col("node").alias("src")), ["conv", "src"], "left_semi").join(nodes.select("conv", F.col("node").alias("dst")), ["conv", "dst"], "left_semi").distinct()
+    held = edges.join(
+        nodes.select("conv", F.col("node").alias("src")), ["conv", "src"], "left_semi"
+    ).join(nodes.select("conv", F.col("node").alias("dst")), ["conv", "dst"], "left_semi").distinct()
     held = stage(held.withColumns({"a": key("src"), "b": key("dst")}), "order")
     depth = nodes.select("conv", "node").distinct().withColumn("depth", F.lit(0))
     if held.isEmpty():
@@ -126,21 +153,47 @@ def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
     placed = held.join(groups.select(F.col("node").alias("a"), "root"), "a", "left").join(sizes, "root", "left")
     # A call that only waits for itself is a group of its own.
-    placed = stage(placed.select("conv", "src", "dst", F.coalesce("root", "a").alias("root"), F.coalesce("n", F.lit(1)).alias("n")), "groups")
-    settled = ordered_rows(placed.where(F.col("n") <= TOGETHER)).unionByName(ordered_rounds(placed.where(F.col("n") > TOGETHER).select("conv", "src", "dst")))
-    return depth.join(settled.withColumnRenamed("depth", "own").withColumn("found", F.lit(True)), ["conv", "node"], "left").select("conv", "node", F.when(F.col("found"), F.col("own")).otherwise(F.col("depth")).alias("depth"))
+    placed = stage(
+        placed.select("conv", "src", "dst", F.coalesce("root", "a").alias("root"), F.coalesce("n", F.lit(1)).alias("n")),
+        "groups"
+    )
+    settled = ordered_rows(placed.where(F.col("n") <= TOGETHER)).unionByName(
+        ordered_rounds(placed.where(F.col("n") > TOGETHER).select("conv", "src", "dst"))
+    )
+    return depth.join(
+        settled.withColumnRenamed("depth", "own").withColumn("found", F.lit(True)), ["conv", "node"], "left"
+    ).select("conv", "node", F.when(F.col("found"), F.col("own")).otherwise(F.col("depth")).alias("depth"))
 
 
 def ordered_rows(edges: DataFrame) -> DataFrame:
     """(conv, node, depth) of the nodes of edges (root, conv, src, dst): each root's whole group in one row."""
-    ends = edges.select("root", F.struct("conv", F.col("src").alias("node")).alias("x")).union(edges.select("root", F.struct("conv", F.col("dst").alias("node")).alias("x")))
+    ends = edges.select("root", F.struct("conv", F.col("src").alias("node")).alias("x")).union(
+        edges.select("root", F.struct("conv", F.col("dst").alias("node")).alias("x"))
+    )
     named = ends.groupBy("root").agg(F.array_sort(F.collect_set("x")).alias("nodes"))
-    before = edges.groupBy("root", "conv", "dst").agg(F.collect_set("src").alias("srcs")).groupBy("root").agg(F.collect_list(F.struct(F.struct("conv", F.col("dst").alias("node")).alias("x"), "srcs")).alias("before"))
+    before = edges.groupBy("root", "conv", "dst").agg(F.collect_set("src").alias("srcs")).groupBy("root").agg(
+        F.collect_list(F.struct(F.struct("conv", F.col("dst").alias("node")).alias("x"), "srcs")).alias("before")
+    )
     both = named.join(before, "root")
     place = lambda x: F.array_position("nodes", x) - 1
-    held = F.map_from_entries(F.transform("before", lambda e: F.struct(place(e["x"]).alias("at"), F.transform(e["srcs"], lambda s: place(F.struct(e["x"]["conv"].alias("conv"), s.alias("node")))).alias("of"))))
-    both = both.select("nodes", F.transform(F.sequence(F.lit(0), F.size("nodes") - 1), lambda k: F.coalesce(held[k.cast("long")], F.array().cast("array<long>"))).alias("of"))
-    step = lambda d, _: F.transform("of", lambda ps: F.coalesce(F.array_max(F.transform(ps, lambda p: F.get(d, p.cast("int")) + 1)), F.lit(0)))
+    held = F.map_from_entries(
+        F.transform(
+            "before",
+            lambda e: F.struct(
+                place(e["x"]).alias("at"),
+                F.transform(e["srcs"], lambda s: place(F.struct(e["x"]["conv"].alias("conv"), s.alias("node")))).alias("of")
+            )
+        )
+    )
+    both = both.select(
+        "nodes",
+        F.transform(
+            F.sequence(F.lit(0), F.size("nodes") - 1), lambda k: F.coalesce(held[k.cast("long")], F.array().cast("array<long>"))
+        ).alias("of")
+    )
+    step = lambda d, _: F.transform(
+        "of", lambda ps: F.coalesce(F.array_max(F.transform(ps, lambda p: F.get(d, p.cast("int")) + 1)), F.lit(0))
+    )
     rounds = F.aggregate(F.sequence(F.lit(1), F.size("nodes")), F.array_repeat(F.lit(0), F.size("nodes")), step)
     out = both.select(F.size("nodes").alias("n"), F.explode(F.arrays_zip(F.col("nodes"), rounds.alias("depth"))).alias("z"))
     return out.select("z.nodes.conv", "z.nodes.node", F.when(F.col("z.depth") < F.col("n"), F.col("z.depth")).alias("depth"))
@@ -154,7 +207,9 @@ def ordered_rounds(edges: DataFrame) -> DataFrame:
     left = stage(edges, "order")
     size = left.count()
     ends = left.select("conv", F.col("src").alias("node")).union(left.select("conv", F.col("dst").alias("node"))).distinct()
-    settled = ends.join(left.select("conv", F.col("dst").alias("node")), ["conv", "node"], "left_anti").withColumn("depth", F.lit(0))
+    settled = ends.join(
+        left.select("conv", F.col("dst").alias("node")), ["conv", "node"], "left_anti"
+    ).withColumn("depth", F.lit(0))
     for k in count(1):
         if not size:
             return settled
@@ -163,7 +218,9 @@ def ordered_rounds(edges: DataFrame) -> DataFrame:
         after = later.count()
         if after == size:
             return settled.unionByName(waiting.withColumn("depth", F.lit(None).cast("int")))
-        done = waiting.join(later.select("conv", F.col("dst").alias("node")), ["conv", "node"], "left_anti").withColumn("depth", F.lit(k))
+        done = waiting.join(
+            later.select("conv", F.col("dst").alias("node")), ["conv", "node"], "left_anti"
+        ).withColumn("depth", F.lit(k))
         settled = settled.unionByName(stage(done, "depth"))
         if k % MERGED == 0:
             settled = stage(settled, "depth")
@@ -173,8 +230,12 @@ def ordered_rounds(edges: DataFrame) -> DataFrame:
 def parsed_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls (conv, turn, pos, id, name, arguments, after) and results (conv, turn, id, content) written as JSON in messages."""
     got = messages.where(F.col("text").rlike(r"^\s*\{")).withColumn("j", F.from_json("text", CALLS))
-    calls = got.select("conv", "turn", F.posexplode("j.tool_calls")).select("conv", "turn", "pos", "col.*").where("id is not null")
-    return calls, got.where("j.tool_call_id is not null").select("conv", "turn", F.col("j.tool_call_id").alias("id"), F.col("j.content").alias("content"))
+    calls = got.select(
+        "conv", "turn", F.posexplode("j.tool_calls")
+    ).select("conv", "turn", "pos", "col.*").where("id is not null")
+    return calls, got.where("j.tool_call_id is not null").select(
+        "conv", "turn", F.col("j.tool_call_id").alias("id"), F.col("j.content").alias("content")
+    )
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
@@ -190,24 +251,37 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mappi
     are left out. A hot conversation is only as many rows: joins are on conversation and identifier together.
     """
     calls = calls.where("id is not null and conv is not null")
-    one = calls.groupBy("conv", "id").agg(F.min(F.struct("turn", "pos", "name", "arguments", "after")).alias("c"), F.count("*").alias("n_calls"))
-    answers = results.where("id is not null and conv is not null").groupBy("conv", "id").agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
+    one = calls.groupBy("conv", "id").agg(
+        F.min(F.struct("turn", "pos", "name", "arguments", "after")).alias("c"), F.count("*").alias("n_calls")
+    )
+    answers = results.where("id is not null and conv is not null").groupBy("conv", "id").agg(
+        F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results")
+    )
     edges = calls.select("conv", F.explode("after").alias("src"), F.col("id").alias("dst")).where("src is not null")
     order = depths(one.select("conv", F.col("id").alias("node")), edges).withColumnRenamed("node", "id")
-    both = one.join(answers, ["conv", "id"], "full").join(order, ["conv", "id"], "left").withColumn("value", parsed(F.col("c.arguments")))
+    both = one.join(answers, ["conv", "id"], "full").join(order, ["conv", "id"], "left").withColumn(
+        "value", parsed(F.col("c.arguments"))
+    )
     faults = F.array(F.lit("no schema"))
     for name, schema in schemas.items():
         faults = F.when(F.col("c.name") == name, faults_of(F.col("value"), schema)).otherwise(faults)
     faults = F.when(F.col("c").isNull(), F.array().cast("array<string>")).otherwise(faults)
     status = (
-        F.when(F.col("c").isNull(), "orphan").when((F.col("n_calls") > 1) | (F.col("n_results") > 1), "ambiguous").when(F.col("depth").isNull(), "cyclic")
+        F.when(F.col("c").isNull(), "orphan").when(
+            (F.col("n_calls") > 1) | (F.col("n_results") > 1), "ambiguous"
+        ).when(F.col("depth").isNull(), "cyclic")
         .when(F.size(faults) > 0, "invalid").when(F.col("r").isNull(), "unanswered").otherwise("ok")
     )
     fields = {
-        "arguments": F.when(kind_of(F.col("value")).startswith("OBJECT<"), written(F.col("value"))).otherwise(quoted(F.col("c.arguments"))), "call_id": quoted(F.col("id")), "name": quoted(F.col("c.name")),
+        "arguments": F.when(
+            kind_of(F.col("value")).startswith("OBJECT<"), written(F.col("value"))
+        ).otherwise(quoted(F.col("c.arguments"))), "call_id": quoted(F.col("id")), "name": quoted(F.col("c.name")),
         "result": F.when(F.col("r").isNull(), "null").otherwise(quoted(F.col("r.content"))), "status": quoted(status),
     }
-    return both.select("conv", "id", F.col("c.name").alias("name"), F.coalesce("c.turn", "r.turn").alias("turn"), "depth", status.alias("status"), faults.alias("faults"), canonical(fields).alias("json"))
+    return both.select(
+        "conv", "id", F.col("c.name").alias("name"), F.coalesce("c.turn", "r.turn").alias("turn"), "depth",
+        status.alias("status"), faults.alias("faults"), canonical(fields).alias("json")
+    )
 
 
 def turns_as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -217,11 +291,16 @@ def turns_as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     users = messages.where("role = 'user' and turn is not null")
     calls = users.select(
-        "conv", "turn", F.lit(-1).alias("pos"), F.concat(F.lit("t"), F.col("turn").cast("string")).alias("id"), F.lit("reply").alias("name"),
+        "conv", "turn", F.lit(-1).alias("pos"), F.concat(
+            F.lit("t"), F.col("turn").cast("string")
+        ).alias("id"), F.lit("reply").alias("name"),
         canonical({"query": quoted(F.col("text"))}).alias("arguments"), F.array().cast("array<string>").alias("after"),
     )
     answers = messages.where("role = 'assistant' and turn is not null")
-    return calls, answers.select("conv", "turn", F.concat(F.lit("t"), (F.col("turn") - 1).cast("string")).alias("id"), F.coalesce("text", F.lit("")).alias("content"))
+    return calls, answers.select(
+        "conv", "turn", F.concat(F.lit("t"), (F.col("turn") - 1).cast("string")).alias("id"),
+        F.coalesce("text", F.lit("")).alias("content")
+    )
 
 
 def format_chats(
@@ -233,7 +312,10 @@ def format_chats(
     out are turns of all others that aren't a user's or the assistant's (system turns), those without a turn number, calls
     without an identifier beside others that have one, and rows without a conversation.
     """
-    messages = conversations.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
+    messages = conversations.select(
+        F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"),
+        F.col(text_col).alias("text")
+    )
     calls, results = parsed_calls(messages)
     held = F.when(F.col("text").rlike(r"^\s*\{"), F.from_json("text", CALLS))
     linked = F.exists(held["tool_calls"], lambda c: c["id"].isNotNull()) | held["tool_call_id"].isNotNull()

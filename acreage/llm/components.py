@@ -16,7 +16,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
     with map-side combining, so that a node with very many neighbours sends one row from each task. Edges with a null
     end are ignored.
     """
-    now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u is not null and v is not null and u <> v").distinct()
+    now = edges.select(
+        F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
+    ).where("u is not null and v is not null and u <> v").distinct()
     now = stage(now, "edges")
     before = None
     for _ in range(rounds):

@@ -106,7 +106,9 @@ def candidates(p: Patterns, codes: np.ndarray, spans: np.ndarray) -> tuple[np.nd
     found = []
     text_of = np.repeat(np.arange(len(spans)), spans[:, 1] - spans[:, 0])
     begin = spans[:, 0]
-    live = np.repeat(begin - (np.cumsum(spans[:, 1] - begin) - (spans[:, 1] - begin)), spans[:, 1] - begin) + np.arange(len(text_of))
+    live = np.repeat(
+        begin - (np.cumsum(spans[:, 1] - begin) - (spans[:, 1] - begin)), spans[:, 1] - begin
+    ) + np.arange(len(text_of))
     for q, (keys, first, pattern, place, maybe) in p.index.items():
         h = grams(codes, q)[live]
         at = np.flatnonzero(maybe[h >> np.uint64(64 - FILTER_BITS)])
@@ -136,7 +138,9 @@ def candidates(p: Patterns, codes: np.ndarray, spans: np.ndarray) -> tuple[np.nd
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 4
 
 
-def aligned(p: Patterns, codes: np.ndarray, spans: np.ndarray, text: np.ndarray, who: np.ndarray, first: np.ndarray, width: np.ndarray) -> np.ndarray:
+def aligned(
+    p: Patterns, codes: np.ndarray, spans: np.ndarray, text: np.ndarray, who: np.ndarray, first: np.ndarray, width: np.ndarray
+) -> np.ndarray:
     """The least edits with which each pattern lies along the diagonals of its band, all bands at once.
 
     Row i of the alignment only has the columns of the band, widened by the edits on both sides; what leaves it costs
@@ -206,7 +210,10 @@ def contaminated(p: Patterns, texts: list[str | None]) -> list[list[int]]:
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "text", *, block: int = BLOCK, least: int = LEAST) -> DataFrame:
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    passage_col: str = "text", *, block: int = BLOCK, least: int = LEAST
+) -> DataFrame:
     """One row for each row of docs: (id, contaminated, n_items, items).
 
     items lists, by id and joined by commas, the benchmark items of which a whole window lies in the text with at most
@@ -237,12 +244,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if len(parts) == 1:
         out = parts[0]
     else:
-        hits = reduce(DataFrame.union, parts).select("id", F.explode("found").alias("item")).distinct().groupBy(F.col("id").alias("hit")).agg(F.array_sort(F.collect_list("item")).alias("found"))
-        out = rows.select("id").join(hits, F.col("id").eqNullSafe(F.col("hit")), "left").select("id", F.coalesce("found", F.array().cast("array<bigint>")).alias("found"))
-    return out.select(F.col("id").alias(id_col), (F.size("found") > 0).alias("contaminated"), F.size("found").cast("long").alias("n_items"), F.array_join("found", ",").alias("items"))
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", passage_col: str = "text", *, block: int = BLOCK, least: int = LEAST) -> DataFrame:
+        hits = reduce(DataFrame.union, parts).select("id", F.explode("found").alias("item")).distinct().groupBy(F.col("id").alias("hit")).agg(
+            F.array_sort(F.collect_list("item")).alias("found")
+        )
+        out = rows.select("id").join(hits, F.col("id").eqNullSafe(F.col("hit")), "left").select(
+            "id", F.coalesce("found", F.array().cast("array<bigint>")).alias("found")
+        )
+    return out.select(
+        F.col("id").alias(id_col), (F.size("found") > 0).alias("contaminated"), F.size("found").cast("long").alias("n_items"),
+        F.array_join("found", ",").alias("items")
+    )
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", passage_col: str = "text", *,
+    block: int = BLOCK, least: int = LEAST
+) -> DataFrame:
     """The rows of docs, with all their columns, that decontaminate finds clean. Rows are filtered where they lie, block after block."""
     spark = shipped(docs.sparkSession)
     place = docs.columns.index(text_col)
@@ -262,7 +279,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
 def item_blocks(benchmark: DataFrame, item_col: str, passage_col: str, block: int, least: int) -> Iterator[Patterns]:
     """The benchmark's patterns, in blocks of about block items and BLOCK_BYTES; there is at least one block, even if it is empty."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(passage_col).cast("string").alias("passage")).where("item is not null")
+    items = benchmark.select(
+        F.col(item_col).cast("long").alias("item"), F.col(passage_col).cast("string").alias("passage")
+    ).where("item is not null")
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("passage")), F.lit(0)).alias("bytes")).first()
     blocks = max(1, -(-size.n // block), -(-size.bytes // BLOCK_BYTES))
     for k in range(blocks):

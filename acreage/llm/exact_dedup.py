@@ -31,9 +31,14 @@ def merged(rows: DataFrame) -> DataFrame:
     struct has no place in a hash aggregate's buffer, so Spark sorts each run by digest and merges neighbours.
     """
     proof = F.struct("top.chk", "top.size")
-    out = rows.groupBy("slot", "sha").agg(F.max("top").alias("top"), F.sum("n").alias("n"), F.min(proof).alias("low"), F.max(proof).alias("high"))
+    out = rows.groupBy("slot", "sha").agg(
+        F.max("top").alias("top"), F.sum("n").alias("n"), F.min(proof).alias("low"), F.max(proof).alias("high")
+    )
     same = F.col("low") == F.col("high")
-    return out.select("slot", "sha", F.when(same, F.col("top")).otherwise(F.raise_error(F.lit("two texts have the same SHA-256"))).alias("top"), "n")
+    return out.select(
+        "slot", "sha",
+        F.when(same, F.col("top")).otherwise(F.raise_error(F.lit("two texts have the same SHA-256"))).alias("top"), "n"
+    )
 
 
 def tree_merge(runs: DataFrame, slots: int, fan_in: int) -> DataFrame:
@@ -53,7 +58,9 @@ def slots_for(rows: int) -> int:
     return 1 << max(6, (rows >> 18).bit_length())
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, slots: int | None = None, fan_in: int = 4) -> DataFrame:
+def exact_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, slots: int | None = None, fan_in: int = 4
+) -> DataFrame:
     """One row for each row of docs: (id, keep_id, group_size, kept, text_sha256).
 
     Texts are equal when identical after lower-casing A-Z. The row with the largest id of equal texts stays. Equality is

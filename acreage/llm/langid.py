@@ -30,7 +30,9 @@ def letters() -> np.ndarray:
     return _letters
 
 
-def characters(texts: list[str | None], ink_of: np.ndarray | None = None, pad: int = ORDER - 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def characters(
+    texts: list[str | None], ink_of: np.ndarray | None = None, pad: int = ORDER - 1
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Code points of all texts, begin and end of each, letters of each. Lower case, one blank for each run of other characters.
 
     Every text has pad blanks before it, so that no window of pad + 1 reaches into the one before.
@@ -131,7 +133,9 @@ def estimate(texts: list[str], order: int = ORDER) -> dict:
 def train_models(sample: dict[str, list[str]], held_share: int = 5) -> Models:
     """One model for each language; every held_share-th text only calibrates the temperature and the limits of rejection."""
     langs = sorted(sample)
-    fitted = [estimate([t for k, t in enumerate(sample[l]) if k % held_share or len(sample[l]) < held_share])["tables"] for l in langs]
+    fitted = [
+        estimate([t for k, t in enumerate(sample[l]) if k % held_share or len(sample[l]) < held_share])["tables"] for l in langs
+    ]
     keys, logp, contexts, back = [], [], [], []
     below: np.ndarray | None = None
     for n in range(1, ORDER + 1):
@@ -155,7 +159,9 @@ def train_models(sample: dict[str, list[str]], held_share: int = 5) -> Models:
         contexts.append(around)
         back.append(np.log(weight).astype(np.float32))
         below = p
-    models = Models(langs, keys, logp, contexts, back, np.log(np.exp(back[0][0].astype(float)) / UNSEEN), 1.0, np.full(len(langs), np.inf))
+    models = Models(
+        langs, keys, logp, contexts, back, np.log(np.exp(back[0][0].astype(float)) / UNSEEN), 1.0, np.full(len(langs), np.inf)
+    )
     held = [(k, t) for k, l in enumerate(langs) for j, t in enumerate(sample[l]) if j % held_share == 0]
     entropy, n_letters = models.entropies([t for _, t in held])
     truth = np.array([k for k, _ in held])
@@ -196,7 +202,10 @@ def sample_of(known: DataFrame, per_language: int) -> DataFrame:
     return one.withColumn("k", rank).where(F.col("k") <= per_language).select("id", "lang", "text")
 
 
-def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, per_language: int = 500, longest: int = 200_000) -> DataFrame:
+def identify_languages(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, per_language: int = 500,
+    longest: int = 200_000
+) -> DataFrame:
     """One row for each row of docs: (id, held_out, lang_pred, score, rejected).
 
     Models are fitted on at most per_language texts of each language, those with the least hashes of their ids among
@@ -208,8 +217,13 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     any language to learn, all is und.
     """
     spark = shipped(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    known = rows.where(~held_out(F.col("id")) & F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") <= longest))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+        F.col(lang_col).cast("string").alias("lang")
+    )
+    known = rows.where(
+        ~held_out(F.col("id")) & F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") <= longest)
+    )
     sample: dict[str, list[str]] = {}
     for r in sample_of(known, per_language).toArrow().sort_by([("lang", "ascending"), ("id", "ascending")]).to_pylist():
         sample.setdefault(r["lang"], []).append(r["text"])
@@ -228,9 +242,14 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     best[lo + j] = models.langs[pick[j]]
                     score[lo + j] = round(float(share[j, pick[j]]), 9)
                     odd[lo + j] = entropy[j, pick[j]] > models.limit[pick[j]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best), pa.array(score), pa.array(odd)], ["id", "held_out", "lang_pred", "score", "rejected"])
-
-    out = rows.select("id", held_out(F.col("id")).alias("held_out"), "text").mapInArrow(run, "id long, held_out boolean, lang_pred string, score double, rejected boolean")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(best), pa.array(score), pa.array(odd)],
+                ["id", "held_out", "lang_pred", "score", "rejected"]
+            )
+
+    out = rows.select("id", held_out(F.col("id")).alias("held_out"), "text").mapInArrow(
+        run, "id long, held_out boolean, lang_pred string, score double, rejected boolean"
+    )
     return out.withColumnRenamed("id", id_col)
 
 

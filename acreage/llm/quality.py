@@ -89,7 +89,13 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         same[2:] = np.cumsum((words[1:] == words[:-1]) & (text[1:] == text[:-1]))
     same = np.diff(same[own]) if len(words) else np.zeros(n, np.int64)
     size, many = np.maximum(np.diff(cuts), 1), np.maximum(count, 1)
-    shape = np.stack([upper / np.maximum(upper + lower, 1), digit / size, sign / size, bar / many, same / many, np.minimum(np.diff(cuts) / many, 40) / 40], 1)
+    shape = np.stack(
+        [
+            upper / np.maximum(upper + lower, 1), digit / size, sign / size, bar / many, same / many,
+            np.minimum(np.diff(cuts) / many, 40) / 40
+        ],
+        1
+    )
     return np.concatenate(texts), np.concatenate(every), np.sqrt(np.clip(shape, 0, 1)) * 4, count
 
 
@@ -101,7 +107,9 @@ def distinct(text: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return text[new], values[new]
 
 
-def screened(held: list[np.ndarray], y: np.ndarray, keys: np.ndarray, inverse: np.ndarray, n: np.ndarray, strength: float) -> np.ndarray:
+def screened(
+    held: list[np.ndarray], y: np.ndarray, keys: np.ndarray, inverse: np.ndarray, n: np.ndarray, strength: float
+) -> np.ndarray:
     """Which features go with one grade by more than chance: strength standard deviations of a hypergeometric count."""
     grade = np.repeat(y, [len(h) for h in held])
     out = np.zeros(len(keys), bool)
@@ -113,7 +121,9 @@ def screened(held: list[np.ndarray], y: np.ndarray, keys: np.ndarray, inverse: n
 
 
 def fit(
-    graded: list[tuple[int, np.ndarray, list[float]]], grades: int, least: int = 8, strength: float = 10.0, rounds: int = 300, rate: float = 0.05, ridge: float = 1e-5,
+    graded: list[
+        tuple[int, np.ndarray, list[float]]
+    ], grades: int, least: int = 8, strength: float = 10.0, rounds: int = 300, rate: float = 0.05, ridge: float = 1e-5,
 ) -> Ordinal:
     """Fit by Adam on the mean log-likelihood; graded has (grade, signed feature hashes, shape figures).
 
@@ -156,7 +166,9 @@ def fit(
     return Ordinal(keys[live], w[live], v, theta)
 
 
-def train(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, grades: int, sample: int, terms: int) -> Ordinal | None:
+def train(
+    docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, grades: int, sample: int, terms: int
+) -> Ordinal | None:
     """Fit on at most sample rated documents, those with the least hashes of their ids, and terms features of each.
 
     None where fewer than two grades are rated: then nothing can be learned.
@@ -171,13 +183,20 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, grade
             text, hashes = distinct(text, hashes)
             few = np.arange(len(text)) - np.searchsorted(text, text) < terms  # those with the least hashes
             text, hashes = text[few], hashes[few]
-            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(batch) + 1)), pa.int32()), pa.array(hashes.view(np.int64)))
-            shapes = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1) * shape.shape[1], pa.int32()), pa.array(shape.ravel()))
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(text, np.arange(len(batch) + 1)), pa.int32()), pa.array(hashes.view(np.int64))
+            )
+            shapes = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(batch) + 1) * shape.shape[1], pa.int32()), pa.array(shape.ravel())
+            )
             yield pa.RecordBatch.from_arrays([batch.column("grade"), lists, shapes], ["grade", "hashes", "shape"])
 
     joined = texts.join(F.broadcast(chosen), "id").select("id", "grade", "text")
     rows = joined.mapInArrow(run, "grade int, hashes array<long>, shape array<double>").toArrow()
-    graded = sorted(zip(rows["grade"].to_pylist(), [x.values.to_numpy() for x in rows["hashes"]], rows["shape"].to_pylist(), strict=True), key=lambda r: (r[0], len(r[1]), r[2]))
+    graded = sorted(
+        zip(rows["grade"].to_pylist(), [x.values.to_numpy() for x in rows["hashes"]], rows["shape"].to_pylist(), strict=True),
+        key=lambda r: (r[0], len(r[1]), r[2])
+    )
     return fit(graded, grades) if len({g for g, _, _ in graded}) > 1 else None
 
 
@@ -197,7 +216,10 @@ def sent_model(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str,
     return spark.sparkContext.broadcast((model.keys, model.weights, model.shape_weights, model.thresholds) if model else None)
 
 
-def score_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, grades: int = 3, sample: int = 6000, terms: int = 10_000, least_tail: float = 0.7) -> DataFrame:
+def score_quality(
+    docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, grades: int = 3, sample: int = 6000,
+    terms: int = 10_000, least_tail: float = 0.7
+) -> DataFrame:
     """One row for each row of docs: (id, expected_grade, tail, kept).
 
     ratings has (id, grade) with grades from 0 to grades - 1, of which the least counts where an id has several; at
@@ -217,14 +239,19 @@ def score_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", t
                 scores = [pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), pa.array([False] * n)]
             else:
                 tails = tails_of(model, batch.column(1))
-                scores = [pa.array(tails.sum(1).round(9)), pa.array(tails[:, -1].round(9)), pa.array(tails[:, -1] >= least_tail)]
+                scores = [
+                    pa.array(tails.sum(1).round(9)), pa.array(tails[:, -1].round(9)), pa.array(tails[:, -1] >= least_tail)
+                ]
             yield pa.RecordBatch.from_arrays([batch.column(0), *scores], ["id", "expected_grade", "tail", "kept"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, expected_grade double, tail double, kept boolean").withColumnRenamed("id", id_col)
 
 
-def keep_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, grades: int = 3, sample: int = 6000, terms: int = 10_000, least_tail: float = 0.7) -> DataFrame:
+def keep_quality(
+    docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, grades: int = 3, sample: int = 6000,
+    terms: int = 10_000, least_tail: float = 0.7
+) -> DataFrame:
     """The rows of docs, with all their columns, that score_quality keeps. Rows are filtered where they lie."""
     sent = sent_model(docs, ratings, id_col, text_col, grades, sample, terms)
     place = docs.columns.index(text_col)
@@ -240,4 +267,7 @@ def keep_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", te
 
 def grade_of(labels: DataFrame) -> DataFrame:
     """Grades from the labels table: 0 junk, 1 well-formed but toxic, 2 clean."""
-    return labels.select(F.col("doc_id").cast("long").alias("id"), F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2).alias("grade"))
+    return labels.select(
+        F.col("doc_id").cast("long").alias("id"),
+        F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2).alias("grade")
+    )

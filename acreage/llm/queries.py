@@ -17,7 +17,10 @@ from acreage.llm.quality import grade_of, score_quality
 from acreage.llm.secrets import scan_secrets
 from acreage.llm.url_filter import filter_urls
 
-URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+URL_RULES = [
+    ("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"),
+    ("block", "org/es/")
+]
 REPLY_SCHEMA = {"reply": {"query": {"type": "string", "required": True, "min_length": 1}}}
 
 
@@ -43,12 +46,17 @@ def op4_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_linked")
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_linked"
+    )
 
 
 def op6_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = format_chats(table(spark, sf_dir, "conversations"), REPLY_SCHEMA)
-    return found.select(F.col("conv").alias("conv_id"), F.col("id").alias("call_id"), "name", "turn", "depth", "status", F.array_join("faults", "; ").alias("faults"), "json")
+    return found.select(
+        F.col("conv").alias("conv_id"), F.col("id").alias("call_id"), "name", "turn", "depth", "status",
+        F.array_join("faults", "; ").alias("faults"), "json"
+    )
 
 
 def op7_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

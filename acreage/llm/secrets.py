@@ -26,20 +26,36 @@ def matches(text: Column, pattern: str, kind: str, least: int = 0, group: int =
     rank = KINDS.index(kind)
     whole, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    steps = F.arrays_zip(F.transform(F.slice(between, 1, F.size(whole)), F.length).alias("skip"), F.transform(whole, F.length).alias("width"), F.transform(part, F.length).alias("held"))
+    steps = F.arrays_zip(
+        F.transform(F.slice(between, 1, F.size(whole)), F.length).alias("skip"), F.transform(whole, F.length).alias("width"),
+        F.transform(part, F.length).alias("held")
+    )
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,held:int>>")
 
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["skip"]
         end = start + x["width"]
-        return F.struct(end.alias("at"), F.concat(acc["got"], F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["held"].alias("held")))).alias("got"))
+        return F.struct(
+            end.alias("at"),
+            F.concat(
+                acc["got"],
+                F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["held"].alias("held")))
+            ).alias("got")
+        )
 
     def place(acc: Column, x: Column) -> Column:
-        return F.struct((acc["at"] + F.aggregate(x, F.lit(0), lambda n, y: n + y["skip"] + y["width"])).alias("at"), F.concat(acc["got"], F.array(acc["at"])).alias("got"))
+        return F.struct(
+            (acc["at"] + F.aggregate(x, F.lit(0), lambda n, y: n + y["skip"] + y["width"])).alias("at"),
+            F.concat(acc["got"], F.array(acc["at"])).alias("got")
+        )
 
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / CHUNK).cast("int")), lambda k: F.slice(steps, k * CHUNK + 1, CHUNK))
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / CHUNK).cast("int")), lambda k: F.slice(steps, k * CHUNK + 1, CHUNK)
+    )
     begins = F.aggregate(chunks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("got")), place)["got"]
-    found = F.flatten(F.zip_with(chunks, begins, lambda x, at: F.aggregate(x, F.struct(at.alias("at"), empty.alias("got")), add)["got"]))
+    found = F.flatten(
+        F.zip_with(chunks, begins, lambda x, at: F.aggregate(x, F.struct(at.alias("at"), empty.alias("got")), add)["got"])
+    )
     found = F.filter(found, lambda s: s["held"] >= least) if least else found
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
@@ -47,7 +63,13 @@ def matches(text: Column, pattern: str, kind: str, least: int = 0, group: int =
 def listed(spans: Column) -> Column:
     """kind:start:end by start, then kind, joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])
-    return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.get(names, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return F.array_join(
+        F.transform(
+            F.array_sort(spans),
+            lambda s: F.concat_ws(":", F.get(names, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))
+        ),
+        ","
+    )
 
 
 def near(a: Column, others: Column, scope: int) -> Column:
