@@ -16,7 +16,7 @@ OPEN_NAMES = ("ac", "co", "com", "edu", "gen", "go", "gob", "gov", "ltd", "mil",
 #: A host's links are dealt out in blocks of so many.
 FANOUT = 10_000
 #: Rounds between two looks at whether ranks have settled.
-ROUNDS = 4
+ROUNDS = 5
 
 
 def host_of(url: Column) -> Column:
@@ -69,48 +69,77 @@ def host_edges(judged: DataFrame, html_col: str) -> DataFrame:
     Edges are summed before the exchange, so a host with a third of all pages sends one row from each task for each of
     the hosts that it links to. Links without a scheme count, those within a host don't.
     """
-    links = judged.select(F.col("node").alias("src"), F.explode(F.regexp_extract_all(html_col, F.lit(LINK), F.lit(1))).alias("dst"))
-    links = links.select("src", node_of(F.translate("dst", UPPER, UPPER.lower())).alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
-    hosts = judged.where("node <> ''").select("node").union(links.select("src")).union(links.select("dst")).distinct().select(names_above(F.col("node")).alias("up"))
-    steps = hosts.where(F.size("up") > 1).select(F.explode(F.transform(F.sequence(F.lit(0), F.size("up") - 2), lambda k: F.struct(F.get("up", k).alias("lower"), F.get("up", k + 1).alias("upper")))).alias("s")).select("s.*").distinct()
-    tree = steps.select(F.col("lower").alias("src"), F.col("upper").alias("dst")).union(steps.select(F.col("upper").alias("src"), F.col("lower").alias("dst"))).withColumn("weight", F.lit(1.0))
+    links = judged.select(
+        F.col("node").alias("src"), F.explode(F.regexp_extract_all(html_col, F.lit(LINK), F.lit(1))).alias("dst")
+    )
+    links = links.select(
+        "src", node_of(F.translate("dst", UPPER, UPPER.lower())).alias("dst")
+    ).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
+    hosts = judged.where("node <> ''").select("node").union(links.select("src")).union(links.select("dst")).distinct().select(
+        names_above(F.col("node")).alias("up")
+    )
+    steps = hosts.where(F.size("up") > 1).select(
+        F.explode(
+            F.transform(
+                F.sequence(F.lit(0), F.size("up") - 2),
+                lambda k: F.struct(F.get("up", k).alias("lower"), F.get("up", k + 1).alias("upper"))
+            )
+        ).alias("s")
+    ).select("s.*").distinct()
+    tree = steps.select(F.col("lower").alias("src"), F.col("upper").alias("dst")).union(
+        steps.select(F.col("upper").alias("src"), F.col("lower").alias("dst"))
+    ).withColumn("weight", F.lit(1.0))
     return links.union(tree).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
 def shares_of(rank: DataFrame) -> DataFrame:
-    """(host, distrust): distrust's share in the ranks (kind, host, rank) of a host."""
-    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0))
-    both = rank.groupBy("host").agg(of("allow").alias("trust"), of("block").alias("against"))
+    """(host, distrust): distrust's share in the ranks (kind, host, rank) of a host, where those of each kind sum to one."""
+    totals = rank.groupBy("kind").agg(F.sum("rank").alias("total"))
+    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank") / F.col("total")).otherwise(0.0))
+    both = rank.join(F.broadcast(totals), "kind").groupBy("host").agg(of("allow").alias("trust"), of("block").alias("against"))
     return both.select("host", F.round(F.try_divide("against", F.col("trust") + F.col("against")), 9).alias("distrust"))
 
 
 def spread(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
-    """Personalised PageRank for each kind, settled: (kind, host, rank).
-
-    edges (kind, src, dst, weight); seeds (kind, host, seed) sum to one for each kind. What a host without outgoing
-    edges holds goes back to the seeds. Each round is two joins on the host and one aggregation with map-side combining;
-    the links of a host with very many are dealt out in blocks, each of which gets the host's rank. Every ROUNDS rounds
-    the ranks are written to the shared folder; rounds go on until no host is new and no host's distrust has moved by
-    more than tolerance since. As what is not settled shrinks by damping in each round, this ends whatever the graph.
+    """Personalised PageRank for each kind, settled and up to a factor: (kind, host, rank).
+
+    edges (kind, src, dst, weight); seeds (kind, host, seed) sum to one for each kind. What a host without outgoing edges
+    holds goes back to the seeds: that only scales all ranks of a kind, so it is left out here and shares_of scales them.
+    Each round is one join on the host and one aggregation with map-side combining; the links of a host with very many
+    are dealt out in blocks, each of which gets the host's rank. Every ROUNDS rounds the ranks are written to the shared
+    folder; rounds go on until no host is new and no host's distrust has moved by more than tolerance since. As what is
+    not settled shrinks by damping in each round, this ends whatever the graph.
     """
-    out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("out"), F.ceil(F.count("*") / FANOUT).cast("int").alias("blocks"))
-    share = edges.join(out, ["kind", "src"]).select("kind", "src", F.pmod(F.xxhash64("dst"), F.col("blocks")).cast("int").alias("block"), "dst", (F.col("weight") / F.col("out")).alias("share"))
-    share, out = stage(share, "share"), stage(out.select("kind", F.col("src").alias("host"), "blocks"), "out")
-    rank = seeds.select("kind", "host", F.col("seed").alias("rank"))
-    before = None
+    out = edges.groupBy("kind", "src").agg(
+        F.sum("weight").alias("out"), F.ceil(F.count("*") / FANOUT).cast("int").alias("blocks")
+    )
+    share = edges.join(out, ["kind", "src"]).select(
+        "kind", "src", F.pmod(F.xxhash64("dst"), F.col("blocks")).cast("int").alias("block"), "dst",
+        (damping * F.col("weight") / F.col("out")).alias("share")
+    )
+    share = stage(share, "share")
+    hubs = stage(out.where("blocks > 1").select("kind", "src", "blocks"), "hubs")
+    some = not hubs.isEmpty()
+    seed = seeds.select("kind", "host", ((1.0 - damping) * F.col("seed")).alias("rank"))
+    rank = before = stage(seed, "rank")
     while True:
         for _ in range(ROUNDS):
-            held = rank.join(out, ["kind", "host"], "left")
-            sent = held.where("blocks is not null").select("kind", F.col("host").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-            moved = sent.join(share, ["kind", "src", "block"]).select("kind", F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank"))
-            lost = held.groupBy("kind").agg(F.sum(F.when(F.col("blocks").isNull(), F.col("rank")).otherwise(0.0)).alias("lost"))
-            back = seeds.join(lost, "kind").select("kind", "host", (F.col("seed") * (1.0 - damping + damping * F.col("lost"))).alias("rank"))
-            rank = moved.union(back).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+            sent = rank.withColumnRenamed("host", "src")
+            if some:
+                sent = sent.join(hubs, ["kind", "src"], "left").select(
+                    "kind", "src", "rank", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("block")
+                )
+            else:
+                sent = sent.withColumn("block", F.lit(0))
+            # Merged, not broadcast: the driver holds nothing of a round, whatever the number of rounds.
+            moved = sent.hint("merge").join(share, ["kind", "src", "block"]).select(
+                "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share")).alias("rank")
+            )
+            rank = moved.union(seed).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         rank = stage(rank, "rank")
-        if before is not None:
-            both = shares_of(rank).join(shares_of(before).withColumnRenamed("distrust", "earlier"), "host", "left")
-            if both.where(F.col("earlier").isNull() | (F.abs(F.col("distrust") - F.col("earlier")) > tolerance)).isEmpty():
-                return rank
+        both = shares_of(rank).join(shares_of(before).withColumnRenamed("distrust", "earlier").hint("merge"), "host", "left")
+        if both.where(F.col("earlier").isNull() | (F.abs(F.col("distrust") - F.col("earlier")) > tolerance)).isEmpty():
+            return rank
         before = rank
 
 
@@ -127,14 +156,24 @@ def filter_urls(
     and pages without a host (null url, no ://), get default. Null html has no links. Without seeds of either kind all
     hosts get default. Repeated rows give repeated results; an empty table gives none; other columns are ignored.
     """
-    judged = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"), F.col(html_col).alias("html"))
+    judged = pages.select(
+        F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"),
+        F.col(html_col).alias("html")
+    )
     judged = judged.withColumns({"node": node_of(F.col("host")), "hit": rule_for(F.col("host"), F.col("path"), rules)})
     edges = stage(host_edges(judged, "html"), "edges")
-    seen = judged.where("node <> '' and hit is not null").groupBy(F.col("hit.verdict").alias("kind"), F.col("node").alias("host")).agg(F.count("*").cast("double").alias("n"))
+    seen = judged.where("node <> '' and hit is not null").groupBy(
+        F.col("hit.verdict").alias("kind"), F.col("node").alias("host")
+    ).agg(F.count("*").cast("double").alias("n"))
     totals = seen.groupBy("kind").agg(F.sum("n").alias("total"))
     seeds = stage(seen.join(totals, "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("seed")), "seeds")
     against = edges.select(F.lit("block").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     rank = spread(edges.select(F.lit("allow").alias("kind"), "src", "dst", "weight").union(against), seeds, damping, tolerance)
     out = judged.drop("html").join(shares_of(rank).withColumnRenamed("host", "node"), "node", "left")
-    verdict = F.coalesce("hit.verdict", F.when(F.col("distrust") > threshold, "block").when(F.col("distrust") <= threshold, "allow"), F.lit(default))
-    return out.select(F.col("id").alias(id_col), "host", "path", F.col("hit.rule").alias("rule"), verdict.alias("verdict"), "distrust")
+    verdict = F.coalesce(
+        "hit.verdict", F.when(F.col("distrust") > threshold, "block").when(F.col("distrust") <= threshold, "allow"),
+        F.lit(default)
+    )
+    return out.select(
+        F.col("id").alias(id_col), "host", "path", F.col("hit.rule").alias("rule"), verdict.alias("verdict"), "distrust"
+    )
