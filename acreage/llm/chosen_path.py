@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from acreage.llm.bitmap import bitmap, holds
 from acreage.llm.components import components
+from acreage.llm.exact_dedup import slots_for
 from acreage.llm.scratch import stage
 from acreage.llm.ship import shipped
 from acreage.llm.words import FACTOR, mix, owner, utf8, word_hashes
@@ -28,9 +29,9 @@ BUCKET, DEEPEST = 32, 3
 ALIKE = 20
 #: Runs before what they have brought together counts as one.
 EARLY = 1
-#: Documents that are compared in one task; candidates that hang together in greater number are dealt out by pairs of blocks.
-BLOCK = 2000
-SLOTS = 64
+#: Documents, and words of them, that are compared in one task; candidates that hang together in greater number are dealt
+#: out by pairs of blocks of about so many.
+BLOCK, BLOCK_WORDS = 2000, 1 << 22
 GROUP = 1 << 19
 
 
@@ -91,7 +92,9 @@ def shingles(own: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray
     reach = np.zeros(len(words), np.int64)
     left = np.repeat(own[1:], count) - np.arange(len(words))
     for k in range(SHINGLE):
-        acc[: len(words) - k] = np.where(left[: len(words) - k] > k, acc[: len(words) - k] * np.uint64(FACTOR) + words[k:], acc[: len(words) - k])
+        acc[: len(words) - k] = np.where(
+            left[: len(words) - k] > k, acc[: len(words) - k] * np.uint64(FACTOR) + words[k:], acc[: len(words) - k]
+        )
     reach = left >= np.minimum(SHINGLE, count[text]) if len(words) else left.astype(bool)
     return text[reach], mix(acc[reach])
 
@@ -122,12 +125,20 @@ def sketch_table(rows: DataFrame) -> DataFrame:
                 head = np.searchsorted(text, some)
                 least = np.zeros((len(some), TOKENS), np.int32)
                 for k in range(TOKENS if len(some) else 0):
-                    least[:, k] = (np.minimum.reduceat((held ^ seeds[k]) * factors[k], head) >> np.uint64(16)).astype(np.uint32).view(np.int32)
+                    least[:, k] = (
+                        np.minimum.reduceat((held ^ seeds[k]) * factors[k], head) >> np.uint64(16)
+                    ).astype(np.uint32).view(np.int32)
                 size = np.zeros(n, np.int64)
                 size[some] = TOKENS
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(least.ravel()))
                 k1, k2 = digests(own, words)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(np.diff(own)), lists], ["id", "k1", "k2", "n_words", "sketch"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(lo, n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
+                        pa.array(np.diff(own)), lists
+                    ],
+                    ["id", "k1", "k2", "n_words", "sketch"]
+                )
 
     return rows.select("id", "text").mapInArrow(run, "id long, k1 long, k2 long, n_words long, sketch array<int>")
 
@@ -154,56 +165,61 @@ def next_paths(path: Column, sketch: Column) -> Column:
 def candidate_parts(nodes: DataFrame, runs: int) -> DataFrame:
     """(id, root) of the nodes (id, sketch) that end in a bucket with another: root is the least of all that hang together.
 
-    The first EARLY runs come first. In the others, what hangs together already counts as one in every bucket, so a large
-    group of near copies is split and linked a few times only, whatever the number of runs.
+    The first EARLY runs come first; after them a node goes by the least lead of its buckets. In the others, nodes that
+    go by the same lead count as one in every bucket, so a large group of near copies is looked at a few times only,
+    whatever the number of runs.
     """
     chosen = choices(runs)
-    held, parts = nodes.withColumn("root", F.col("id")), None
-    for some in ([c for c in chosen if c[0] < EARLY], [c for c in chosen if c[0] >= EARLY]):
-        if not some:
-            continue
-        edges = bucket_edges(held, some)
-        if parts is not None:
-            edges = edges.union(parts.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b")))
-        parts = stage(components(edges).withColumnRenamed("node", "id"), "parts")
-        held = nodes.join(parts, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    return parts
+    early, late = [c for c in chosen if c[0] < EARLY], [c for c in chosen if c[0] >= EARLY]
+    edges = stage(bucket_edges(nodes.withColumn("root", F.col("id")), early), "met")
+    if late:
+        named = edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root"))
+        named = stage(nodes.join(named, "id", "left").withColumn("root", F.coalesce("root", "id")), "nodes")
+        edges = edges.union(bucket_edges(named, late))
+    return components(edges).withColumnRenamed("node", "id")
 
 
 def bucket_edges(nodes: DataFrame, chosen: list[tuple[int, int, int]]) -> DataFrame:
-    """(a, b): links the root of each node (id, root, sketch) to one root of every bucket in which it ends.
+    """(a, b): links the root of each node (id, root, sketch) to one root, the lead, of every bucket in which it ends.
 
     A bucket with more than BUCKET roots is split again, at most DEEPEST times, unless half of its nodes have the same
     root, or sketches that agree with its lead's in ALIKE places: then it is a group of near copies, which no split makes
     small, and its roots are linked as they are. Nodes with the same root are counted in the tasks that read them.
     """
-    nodes = stage(nodes, "nodes")
     sketches = nodes.select("id", "sketch")
     level = nodes.select("id", "root", F.explode(first_paths(F.col("sketch"), chosen)).alias("path"))
+    linked = lambda members, ended: members.join(ended, "path").where("root <> lead").select(
+        F.col("lead").alias("a"), F.col("root").alias("b")
+    )
     found = []
     for depth in range(DEEPEST + 1):
         shares = level.groupBy("path", "root").agg(F.count("*").alias("m"))
-        buckets = shares.groupBy("path").agg(F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("roots"), F.sum("m").alias("n")).where("roots > 1")
+        buckets = shares.groupBy("path").agg(
+            F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("roots"), F.sum("m").alias("n")
+        ).where("roots > 1")
         ends = F.lit(depth == DEEPEST) | (F.col("roots") <= BUCKET) | (F.col("top.m") * 2 >= F.col("n"))
         buckets = stage(buckets.select("path", F.col("top.root").alias("lead"), ends.alias("ends")), "buckets")
-        found.append(stage(shares.join(buckets.where("ends"), "path").where("root <> lead").select(F.col("lead").alias("a"), F.col("root").alias("b")).distinct(), "met"))
+        found.append(linked(shares.drop("m"), buckets.where("ends").select("path", "lead")))
         large = buckets.where("not ends").select("path", "lead")
         if large.isEmpty():
             break
         leads = large.join(sketches.withColumnsRenamed({"id": "lead", "sketch": "first"}), "lead")
         same = F.size(F.filter(F.zip_with("sketch", "first", lambda x, y: x == y), lambda x: x))
-        held = level.join(leads, "path").join(sketches, "id").select("path", "lead", "id", "root", "sketch", (same >= ALIKE).alias("alike"))
+        held = level.join(leads, "path").join(sketches, "id").select(
+            "path", "lead", "id", "root", "sketch", (same >= ALIKE).alias("alike")
+        )
         held = stage(held, "large")
-        kinds = stage(held.groupBy("path").agg((F.count_if("alike") * 2 >= F.count("*")).alias("ends")), "kinds")
-        found.append(stage(held.join(kinds.where("ends"), "path").where("root <> lead").select(F.col("lead").alias("a"), F.col("root").alias("b")).distinct(), "met"))
-        split = held.join(kinds.where("not ends").select("path"), "path", "left_semi")
-        if split.isEmpty():
-            break
-        level = split.select("id", "root", F.explode(next_paths(F.col("path"), F.col("sketch"))).alias("path")).distinct()
-    return reduce(DataFrame.union, found)
+        kinds = held.groupBy("path").agg((F.count_if("alike") * 2 >= F.count("*")).alias("ends"))
+        found.append(linked(held.select("path", "lead", "root"), kinds.where("ends").select("path")))
+        level = held.join(kinds.where("not ends").select("path"), "path", "left_semi").select(
+            "id", "root", F.explode(next_paths(F.col("path"), F.col("sketch"))).alias("path")
+        ).distinct()
+    return reduce(DataFrame.union, found).distinct()
 
 
-def compare(ids: np.ndarray, side: np.ndarray, flat: np.ndarray, ends: np.ndarray, across: bool) -> tuple[np.ndarray, np.ndarray]:
+def compare(
+    ids: np.ndarray, side: np.ndarray, flat: np.ndarray, ends: np.ndarray, across: bool
+) -> tuple[np.ndarray, np.ndarray]:
     """(least linked id, number of links) of each set, by counting shared shingles over postings; across: only between sides.
 
     The least id is over everything that hangs together in this task, so what is returned is a forest, not all pairs.
@@ -260,22 +276,30 @@ def set_table(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 new = np.append(True, (text[1:] != text[:-1]) | (held[1:] != held[:-1])) if len(text) else np.zeros(0, bool)
                 text, held = text[new], held[new]
                 n = len(own) - 1
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), pa.array(held.view(np.int64)))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), pa.array(held.view(np.int64))
+                )
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), lists], ["id", "held"])
 
     return rows.select("id", "text").mapInArrow(run, "id long, held array<long>")
 
 
 def linked(rows: DataFrame, parts: DataFrame) -> tuple[DataFrame, bool]:
-    """(id, lead, links) of the nodes (id, root): each set of nodes that hang together is compared whole, in blocks if it is large.
+    """(id, lead, links) of the nodes (id, root, n_words): each set of nodes that hang together is compared whole, in blocks if it is large.
 
     The second result says whether there were blocks; without them, lead is the least id of the class already.
     """
-    sizes = parts.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    sets = set_table(rows, parts).join(parts, "id").join(sizes, "root")
+    sizes = parts.groupBy("root").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_words") / BLOCK_WORDS)).cast("int").alias("blocks")
+    )
+    sets = set_table(rows, parts).join(parts.select("id", "root"), "id").join(sizes, "root")
     own = F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int")
-    dealt = sets.select("root", "id", "held", own.alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("root", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "id", "side", "held")
+    dealt = sets.select(
+        "root", "id", "held", own.alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    )
+    dealt = dealt.select(
+        "root", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "id", "side", "held"
+    )
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -306,18 +330,37 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     base = stage(sketch_table(rows.where("id is not null")), "sketches")
     key = ["k1", "k2", "n_words"]
-    slotted = base.where("n_words > 0").withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(SLOTS)).cast("int"))
+    slotted = base.where("n_words > 0").withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(slots_for(base.count()))).cast("int"))
     by_slot = slotted.groupBy("slot", *key).agg(F.min("id").alias("least"))
     nodes = by_slot.groupBy(*key).agg(F.min("least").alias("rep"))
     sketches = base.select("id", *key, "sketch").dropDuplicates(["id", *key])
-    nodes = stage(nodes.join(sketches, (nodes.rep == sketches.id) & (nodes.k1 == sketches.k1) & (nodes.k2 == sketches.k2) & (nodes.n_words == sketches.n_words)).select("id", nodes.k1, nodes.k2, nodes.n_words, "sketch"), "nodes")
-    parts = candidate_parts(nodes.select("id", "sketch"), runs_for(recall))
+    nodes = stage(
+        nodes.join(
+            sketches,
+            (nodes.rep == sketches.id) & (nodes.k1 == sketches.k1) & (nodes.k2 == sketches.k2) & (
+                nodes.n_words == sketches.n_words
+            )
+        ).select("id", nodes.k1, nodes.k2, nodes.n_words, "sketch"),
+        "nodes"
+    )
+    parts = stage(
+        candidate_parts(nodes.select("id", "sketch"), runs_for(recall)).join(
+            nodes.groupBy("id").agg(F.sum("n_words").alias("n_words")), "id"
+        ),
+        "parts"
+    )
     found, blocks = linked(rows.where("id is not null"), parts)
-    classes = components(found.where("id <> lead"), "id", "lead").withColumnsRenamed({"node": "id", "root": "class_id"}) if blocks else found.select("id", F.col("lead").alias("class_id"))
+    classes = components(
+        found.where("id <> lead"), "id", "lead"
+    ).withColumnsRenamed({"node": "id", "root": "class_id"}) if blocks else found.select("id", F.col("lead").alias("class_id"))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    named = nodes.select("id", *key).join(classes, "id", "left").join(links, "id", "left").select(*key, F.coalesce("class_id", "id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+    named = nodes.select("id", *key).join(classes, "id", "left").join(links, "id", "left").select(
+        *key, F.coalesce("class_id", "id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links")
+    )
     down = by_slot.drop("least").join(named, key)
     full = slotted.select("id", "slot", *key).join(down, ["slot", *key]).select("id", "class_id", "n_links")
     alone = base.where("n_words = 0").select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     none = rows.where("id is null").select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return full.union(alone).union(none).select(F.col("id").alias(id_col), "class_id", "n_links", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return full.union(alone).union(none).select(
+        F.col("id").alias(id_col), "class_id", "n_links", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
+    )
