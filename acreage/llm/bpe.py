@@ -31,7 +31,9 @@ LATIN_PATTERN = re.compile(rf" ?[{LETTERS}]++| ?[0-9]++|'(?:s|t|re|ve|m|ll|d)| ?
 ANY_PATTERN = regex.compile(PATTERN)
 HEADER = struct.Struct("<8sQQQQ")
 #: Words that a worker keeps at hand; beyond it they become the old ones, so memory is bounded.
-AT_HAND = 500_000
+AT_HAND = 150_000
+#: Words that a task counts before it sends their counts.
+COUNTED = 300_000
 #: Longer words are neither compiled nor kept at hand.
 LONGEST = 64
 #: Texts are taken in groups of about so many characters; longer ones in slices.
@@ -411,7 +413,7 @@ def frequent_words(docs: DataFrame, text_col: str, lexicon_size: int) -> list[st
             for text in batch.column(0):
                 for part in slices(text.as_py() or ""):
                     total.update(cut(part))
-                    if len(total) > AT_HAND:
+                    if len(total) > COUNTED:
                         yield out()
         yield out()
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acreage.llm.ship import shipped
-from acreage.llm.words import BLANK, LOWER, mix, owner, powers, utf8, word_hashes
+from acreage.llm.words import BLANK, LOWER, mix, owner, parts, powers, utf8, word_hashes
 
 #: Words are hashed whole and by their first bytes, so that inflected and compounded forms share a weight.
 PREFIXES = (4, 5, 6)
@@ -179,17 +179,17 @@ def train(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, hashes, shape, _ = features(batch.column("text"))
-            text, hashes = distinct(text, hashes)
-            few = np.arange(len(text)) - np.searchsorted(text, text) < terms  # those with the least hashes
-            text, hashes = text[few], hashes[few]
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.searchsorted(text, np.arange(len(batch) + 1)), pa.int32()), pa.array(hashes.view(np.int64))
-            )
-            shapes = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(batch) + 1) * shape.shape[1], pa.int32()), pa.array(shape.ravel())
-            )
-            yield pa.RecordBatch.from_arrays([batch.column("grade"), lists, shapes], ["grade", "hashes", "shape"])
+            for lo, part in parts(batch.column("text")):
+                text, hashes, shape, _ = features(part)
+                text, hashes = distinct(text, hashes)
+                few = np.arange(len(text)) - np.searchsorted(text, text) < terms  # those with the least hashes
+                text, hashes = text[few], hashes[few]
+                ends = np.searchsorted(text, np.arange(len(part) + 1))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64)))
+                at = pa.array(np.arange(len(part) + 1) * shape.shape[1], pa.int32())
+                shapes = pa.ListArray.from_arrays(at, pa.array(shape.ravel()))
+                grades = batch.column("grade").slice(lo, len(part))
+                yield pa.RecordBatch.from_arrays([grades, lists, shapes], ["grade", "hashes", "shape"])
 
     joined = texts.join(F.broadcast(chosen), "id").select("id", "grade", "text")
     rows = joined.mapInArrow(run, "grade int, hashes array<long>, shape array<double>").toArrow()
@@ -201,13 +201,16 @@ def train(
 
 
 def tails_of(model: Ordinal, texts: pa.Array) -> np.ndarray:
-    """P(grade >= k) of each text for k from 1; 0 where there are no words."""
-    text, hashes, shape, words = features(texts)
-    at = model.find(hashes)
-    hit = at >= 0
-    text, at = distinct(text[hit], at[hit])
-    score = np.bincount(text, model.weights[at], len(texts)) + shape @ model.shape_weights
-    return np.where(words[:, None] > 0, model.tails(score), 0.0)
+    """P(grade >= k) of each text for k from 1; 0 where there are no words. Texts are taken in parts, so memory stays small."""
+    out = np.zeros((len(texts), len(model.thresholds)))
+    for lo, part in parts(texts):
+        text, hashes, shape, words = features(part)
+        at = model.find(hashes)
+        hit = at >= 0
+        text, at = distinct(text[hit], at[hit])
+        score = np.bincount(text, model.weights[at], len(part)) + shape @ model.shape_weights
+        out[lo : lo + len(part)] = np.where(words[:, None] > 0, model.tails(score), 0.0)
+    return out
 
 
 def sent_model(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, grades: int, sample: int, terms: int):

@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 #: Arrow batches hold at most so many rows and bytes, so that workers' memory follows neither the partition nor long texts.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
 
 def shipped(spark: SparkSession) -> SparkSession:

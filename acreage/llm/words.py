@@ -56,6 +56,16 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, at - at[0]
 
 
+def parts(column: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, rows) of a column in parts of about so many bytes; a longer text is alone."""
+    _, cuts = utf8(column)
+    lo = 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(cuts, cuts[lo] + most, "right")) - 1)
+        yield lo, column.slice(lo, hi - lo)
+        lo = hi
+
+
 def pieces(data: np.ndarray) -> Iterator[tuple[int, int]]:
     at = 0
     while at < len(data):
