@@ -23,7 +23,7 @@ LINE = np.dtype([("k1", "u8"), ("k2", "u8"), ("id", "i8"), ("line", "i4"), ("siz
 #: Columns of a posting: the key of its run, the line, the set's size, the token's place in it, the bitmap.
 POSTING = ("u8", "i8", "i4", "i4", "i4", "u8", "u8")
 #: Lines and postings travel packed, in buckets of about so many words of text; tasks send what they hold at so many bytes.
-BUCKET, FLUSH = 1 << 21, 1 << 25
+BUCKET, FLUSH = 1 << 20, 1 << 23
 #: A token with more postings is dealt out by pairs of blocks of about so many lines.
 RUN = 1 << 16
 #: A line first meets FIRST earlier lines that pass the filters for a token; all others only if none of these matches it.
@@ -31,10 +31,12 @@ FIRST = 8
 PAIR = "a_id long, a_line int, b_id long, b_line int"
 NEWLINE = 10
 #: Texts are taken in groups of about so many bytes.
-GROUP = 1 << 20
+GROUP = 1 << 19
 
 
-def line_tokens(column: pa.Array, asked: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def line_tokens(
+    column: pa.Array, asked: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For groups of texts: (first text, text of each line, number of each line in its text, line of each word, hashes).
 
     With asked(text of the column, number), only the words of the lines for which it is true are given.
@@ -69,13 +71,17 @@ def distinct_tokens(line: np.ndarray, words: np.ndarray, rank: np.ndarray) -> tu
     """(line, token) without repeats, the tokens of each line from rare to frequent."""
     order = None
     if len(line) and line[-1] < 1 << 20:
-        key = (line.astype(np.uint64) << np.uint64(44)) | (rank[words >> np.uint64(64 - RARITY_BITS)].astype(np.uint64) << np.uint64(32)) | ((words >> np.uint64(8)) & np.uint64(0xFFFFFFFF))
+        key = (line.astype(np.uint64) << np.uint64(44)) | (
+            rank[words >> np.uint64(64 - RARITY_BITS)].astype(np.uint64) << np.uint64(32)
+        ) | ((words >> np.uint64(8)) & np.uint64(0xFFFFFFFF))
         order = np.argsort(key)
         key, by = key[order], words[order]
         if ((key[1:] == key[:-1]) & (by[1:] != by[:-1])).any():
             order = None  # two tokens of a line share a key: sort by the whole hash
     if order is None:
-        order = np.lexsort((words, (words >> np.uint64(8)) & np.uint64(0xFFFFFFFF), rank[words >> np.uint64(64 - RARITY_BITS)], line))
+        order = np.lexsort(
+            (words, (words >> np.uint64(8)) & np.uint64(0xFFFFFFFF), rank[words >> np.uint64(64 - RARITY_BITS)], line)
+        )
     line, words = line[order], words[order]
     new = np.ones(len(line), bool)
     new[1:] = (line[1:] != line[:-1]) | (words[1:] != words[:-1])
@@ -101,13 +107,17 @@ def hash_counts(rows: DataFrame, hashes) -> np.ndarray:
             total += np.bincount(np.concatenate(held), minlength=len(total))
         blocks = total.reshape(-1, CHUNK)
         some = np.flatnonzero(blocks.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([blocks[k].tobytes() for k in some], pa.binary())], ["block", "counts"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array([blocks[k].tobytes() for k in some], pa.binary())], ["block", "counts"]
+        )
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x.as_py(), np.int64) for x in table["counts"])
         return pa.table({"block": table["block"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
-    got = rows.mapInArrow(count, "block int, counts binary").groupBy("block").applyInArrow(add, "block int, counts binary").collect()
+    got = rows.mapInArrow(
+        count, "block int, counts binary"
+    ).groupBy("block").applyInArrow(add, "block int, counts binary").collect()
     out = np.zeros(1 << RARITY_BITS, np.int64)
     for r in got:
         out[r.block * CHUNK : (r.block + 1) * CHUNK] = np.frombuffer(r.counts, np.int64)
@@ -155,7 +165,13 @@ def line_table(rows: DataFrame, ranks: np.ndarray, buckets: int) -> DataFrame:
     kind = "bucket int, lines binary, prefix binary"
 
     def batch_of(buckets_of: list[int], lines: list[np.ndarray], prefix: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(buckets_of, pa.int32()), pa.array([x.tobytes() for x in lines], pa.binary()), pa.array([x.tobytes() for x in prefix], pa.binary())], ["bucket", "lines", "prefix"])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(buckets_of, pa.int32()), pa.array([x.tobytes() for x in lines], pa.binary()),
+                pa.array([x.tobytes() for x in prefix], pa.binary())
+            ],
+            ["bucket", "lines", "prefix"]
+        )
 
     def dealt(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         lines, prefix = earliest(*map(np.concatenate, zip(*held, strict=True)))
@@ -180,9 +196,13 @@ def line_table(rows: DataFrame, ranks: np.ndarray, buckets: int) -> DataFrame:
                 out = np.zeros(len(head), LINE)
                 out["size"] = np.diff(np.append(head, len(line)))
                 out["id"], out["line"] = ids[lo + text[at]], number[at]
-                out["k1"], out["k2"] = np.add.reduceat(mix(words ^ np.uint64(1)), head), np.add.reduceat(mix(words ^ np.uint64(2)), head)
+                out["k1"], out["k2"] = np.add.reduceat(
+                    mix(words ^ np.uint64(1)), head
+                ), np.add.reduceat(mix(words ^ np.uint64(2)), head)
                 flip, upper = np.uint64(1) << (words & np.uint64(63)), (words & np.uint64(64)) != 0
-                out["low"], out["high"] = (np.bitwise_xor.reduceat(np.where(half, flip, np.uint64(0)), head) for half in (~upper, upper))
+                out["low"], out["high"] = (
+                    np.bitwise_xor.reduceat(np.where(half, flip, np.uint64(0)), head) for half in (~upper, upper)
+                )
                 held.append((out, words[ragged(head, prefix_size(out["size"].astype(np.int64)))]))
                 size += sum(x.nbytes for x in held[-1])
                 if size >= FLUSH:
@@ -192,7 +212,10 @@ def line_table(rows: DataFrame, ranks: np.ndarray, buckets: int) -> DataFrame:
             yield dealt(held)
 
     def merge(table: pa.Table) -> pa.Table:
-        lines, prefix = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table[c]]) for c, t in (("lines", LINE), ("prefix", np.uint64)))
+        lines, prefix = (
+            np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table[c]]) for c,
+            t in (("lines", LINE), ("prefix", np.uint64))
+        )
         return pa.Table.from_batches([batch_of([table["bucket"][0].as_py()], *([x] for x in earliest(lines, prefix)))])
 
     return rows.select("id", "text").mapInArrow(scan, kind).groupBy("bucket").applyInArrow(merge, kind)
@@ -214,7 +237,10 @@ def refs_of(lines: DataFrame) -> DataFrame:
     return lines.select("lines", "prefix").mapInArrow(run, "id long, line int")
 
 
-def run_pairs(key: np.ndarray, ids: np.ndarray, line: np.ndarray, size: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def run_pairs(
+    key: np.ndarray, ids: np.ndarray, line: np.ndarray, size: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray,
+    first: int | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(earlier, later) of lines in the same run that pass the filters, as places in the columns, and whether partners were left out.
 
     The lowest bits of a key tell the line's side (0: all meet; 1, 2: only lines of different sides do) and whether it
@@ -241,8 +267,8 @@ def run_pairs(key: np.ndarray, ids: np.ndarray, line: np.ndarray, size: np.ndarr
     had = np.zeros(len(run), np.int64)  # partners of each line so far
     got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     lo = 0
-    while lo < len(some):  # in pieces of about a million pairs
-        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + (1 << 20), "right")))
+    while lo < len(some):  # in pieces of about so many pairs
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + (1 << 18), "right")))
         j, n = some[lo:hi], before[some[lo:hi]]
         lo = hi
         i, j = ragged(start[j], n), np.repeat(j, n)
@@ -252,7 +278,9 @@ def run_pairs(key: np.ndarray, ids: np.ndarray, line: np.ndarray, size: np.ndarr
         flips = np.bitwise_count(low[i] ^ low[j]).astype(np.int32) + np.bitwise_count(high[i] ^ high[j])
         swap = (ids[i] > ids[j]) | ((ids[i] == ids[j]) & (line[i] > line[j]))
         a, b = np.where(swap, j, i), np.where(swap, i, j)
-        ok = ((both - flips) // 2 * (NUM + DEN) >= NUM * both) & ((ids[i] != ids[j]) | (line[i] != line[j])) & ((side[i] == 0) | (side[i] != side[j])) & probe[b]
+        ok = (
+            (both - flips) // 2 * (NUM + DEN) >= NUM * both
+        ) & ((ids[i] != ids[j]) | (line[i] != line[j])) & ((side[i] == 0) | (side[i] != side[j])) & probe[b]
         a, b, more = a[ok], b[ok], np.zeros(int(ok.sum()), bool)
         if first is not None and len(b):
             by = np.lexsort((line[a], ids[a], b))
@@ -268,7 +296,9 @@ def run_pairs(key: np.ndarray, ids: np.ndarray, line: np.ndarray, size: np.ndarr
     return tuple(np.concatenate(x) for x in zip(*got, strict=True))
 
 
-def candidate_pairs(lines: DataFrame, buckets: int, counts: np.ndarray, first: int | None, asked: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+def candidate_pairs(
+    lines: DataFrame, buckets: int, counts: np.ndarray, first: int | None, asked: tuple[np.ndarray, np.ndarray] | None = None
+) -> DataFrame:
     """Distinct (a_id, a_line, b_id, b_line, more): earlier and later lines that share a token and pass the filters.
 
     Postings of the packed lines go to buckets by token. counts holds for each hash bucket of tokens how many postings it
@@ -292,7 +322,10 @@ def candidate_pairs(lines: DataFrame, buckets: int, counts: np.ndarray, first: i
             columns, bucket = [c[order] for c in columns], bucket[order]
             cut = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
             packed = [pa.array([x.tobytes() for x in np.split(c, cut)], pa.binary()) for c in columns]
-            return pa.RecordBatch.from_arrays([pa.array(bucket[np.append(0, cut)].astype(np.int32)), *packed], ["bucket", *[f"c{k}" for k in range(len(packed))]])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket[np.append(0, cut)].astype(np.int32)), *packed],
+                ["bucket", *[f"c{k}" for k in range(len(packed))]]
+            )
 
         for batch in batches:
             for own, prefix in unpacked(batch):
@@ -310,9 +343,14 @@ def candidate_pairs(lines: DataFrame, buckets: int, counts: np.ndarray, first: i
                 low, high = np.minimum(mine, other), np.maximum(mine, other)
                 key = mix(prefix + mix(low << np.uint64(32) | high)) << np.uint64(3)
                 key |= np.where(mine == other, 0, np.where(mine < other, 2, 4)).astype(np.uint64) | probe[of].astype(np.uint64)
-                for lo in range(0, len(of), 1 << 19):
-                    part = of[lo : lo + (1 << 19)]
-                    held.append([key[lo : lo + (1 << 19)], own["id"][part], own["line"][part], own["size"][part], at[lo : lo + (1 << 19)].astype(np.int32), own["low"][part], own["high"][part]])
+                for lo in range(0, len(of), 1 << 17):
+                    part = of[lo : lo + (1 << 17)]
+                    held.append(
+                        [
+                            key[lo : lo + (1 << 17)], own["id"][part], own["line"][part], own["size"][part],
+                            at[lo : lo + (1 << 17)].astype(np.int32), own["low"][part], own["high"][part]
+                        ]
+                    )
                     total += sum(c.nbytes for c in held[-1])
                     if total >= FLUSH:
                         yield dealt()
@@ -323,10 +361,14 @@ def candidate_pairs(lines: DataFrame, buckets: int, counts: np.ndarray, first: i
     def meet(table: pa.Table) -> pa.Table:
         columns = [np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table[f"c{k}"]]) for k, t in enumerate(POSTING)]
         a, b, more = run_pairs(*columns, first)
-        return pa.table({"a_id": columns[1][a], "a_line": columns[2][a], "b_id": columns[1][b], "b_line": columns[2][b], "more": more})
+        return pa.table(
+            {"a_id": columns[1][a], "a_line": columns[2][a], "b_id": columns[1][b], "b_line": columns[2][b], "more": more}
+        )
 
     columns = ", ".join(f"c{k} binary" for k in range(len(POSTING)))
-    met = lines.select("lines", "prefix").mapInArrow(post, f"bucket int, {columns}").groupBy("bucket").applyInArrow(meet, f"{PAIR}, more boolean")
+    met = lines.select("lines", "prefix").mapInArrow(
+        post, f"bucket int, {columns}"
+    ).groupBy("bucket").applyInArrow(meet, f"{PAIR}, more boolean")
     return met.distinct()
 
 
@@ -345,15 +387,23 @@ def tokens_of(rows: DataFrame, refs: DataFrame, ranks: np.ndarray) -> DataFrame:
         for batch in batches:
             batch = batch.filter(pa.array(holds(documents, batch.column(0).to_numpy(zero_copy_only=False))))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, text, number, line, words in line_tokens(batch.column(1), lambda text, number: holds(places, pair_hash(ids[text], number))):  # noqa: B023
+            for lo, text, number, line, words in line_tokens(  # noqa: B023
+                batch.column(1), lambda text, number: holds(places, pair_hash(ids[text], number))
+            ):
                 line, words = distinct_tokens(line, words, ranks)
                 if len(line):
                     head = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
                     at = line[head]
-                    lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(line)), pa.int32()), pa.array(words.view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[lo + text[at]]), pa.array(number[at].astype(np.int32)), lists], ["id", "line", "tokens"])
+                    lists = pa.ListArray.from_arrays(
+                        pa.array(np.append(head, len(line)), pa.int32()), pa.array(words.view(np.int64))
+                    )
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[lo + text[at]]), pa.array(number[at].astype(np.int32)), lists], ["id", "line", "tokens"]
+                    )
 
-    return rows.select("id", "text").mapInArrow(run, "id long, line int, tokens array<long>").join(refs, ["id", "line"], "left_semi").distinct()
+    return rows.select("id", "text").mapInArrow(
+        run, "id long, line int, tokens array<long>"
+    ).join(refs, ["id", "line"], "left_semi").distinct()
 
 
 def similar(a: Column, b: Column) -> Column:
@@ -368,12 +418,22 @@ def confirmed(pairs: DataFrame, rows: DataFrame, ranks: np.ndarray) -> DataFrame
     sets = stage(tokens_of(rows, refs, ranks), "sets")
     held = lambda x: sets.select(F.col("id").alias(f"{x}_id"), F.col("line").alias(f"{x}_line"), F.col("tokens").alias(f"t{x}"))
     both = pairs.join(held("a"), ["a_id", "a_line"]).join(held("b"), ["b_id", "b_line"])
-    return stage(both.where(similar(F.col("ta"), F.col("tb"))).select(F.col("b_id").alias("id"), F.col("b_line").alias("line")).distinct(), "matched")
+    return stage(
+        both.where(similar(F.col("ta"), F.col("tb"))).select(
+            F.col("b_id").alias("id"), F.col("b_line").alias("line")
+        ).distinct(),
+        "matched"
+    )
 
 
 def matched_lines(pairs: DataFrame, rows: DataFrame, ranks: np.ndarray) -> DataFrame:
     """(id, line) of the lines that some pair confirms: each with its earliest partner first, with the others if that fails."""
-    first = stage(pairs.groupBy("b_id", "b_line").agg(F.min(F.struct("a_id", "a_line")).alias("a")).select("a.a_id", "a.a_line", "b_id", "b_line"), "first")
+    first = stage(
+        pairs.groupBy("b_id", "b_line").agg(
+            F.min(F.struct("a_id", "a_line")).alias("a")
+        ).select("a.a_id", "a.a_line", "b_id", "b_line"),
+        "first"
+    )
     matched = confirmed(first, rows, ranks)
     over = matched.select(F.col("id").alias("b_id"), F.col("line").alias("b_line"))
     rest = stage(pairs.join(first, pairs.columns, "left_anti").join(over, ["b_id", "b_line"], "left_anti"), "rest")
@@ -390,7 +450,9 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     its set and none has a match. An empty table gives no rows.
     """
     shipped(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
+    ).where("id is not null and text is not null")
     counts = hash_counts(rows.select("text"), lambda batch: (words for *_, words in line_tokens(batch.column(0))))
     ranks, buckets = token_ranks(counts), max(64, int(counts.sum()) // BUCKET)
     lines = stage(line_table(rows, ranks, buckets), "lines")
@@ -399,7 +461,12 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs = found.where("not more").drop("more")
     matched = matched_lines(pairs, rows, ranks)
     # Lines with more partners than were met, none of which matched, meet all of them.
-    left = stage(found.where("more").select(F.col("b_id").alias("id"), F.col("b_line").alias("line")).distinct().join(matched, ["id", "line"], "left_anti"), "left")
+    left = stage(
+        found.where("more").select(
+            F.col("b_id").alias("id"), F.col("b_line").alias("line")
+        ).distinct().join(matched, ["id", "line"], "left_anti"),
+        "left"
+    )
     if not left.isEmpty():
         asked = line_bits(left)
         again = candidate_pairs(lines, buckets, posted, None, (asked, token_bits(lines, asked))).drop("more")
@@ -416,7 +483,10 @@ def token_bits(lines: DataFrame, asked: np.ndarray) -> np.ndarray:
         for batch in batches:
             for own, prefix in unpacked(batch):
                 on = holds(sent.value, pair_hash(own["id"], own["line"].astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(prefix[np.repeat(on, prefix_size(own["size"].astype(np.int64)))]).view(np.int64))], ["token"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.unique(prefix[np.repeat(on, prefix_size(own["size"].astype(np.int64)))]).view(np.int64))],
+                    ["token"]
+                )
 
     return bitmap(lines.select("lines", "prefix").mapInArrow(run, "token long"))
 
@@ -436,9 +506,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = kept_lines(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "kept")
     n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n", -1)))
     none = F.array().cast("array<int>")
-    lines = docs.select(F.col(id_col), n.cast("long").alias("n_lines"), F.when(F.col(text_col).isNull() | F.col(id_col).isNull(), none).otherwise(worded(F.col(text_col))).alias("_worded"))
+    lines = docs.select(
+        F.col(id_col), n.cast("long").alias("n_lines"),
+        F.when(F.col(text_col).isNull() | F.col(id_col).isNull(), none).otherwise(worded(F.col(text_col))).alias("_worded")
+    )
     gone = F.array_except("_worded", F.coalesce("kept", none))
-    return lines.join(kept, F.col(id_col).cast("long") == F.col("_id"), "left").select(id_col, "n_lines", F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed"))
+    return lines.join(kept, F.col(id_col).cast("long") == F.col("_id"), "left").select(
+        id_col, "n_lines", F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed")
+    )
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -447,11 +522,16 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A document that had lines with words and keeps none of them goes as a whole; all others stay, whatever their text.
     """
     kept = kept_lines(docs, id_col, text_col).select(F.col(id_col).alias("id"), F.col("kept"))
-    both = docs.select(F.struct(*docs.columns).alias("row")).join(kept, F.col(f"row.{id_col}").cast("long") == F.col("id"), "left")
+    both = docs.select(F.struct(*docs.columns).alias("row")).join(
+        kept, F.col(f"row.{id_col}").cast("long") == F.col("id"), "left"
+    )
     text, none = F.col(f"row.{text_col}"), F.array().cast("array<int>")
-    both = both.select("row", F.coalesce("kept", none).alias("kept"), F.when(text.isNull() | F.col(f"row.{id_col}").isNull(), none).otherwise(worded(text)).alias("worded"))
+    untouched = text.isNull() | F.col(f"row.{id_col}").isNull()
+    both = both.select("row", F.coalesce("kept", none).alias("kept"), F.when(untouched, none).otherwise(worded(text)).alias("worded"))
     both = both.where((F.size("worded") == 0) | (F.size("kept") > 0)).withColumn("gone", F.array_except("worded", "kept"))
-    lines = F.split(text, "\n", -1)
-    stay = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i))
+    # A column of its own: within the lambda the text would be split again for every line.
+    both = both.withColumn("lines", F.when(F.size("gone") > 0, F.split(text, "\n", -1)))
+    numbers = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    stay = F.transform(numbers, lambda i: F.get("lines", i))
     text = F.when(F.size("gone") == 0, text).otherwise(F.array_join(stay, "\n"))
     return both.select(*[text.alias(c) if c == text_col else F.col(f"row.{c}").alias(c) for c in docs.columns])
