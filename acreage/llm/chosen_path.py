@@ -29,9 +29,11 @@ BUCKET, DEEPEST = 32, 3
 ALIKE = 20
 #: Runs before what they have brought together counts as one.
 EARLY = 1
+#: In fewer places than this, of TOKENS, sketches of a linked pair agree hardly ever: runs_for takes that in.
+LIKELY = 14
 #: Documents, and words of them, that are compared in one task; candidates that hang together in greater number are dealt
-#: out by pairs of blocks of about so many.
-BLOCK, BLOCK_WORDS = 2000, 1 << 22
+#: out by pairs of blocks of about so many. A task looks at about so many CELLS at once.
+BLOCK, BLOCK_WORDS, CELLS = 2000, 1 << 20, 1 << 20
 GROUP = 1 << 19
 
 
@@ -66,10 +68,18 @@ def missed(runs: int, samples: int = 4000) -> float:
     return total
 
 
+def unlike() -> float:
+    """Chance that the sketches of a pair right at the threshold agree in fewer than LIKELY places."""
+    return sum(math.comb(TOKENS, m) * NUM**m * (DEN - NUM) ** (TOKENS - m) for m in range(LIKELY)) / DEN**TOKENS
+
+
 @cache
 def runs_for(recall: float) -> int:
-    """Runs until a pair right at the threshold has met in some bucket with this probability, through all DEEPEST splits."""
-    return next(runs for runs in count(1) if missed(runs) <= 1 - recall)
+    """Runs until a pair right at the threshold is found with this probability.
+
+    It has to meet in some bucket, through all DEEPEST splits, and to be alike in LIKELY places.
+    """
+    return next(runs for runs in count(1) if missed(runs) + unlike() <= 1 - recall)
 
 
 def text_groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -171,7 +181,7 @@ def candidate_parts(nodes: DataFrame, runs: int) -> DataFrame:
     """
     chosen = choices(runs)
     early, late = [c for c in chosen if c[0] < EARLY], [c for c in chosen if c[0] >= EARLY]
-    edges = stage(bucket_edges(nodes.withColumn("root", F.col("id")), early), "met")
+    edges = stage(bucket_edges(nodes.withColumn("root", F.col("id")), early, own=True), "met")
     if late:
         named = edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root"))
         named = stage(nodes.join(named, "id", "left").withColumn("root", F.coalesce("root", "id")), "nodes")
@@ -179,12 +189,13 @@ def candidate_parts(nodes: DataFrame, runs: int) -> DataFrame:
     return components(edges).withColumnRenamed("node", "id")
 
 
-def bucket_edges(nodes: DataFrame, chosen: list[tuple[int, int, int]]) -> DataFrame:
+def bucket_edges(nodes: DataFrame, chosen: list[tuple[int, int, int]], own: bool = False) -> DataFrame:
     """(a, b): links the root of each node (id, root, sketch) to one root, the lead, of every bucket in which it ends.
 
     A bucket with more than BUCKET roots is split again, at most DEEPEST times, unless half of its nodes have the same
     root, or sketches that agree with its lead's in ALIKE places: then it is a group of near copies, which no split makes
-    small, and its roots are linked as they are. Nodes with the same root are counted in the tasks that read them.
+    small, and its roots are linked as they are. Nodes with the same root are counted in the tasks that read them. own: each
+    node is its own root, so there is nothing to count by root.
     """
     sketches = nodes.select("id", "sketch")
     level = nodes.select("id", "root", F.explode(first_paths(F.col("sketch"), chosen)).alias("path"))
@@ -193,13 +204,18 @@ def bucket_edges(nodes: DataFrame, chosen: list[tuple[int, int, int]]) -> DataFr
     )
     found = []
     for depth in range(DEEPEST + 1):
-        shares = level.groupBy("path", "root").agg(F.count("*").alias("m"))
-        buckets = shares.groupBy("path").agg(
-            F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("roots"), F.sum("m").alias("n")
-        ).where("roots > 1")
-        ends = F.lit(depth == DEEPEST) | (F.col("roots") <= BUCKET) | (F.col("top.m") * 2 >= F.col("n"))
-        buckets = stage(buckets.select("path", F.col("top.root").alias("lead"), ends.alias("ends")), "buckets")
-        found.append(linked(shares.drop("m"), buckets.where("ends").select("path", "lead")))
+        ends = F.lit(depth == DEEPEST) | (F.col("roots") <= BUCKET)
+        if own:
+            shares = level.select("path", "root")
+            buckets = shares.groupBy("path").agg(F.min("root").alias("lead"), F.count("*").alias("roots"))
+        else:
+            shares = level.groupBy("path", "root").agg(F.count("*").alias("m"))
+            buckets = shares.groupBy("path").agg(
+                F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("roots"), F.sum("m").alias("n")
+            ).withColumn("lead", F.col("top.root"))
+            ends |= F.col("top.m") * 2 >= F.col("n")
+        buckets = stage(buckets.where("roots > 1").select("path", "lead", ends.alias("ends")), "buckets")
+        found.append(linked(shares.select("path", "root"), buckets.where("ends").select("path", "lead")))
         large = buckets.where("not ends").select("path", "lead")
         if large.isEmpty():
             break
@@ -217,49 +233,120 @@ def bucket_edges(nodes: DataFrame, chosen: list[tuple[int, int, int]]) -> DataFr
     return reduce(DataFrame.union, found).distinct()
 
 
+def joined(label: np.ndarray, these: np.ndarray) -> None:
+    """Gives everything that has one of these labels the least of them, in place. A label is a place in the array."""
+    low = these.min()
+    if (these != low).any():
+        mark = np.zeros(len(label), bool)
+        mark[these] = True
+        label[mark[label]] = low
+
+
+def leads(ids: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """For each place, the least id of those with the same label."""
+    least = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(least, label, ids)
+    return least[label]
+
+
+def chunks(costs: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of places whose costs add up to some most."""
+    total = np.append(0, np.cumsum(costs))
+    lo = 0
+    while lo < len(costs):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + most, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
+def spread(heads: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """heads[0], heads[0] + 1, ... for sizes[0] places, then the same of heads[1], and so on."""
+    return np.repeat(heads - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def alike(ids: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """The least id of all that hang together over sketches that agree in LIKELY places or more.
+
+    Such a pair shares a token (place and value) among the TOKENS - LIKELY + 1 rarest of each, so only these are looked up:
+    what very many texts have in common, such as a line, is not.
+    """
+    n = len(ids)
+    label = np.arange(n)
+    code = (np.arange(TOKENS, dtype=np.int64) << 32) | sketch.view(np.uint32).astype(np.int64)
+    _, token, often = np.unique(code, return_inverse=True, return_counts=True)
+    token = token.reshape(n, TOKENS)
+    rank = np.empty(len(often), np.int64)
+    rank[np.argsort(often, kind="stable")] = np.arange(len(often))
+    rare = np.sort(rank[token], 1)[:, : TOKENS - LIKELY + 1]
+    width = rare.shape[1]
+    order = np.argsort(rare.ravel(), kind="stable")
+    by, key = order // width, rare.ravel()[order]
+    new = np.append(True, key[1:] != key[:-1])
+    head = np.flatnonzero(new)
+    first = head[np.cumsum(new) - 1]
+
+    def link(x: np.ndarray, y: np.ndarray) -> None:
+        for at in range(0, len(x), CELLS // TOKENS):
+            u, v = x[at : at + CELLS // TOKENS], y[at : at + CELLS // TOKENS]
+            u, v = u[label[u] != label[v]], v[label[u] != label[v]]
+            near = (sketch[u] == sketch[v]).sum(1) >= LIKELY
+            for k, m in zip(u[near].tolist(), v[near].tolist()):
+                if label[k] != label[m]:
+                    joined(label, label[[k, m]])
+
+    # near copies are brought together by the first of each posting; then all pairs of the postings that are still mixed
+    link(by[first], by)
+    mixed = np.minimum.reduceat(label[by], head) < np.maximum.reduceat(label[by], head)
+    before = np.where(mixed[np.cumsum(new) - 1], np.arange(len(by)) - first, 0)
+    for lo, hi in chunks(before, CELLS):
+        x, y = np.repeat(by[lo:hi], before[lo:hi]), by[spread(first[lo:hi], before[lo:hi])]
+        other = label[x] != label[y]
+        pair = np.unique(x[other] * n + y[other])
+        link(pair // n, pair % n)
+    return leads(ids, label)
+
+
 def compare(
     ids: np.ndarray, side: np.ndarray, flat: np.ndarray, ends: np.ndarray, across: bool
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(least linked id, number of links) of each set, by counting shared shingles over postings; across: only between sides.
+    """(least linked id, number of links) of each set, by counting shared shingles; across: only between sides.
 
-    The least id is over everything that hangs together in this task, so what is returned is a forest, not all pairs.
+    Shingles that an eighth of the sets have are counted by a product of matrices, all others over postings. The least id
+    is over everything that hangs together in this task, so what is returned is a forest, not all pairs.
     """
     n = len(ids)
     size = np.diff(ends)
-    doc = np.repeat(np.arange(n), size)
+    doc = np.repeat(np.arange(n, dtype=np.int32), size)
     order = np.argsort(flat, kind="stable")
     key, by = flat[order], doc[order]
-    head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    last = np.append(head[1:], len(key))
-    place = np.empty(len(flat), np.int64)
-    place[order] = np.repeat(np.arange(len(head)), last - head)
-    root = np.arange(n)
+    head = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    many = np.diff(np.append(head, len(key)))
+    del key
+    often = many * 8 >= max(n, 64)
+    column = np.where(often, np.cumsum(often) - 1, -1)
+    dense = np.zeros((n, int(often.sum())), np.float32)
+    dense[by[np.repeat(often, many)], np.repeat(column[often], many[often])] = 1
+    which = np.empty(len(flat), np.int64)
+    which[order] = np.repeat(np.arange(len(head)), many)
+    del order
+    heads, sizes = head[which], np.where(often[which], 0, many[which])
+    label = np.arange(n)
     links = np.zeros(n, np.int64)
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = int(root[x])
-        return x
-
-    for x in range(n):
-        p = place[ends[x] : ends[x + 1]]
-        m = last[p] - head[p]
-        src = np.repeat(head[p] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
-        shared = np.bincount(by[src], minlength=n)
-        near = shared * (NUM + DEN) >= NUM * (size[x] + size)
-        near[x] = False
+    cost = np.append(0, np.cumsum(sizes))
+    for lo, hi in chunks(cost[ends[1:]] - cost[ends[:-1]] + n, CELLS):
+        part = slice(ends[lo], ends[hi])
+        at = np.repeat((doc[part].astype(np.int64) - lo) * n, sizes[part]) + by[spread(heads[part], sizes[part])]
+        shared = np.bincount(at, minlength=(hi - lo) * n).reshape(hi - lo, n)
+        if dense.shape[1]:
+            shared = shared + (dense[lo:hi] @ dense.T).astype(np.int64)
+        near = shared * (NUM + DEN) >= NUM * (size[lo:hi, None] + size)
+        near[np.arange(hi - lo), np.arange(lo, hi)] = False
         if across:
-            near &= side != side[x]
-        for y in np.flatnonzero(near):
-            links[x] += 1
-            a, b = top(x), top(int(y))
-            if a != b:
-                root[max(a, b)] = min(a, b)
-    tops = np.array([top(x) for x in range(n)])
-    least = np.full(n, np.iinfo(np.int64).max)
-    np.minimum.at(least, tops, ids)
-    return least[tops], links
+            near &= side[lo:hi, None] != side
+        links[lo:hi] = near.sum(1)
+        for x in np.flatnonzero(links[lo:hi]).tolist():
+            joined(label, np.append(label[near[x]], label[lo + x]))
+    return leads(ids, label), links
 
 
 def set_table(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -284,33 +371,59 @@ def set_table(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select("id", "text").mapInArrow(run, "id long, held array<long>")
 
 
+def block_counts(parts: DataFrame) -> DataFrame:
+    """(root, blocks) of the nodes (id, root, n_words): in how many blocks those that hang together are compared."""
+    return parts.groupBy("root").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_words") / BLOCK_WORDS)).cast("int").alias("blocks"),
+        F.ceil(F.count("*") * TOKENS / BLOCK_WORDS).cast("int").alias("sketch_blocks")
+    )
+
+
+def dealt(rows: DataFrame, blocks: str, held: str) -> DataFrame:
+    """(root, i, j, id, side, held): rows (id, root) go to all pairs (i, j) of their own block, side, and another."""
+    own = F.pmod(F.xxhash64("id", F.lit(3)), F.col(blocks)).cast("int")
+    out = rows.select("root", "id", held, own.alias("side"), F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)).alias("other"))
+    return out.select("root", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "id", "side", held)
+
+
+def narrowed(large: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(id, root) of the nodes (id, root, sketch_blocks) that hang together over sketches alike in LIKELY places.
+
+    Texts with a line in common meet in buckets, and so very many of them hang together that are not similar: compared
+    whole, they would cost the square of their number. Only sketches go to pairs of blocks here.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids = table["id"].to_numpy()
+        sketch = table["sketch"].combine_chunks().flatten().to_numpy().reshape(len(ids), TOKENS)
+        return pa.table({"id": ids, "lead": alike(ids, sketch)})
+
+    sent = dealt(large.join(sketches, "id"), "sketch_blocks", "sketch")
+    met = sent.groupBy("root", "i", "j").applyInArrow(run, "id long, lead long").where("id <> lead")
+    return components(met, "id", "lead").withColumnRenamed("node", "id")
+
+
 def linked(rows: DataFrame, parts: DataFrame) -> tuple[DataFrame, bool]:
     """(id, lead, links) of the nodes (id, root, n_words): each set of nodes that hang together is compared whole, in blocks if it is large.
 
     The second result says whether there were blocks; without them, lead is the least id of the class already.
     """
-    sizes = parts.groupBy("root").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_words") / BLOCK_WORDS)).cast("int").alias("blocks")
-    )
-    sets = set_table(rows, parts).join(parts.select("id", "root"), "id").join(sizes, "root")
-    own = F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int")
-    dealt = sets.select(
-        "root", "id", "held", own.alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    )
-    dealt = dealt.select(
-        "root", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "id", "side", "held"
-    )
+    sizes = block_counts(parts)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         ids, side = table["id"].to_numpy(), table["side"].to_numpy()
-        lists = [x.values.to_numpy() for x in table["held"]]
-        ends = np.append(0, np.cumsum([len(x) for x in lists]))
-        flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-        least, links = compare(ids, side, flat, ends, table["i"][0].as_py() != table["j"][0].as_py())
+        held = table["held"].combine_chunks()
+        ends = held.offsets.to_numpy().astype(np.int64)
+        least, links = compare(
+            ids, side, held.flatten().to_numpy(), ends - ends[0], table["i"][0].as_py() != table["j"][0].as_py()
+        )
         return pa.table({"id": ids, "lead": least, "links": links})
 
-    got = dealt.groupBy("root", "i", "j").applyInArrow(run, "id long, lead long, links long")
+    # blocks are joined to the nodes first: what is dealt by root alone would bring all pairs of blocks to one task
+    sets = set_table(rows, parts).join(parts.join(sizes, "root").select("id", "root", "blocks"), "id")
+    got = dealt(sets, "blocks", "held").groupBy("root", "i", "j").applyInArrow(run, "id long, lead long, links long")
     return stage(got, "linked"), not sizes.where("blocks > 1").isEmpty()
 
 
@@ -343,12 +456,12 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ).select("id", nodes.k1, nodes.k2, nodes.n_words, "sketch"),
         "nodes"
     )
-    parts = stage(
-        candidate_parts(nodes.select("id", "sketch"), runs_for(recall)).join(
-            nodes.groupBy("id").agg(F.sum("n_words").alias("n_words")), "id"
-        ),
-        "parts"
-    )
+    words = nodes.groupBy("id").agg(F.sum("n_words").alias("n_words"))
+    parts = stage(candidate_parts(nodes.select("id", "sketch"), runs_for(recall)).join(words, "id"), "parts")
+    large = block_counts(parts).where("blocks > 1")
+    if not large.isEmpty():
+        again = narrowed(parts.join(large, "root"), nodes.select("id", "sketch")).join(words, "id")
+        parts = stage(parts.join(large, "root", "left_anti").select("id", "root", "n_words").unionByName(again), "parts")
     found, blocks = linked(rows.where("id is not null"), parts)
     classes = components(
         found.where("id <> lead"), "id", "lead"

@@ -302,6 +302,45 @@ def test_large_candidate_sets_in_blocks(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in chosen_path.jaccard_classes(df).collect()} == brute_classes(texts)
 
 
+def test_texts_with_a_line_in_common_are_not_compared_whole(spark, monkeypatch):
+    """150 texts share a line and meet in buckets; of their whole sets, only those of near copies go to be compared."""
+    monkeypatch.setattr(chosen_path, "BLOCK", 20)
+    rng = np.random.default_rng(11)
+    line = "a line that stands at the head of each of these texts and is rather long for one".split()
+    words = [line + rng.integers(1 << 40, size=24).astype(str).tolist() for _ in range(150)]
+    for k in range(0, 150, 15):
+        words[k + 1] = words[k][:-1] + ["other"]
+    texts = {k: " ".join(w) for k, w in enumerate(words)}
+    compared, sets = [], chosen_path.set_table
+    monkeypatch.setattr(chosen_path, "set_table", lambda rows, wanted: compared.append(wanted.count()) or sets(rows, wanted))
+    got = chosen_path.jaccard_classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == brute_classes(texts)
+    assert {r.doc_id for r in got if r.n_links} == {j for k in range(0, 150, 15) for j in (k, k + 1)}
+    assert compared[0] < 75
+
+
+def test_links_are_counted_over_pairs_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "BLOCK", 6)
+    monkeypatch.setattr(chosen_path, "CELLS", 300)
+    rng = np.random.default_rng(12)
+    core = [f"w{k}" for k in range(100)]
+    texts = {k: " ".join(w if rng.random() > 0.008 else f"v{rng.integers(1000)}" for w in core) for k in range(60)}
+    sets = {k: {tuple(t.split()[i : i + 5]) for i in range(96)} for k, t in texts.items()}
+    got = chosen_path.jaccard_classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_links for r in got} == {
+        x: sum(9 * len(a & b) >= 4 * (len(a) + len(b)) for y, b in sets.items() if texts[x] != texts[y]) for x, a in sets.items()
+    }
+
+
+def test_components_in_rounds_and_at_once(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    edges = spark.createDataFrame(rng.integers(0, 400, (300, 2)).tolist() + [[1, None]], "a long, b long")
+    once = sorted(components(edges).collect())
+    monkeypatch.setattr("acreage.llm.components.FEW", 0)
+    assert once == sorted(components(edges).collect())
+    assert components(edges.limit(0)).count() == 0
+
+
 def test_pairs_meet_where_buckets_are_split_three_times(spark, monkeypatch):
     """Pairs of Jaccard 89 / 111 and 91 / 109: recall falls by no more than 0.9999 promises, with room for chance."""
     monkeypatch.setattr(chosen_path, "BUCKET", 1)
