@@ -325,10 +325,11 @@ def test_links_are_counted_over_pairs_of_blocks(spark, monkeypatch):
     rng = np.random.default_rng(12)
     core = [f"w{k}" for k in range(100)]
     texts = {k: " ".join(w if rng.random() > 0.008 else f"v{rng.integers(1000)}" for w in core) for k in range(60)}
-    sets = {k: {tuple(t.split()[i : i + 5]) for i in range(96)} for k, t in texts.items()}
+    sets = {t: {tuple(t.split()[i : i + 5]) for i in range(96)} for t in texts.values()}
     got = chosen_path.jaccard_classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
     assert {r.doc_id: r.n_links for r in got} == {
-        x: sum(9 * len(a & b) >= 4 * (len(a) + len(b)) for y, b in sets.items() if texts[x] != texts[y]) for x, a in sets.items()
+        k: sum(9 * len(sets[t] & b) >= 4 * (len(sets[t]) + len(b)) for other, b in sets.items() if other != t)
+        for k, t in texts.items()
     }
 
 
