@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,7 +42,10 @@ def duplicate_reason(df: DataFrame, key: Sequence[str], compare: Sequence[str],
     return marked.withColumn("duplicate_reason", reason).drop("_kind", "_first", "_deal")
 
 
-def first_wins(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key; Spark keeps only the first rows of each task before the exchange."""
+def first_wins(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """The first row of each key; Spark keeps only the first rows of each task before the exchange.
+
+    The order has to tell all rows of a key apart, or the row that stays depends on which task was read first.
+    """
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
     return df.withColumn("_k", rank).where("_k = 1").drop("_k")

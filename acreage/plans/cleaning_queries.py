@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +13,13 @@ from acreage.operators.exclude import independent_checks, primary_reason, split,
 from acreage.plans.ledger import SQL, ledger, read
 
 COMPARED = ["l_linenumber", "l_quantity", "l_extendedprice"]
+#: Where a row stands in its table: files by name, then rows.
+PLACE = ["_metadata.file_path", "_metadata.row_index"]
 
 
-def doubled(spark: SparkSession, d: str) -> DataFrame:
+def doubled(spark: SparkSession, d: str, place: Sequence[str] = ()) -> DataFrame:
     """lineitem with some rows delivered twice, in input order."""
-    lines = read(spark, d, "lineitem").select("l_orderkey", *COMPARED)
+    lines = read(spark, d, "lineitem").select("l_orderkey", *COMPARED, *place)
     first = lines.withColumn("pos", F.col("l_orderkey") * 100 + F.col("l_linenumber"))
     again = first.where("l_orderkey % 10 = 3").withColumn("pos", F.col("pos") + 10_000_000_000)
     return first.unionByName(again)
@@ -26,7 +30,9 @@ def dup_classification(spark: SparkSession, d: str) -> DataFrame:
 
 
 def first_wins_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return first_wins(doubled(spark, d), ["l_orderkey"], ["pos"])
+    """Lines of an order may share their number and so their pos (null comes last); of these the first in the table wins."""
+    rows = doubled(spark, d, PLACE)
+    return first_wins(rows, ["l_orderkey"], [F.asc_nulls_last("pos"), "file_path", "row_index"]).drop("file_path", "row_index")
 
 
 def duplicate_reasons(spark: SparkSession, d: str) -> DataFrame:

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +11,7 @@ from acreage.functions import dates, numeric, text
 from acreage.operators.cleaning import checked_lookup, clean_transactions
 from acreage.operators.dedup import duplicate_kinds
 from acreage.operators.exclude import violations
+from acreage.plans import cleaning_queries
 from fixtures import aliases, lookup, raw
 
 
@@ -113,3 +117,21 @@ def test_duplicates_compare_nulls(spark):
         [("a", None), ("a", None), ("b", None), ("b", 1), ("c", 1), (None, 1), (None, 1)], "k string, v int"
     )
     assert {r.k: r.kind for r in duplicate_kinds(df, ["k"], ["v"]).collect()} == {"a": "exact", "b": "conflict"}
+
+
+def test_first_wins_ties_go_to_input_order(spark, tmp_path):
+    """Files that Spark reads in another order (the larger first), lines of one number, and a line without one."""
+    folder = tmp_path / "lineitem.parquet"
+    folder.mkdir()
+    schema = pa.schema({"l_orderkey": "int64", "l_linenumber": "int32", "l_quantity": "float64", "l_extendedprice": "float64"})
+    few = [(k, None if k == 7 else 1, 1.0, float(k)) for k in (3, 5, 7)]
+    many = [(k, 1, 2.0, float(i)) for i in range(500) for k in (3, 5, 7, 13)]
+    for name, rows in (("a", few), ("b", many)):
+        table = pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+        pq.write_table(table, folder / f"{name}.parquet")
+    db = duckdb.connect(config={"threads": 1})
+    db.execute(f"create view lineitem as select * from '{folder}/*.parquet'")
+    want = sorted(db.execute(cleaning_queries.ORACLES["first_wins_dedup"]).fetchall())
+    assert sorted(tuple(r) for r in cleaning_queries.first_wins_dedup(spark, str(tmp_path)).collect()) == want == [
+        (3, 1, 1.0, 3.0, 301), (5, 1, 1.0, 5.0, 501), (7, 1, 2.0, 0.0, 701), (13, 1, 2.0, 0.0, 1301)
+    ]
