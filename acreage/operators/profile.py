@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreage.functions.numeric import WHOLE, close
 
+#: Percentiles: pieces of values between a number and its double, and of each piece in which a share ends.
+OCTAVE, EVEN = 256, 4096
+
 
 def numeric_quality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, rows, missing, zero, negative, valid, non_integer, lowest, highest, valid_rate); valid is positive."""
@@ -59,14 +64,55 @@ def nearest_rank(df: DataFrame, column: str, shares: Sequence[float], keys: Sequ
     )
 
 
+def ends(total: Column, share: Column) -> tuple[Column, Column, Column]:
+    """Where a share of total rows in order lies, and the rows below and above it, counted from 0."""
+    place = (total - 1) * share
+    return place, F.floor(place), F.ceil(place)
+
+
+def around(pieces: DataFrame, group: Sequence[str], start: Column, shares: Sequence[float]) -> DataFrame:
+    """Of pieces (group..., piece, n, total) in their order, those in which a share ends; from: the rows below a piece."""
+    upto = start + F.sum("n").over(Window.partitionBy(*group).orderBy("piece"))
+    rows = [r for s in shares for r in ends(F.col("total"), F.lit(float(s)))[1:]]
+    hit = [(r >= F.col("from")) & (r < F.col("from") + F.col("n")) for r in rows]
+    return pieces.withColumn("from", upto - F.col("n")).where(reduce(or_, hit)).drop("n")
+
+
 def percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """(column, share, value): exact interpolated percentiles of the positive values, over all rows."""
+    """(column, share, value): exact interpolated percentiles of the positive values, over all rows.
+
+    No task holds the values of a column: rows are counted by magnitude, only pieces in which a share ends are counted by
+    value, and these are cut evenly once more before values are put in order.
+    """
     flat = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]))
-    ).where("v > 0")
-    listed = F.array(*[F.lit(float(s)) for s in shares])
-    got = flat.groupBy("column").agg(F.percentile("v", list(shares)).alias("p"))
-    return got.select("column", F.inline(F.arrays_zip(listed.alias("share"), F.col("p").alias("value"))))
+    ).where("v > 0").withColumn("piece", F.rint(F.log2("v") * OCTAVE))
+    coarse = flat.groupBy("column", "piece").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    coarse = coarse.withColumn("total", F.sum("n").over(Window.partitionBy("column")))
+    coarse = around(coarse, ["column"], F.lit(0), shares).withColumnRenamed("from", "before")
+    place = ["column", "total", "before"]
+    values = flat.join(F.broadcast(coarse), ["column", "piece"]).groupBy(*place, "low", "high", "v").agg(
+        F.count("*").alias("n")
+    )
+    even = F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low"))
+    values = values.select(*place, "v", "n", F.coalesce(F.rint(even * EVEN), F.lit(0.0)).alias("piece"))
+    fine = values.groupBy(*place, "piece").agg(F.sum("n").alias("n"))
+    fine = around(fine, ["column", "before"], F.col("before"), shares).drop("total")
+    near = values.join(F.broadcast(fine), ["column", "before", "piece"])
+    upto = F.col("from") + F.sum("n").over(Window.partitionBy("column", "from").orderBy("v"))
+    near = near.withColumn("upto", upto)
+
+    def at(row: Column) -> Column:
+        return F.max(F.when((row >= F.col("upto") - F.col("n")) & (row < F.col("upto")), F.col("v")))
+
+    listed = []
+    for s in map(float, shares):
+        _, below, above = ends(F.col("total"), F.lit(s))
+        listed.append(F.struct(F.lit(s).alias("share"), at(below).alias("low"), at(above).alias("high")))
+    got = near.groupBy("column", "total").agg(F.array(*listed).alias("p")).select("column", "total", F.inline("p"))
+    exact, below, above = ends(F.col("total"), F.col("share"))
+    between = (above - exact) * F.col("low") + (exact - below) * F.col("high")
+    return got.select("column", "share", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between).alias("value"))
 
 
 def formula_match(
