@@ -79,14 +79,20 @@ def around(pieces: DataFrame, group: Sequence[str], start: Column, shares: Seque
 
 
 def percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """(column, share, value): exact interpolated percentiles of the positive values, over all rows.
+    """(column, share, value): exact interpolated percentiles of the positive values, over all rows."""
+    flat = df.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]))
+    )
+    return positive_percentiles(flat, shares)
+
+
+def positive_percentiles(flat: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """percentiles() of (column, v), column not being null.
 
     No task holds the values of a column: rows are counted by magnitude, only pieces in which a share ends are counted by
     value, and these are cut evenly once more before values are put in order.
     """
-    flat = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]))
-    ).where("v > 0").withColumn("piece", F.rint(F.log2("v") * OCTAVE))
+    flat = flat.where("v > 0").withColumn("piece", F.rint(F.log2("v") * OCTAVE))
     coarse = flat.groupBy("column", "piece").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     coarse = coarse.withColumn("total", F.sum("n").over(Window.partitionBy("column")))
     coarse = around(coarse, ["column"], F.lit(0), shares).withColumnRenamed("from", "before")

@@ -71,6 +71,15 @@ def transitions(df: DataFrame) -> DataFrame:
     return got.orderBy(place, "county_code", "raw_county")
 
 
+def land_areas(df: DataFrame) -> DataFrame:
+    """(type, rows, positive, median) of (type, v): types are few and may be null, so medians come in pieces as well."""
+    named = F.coalesce("type", F.lit(""))  # no normal text is empty
+    counts = df.groupBy("type").agg(F.count("*").alias("rows"), F.count_if(F.col("v") > 0).alias("positive"))
+    medians = profile.positive_percentiles(df.select(named.alias("column"), "v"), [0.5])
+    got = counts.join(medians, named == F.col("column"), "left")
+    return got.select("type", "rows", "positive", F.col("value").alias("median"))
+
+
 def summaries(raw: DataFrame, staged: DataFrame | None = None) -> dict[str, DataFrame]:
     """Every summary of raw records (contract.RAW_COLUMNS); with staged rows of the cleaning also those of places."""
     c, n = F.col, lambda name: numeric.number(F.col(name))
@@ -125,10 +134,9 @@ def summaries(raw: DataFrame, staged: DataFrame | None = None) -> dict[str, Data
         "note_summary": profile.flag_counts(raw, {"blank": note.isNull(), "nonblank": note.isNotNull()}),
         "note_pattern_summary": profile.flag_counts(raw, pattern_flags(note)),
         "note_flag_consistency": profile.cross_tab(raw, c("note").isNotNull(), note.isNotNull()),
-        "land_area_by_transaction_type": raw.groupBy(normalize_text("type").alias("type")).agg(
-            F.count("*").alias("rows"), F.count_if(n("trans_landsize") > 0).alias("positive"),
-            F.median(F.when(n("trans_landsize") > 0, n("trans_landsize"))).alias("median")
-        ),
+        "land_area_by_transaction_type": land_areas(raw.select(
+            normalize_text("type").alias("type"), n("trans_landsize").alias("v")
+        )),
         "land_mismatch_by_land": profile.detail_total(
             raw, normalize_text("type") == C.LAND, F.coalesce(area, F.lit(0.0)), F.lit(0.0), 1e-9
         ),
